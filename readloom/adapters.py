@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readloom.functions.ids import region_key
+from readloom.operators.assembly import align_contigs, gene_abundance
 from readloom.operators.catalogue import protein_dimension
 from readloom.operators.classify import (
     classify_by_coverage, classify_reads, find_candidates,
 )
+from readloom.operators.coverage import protein_abundance
 from readloom.operators.samples import average_read_lengths
 from readloom.operators.taxonomy import complete_taxonomy, taxon_dimension
 from readloom.params import RunParams
@@ -271,3 +273,236 @@ class Domain:
     @property
     def annotated_single(self) -> DataFrame:
         return self.annotated.where(F.col("end") == "pe1")
+
+    # Text of reads -----------------------------------------------------------------------
+
+    @property
+    def read_texts(self) -> DataFrame:
+        """One FASTQ record per document and end; the header style follows the document id."""
+        letters = F.upper(F.regexp_replace("text", "[^A-Za-z]", ""))
+        ends = F.array(
+            F.struct(F.lit("pe1").alias("end"), F.lit("1").alias("n"), letters.alias("sequence")),
+            F.struct(F.lit("pe2").alias("end"), F.lit("2").alias("n"),
+                     F.reverse(letters).alias("sequence")),
+        )
+        name = F.concat(F.lit("R"), F.col("doc_id").cast("string"))
+        style = F.col("doc_id") % 5
+        header = (
+            F.when(style == 0, F.concat(name, F.lit("/"), "n"))
+            .when(style == 1, F.concat(name, F.lit(" "), "n", F.lit(":N:0:AAG")))
+            .when(style == 2, F.concat(name, F.lit("."), "n", F.lit(" "), "n", F.lit(" length=9")))
+            .when((style == 3) & (F.col("doc_id") % 2 == 1),
+                  F.concat(name, F.lit(".7."), "n"))
+            .when(style == 3, F.concat(F.lit("WP_0"), F.col("doc_id").cast("string"), F.lit(".1")))
+            .otherwise(F.concat(name, F.lit(" b c d")))
+        )
+        return (
+            self.source("documents").select("doc_id", F.inline(ends))
+            .withColumn("header", F.concat(F.lit("@"), header))
+            .withColumn("quality", F.repeat(F.lit("I"), F.length("sequence")))
+            .select("doc_id", "end", "header", "sequence", F.lit("+").alias("line3"), "quality")
+        )
+
+    # Proteins ----------------------------------------------------------------------------
+
+    @property
+    def _sizes(self) -> DataFrame:
+        """One row: the number of contigs (five per supplier) and of parts."""
+        contigs = self.source("supplier").agg((F.count("*") * 5).alias("contig_count"))
+        parts = self.source("part").agg(F.count("*").alias("part_count"))
+        return F.broadcast(contigs.crossJoin(F.broadcast(parts)))
+
+    def _as_protein_hits(self, read_id, hits: DataFrame) -> DataFrame:
+        start = (F.col("part_key") % 40 + 1).cast("int")
+        return (
+            hits.crossJoin(self._sizes)
+            .withColumn("read_id", read_id)
+            .withColumn("q_start", start)
+            .withColumn("q_end", start + F.col("length") - 1)
+            .drop("contig_count", "part_count")
+        )
+
+    @property
+    def protein_hits(self) -> DataFrame:
+        contig = (F.col("order_key") % F.col("contig_count")).cast("string")
+        name = F.concat(F.lit("xC"), contig, F.lit("_"), F.col("order_key").cast("string"))
+        return self._as_protein_hits(name, self.hits).withColumn("end", F.lit("pe1"))
+
+    @property
+    def coverage(self) -> DataFrame:
+        """Coverage of each sample's contigs; contigs numbered in sevens are not on file."""
+        orders = self.source("orders").select("o_orderkey", "o_orderpriority")
+        contig = F.col("l_orderkey") % F.col("contig_count")
+        return (
+            self.source("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .crossJoin(self._sizes)
+            .withColumn("k", contig)
+            .where(F.col("k") % 7 != 0)
+            .groupBy(
+                F.concat(F.lit("S"), F.substring("o_orderpriority", 1, 1)).alias("sample_id"),
+                F.concat(F.lit("C"), F.col("k").cast("string")).alias("contig_id"),
+            )
+            .agg((F.avg("l_quantity") / 10.0).alias("coverage"))
+        )
+
+    @property
+    def protein_texts(self) -> DataFrame:
+        """FASTA records of the query proteins, one per order."""
+        contig = (F.col("o_orderkey") % F.col("contig_count")).cast("string")
+        name = F.concat(F.lit("xC"), contig, F.lit("_"), F.col("o_orderkey").cast("string"))
+        length = (F.lit(100) + F.col("o_orderkey") % 300).cast("int")
+        return (
+            self.source("orders").crossJoin(self._sizes).select(
+                F.concat(F.lit("S"), F.substring("o_orderpriority", 1, 1)).alias("sample_id"),
+                F.concat(name, F.lit(" predicted protein")).alias("header"),
+                name.alias("read_id"),
+                F.substring(F.repeat(F.lit("MKVLA"), 80), F.lit(1), length).alias("sequence"),
+            )
+        )
+
+    @property
+    def protein_candidates(self) -> DataFrame:
+        def build() -> DataFrame:
+            rows = self.protein_hits.where(F.col("searched") == "ref")
+            return find_candidates(rows, self.protein_catalogue, self.params, READ_KEYS)
+        return self.stages.table("protein_candidates", build)
+
+    def classified_proteins(self) -> DataFrame:
+        rows = self.protein_hits.where(F.col("searched") == "bg")
+        background = self.place_in_regions(rows, self.protein_candidates, READ_KEYS)
+        abundance = protein_abundance(
+            self.protein_candidates.select(*READ_KEYS), self.coverage
+        )
+        return classify_by_coverage(
+            self.protein_candidates, background, self.protein_catalogue, abundance,
+            self.params, READ_KEYS, keep_good=False,
+        )
+
+    @property
+    def annotated_proteins(self) -> DataFrame:
+        return self.stages.table(
+            "annotated_proteins", self.classified_proteins, partition_by=("sample_id", "end")
+        )
+
+    @property
+    def protein_samples(self) -> DataFrame:
+        return self.samples.withColumn("is_paired_end", F.lit(False))
+
+    # Assembly ----------------------------------------------------------------------------
+
+    @staticmethod
+    def _assembly_function(k):
+        """The function whose reads a contig was assembled from."""
+        return F.concat(F.lit("Brand#"), (k % 25 + 1).cast("string"))
+
+    @property
+    def contigs(self) -> DataFrame:
+        k = F.col("k")
+        length = (F.lit(250) + (k * 37) % 400).cast("int")
+        return (
+            self.source("part").crossJoin(self._sizes)
+            .select((F.col("p_partkey") % F.col("contig_count")).alias("k")).distinct()
+            .select(
+                self._assembly_function(k).alias("function"),
+                F.concat(F.lit("C"), k.cast("string")).alias("contig_id"),
+                F.substring(
+                    F.repeat(F.lit("ACGTN"), 131), (k % 5 + 1).cast("int"), length
+                ).alias("sequence"),
+            )
+        )
+
+    @property
+    def _assembled_lines(self) -> DataFrame:
+        orders = self.source("orders").select("o_orderkey", "o_orderpriority")
+        k = F.col("l_orderkey") % F.col("contig_count")
+        return (
+            self.source("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .crossJoin(self._sizes)
+            .select(
+                self._assembly_function(k).alias("function"),
+                F.concat(F.lit("C"), k.cast("string")).alias("contig_id"),
+                F.concat(F.lit("L"), F.col("l_orderkey").cast("string"), F.lit("_"),
+                         F.col("l_linenumber").cast("string")).alias("read_id"),
+                F.concat(F.lit("S"), F.substring("o_orderpriority", 1, 1)).alias("sample_id"),
+                (F.lit(50) + F.col("l_quantity").cast("int")).alias("aligned_length"),
+                "l_returnflag",
+            )
+        )
+
+    @property
+    def assembly_reads(self) -> DataFrame:
+        """The sample each exported read came from, the first one where it came twice."""
+        return self._assembled_lines.groupBy("function", "read_id").agg(
+            F.min("sample_id").alias("sample_id")
+        )
+
+    @property
+    def alignments(self) -> DataFrame:
+        return self._assembled_lines.where(F.col("l_returnflag") != "R").select(
+            "function", "contig_id", "read_id", "aligned_length"
+        )
+
+    @property
+    def genes(self) -> DataFrame:
+        k = F.col("p_partkey") % F.col("contig_count")
+        start = F.col("p_partkey") * 7 % 60 + 1
+        protein_length = F.lit(60) + F.col("p_size") * 10
+        contig_length = F.lit(250) + (k * 37) % 400
+        return self.source("part").crossJoin(self._sizes).select(
+            F.concat(
+                self._assembly_function(k), F.lit("|C"), k.cast("string"), F.lit("_"),
+                F.col("p_partkey").cast("string"),
+            ).alias("gene_id"),
+            start.cast("int").alias("gene_start"),
+            F.least(contig_length, start + protein_length * 3 - 1).cast("int").alias("gene_end"),
+            F.when(F.col("p_partkey") % 2 == 0, "1").otherwise("-1").alias("strand"),
+            F.substring(F.repeat(F.lit("MKVLA"), 113), F.lit(1), protein_length)
+            .alias("protein_sequence"),
+            F.col("p_partkey").alias("part_key"),
+        )
+
+    @property
+    def gene_hits(self) -> DataFrame:
+        p = F.col("order_key") % F.col("part_count")
+        k = p % F.col("contig_count")
+        name = F.concat(
+            self._assembly_function(k), F.lit("|C"), k.cast("string"), F.lit("_"),
+            p.cast("string"),
+        )
+        return (
+            self._as_protein_hits(name, self.hits)
+            .drop("sample_id", "end")
+            .withColumnRenamed("read_id", "gene_id")
+        )
+
+    @property
+    def gene_candidates(self) -> DataFrame:
+        def build() -> DataFrame:
+            rows = self.gene_hits.where(F.col("searched") == "ref")
+            return find_candidates(
+                rows, self.protein_catalogue, self.params, GENE_KEYS, fixed_identity=True
+            )
+        return self.stages.table("gene_candidates", build)
+
+    @property
+    def contig_samples(self) -> DataFrame:
+        """Reads and aligned positions per contig and sample."""
+        return self.stages.table(
+            "contig_samples",
+            lambda: align_contigs(self.alignments, self.contigs, self.assembly_reads),
+        )
+
+    def classified_genes(self) -> DataFrame:
+        rows = self.gene_hits.where(F.col("searched") == "bg")
+        background = self.place_in_regions(rows, self.gene_candidates, GENE_KEYS)
+        abundance = gene_abundance(
+            self.gene_candidates.select("gene_id"), self.contigs, self.contig_samples
+        )
+        return classify_by_coverage(
+            self.gene_candidates, background, self.protein_catalogue, abundance,
+            self.params, GENE_KEYS, keep_good=True,
+        )
+
+    @property
+    def annotated_genes(self) -> DataFrame:
+        return self.stages.table("annotated_genes", self.classified_genes)

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import re
 
-_SUFFIX = "CAST({} AS VARCHAR)"
-
 VIEWS: dict[str, str] = {}
 
 VIEWS["taxonomy"] = """
@@ -335,6 +333,141 @@ VIEWS["ref_hits"] = "SELECT * FROM hits WHERE searched = 'ref'"
 VIEWS["bg_hits"] = "SELECT * FROM hits WHERE searched = 'bg'"
 VIEWS.update(classification("rd", "ref_hits", "bg_hits", score=_ERPK))
 
+# Text, proteins and assembly ---------------------------------------------------------------
+
+VIEWS["read_texts"] = """
+SELECT doc_id, "end", '@' || CASE
+    WHEN doc_id % 5 = 0 THEN name || '/' || n
+    WHEN doc_id % 5 = 1 THEN name || ' ' || n || ':N:0:AAG'
+    WHEN doc_id % 5 = 2 THEN name || '.' || n || ' ' || n || ' length=9'
+    WHEN doc_id % 5 = 3 AND doc_id % 2 = 1 THEN name || '.7.' || n
+    WHEN doc_id % 5 = 3 THEN 'WP_0' || doc_id || '.1'
+    ELSE name || ' b c d' END AS header,
+  sequence, '+' AS line3, repeat('I', length(sequence)) AS quality,
+  CASE WHEN doc_id % 5 = 3 AND doc_id % 2 = 1 THEN name || '.7'
+    WHEN doc_id % 5 = 3 THEN 'WP_0' || doc_id || '.1' ELSE name END AS read_id,
+  CASE WHEN doc_id % 5 < 3 OR (doc_id % 5 = 3 AND doc_id % 2 = 1) THEN n ELSE '' END AS read_end
+FROM (SELECT doc_id, 'R' || doc_id AS name, e AS "end", substr(e, 3) AS n,
+    CASE WHEN e = 'pe1' THEN letters ELSE reverse(letters) END AS sequence
+  FROM (SELECT doc_id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS letters
+    FROM documents) CROSS JOIN (SELECT unnest(['pe1', 'pe2']) AS e))
+"""
+
+VIEWS["sizes"] = """
+SELECT (SELECT 5 * count(*) FROM supplier) AS contig_count,
+  (SELECT count(*) FROM part) AS part_count
+"""
+
+VIEWS["protein_hits"] = """
+SELECT sample_id, 'pe1' AS "end", 'xC' || (order_key % contig_count) || '_' || order_key AS read_id,
+  subject_id, identity, length, mismatch, s_len, CAST(1 + part_key % 40 AS INTEGER) AS q_start,
+  CAST(part_key % 40 + length AS INTEGER) AS q_end, s_start, s_end, evalue, bitscore, ord,
+  searched, order_key, part_key FROM hits CROSS JOIN sizes
+"""
+VIEWS["protein_ref"] = "SELECT * FROM protein_hits WHERE searched = 'ref'"
+VIEWS["protein_back"] = "SELECT * FROM protein_hits WHERE searched = 'bg'"
+
+VIEWS["coverage"] = """
+SELECT 'S' || substr(o_orderpriority, 1, 1) AS sample_id,
+  'C' || (l_orderkey % contig_count) AS contig_id, avg(l_quantity) / 10.0 AS coverage
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey CROSS JOIN sizes
+WHERE (l_orderkey % contig_count) % 7 <> 0 GROUP BY ALL
+"""
+
+VIEWS["protein_abundance"] = """
+SELECT p.sample_id, p."end", p.read_id, coalesce(c.coverage, 1.0) AS coverage,
+  coalesce(c.coverage, 1.0) / coalesce(a.average, 1.0) AS abundance
+FROM (SELECT DISTINCT sample_id, "end", read_id FROM protein_ref) p
+LEFT JOIN coverage c ON c.sample_id = p.sample_id
+  AND c.contig_id = substr(split_part(p.read_id, '_', 1), 2)
+LEFT JOIN (SELECT sample_id, avg(coverage) AS average FROM coverage GROUP BY sample_id) a
+  ON a.sample_id = p.sample_id
+"""
+VIEWS["protein_texts"] = """
+SELECT 'S' || substr(o_orderpriority, 1, 1) AS sample_id,
+  'xC' || (o_orderkey % contig_count) || '_' || o_orderkey || ' predicted protein' AS header,
+  'xC' || (o_orderkey % contig_count) || '_' || o_orderkey AS read_id,
+  substr(repeat('MKVLA', 80), 1, CAST(100 + o_orderkey % 300 AS INTEGER)) AS sequence
+FROM orders CROSS JOIN sizes
+"""
+
+VIEWS["contigs"] = """
+SELECT 'Brand#' || (1 + k % 25) AS function, 'C' || k AS contig_id,
+  substr(repeat('ACGTN', 131), CAST(1 + k % 5 AS INTEGER), CAST(250 + (37 * k) % 400 AS INTEGER))
+    AS sequence
+FROM (SELECT DISTINCT p_partkey % contig_count AS k FROM part CROSS JOIN sizes)
+"""
+
+VIEWS["assembled_lines"] = """
+SELECT 'Brand#' || (1 + (l_orderkey % contig_count) % 25) AS function,
+  'C' || (l_orderkey % contig_count) AS contig_id, 'L' || l_orderkey || '_' || l_linenumber AS read_id,
+  'S' || substr(o_orderpriority, 1, 1) AS sample_id,
+  50 + CAST(l_quantity AS INTEGER) AS aligned_length, l_returnflag
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey CROSS JOIN sizes
+"""
+VIEWS["assembly_reads"] = """
+SELECT function, read_id, min(sample_id) AS sample_id FROM assembled_lines GROUP BY ALL
+"""
+VIEWS["alignments"] = """
+SELECT function, contig_id, read_id, aligned_length FROM assembled_lines WHERE l_returnflag <> 'R'
+"""
+VIEWS["contig_samples"] = """
+SELECT a.function, a.contig_id, r.sample_id, count(*) AS read_count,
+  CAST(sum(a.aligned_length) AS BIGINT) AS segment_length
+FROM alignments a JOIN contigs c ON c.function = a.function AND c.contig_id = a.contig_id
+JOIN assembly_reads r ON r.function = a.function AND r.read_id = a.read_id GROUP BY ALL
+"""
+VIEWS["contig_series"] = """
+SELECT function, contig_id, sample_id, read_count, segment_length FROM contig_samples
+UNION ALL SELECT c.function, c.contig_id, 'All samples', CAST(coalesce(sum(read_count), 0) AS BIGINT),
+  CAST(coalesce(sum(segment_length), 0) AS BIGINT)
+FROM contigs c LEFT JOIN contig_samples s USING (function, contig_id)
+GROUP BY c.function, c.contig_id
+"""
+VIEWS["contig_coverage"] = """
+SELECT function, contig_id, sample_id, length(sequence) AS length, read_count,
+  segment_length / length(sequence)::DOUBLE AS coverage
+FROM contig_series JOIN contigs USING (function, contig_id)
+"""
+VIEWS["libraries"] = """
+SELECT sample_id, fwd_reads AS reads, fwd_reads AS reads_both FROM samples
+UNION ALL SELECT 'All samples', sum(fwd_reads), sum(fwd_reads + rev_reads) FROM samples
+"""
+VIEWS["genes"] = """
+SELECT 'Brand#' || (1 + k % 25) || '|C' || k || '_' || p AS gene_id,
+  'Brand#' || (1 + k % 25) AS function, 'C' || k AS contig_id,
+  CAST(s AS INTEGER) AS gene_start,
+  CAST(least(250 + (37 * k) % 400, s + 3 * n - 1) AS INTEGER) AS gene_end,
+  CASE WHEN p % 2 = 0 THEN '1' ELSE '-1' END AS strand,
+  substr(repeat('MKVLA', 113), 1, n) AS protein_sequence, p AS part_key
+FROM (SELECT p_partkey AS p, p_partkey % contig_count AS k, 1 + 7 * p_partkey % 60 AS s,
+  60 + 10 * p_size AS n FROM part CROSS JOIN sizes)
+"""
+VIEWS["gene_hits"] = """
+SELECT '' AS sample_id, '' AS "end", 'Brand#' || (1 + k % 25) || '|C' || k || '_' || p AS read_id,
+  subject_id, identity, length, mismatch, s_len, CAST(1 + part_key % 40 AS INTEGER) AS q_start,
+  CAST(part_key % 40 + length AS INTEGER) AS q_end, s_start, s_end, evalue, bitscore, ord,
+  searched, order_key, part_key
+FROM (SELECT *, (order_key % part_count) % contig_count AS k, order_key % part_count AS p
+  FROM hits CROSS JOIN sizes)
+"""
+VIEWS["gene_ref"] = "SELECT * FROM gene_hits WHERE searched = 'ref'"
+VIEWS["gene_back"] = "SELECT * FROM gene_hits WHERE searched = 'bg'"
+VIEWS["gene_abundance"] = """
+SELECT DISTINCT '' AS sample_id, '' AS "end", read_id, c.coverage / (SELECT avg(coverage)
+  FROM contig_coverage WHERE sample_id = 'All samples') AS abundance
+FROM gene_ref JOIN genes g ON g.gene_id = read_id
+JOIN contig_coverage c ON c.function = g.function AND c.contig_id = g.contig_id
+  AND c.sample_id = 'All samples'
+"""
+VIEWS.update(classification("pr", "protein_ref", "protein_back", move_hits=False, score="abundance"))
+VIEWS["pr_fn"] = VIEWS["pr_fn"].replace(
+    "FROM pr_picks", 'FROM pr_picks JOIN protein_abundance USING (sample_id, "end", read_id)')
+VIEWS.update(classification("gn", "gene_ref", "gene_back", fixed_identity=True, keep_good=True,
+                            move_hits=False, score="abundance"))
+VIEWS["gn_fn"] = VIEWS["gn_fn"].replace(
+    "FROM gn_picks", 'FROM gn_picks JOIN gene_abundance USING (sample_id, "end", read_id)')
+
 _WORD = re.compile(r"[A-Za-z_][A-Za-z_0-9]*")
 
 
