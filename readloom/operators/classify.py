@@ -344,6 +344,18 @@ def classify_reads(
     return _assemble_queries(decided, keys, keep_good=False)
 
 
+def decide_regions(
+    candidates: DataFrame, background: DataFrame, proteins: DataFrame, params: RunParams,
+    keys: Sequence[str],
+) -> DataFrame:
+    """Status of every region on its own, before a read takes that of its last one."""
+    levels = _score_levels(
+        candidate_regions(candidates, keys), background, proteins, params, keys
+    )
+    decided = _decide_regions(levels, params, keys, lambda _: F.lit(1.0), move_hits=False)
+    return decided.select(*keys, "region_no", "r_start", "r_end", "status")
+
+
 def classify_by_coverage(
     candidates: DataFrame, background: DataFrame, proteins: DataFrame,
     abundance: DataFrame, params: RunParams, keys: Sequence[str], keep_good: bool,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from readloom.operators.skew import join_per_key
 from readloom.schemas import HIT_ORDER, HIT_PAYLOAD
 
 
@@ -35,10 +36,6 @@ def deduplicate(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
     return grouped.select(*keys, "subject_id", "q_start", "q_end", "first.*")
 
 
-def best_bitscore(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return hits.groupBy(*keys).agg(F.max("bitscore").alias("best_bitscore"))
-
-
 def top_hit(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Best hit per query, first on ties; a query without a positive bit-score has none."""
     columns = [c for c in hits.columns if c not in keys]
@@ -53,26 +50,36 @@ def top_hit(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def within_band(hits: DataFrame, keys: Sequence[str], bitscore_range: float) -> DataFrame:
     """Hits strictly above ``best * (1 - range)`` of their query."""
-    best = F.max("bitscore").over(Window.partitionBy(*keys))
-    return (
-        hits.withColumn("best_bitscore", best)
-        .where(F.col("bitscore") > F.col("best_bitscore") * (1.0 - bitscore_range))
+    best = hits.groupBy(*keys).agg(
+        F.max("bitscore").alias("best_bitscore"), F.count("*").alias("rows_of_key")
+    )
+    return join_per_key(hits, best, keys).where(
+        F.col("bitscore") > F.col("best_bitscore") * (1.0 - bitscore_range)
     )
 
 
 def band_size(hits: DataFrame, keys: Sequence[str], fraction: float) -> DataFrame:
-    """Hits per query with at least ``fraction`` of the top bit-score."""
-    best = best_bitscore(hits, keys)
+    """Hits per query with at least ``fraction`` of the top bit-score.
+
+    Hits are first counted per (query, bit-score); one more sum over those levels is enough.
+    """
+    levels = hits.groupBy(*keys, "bitscore").agg(F.count("*").alias("n"))
+    best = levels.groupBy(*keys).agg(
+        F.max("bitscore").alias("best_bitscore"), F.count("*").alias("rows_of_key")
+    )
     return (
-        hits.join(best, list(keys))
+        join_per_key(levels, best, keys)
         .where(F.col("bitscore") >= F.col("best_bitscore") * fraction)
         .groupBy(*keys)
-        .agg(F.count("*").alias("top_size"))
+        .agg(F.sum("n").alias("top_size"))
     )
 
 
 def limit_per_query(hits: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """At most ``n`` best hits per query, the top-k the aligner is asked for."""
+    """At most ``n`` best hits per query, the top-k the aligner is asked for.
+
+    Spark applies the limit on both sides of the shuffle, so a task sends n rows per query.
+    """
     order = Window.partitionBy(*keys).orderBy(F.col("bitscore").desc(), *HIT_ORDER)
     return (
         hits.withColumn("hit_rank", F.row_number().over(order)).where(F.col("hit_rank") <= n)

@@ -57,24 +57,28 @@ def roll_up(
     )
 
 
-def child_sums(profile: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+def child_sums(
+    profile: DataFrame, scope: Sequence[str], keys: Sequence[str], values: Sequence[str]
+) -> DataFrame:
     """Every (node, key) that has children in the tree, with the sums over those children.
 
-    A node whose children lack the key has sums of 0.
+    Each combination of ``scope`` columns has a tree of its own. A node whose children lack the
+    key has sums of 0.
     """
     inner = profile.where(F.col("parent").isNotNull())
-    parents = inner.select(F.col("parent").alias("taxid")).distinct()
-    sums = inner.groupBy(F.col("parent").alias("taxid"), *keys).agg(
+    parents = inner.select(F.col("parent").alias("taxid"), *scope).distinct()
+    sums = inner.groupBy(F.col("parent").alias("taxid"), *scope, *keys).agg(
         *[F.sum(v).alias(f"child_{v}") for v in values]
     )
-    nodes = profile.join(parents, "taxid", "left_semi")
-    return nodes.join(sums, ["taxid", *keys], "left").na.fill(
+    nodes = profile.join(parents, ["taxid", *scope], "left_semi")
+    return nodes.join(sums, ["taxid", *scope, *keys], "left").na.fill(
         0, [f"child_{v}" for v in values]
     )
 
 
 def residual_nodes(
-    profile: DataFrame, keys: Sequence[str], values: Sequence[str], trigger: str
+    profile: DataFrame, scope: Sequence[str], keys: Sequence[str], values: Sequence[str],
+    trigger: str,
 ) -> DataFrame:
     """One node below every parent whose children do not add up to it on ``trigger``.
 
@@ -82,49 +86,51 @@ def residual_nodes(
     """
     lower = F.create_map(*[F.lit(x) for pair in LOWER_RANK.items() for x in pair])
     gap = F.col(trigger) - F.col(f"child_{trigger}")
-    summed = child_sums(profile, keys, values)
+    summed = child_sums(profile, scope, keys, values)
+    residual_id = F.concat(F.lit(RESIDUAL_MARK), "taxid")
     return summed.where(
         (gap > F.abs(F.col(trigger)) * _SLACK) & F.col("rank").isin(list(LOWER_RANK))
     ).select(
-        F.concat(F.lit(RESIDUAL_MARK), "taxid").alias("taxid"),
+        residual_id.alias("taxid"),
         F.try_element_at(lower, F.col("rank")).alias("rank"),
         F.when(F.col("taxid") == ROOT_TAXID, "Unclassified")
         .otherwise(F.concat(F.lit("Unclassified "), F.col("name")))
         .alias("name"),
-        F.concat("path", F.array(F.concat(F.lit(RESIDUAL_MARK), "taxid"))).alias("path"),
-        *keys,
+        F.concat("path", F.array(residual_id)).alias("path"),
+        *scope, *keys,
         *[(F.col(v) - F.col(f"child_{v}")).alias(v) for v in values],
         F.col("taxid").alias("parent"),
     )
 
 
 def with_residuals(
-    profile: DataFrame, keys: Sequence[str], values: Sequence[str], trigger: str
+    profile: DataFrame, scope: Sequence[str], keys: Sequence[str], values: Sequence[str],
+    trigger: str,
 ) -> DataFrame:
-    return profile.unionByName(residual_nodes(profile, keys, values, trigger))
+    return profile.unionByName(residual_nodes(profile, scope, keys, values, trigger))
 
 
-def preorder_lines(nodes: DataFrame) -> DataFrame:
+def preorder_lines(nodes: DataFrame, scope: Sequence[str]) -> DataFrame:
     """Depth-first line number of each node, children in string order, residual nodes last.
 
     The line of a node is the sum, along its path, of 1 plus the sizes of the subtrees that come
     before it among its siblings. Only siblings are ever sorted together.
     """
-    distinct = nodes.select("taxid", "parent", "path").distinct()
-    sizes = distinct.select(F.explode("path").alias("taxid")).groupBy("taxid").agg(
-        F.count("*").alias("size")
-    )
-    before = Window.partitionBy("parent").orderBy("taxid").rowsBetween(
+    distinct = nodes.select(*scope, "taxid", "parent", "path").distinct()
+    sizes = distinct.select(*scope, F.explode("path").alias("taxid")).groupBy(
+        *scope, "taxid"
+    ).agg(F.count("*").alias("size"))
+    before = Window.partitionBy(*scope, "parent").orderBy("taxid").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = distinct.join(sizes, "taxid").select(
-        F.col("taxid").alias("step"),
+    offsets = distinct.join(sizes, [*scope, "taxid"]).select(
+        *scope, F.col("taxid").alias("step"),
         (F.coalesce(F.sum("size").over(before), F.lit(0)) + 1).alias("offset"),
     )
     return (
-        distinct.select("taxid", F.explode("path").alias("step"))
-        .join(offsets, "step")
-        .groupBy("taxid")
+        distinct.select(*scope, "taxid", F.explode("path").alias("step"))
+        .join(offsets, [*scope, "step"])
+        .groupBy(*scope, "taxid")
         .agg(F.sum("offset").alias("line"))
     )
 

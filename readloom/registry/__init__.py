@@ -1,6 +1,6 @@
 """Named queries over the domain tables, each beside the SQL that checks it."""
 
-from readloom.registry import hits  # noqa: F401
+from readloom.registry import genes, hits, reads, reports, taxonomy  # noqa: F401
 from readloom.registry.core import ORACLE, QUERIES, runnable
 
 __all__ = ["ORACLE", "QUERIES", "runnable"]
