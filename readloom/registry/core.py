@@ -14,7 +14,7 @@ from readloom.registry.views import with_views
 Query = Callable[[Domain], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
+_SQL: dict[str, str] = {}
 
 _domains: dict[tuple[str, str], Domain] = {}
 
@@ -43,7 +43,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
             raise ValueError(f"query {name} is registered twice")
         QUERIES[name] = build
         if sql is not None:
-            ORACLE[name] = with_views(sql)
+            _SQL[name] = sql
         return build
     return register
 
@@ -56,3 +56,8 @@ def runnable(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
     run.__name__ = name
     return run
+
+
+def oracle_sql() -> dict[str, str]:
+    """The SQL of every query that has one, with the views it needs."""
+    return {name: with_views(sql) for name, sql in _SQL.items()}

@@ -89,6 +89,14 @@ class Stages:
             self._written.add(name)
         return self.spark.read.parquet(self.path(name))
 
+    def files(self, name: str, write: Callable[[str], None]) -> str:
+        """A folder of text files, written once."""
+        path = self.path(f"files/{name}")
+        if path not in self._written:
+            write(path)
+            self._written.add(path)
+        return path
+
     def dimension(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A staged table, hinted for broadcast when its row count is proven small."""
         df = self.table(name, build)

@@ -36,11 +36,15 @@ def canonical(rows, columns: list[str]) -> list[tuple]:
     )
 
 
+QUERIES = spark_entry.queries()
+SQL = spark_entry.oracle_sql()
+
+
 def compare(spark, con, folder: str, name: str) -> tuple[str, int]:
     """'ok', 'rows' (no SQL) or a description of the first difference, and the row count."""
-    df = spark_entry.queries()[name](spark, folder)
+    df = QUERIES[name](spark, folder)
     left = canonical([tuple(r) for r in df.collect()], df.columns)
-    sql = spark_entry.oracle_sql().get(name)
+    sql = SQL.get(name)
     if sql is None:
         return "rows", len(left)
     result = con.execute(sql)
@@ -57,7 +61,7 @@ def compare(spark, con, folder: str, name: str) -> tuple[str, int]:
 
 def main() -> None:
     folder = f"/root/testdata/{sys.argv[1]}"
-    names = sys.argv[2:] or list(spark_entry.queries())
+    names = sys.argv[2:] or list(QUERIES)
     spark = build_session("oracle-check")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
