@@ -19,6 +19,11 @@ VALUES = ["score", "count", "hit_count", "identity"]
 _LINEAGE_COLUMNS = [f"level{i}" for i in range(1, len(RANKS))]
 
 
+def fixed_decimals(column: str, digits: int) -> Column:
+    """A number as text; halves are settled by the exact binary value."""
+    return F.expr(f"format_number(`{column}`, '0.{'0' * digits}')").alias(column)
+
+
 def dense_grid(functions: DataFrame, samples: DataFrame, scores: DataFrame) -> DataFrame:
     """Every catalogue function x every sample, 0 where there is no score."""
     grid = functions.select("function", "group", "name").crossJoin(
@@ -128,7 +133,7 @@ def text_matrix(
     wide = pivoted(scores, ["function"], "sample_id", sample_list, [F.sum("score")])
     return wide.join(names, "function", "left").select(
         "function",
-        *[F.format_string("%.3f", F.col(s)).alias(s) for s in sample_list],
+        *[fixed_decimals(s, 3) for s in sample_list],
         F.coalesce("definition", F.lit("")).alias("definition"),
     )
 
@@ -422,8 +427,8 @@ def assembly_listing(
         .join(series.where(F.col("sample_id") != assembly.ALL_SAMPLES), assembly.CONTIG)
         .select(
             *assembly.CONTIG, "length", "gene_id", "functions", "sample_id", "read_count",
-            F.format_string("%.2f", "coverage").alias("coverage"),
-            F.format_string("%.2f", "rpkm").alias("rpkm"),
+            fixed_decimals("coverage", 2),
+            fixed_decimals("rpkm", 2),
         )
     )
 

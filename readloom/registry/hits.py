@@ -284,9 +284,9 @@ _CAND = 'sample_id, "end", read_id, region_no, subject_id, q_start, q_end'
 
 
 @query("existing_vs_background", f"""
-SELECT c.sample_id, c."end", c.read_id, c.region_no, c.subject_id, count(*) AS background_hits,
-  count(*) FILTER (b.subject_id = c.subject_id) AS same_subject, max(b.bitscore) AS best
-FROM rd_cand c JOIN rd_bg b USING (sample_id, "end", read_id, region_no) GROUP BY ALL""")
+SELECT sample_id, "end", read_id, region_no, known_subject AS subject_id, count(*) AS background_hits,
+  count(*) FILTER (subject_id = known_subject) AS same_subject, max(bitscore) AS best
+FROM rd_bg GROUP BY sample_id, "end", read_id, region_no, known_subject""")
 def _(d: Domain) -> DataFrame:
     key = ids.parse_region_key(F.col("query_id"))
     found = d.background_queries.select(

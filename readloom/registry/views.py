@@ -196,7 +196,7 @@ FROM (SELECT {_KEY}, pos, h.*, coalesce(pr.functions, ['']) AS functions
   LEFT JOIN protein_cutoffs pc ON pc.protein_id = h.subject_id {weak.replace('identity >=', 'h.identity >=')})
 """
     v[f"{p}_bg"] = f"""
-SELECT b.*, c.region_no, c.r_start, c.r_end
+SELECT b.*, c.region_no, c.r_start, c.r_end, c.subject_id AS known_subject
 FROM {background} b JOIN {p}_cand c USING (sample_id, "end", read_id)
 WHERE c.region_no = (b.part_key + b.ord) % c.n_regions
 """
