@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from readloom.functions.ids import parse_gene_id
 from readloom.functions.scores import relative_abundance
 from readloom.params import GOOD
+from readloom.session import broadcast_if_small
 
 CONTIG = ["function", "contig_id"]
 ALL_SAMPLES = "All samples"
@@ -91,7 +92,7 @@ def contig_rpkm(
     contigs: DataFrame, contig_samples: DataFrame, samples: DataFrame, both_ends: bool = False
 ) -> DataFrame:
     """RPKM, RPM, coverage and reads of each contig, per sample and over all samples."""
-    libraries = F.broadcast(library_totals(samples, both_ends))
+    libraries = broadcast_if_small(library_totals(samples, both_ends), samples)
     return contig_coverage(contigs, contig_samples).join(libraries, "sample_id").select(
         *CONTIG, "sample_id", "length", "read_count", "coverage",
         rpkm(F.col("read_count"), F.col("length"), F.col("library_reads")).alias("rpkm"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from readloom.functions.scores import effective_fragments_per_kilobase, per_kilo
 from readloom.operators.samples import average_read_lengths, normalisation_factors
 from readloom.operators.taxonomy import common_prefix
 from readloom.params import END1, END2, GOOD, UNKNOWN_TAXID, RunParams
+from readloom.session import broadcast_if_small
 
 # Metric names and the factor each is scaled by.
 SINGLE_END_METRICS = {
@@ -94,30 +97,58 @@ def read_functions(annotated: DataFrame) -> DataFrame:
     )
 
 
-def single_end_scores(
-    annotated: DataFrame, samples: DataFrame, metric: str, by_taxon: bool = False
-) -> DataFrame:
-    """Scores, counts, hit counts and summed identity of single-end reads or proteins."""
-    factor = metric_factor(metric, False, by_taxon)
-    rows = read_functions(annotated.where(F.col("end") == END1))
-    value = F.lit(1.0) if metric in _COUNTS else F.col("score")
-    return _cube(rows, samples, factor, value, by_taxon)
+def _scaled(sums: DataFrame, samples: DataFrame, factors: dict[str, str]) -> DataFrame:
+    """Raw sums per sample to the requested metrics, one row per metric.
 
+    Each metric's raw sum is the column of its name without the scaling letter.
+    """
+    keys = [c for c in ("taxonomy", "function", "sample_id") if c in sums.columns]
+    scaled = sums
+    for factor in sorted(set(factors.values())):
+        known = with_metric_factor(samples, factor).withColumnRenamed("factor", factor)
+        scaled = scaled.join(broadcast_if_small(known, samples), "sample_id")
+    cells = F.array(*[
+        F.struct(
+            F.lit(metric).alias("metric"),
+            (F.col(_raw_name(metric)) * F.col(factor)).alias("score"),
+        )
+        for metric, factor in factors.items()
+    ])
+    return scaled.select(*keys, F.inline(cells), "count", "hit_count", "identity")
 
-def _cube(
-    rows: DataFrame, samples: DataFrame, factor: str, value: Column, by_taxon: bool
-) -> DataFrame:
+
+def _raw_name(metric: str) -> str:
+    if metric in _COUNTS:
+        return "reads"
+    return "erpk" if metric in TAXON_ONLY_METRICS else metric.rstrip("mg")
+
+
+def _sums(rows: DataFrame, by_taxon: bool, raw: dict[str, Column]) -> DataFrame:
+    """One pass over (read or fragment, function) rows for all raw sums."""
     keys = (["taxonomy"] if by_taxon else []) + ["function", "sample_id"]
-    found = F.col("best").isNotNull()
-    sums = rows.groupBy(*keys).agg(
-        F.sum(value).alias("raw"),
+    return rows.groupBy(*keys).agg(
+        *[F.sum(value).alias(name) for name, value in raw.items()],
         F.count("*").alias("count"),
-        F.count_if(found).alias("hit_count"),
+        F.count_if(F.col("best").isNotNull()).alias("hit_count"),
         F.sum(F.coalesce("best.identity", F.lit(0.0))).alias("identity"),
     )
-    return sums.join(with_metric_factor(samples, factor), "sample_id").select(
-        *keys, (F.col("raw") * F.col("factor")).alias("score"), "count", "hit_count", "identity"
-    )
+
+
+def single_end_metrics(
+    annotated: DataFrame, samples: DataFrame, metrics: Sequence[str], by_taxon: bool = False
+) -> DataFrame:
+    """Scores, counts, hit counts and summed identity of single-end reads or proteins."""
+    factors = {m: metric_factor(m, False, by_taxon) for m in metrics}
+    rows = read_functions(annotated.where(F.col("end") == END1))
+    raw = {"reads": F.lit(1.0), "erpk": F.col("score")}
+    return _scaled(_sums(rows, by_taxon, raw), samples, factors)
+
+
+def single_end_scores(
+    annotated: DataFrame, samples: DataFrame, metric: str, by_taxon: bool = False
+) -> DataFrame:
+    """The cube of one metric."""
+    return single_end_metrics(annotated, samples, [metric], by_taxon).drop("metric")
 
 
 def fragments(annotated: DataFrame, taxa: DataFrame | None = None) -> DataFrame:
@@ -214,8 +245,15 @@ def shared_subject_pairs(
 
 
 def insert_sizes(annotated: DataFrame, samples: DataFrame, params: RunParams) -> DataFrame:
-    """Recorded insert sizes; a recorded 0 is replaced by the mean of the shared-subject pairs."""
-    found = shared_subject_pairs(annotated, samples, params.length_cutoff)
+    """Recorded insert sizes; a recorded 0 is replaced by the mean of the shared-subject pairs.
+
+    Only the reads of samples without a record are looked at.
+    """
+    unknown = samples.where(F.col("is_paired_end") & (F.col("insert_size") == 0))
+    reads = annotated.join(
+        broadcast_if_small(unknown.select("sample_id"), samples), "sample_id", "left_semi"
+    )
+    found = shared_subject_pairs(reads, samples, params.length_cutoff)
     means = found.groupBy("sample_id").agg(
         F.count("*").alias("pairs"), F.avg("tlen").alias("mean")
     )
@@ -245,31 +283,41 @@ def fragment_functions(
     return rows.select("sample_id", "read_id", *taxon, F.inline(entry))
 
 
-def paired_end_scores(
-    annotated: DataFrame, samples: DataFrame, metric: str, params: RunParams,
-    taxa: DataFrame | None = None,
+def paired_end_metrics(
+    rows: DataFrame, annotated: DataFrame, samples: DataFrame, metrics: Sequence[str],
+    params: RunParams, by_taxon: bool = False,
 ) -> DataFrame:
-    """Scores of fragments; with ``taxa`` the cube also has the fragment's taxon.
+    """Scores of fragments under several metrics from one pass over their functions.
 
-    A function without a supporting hit still counts in the function cube, not in the taxon cube.
+    ``rows`` are the fragment functions, with taxa when ``by_taxon``. A function without a
+    supporting hit still counts in the function cube, not in the taxon cube.
     """
-    by_taxon = taxa is not None
-    factor = metric_factor(metric, True, by_taxon)
-    rows = fragment_functions(annotated, taxa)
+    factors = {m: metric_factor(m, True, by_taxon) for m in metrics}
+    found = F.col("best").isNotNull()
     if by_taxon:
-        rows = rows.where(F.col("best").isNotNull())
+        rows = rows.where(found)
+    raw = {"reads": F.when(found, 1.0).otherwise(0.0)}
     s_len = F.col("best.s_len")
-    if metric == "fragmentcount":
-        value = F.when(F.col("best").isNotNull(), 1.0)
-    elif metric.startswith("e"):
-        read_length = average_read_lengths(samples).where(F.col("end") == END1).drop("end")
+    if {"fpk", "fpkm", "fpkg"} & set(metrics):
+        raw["fpk"] = F.coalesce(per_kilobase(s_len), F.lit(0.0))
+    if {"efpk", "efpkm", "efpkg"} & set(metrics):
+        lengths = average_read_lengths(samples).where(F.col("end") == END1).drop("end")
         sizes = insert_sizes(annotated, samples, params).select("sample_id", "insert_size")
-        rows = rows.join(F.broadcast(read_length), "sample_id").join(
-            F.broadcast(sizes), "sample_id"
-        )
-        value = effective_fragments_per_kilobase(
+        libraries = lengths.join(sizes, "sample_id")
+        rows = rows.join(broadcast_if_small(libraries, samples), "sample_id")
+        efpk = effective_fragments_per_kilobase(
             s_len, F.col("read_length"), params.length_cutoff, F.col("insert_size")
         )
-    else:
-        value = per_kilobase(s_len)
-    return _cube(rows, samples, factor, F.coalesce(value, F.lit(0.0)), by_taxon)
+        raw["efpk"] = F.when(found, efpk).otherwise(0.0)
+    return _scaled(_sums(rows, by_taxon, raw), samples, factors)
+
+
+def paired_end_scores(
+    annotated: DataFrame, samples: DataFrame, metric: str, params: RunParams,
+    taxa: DataFrame | None = None,
+) -> DataFrame:
+    """The cube of one metric; with ``taxa`` it also has the fragment's taxon."""
+    rows = fragment_functions(annotated, taxa)
+    return paired_end_metrics(
+        rows, annotated, samples, [metric], params, by_taxon=taxa is not None
+    ).drop("metric")

@@ -379,11 +379,9 @@ def _(d: Domain) -> DataFrame:
     path = d.stages.fresh_path("assembly_out")
     sinks.write_fastq(rows, path, partition_by=["function", "file_end"])
     read = read_fastq(d.spark, path)
-    # Folder names hold the function with '#' escaped.
-    function = F.replace(F.regexp_extract("file", "function=([^/]+)", 1), F.lit("%23"), F.lit("#"))
     return read.select(
-        function.alias("function"),
-        F.regexp_extract("file", "file_end=([^/]+)", 1).alias("file_end"), "header",
+        sinks.partition_value(F.col("file"), "function").alias("function"),
+        sinks.partition_value(F.col("file"), "file_end").alias("file_end"), "header",
     )
 
 
@@ -416,9 +414,7 @@ def _(d: Domain) -> DataFrame:
         sinks.write_fasta(
             rows.withColumn("sequence", F.col(column)), path, partition_by=["function"]
         )
-        function = F.replace(
-            F.regexp_extract("file", "function=([^/]+)", 1), F.lit("%23"), F.lit("#")
-        )
+        function = sinks.partition_value(F.col("file"), "function")
         return fasta.read_fasta(d.spark, path).select(
             function.alias("function"), "header", F.col("sequence").alias(column)
         )

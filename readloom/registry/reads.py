@@ -224,10 +224,17 @@ WHERE last = 1
 """
     VIEWS["insert_sizes"] = """
 SELECT s.sample_id, CASE WHEN s.insert_size = 0 THEN CASE WHEN p.n > 1 THEN p.mean ELSE 0.0 END
-  ELSE s.insert_size END AS insert_size, coalesce(p.n, 0) AS pairs
+  ELSE s.insert_size END AS insert_size,
+  CASE WHEN s.insert_size = 0 THEN coalesce(p.n, 0) ELSE 0 END AS pairs
 FROM samples s LEFT JOIN (SELECT sample_id, count(*) AS n, avg(tlen) AS mean FROM subject_pairs
   GROUP BY sample_id) p USING (sample_id)
 """
+    VIEWS["coarse_pairs"] = VIEWS["subject_pairs"].replace(
+        "frag_hits a", "coarse_hits a").replace("frag_hits b", "coarse_hits b")
+    VIEWS["coarse_hits"] = """
+SELECT * REPLACE (right(subject_id, 1) AS subject_id) FROM frag_hits
+"""
+    VIEWS["coarse_sizes"] = VIEWS["insert_sizes"].replace("subject_pairs", "coarse_pairs")
     # Raw (unscaled) values of every paired-end metric per fragment and function.
     VIEWS["frag_values"] = """
 SELECT *, 1000.0::DOUBLE / 3 / s_len AS fpk, CASE WHEN e > 0 THEN 1000.0::DOUBLE / e ELSE 1000.0 END AS efpk
@@ -282,16 +289,28 @@ def _(d: Domain) -> DataFrame:
     return counted.groupBy("sample_id", "kind").agg(F.count("*").alias("fragments"))
 
 
+def coarse_subjects(annotated: DataFrame) -> DataFrame:
+    """Subjects by their last digit: the source tables hardly ever give both ends one protein."""
+    return annotated.withColumn(
+        "hits",
+        F.transform(
+            "hits", lambda h: h.withField("subject_id", F.substring(h["subject_id"], -1, 1))
+        ),
+    )
+
+
 @query("shared_subject_pairs", """
-SELECT sample_id, read_id, tlen, ref_len, ref_name FROM subject_pairs""")
+SELECT sample_id, read_id, tlen, ref_len, ref_name FROM coarse_pairs""")
 def _(d: Domain) -> DataFrame:
-    return cubes.shared_subject_pairs(d.annotated, d.samples, d.params.length_cutoff)
+    return cubes.shared_subject_pairs(
+        coarse_subjects(d.annotated), d.samples, d.params.length_cutoff
+    )
 
 
 @query("insert_size", """
-SELECT sample_id, round(insert_size, 6) AS insert_size, pairs FROM insert_sizes""")
+SELECT sample_id, round(insert_size, 6) AS insert_size, pairs FROM coarse_sizes""")
 def _(d: Domain) -> DataFrame:
-    return cubes.insert_sizes(d.annotated, d.samples, d.params)
+    return cubes.insert_sizes(coarse_subjects(d.annotated), d.samples, d.params)
 
 
 # Cubes ---------------------------------------------------------------------------------------
@@ -313,37 +332,27 @@ FROM {p}_fbest JOIN {p}_ann USING ({_K}) JOIN samples USING (sample_id)
 WHERE status = 'function' AND "end" = 'pe1' GROUP BY {taxon}function, sample_id"""
 
 
-def _union_metrics(tables: dict[str, DataFrame]) -> DataFrame:
-    union = None
-    for metric, table in tables.items():
-        table = table.withColumn("metric", F.lit(metric))
-        union = table if union is None else union.unionByName(table)
-    return union
-
-
 @query("function_scores_single", " UNION ALL ".join(
     _single_sql(m, False) for m in cubes.SINGLE_END_METRICS))
 def _(d: Domain) -> DataFrame:
-    return _union_metrics({
-        m: cubes.single_end_scores(d.annotated, d.single_samples, m)
-        for m in cubes.SINGLE_END_METRICS
-    })
+    return cubes.single_end_metrics(
+        d.annotated, d.single_samples, list(cubes.SINGLE_END_METRICS)
+    )
 
 
 @query("taxon_function_scores_single", " UNION ALL ".join(
     _single_sql(m, True) for m in ("readcount", "erpk", "rpkm", "erpkg")))
 def _(d: Domain) -> DataFrame:
-    return _union_metrics({
-        m: cubes.single_end_scores(d.annotated, d.single_samples, m, by_taxon=True)
-        for m in ("readcount", "erpk", "rpkm", "erpkg")
-    })
+    return cubes.single_end_metrics(
+        d.annotated, d.single_samples, ["readcount", "erpk", "rpkm", "erpkg"], by_taxon=True
+    )
 
 
 @query("protein_function_scores", _single_sql("proteincount", False, "pr"))
 def _(d: Domain) -> DataFrame:
-    return _union_metrics({"proteincount": cubes.single_end_scores(
-        d.annotated_proteins, d.protein_samples, "proteincount"
-    )})
+    return cubes.single_end_metrics(
+        d.annotated_proteins, d.protein_samples, ["proteincount"]
+    )
 
 
 _PAIRED = {
@@ -369,19 +378,19 @@ FROM frag_values JOIN samples USING (sample_id) {only} GROUP BY {taxon}function,
 @query("function_scores_paired", " UNION ALL ".join(
     paired_sql(m, False) for m in cubes.PAIRED_END_METRICS))
 def _(d: Domain) -> DataFrame:
-    return _union_metrics({
-        m: cubes.paired_end_scores(d.annotated, d.samples, m, d.params)
-        for m in cubes.PAIRED_END_METRICS
-    })
+    return cubes.paired_end_metrics(
+        cubes.fragment_functions(d.annotated), d.annotated, d.samples,
+        list(cubes.PAIRED_END_METRICS), d.params,
+    )
 
 
 @query("taxon_function_scores_paired", " UNION ALL ".join(
     paired_sql(m, True) for m in ("fragmentcount", "fpkm", "efpkg")))
 def _(d: Domain) -> DataFrame:
-    return _union_metrics({
-        m: cubes.paired_end_scores(d.annotated, d.samples, m, d.params, d.taxa)
-        for m in ("fragmentcount", "fpkm", "efpkg")
-    })
+    return cubes.paired_end_metrics(
+        cubes.fragment_functions(d.annotated, d.taxa), d.annotated, d.samples,
+        ["fragmentcount", "fpkm", "efpkg"], d.params, by_taxon=True,
+    )
 
 
 @query("scores_slice", f"""

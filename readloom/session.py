@@ -44,11 +44,17 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast when a bounded count proves the table small; else leave it to a shuffle."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """A bounded count: it never looks at more than ``max_rows`` + 1 rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, bound: DataFrame | None = None) -> DataFrame:
+    """Hint a broadcast when a bounded count proves the table small; else leave it to a shuffle.
+
+    ``bound`` names a table that is cheaper to count and has at least as many rows.
+    """
+    return F.broadcast(df) if is_small(df if bound is None else bound) else df
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -101,5 +107,5 @@ class Stages:
         """A staged table, hinted for broadcast when its row count is proven small."""
         df = self.table(name, build)
         if name not in self._small:
-            self._small[name] = df.count() <= BROADCAST_MAX_ROWS
+            self._small[name] = is_small(df)
         return F.broadcast(df) if self._small[name] else df

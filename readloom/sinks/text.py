@@ -18,6 +18,13 @@ def _write_lines(
     )
 
 
+def partition_value(file: Column, name: str) -> Column:
+    """Value of a partition folder in a file's path; the empty value has a name of its own."""
+    folder = F.regexp_extract(file, name + "=([^/]+)", 1)
+    plain = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    return F.when(folder == "__HIVE_DEFAULT_PARTITION__", "").otherwise(plain)
+
+
 def write_fastq(
     records: DataFrame, path: str, partition_by: Sequence[str] = (), compression: str = "none"
 ) -> None:
