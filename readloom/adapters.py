@@ -20,7 +20,7 @@ from readloom.operators.coverage import protein_abundance
 from readloom.operators.samples import average_read_lengths
 from readloom.operators.taxonomy import complete_taxonomy, taxon_dimension
 from readloom.params import RunParams
-from readloom.session import Stages, broadcast_if_small
+from readloom.session import Stages
 
 READ_KEYS = ["sample_id", "end", "read_id"]
 GENE_KEYS = ["gene_id"]
@@ -34,9 +34,12 @@ class Domain:
         self.folder = folder.rstrip("/")
         self.params = params or RunParams()
         self.stages = Stages(spark, self.folder.rsplit("/", 1)[-1])
+        self._sources: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._sources[name]
 
     # Taxonomy and catalogues -------------------------------------------------------------
 
@@ -159,9 +162,7 @@ class Domain:
             orders, F.col("l_orderkey") == F.col("o_orderkey")
         )
         parts = self.source("part").select("p_partkey", "p_size")
-        return lines.join(
-            broadcast_if_small(parts), F.col("l_partkey") == F.col("p_partkey")
-        ).select(
+        return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
             F.concat(F.lit("S"), F.substring("o_orderpriority", 1, 1)).alias("sample_id"),
             F.when(F.col("l_linestatus") == "F", "pe1").otherwise("pe2").alias("end"),
             F.concat(F.lit("R"), F.col("l_orderkey").cast("string")).alias("read_id"),

@@ -125,6 +125,11 @@ def lineage_closure(taxa: DataFrame) -> DataFrame:
     )
 
 
+def taxon_of_key(key: Column) -> Column:
+    """The taxon a lineage key ends with."""
+    return F.try_element_at(F.split(key, _SEPARATOR), F.lit(-1))
+
+
 def common_prefix(lowest: Column, highest: Column) -> Column:
     """LCA of a set of lineage keys, given the smallest and the largest of them.
 
@@ -152,10 +157,9 @@ def lca_of_parts(
     lowest: Column, highest: Column, lowest_known: Column, highest_known: Column
 ) -> Column:
     """The LCA itself: unknown taxa are ignored beside known ones, no taxon gives unknown."""
-    single = F.try_element_at(F.split(lowest, _SEPARATOR), F.lit(-1))
     return (
         F.when(lowest.isNull(), UNKNOWN_TAXID)
-        .when(lowest == highest, single)
+        .when(lowest == highest, taxon_of_key(lowest))
         .when(lowest_known.isNull(), UNKNOWN_TAXID)
         .otherwise(common_prefix(lowest_known, highest_known))
     )

@@ -120,11 +120,10 @@ GROUP BY h.sample_id, h."end", h.read_id, h.subject_id, h.ord, h.q_start, h.q_en
   h.identity, h.length, h.mismatch, h.s_start, h.s_end, h.searched, h.bitscore""")
 def _(d: Domain) -> DataFrame:
     annotated = annotate(d.hits, d.protein_catalogue, d.params)
-    key = supported_lineage()
-    return annotated.select(
+    return annotated.withColumn("key", supported_lineage()).select(
         *READ_KEYS, "subject_id", "ord", "q_start", "q_end",
-        taxonomy.lca_of_parts(key, key, key, key).alias("supported"), key.alias("key"),
-    ).withColumn("supported", F.when(F.col("key").isNotNull(), F.col("supported"))).drop("key")
+        taxonomy.taxon_of_key(F.col("key")).alias("supported"),
+    )
 
 
 @query("rank_filter", """

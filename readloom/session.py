@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 _local_folders: dict[str, str] = {}
+_small_plans: dict[tuple[str, int, int], bool] = {}
 
 
 def build_session(app_name: str, cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -45,8 +46,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """A bounded count: it never looks at more than ``max_rows`` + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """A bounded count: it never looks at more than ``max_rows`` + 1 rows.
+
+    The same plan is counted once per application.
+    """
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _small_plans:
+        _small_plans[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _small_plans[key]
 
 
 def broadcast_if_small(df: DataFrame, bound: DataFrame | None = None) -> DataFrame:
@@ -74,8 +81,8 @@ class Stages:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/readloom/{label}-{uuid.uuid4().hex[:12]}"
-        self._written: set[str] = set()
-        self._small: dict[str, bool] = {}
+        self._tables: dict[str, DataFrame] = {}
+        self._files: set[str] = set()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -90,22 +97,19 @@ class Stages:
         build: Callable[[], DataFrame],
         partition_by: tuple[str, ...] = (),
     ) -> DataFrame:
-        if name not in self._written:
+        if name not in self._tables:
             build().write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
-            self._written.add(name)
-        return self.spark.read.parquet(self.path(name))
+            self._tables[name] = self.spark.read.parquet(self.path(name))
+        return self._tables[name]
 
     def files(self, name: str, write: Callable[[str], None]) -> str:
         """A folder of text files, written once."""
         path = self.path(f"files/{name}")
-        if path not in self._written:
+        if path not in self._files:
             write(path)
-            self._written.add(path)
+            self._files.add(path)
         return path
 
     def dimension(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A staged table, hinted for broadcast when its row count is proven small."""
-        df = self.table(name, build)
-        if name not in self._small:
-            self._small[name] = is_small(df)
-        return F.broadcast(df) if self._small[name] else df
+        return broadcast_if_small(self.table(name, build))
