@@ -15,6 +15,8 @@ Query = Callable[[Domain], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
+# Values that stand for a missing one in a query's result, so that both engines show the same.
+_FILL: dict[str, dict[str, str | int | float]] = {}
 
 _domains: dict[tuple[str, str], Domain] = {}
 
@@ -41,7 +43,9 @@ def rounded(df: DataFrame) -> DataFrame:
     ])
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(
+    name: str, sql: str | None = None, fill: dict[str, str | int | float] | None = None
+) -> Callable[[Query], Query]:
     """Register a query under its name, with the SQL that must give the same rows."""
     def register(build: Query) -> Query:
         if name in QUERIES:
@@ -49,6 +53,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         QUERIES[name] = build
         if sql is not None:
             _SQL[name] = sql
+        _FILL[name] = fill or {}
         return build
     return register
 
@@ -57,7 +62,8 @@ def runnable(name: str) -> Callable[[SparkSession, str], DataFrame]:
     build = QUERIES[name]
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return rounded(build(domain(spark, folder)))
+        table = rounded(build(domain(spark, folder)))
+        return table.na.fill(_FILL[name]) if _FILL[name] else table
 
     run.__name__ = name
     return run
@@ -65,6 +71,11 @@ def runnable(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def oracle_sql() -> dict[str, str]:
     """The SQL of every query that has one, with the views it needs."""
-    return {
-        name: with_views(sql.replace(", 6)", f" + {_NUDGE}, 6)")) for name, sql in _SQL.items()
-    }
+    texts = {}
+    for name, sql in _SQL.items():
+        text = sql.replace(", 6)", f" + {_NUDGE}, 6)")
+        if _FILL[name]:
+            filled = ", ".join(f"coalesce({c}, {v!r}) AS {c}" for c, v in _FILL[name].items())
+            text = f"SELECT * REPLACE ({filled}) FROM ({text})"
+        texts[name] = with_views(text)
+    return texts

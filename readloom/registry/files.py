@@ -80,7 +80,7 @@ def _(d: Domain) -> DataFrame:
 
 @query("scan_functions", """
 SELECT f.function, f.name, f.grp AS "group", f.function_cutoff, c.rank, c.cutoff FROM functions f
-LEFT JOIN cutoffs c ON c.function = f.function AND f.function_cutoff IS NOT NULL""")
+LEFT JOIN cutoffs c ON c.function = f.function AND f.function_cutoff IS NOT NULL""", fill={"cutoff": 0.0, "function_cutoff": 0.0, "rank": ""})
 def _(d: Domain) -> DataFrame:
     def write(path: str) -> None:
         cutoff = [F.try_element_at("cutoffs", F.lit(r)).cast("string") for r in
@@ -230,7 +230,8 @@ def _mates_out(table: DataFrame) -> DataFrame:
 
 
 @query("mates_join", f"""
-SELECT {_K}, own_header, own_sequence, mate_header, mate_sequence FROM records""")
+SELECT {_K}, own_header, own_sequence, mate_header, mate_sequence FROM records""", fill={
+    "mate_header": "", "mate_sequence": "", "own_header": "", "own_sequence": ""})
 def _(d: Domain) -> DataFrame:
     return _mates_out(with_records(d))
 
@@ -460,7 +461,7 @@ WHERE status = 'function' AND "end" = 'pe1' GROUP BY """
 UNION ALL SELECT taxonomy, function, sample_id, {part} taxonomy, function, sample_id"""
 
 
-@query("job_single_end", _single_job_sql("erpkg", "rd"))
+@query("job_single_end", _single_job_sql("erpkg", "rd"), fill={"taxonomy": ""})
 def _(d: Domain) -> DataFrame:
     first = F.col("end") == "pe1"
     candidates = find_candidates(
@@ -473,7 +474,7 @@ def _(d: Domain) -> DataFrame:
     return jobs.long_form(profile)
 
 
-@query("job_paired_end", _paired_job_sql("efpkg"))
+@query("job_paired_end", _paired_job_sql("efpkg"), fill={"taxonomy": ""})
 def _(d: Domain) -> DataFrame:
     candidates = find_candidates(d.reference_hits, d.protein_catalogue, d.params, READ_KEYS)
     background = d.place_in_regions(d.background_rows, candidates, READ_KEYS)
@@ -483,7 +484,7 @@ def _(d: Domain) -> DataFrame:
     return jobs.long_form(profile)
 
 
-@query("job_protein", _single_job_sql("proteincount", "pr"))
+@query("job_protein", _single_job_sql("proteincount", "pr"), fill={"taxonomy": ""})
 def _(d: Domain) -> DataFrame:
     searched = lambda kind: d.protein_hits.where(F.col("searched") == kind)
     candidates = find_candidates(searched("ref"), d.protein_catalogue, d.params, READ_KEYS)
@@ -507,6 +508,6 @@ def _(d: Domain) -> DataFrame:
     return flat_annotation(annotated, ["gene_id"])
 
 
-@query("job_rereport", _paired_job_sql("fpkm"))
+@query("job_rereport", _paired_job_sql("fpkm"), fill={"taxonomy": ""})
 def _(d: Domain) -> DataFrame:
     return jobs.long_form(jobs.report(d.annotated, d.samples, _reference(d), d.params, "fpkm"))

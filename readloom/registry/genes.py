@@ -116,7 +116,8 @@ SELECT 'taxon' AS kind, taxid, name, function, round(rpkm, 6) AS rpkm, round(cou
 UNION ALL SELECT DISTINCT 'gene', arg_min(a.anc, a.distance) FILTER (a.ranked), h.gene_id, h.function,
   NULL, NULL, NULL, NULL
 FROM (SELECT *, unnest(functions) AS function FROM good_gene_hits) h JOIN anc a ON a.taxid = h.taxonomy
-GROUP BY h.gene_id, h.function, h.hit_no""")
+GROUP BY h.gene_id, h.function, h.hit_no""", fill={
+    "avg_identity": 0.0, "count": 0.0, "hit_count": 0, "rpkm": 0.0})
 def _(d: Domain) -> DataFrame:
     rows = shares(d)
     values = ["rpkm", "count", "hit_count", "identity"]
@@ -220,7 +221,10 @@ LEFT JOIN (SELECT h.gene_id, avg(h.identity) AS gene_identity, sum(h.s_len) AS t
 LEFT JOIN (SELECT gene_id, {_triplets('share', 'rpkm')} FROM (
     SELECT g.gene_id, c.*, c.read_count * length(g.protein_sequence) * 3 / c.length::DOUBLE AS share
     FROM genes g JOIN contig_rpkm c ON c.function = g.function AND c.contig_id = g.contig_id
-      AND c.sample_id <> 'All samples') GROUP BY gene_id) s ON s.gene_id = g.gene_id""")
+      AND c.sample_id <> 'All samples') GROUP BY gene_id) s ON s.gene_id = g.gene_id""", fill={
+    "completeness": 0.0, "gene_identity": 0.0,
+    **{c: "N/A" for c in ("gene_functions", "subject_id", "subject_taxid", "organism", "lineage",
+                          "lca_taxid", "lca_organism", "lca_lineage")}})
 def _(d: Domain) -> DataFrame:
     return reports.gene_table(
         d.annotated_genes, d.genes, d.contigs, d.contig_samples, d.samples, d.protein_catalogue,

@@ -204,7 +204,7 @@ def _(d: Domain) -> DataFrame:
 @query("identity_threshold_lookup", """
 SELECT function, rank, cutoff FROM cutoffs
 UNION ALL SELECT function, NULL, coalesce(function_cutoff, 50.0) FROM functions
-UNION ALL SELECT NULL, rank, 50.0 FROM ranks UNION ALL SELECT NULL, NULL, 50.0""")
+UNION ALL SELECT NULL, rank, 50.0 FROM ranks UNION ALL SELECT NULL, NULL, 50.0""", fill={"function": "", "rank": ""})
 def _(d: Domain) -> DataFrame:
     return catalogue.identity_thresholds(d.functions, d.params)
 
@@ -226,7 +226,7 @@ def _(d: Domain) -> DataFrame:
 
 
 @query("sample_end_select", """
-SELECT read_id, status, taxonomy FROM rd_ann WHERE sample_id = 'S2' AND "end" = 'pe2'""")
+SELECT read_id, status, taxonomy FROM rd_ann WHERE sample_id = 'S2' AND "end" = 'pe2'""", fill={"taxonomy": ""})
 def _(d: Domain) -> DataFrame:
     chosen = (F.col("sample_id") == "S2") & (F.col("end") == "pe2")
     return d.annotated.where(chosen).select("read_id", "status", "taxonomy")

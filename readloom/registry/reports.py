@@ -128,7 +128,7 @@ def _(d: Domain) -> DataFrame:
 SELECT 'count' AS trigger, sample_id, function, taxid, rank, name, round(score, 6) AS score,
   CAST(count AS BIGINT) AS count, round({_MEAN}, 6) AS avg_identity FROM det_res
 UNION ALL SELECT 'score', sample_id, function, taxid, rank, name, round(score, 6), NULL, NULL
-FROM sco_res""")
+FROM sco_res""", fill={"avg_identity": 0.0, "count": 0})
 def _(d: Domain) -> DataFrame:
     columns = ["trigger", "sample_id", "function", "taxid", "rank", "name", "score", "count",
                "avg_identity"]
@@ -292,7 +292,7 @@ def _(d: Domain) -> DataFrame:
 SELECT a.sample_id, a.read_id, t.name AS taxon_name, h.subject_id, round(h.identity, 6) AS identity,
   h.length, h.q_start, h.q_end, h.s_start, h.s_end, h.bitscore, array_to_string(h.functions, '|') AS functions
 FROM pr_ann a JOIN pr_hits h USING ({_K}) LEFT JOIN taxonomy t ON t.taxid = a.taxonomy
-WHERE a.status <> 'nofunction'""")
+WHERE a.status <> 'nofunction'""", fill={"taxon_name": ""})
 def _(d: Domain) -> DataFrame:
     return reports.mapped_protein_hits(d.annotated_proteins, d.taxa).select(
         "sample_id", "read_id", "taxon_name", "subject_id", "identity", "length", "q_start",

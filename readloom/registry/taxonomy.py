@@ -117,7 +117,7 @@ SELECT sample_id, "end", read_id, subject_id, ord, q_start, q_end,
 FROM hits h LEFT JOIN proteins pr ON pr.protein_id = h.subject_id
 LEFT JOIN protein_steps st ON st.protein_id = h.subject_id
 GROUP BY h.sample_id, h."end", h.read_id, h.subject_id, h.ord, h.q_start, h.q_end, pr.protein_id,
-  h.identity, h.length, h.mismatch, h.s_start, h.s_end, h.searched, h.bitscore""")
+  h.identity, h.length, h.mismatch, h.s_start, h.s_end, h.searched, h.bitscore""", fill={"supported": ""})
 def _(d: Domain) -> DataFrame:
     annotated = annotate(d.hits, d.protein_catalogue, d.params)
     return annotated.withColumn("key", supported_lineage()).select(
