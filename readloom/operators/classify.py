@@ -1,9 +1,9 @@
 """Candidate search and classification of reads, proteins and genes.
 
-Both searches shuffle twice. The first shuffle hashes more than the query: subject and position
-for the candidate search, a hash of the subject for the classification. A query that holds a
-third of all rows is thereby spread out, its copies collapse and its weak hits are dropped before
-the second shuffle brings the rest of a query together.
+Both searches first de-duplicate hits under their whole key: copies combine on the map side and
+the hits of one hot query spread over every task. The classification then reduces the hits of a
+region in shares, by subject, and only the levels left in reach of the best bit-score are brought
+together by query.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from readloom.operators.taxonomy import lca_of_parts, lca_parts
 from readloom.params import BAD, CANDIDATE, GOOD, RunParams
 from readloom.schemas import HIT_ORDER, HIT_PAYLOAD, KEPT_HIT_FIELDS
 
-# Tasks that share the hits of one region before they are reduced.
+# Tasks that share the hits of one region.
 REGION_SPLIT = 32
 
 _REGION = ["r_start", "r_end"]
@@ -104,28 +104,24 @@ def _score_levels(
     """Hits of each region reduced to distinct (bit-score, function list) levels.
 
     A level holds the number of its hits, the first of them and the ends of their lineages, which
-    is all the vote, the best hits and the LCA need. Levels outside the bit-score band of their
-    own share of the region cannot be inside the band of the whole region and are dropped here.
+    is all the vote, the best hits and the LCA need. Hits below their identity cutoff form one
+    level without a score, which marks the region as searched. Levels outside the bit-score band
+    of their own share of the region cannot be inside the band of the whole region and are
+    dropped here.
     """
     region = [*keys, *_REGION]
-    known = regions.select(
-        *region, F.lit(1).alias("src"), "region_no", *_RAW_HIT
-    )
-    found = filter_by_length(background, params.length_cutoff).select(
+    known = regions.select(*region, F.lit(1).alias("src"), "region_no", *_RAW_HIT)
+    # Which copy is the first is settled before any cutoff is applied.
+    found = deduplicate(filter_by_length(background, params.length_cutoff), region).select(
         *region, F.lit(0).alias("src"), F.lit(None).cast("int").alias("region_no"), *_RAW_HIT
     )
+    share = [*region, "share"]
     salted = known.unionByName(found).withColumn(
         "share", F.pmod(F.xxhash64("subject_id"), F.lit(REGION_SPLIT))
     )
-    share = [*region, "share"]
-    distinct = (
-        salted.repartition(*share)
-        .groupBy(*share, "subject_id", "src", "q_start", "q_end")
-        .agg(F.min(F.struct(*HIT_PAYLOAD)).alias("hit"), F.max("region_no").alias("region_no"))
-        .select(*share, "subject_id", "src", "q_start", "q_end", "region_no", "hit.*")
-    )
     accepted = (F.col("src") == 1) | (F.col("identity") >= F.col("identity_cutoff"))
-    annotated = annotate(distinct, proteins, params).withColumn("accepted", accepted)
+    annotated = annotate(salted.repartition(*share), proteins, params)
+    annotated = annotated.withColumn("accepted", accepted)
     same_subject = F.max(
         F.when((F.col("src") == 0) & F.col("accepted"), F.col("bitscore"))
     ).over(Window.partitionBy(*share, "subject_id"))
