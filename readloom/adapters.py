@@ -62,7 +62,8 @@ class Domain:
         )
         clade = self.source("nation").select(
             (F.col("n_nationkey") + 500).cast("string").alias("taxid"),
-            F.concat(F.lit("Clade ("), F.col("n_nationkey").cast("string"), F.lit(")")).alias("name"),
+            F.concat(F.lit("Clade ("), F.col("n_nationkey").cast("string"), F.lit(")"))
+            .alias("name"),
             F.lit("no rank").alias("rank"),
             (F.col("n_nationkey") + 100).cast("string").alias("parent"),
         )
@@ -202,7 +203,9 @@ class Domain:
             ),
         )
 
-    def place_in_regions(self, rows: DataFrame, candidates: DataFrame, keys: list[str]) -> DataFrame:
+    def place_in_regions(
+        self, rows: DataFrame, candidates: DataFrame, keys: list[str]
+    ) -> DataFrame:
         """Give every second-search row the region its query would have been cut from."""
         spots = candidates.select(
             *keys,

@@ -12,7 +12,7 @@ from readloom.operators import assembly
 from readloom.operators.catalogue import annotate
 from readloom.operators.rollup import mean_identity, preorder_lines, roll_up, with_residuals
 from readloom.operators.samples import normalisation_factors
-from readloom.params import BAD, GOOD, LOWER_RANK, RANKS, ROOT_TAXID, RunParams
+from readloom.params import BAD, GOOD, RANKS, ROOT_TAXID, RunParams
 from readloom.session import broadcast_if_small
 
 VALUES = ["score", "count", "hit_count", "identity"]
@@ -460,6 +460,6 @@ def gene_sequences(
 
 def rank_of(profile: DataFrame, rank: str) -> DataFrame:
     """The lines of a profile at one rank."""
-    if rank not in [*RANKS, *LOWER_RANK.values()]:
+    if rank not in RANKS:
         raise ValueError(f"unknown rank {rank!r}")
     return profile.where(F.col("rank") == rank)

@@ -443,9 +443,6 @@ def _reference(d: Domain) -> jobs.Reference:
     return jobs.Reference(d.protein_catalogue, d.function_catalogue, d.taxa)
 
 
-_COLUMNS = "taxonomy, function, sample_id, score, count, hit_count, identity, metric"
-
-
 def _paired_job_sql(metric: str) -> str:
     return f"""
 SELECT NULL AS taxonomy, * FROM ({paired_sql(metric, False)})

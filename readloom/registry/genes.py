@@ -166,9 +166,6 @@ def _triplets(reads: str, rpkm: str = "rpkm_sample") -> str:
     ])
 
 
-_INT_READS = ("round(coalesce(sum(read_count) FILTER", "CAST(coalesce(sum(read_count) FILTER")
-
-
 def _contig_triplets() -> str:
     text = _triplets("read_count", "rpkm")
     for s in SAMPLES:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.adapters import GENE_KEYS, READ_KEYS, Domain
+from readloom.adapters import READ_KEYS, Domain
 from readloom.functions import ids, scores, sequences
 from readloom.operators import assembly, catalogue, coverage, hits
-from readloom.operators.classify import candidate_regions, non_overlapping_hits
+from readloom.operators.classify import (
+    candidate_regions, find_candidates, non_overlapping_hits,
+)
 from readloom.operators.hits import deduplicate, filter_by_length
 from readloom.params import GOOD
 from readloom.registry.core import query
@@ -280,9 +282,6 @@ def _(d: Domain) -> DataFrame:
     )
 
 
-_CAND = 'sample_id, "end", read_id, region_no, subject_id, q_start, q_end'
-
-
 @query("existing_vs_background", f"""
 SELECT sample_id, "end", read_id, region_no, known_subject AS subject_id, count(*) AS background_hits,
   count(*) FILTER (subject_id = known_subject) AS same_subject, max(bitscore) AS best
@@ -404,7 +403,6 @@ def _(d: Domain) -> DataFrame:
 SELECT sample_id, "end", read_id, region_no, subject_id, q_start, q_end, round(identity, 6) AS identity,
   bitscore, array_to_string(functions, '|') AS functions FROM rd_cand""")
 def _(d: Domain) -> DataFrame:
-    from readloom.operators.classify import find_candidates
     found = find_candidates(d.reference_hits, d.protein_catalogue, d.params, READ_KEYS)
     return candidate_regions(found, READ_KEYS).select(
         *READ_KEYS, F.col("region_no").cast("bigint").alias("region_no"), "subject_id",

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.adapters import READ_KEYS, Domain
+from readloom.adapters import Domain
 from readloom.operators import cubes, rollup
 from readloom.operators.coverage import average_coverage
-from readloom.params import GOOD
 from readloom.plans import hierarchies, reports
 from readloom.registry.core import query
 from readloom.registry.reads import paired_sql
@@ -114,6 +113,15 @@ def _profile(d: Domain) -> DataFrame:
     return rollup.roll_up(cube(d), d.taxa, ["sample_id", "function"], reports.VALUES)
 
 
+@query("rank_filter", """
+SELECT sample_id, function, taxid, name, round(score, 6) AS score, CAST(count AS BIGINT) AS count
+FROM det_prof WHERE rank = 'phylum'""")
+def _(d: Domain) -> DataFrame:
+    return reports.rank_of(_profile(d), "phylum").select(
+        "sample_id", "function", "taxid", "name", "score", "count"
+    )
+
+
 @query("parent_child_join", """
 SELECT sample_id, function, taxid, CAST(count AS BIGINT) AS count,
   CAST(child_count AS BIGINT) AS child_count, round(score, 6) AS score,

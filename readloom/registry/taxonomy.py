@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from readloom.adapters import READ_KEYS, Domain
 from readloom.operators import taxonomy
 from readloom.operators.catalogue import annotate, supported_lineage
-from readloom.operators.stats import taxon_totals
 from readloom.registry.core import query
 from readloom.registry.views import lca_sql
 
@@ -124,18 +123,3 @@ def _(d: Domain) -> DataFrame:
         *READ_KEYS, "subject_id", "ord", "q_start", "q_end",
         taxonomy.taxon_of_key(F.col("key")).alias("supported"),
     )
-
-
-@query("rank_filter", """
-SELECT a.sample_id, a."end", x.anc AS taxid, x.anc_name AS name, count(*) AS reads
-FROM rd_ann a JOIN anc x ON x.taxid = a.taxonomy AND x.anc_rank = 'phylum'
-WHERE a.status = 'function' GROUP BY ALL""")
-def _(d: Domain) -> DataFrame:
-    places = d.taxa.select("taxid", F.explode("ranked_path").alias("t")).where(
-        F.col("t.rank") == "phylum"
-    )
-    return (
-        taxon_totals(d.annotated).join(places, "taxid")
-        .groupBy("sample_id", "end", F.col("t.taxid").alias("taxid"), F.col("t.name").alias("name"))
-        .agg(F.sum("reads").alias("reads"))
-    )

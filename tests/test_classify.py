@@ -13,7 +13,7 @@ from readloom.operators import cubes
 from readloom.operators.catalogue import protein_dimension
 from readloom.operators.classify import classify_reads, find_candidates
 from readloom.operators.taxonomy import complete_taxonomy, taxon_dimension
-from readloom.params import RunParams
+from readloom.params import RunParams, parse_rank_cutoffs
 from readloom.schemas import HITS, KEPT_HIT
 from test_taxonomy import TREE
 
@@ -261,7 +261,8 @@ def samples(spark, paired=True, insert_size=300.0, genome=3.0e6):
 def test_fragment_rules(spark):
     a, b = kept("p1", ["UreA"]), kept("p3", ["UreB"], identity=80.0)
     rows = [
-        read("pe1", "both", "function", ["UreA"], [a]), read("pe2", "both", "function", ["UreB"], [b]),
+        read("pe1", "both", "function", ["UreA"], [a]),
+        read("pe2", "both", "function", ["UreB"], [b]),
         read("pe1", "alone", "function", ["UreA"], [a]),
         read("pe1", "spoiled", "function", ["UreA"], [a]), read("pe2", "spoiled", "nofunction"),
         read("pe1", "second", "nofunction"), read("pe2", "second", "function", ["UreA"], [a]),
@@ -310,6 +311,26 @@ def test_insert_size_from_shared_subjects(spark):
     assert size(250.0, annotated) == 250.0
 
 
+def test_single_end_cube(spark):
+    rows = [
+        read("pe1", "a", "function", ["UreA"], [kept("p1", ["UreA"], identity=80.0)]),
+        read("pe1", "b", "function", ["UreA"], [kept("p3", ["UreB"])]),
+        read("pe1", "c", "nofunction"),
+        read("pe2", "d", "function", ["UreA"], [kept("p1", ["UreA"])]),
+    ]
+    annotated = spark.createDataFrame(rows, ANNOTATED)
+    [row] = cubes.single_end_scores(annotated, samples(spark, paired=False), "erpkm").collect()
+    assert (row["score"], row["count"], row["hit_count"]) == (200000.0, 2, 1)
+    assert row["identity"] == 80.0
+
+
+def test_parameters_per_collection():
+    cutoffs = parse_rank_cutoffs("species,80,genus,75", 50.0)
+    assert cutoffs == {"species": 80.0, "genus": 75.0, "norank": 50.0}
+    own = RunParams().for_collection({"length_cutoff": 20, "rank_cutoffs": cutoffs})
+    assert (own.length_cutoff, own.identity_cutoff) == (20, 50.0)
+
+
 def test_metric_rules(spark):
     paired, single = samples(spark), samples(spark, paired=False)
     assert cubes.choose_metric(paired) == "efpkg"

@@ -7,6 +7,7 @@ import gzip
 import pytest
 
 from readloom.functions.ids import parse_read_id
+from readloom.sinks.text import write_hits
 from readloom.sources import fasta, tables
 from readloom.sources.fastq import read_fastq
 from pyspark.sql import functions as F
@@ -105,6 +106,15 @@ def test_hit_order_follows_the_file(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_hit_table_round_trip(spark, tmp_path):
+    path = tmp_path / "S1_pe1_in.txt"
+    path.write_text("r\tp\t87.9\t33\t4\t101\t99\t1\t1\t33\t1e-09\t58.5\n")
+    rows = tables.read_reference_hits(spark, str(path))
+    write_hits(rows, str(tmp_path / "S1_pe1_out"))
+    again = tables.read_reference_hits(spark, str(tmp_path / "S1_pe1_out"))
+    assert again.drop("ord").collect() == rows.drop("ord").collect()
+
+
 def test_region_key_with_pipes(spark, tmp_path):
     path = tmp_path / "S1_pe2_hits.txt"
     path.write_text("a|b|100|2\tp\t87.9\t33\t4\t101\t99\t1\t1\t33\t1e-09\t58.5\n")
