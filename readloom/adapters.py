@@ -89,13 +89,13 @@ class Domain:
 
     @property
     def proteins(self) -> DataFrame:
-        suppliers = self.source("supplier").agg(F.count("*").alias("suppliers"))
+        suppliers = self.source("supplier").agg(F.count("*")).scalar()
         second = F.concat(F.lit("Brand#"), (F.col("p_size") % 25 + 1).cast("string"))
         two = (F.col("p_partkey") % 7 == 0) & (second != F.col("p_brand"))
         return (
             self.source("part")
             .where(F.col("p_partkey") % 13 != 0)
-            .crossJoin(F.broadcast(suppliers))
+            .withColumn("suppliers", suppliers)
             .select(
                 F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("protein_id"),
                 F.when(F.col("p_partkey") % 41 == 0, "0")
@@ -309,17 +309,16 @@ class Domain:
 
     # Proteins ----------------------------------------------------------------------------
 
-    @property
-    def _sizes(self) -> DataFrame:
-        """One row: the number of contigs (five per supplier) and of parts."""
-        contigs = self.source("supplier").agg((F.count("*") * 5).alias("contig_count"))
-        parts = self.source("part").agg(F.count("*").alias("part_count"))
-        return F.broadcast(contigs.crossJoin(F.broadcast(parts)))
+    def _with_sizes(self, df: DataFrame) -> DataFrame:
+        """Add the number of contigs (five per supplier) and of parts."""
+        contigs = self.source("supplier").agg(F.count("*") * 5).scalar()
+        parts = self.source("part").agg(F.count("*")).scalar()
+        return df.withColumn("contig_count", contigs).withColumn("part_count", parts)
 
     def _as_protein_hits(self, read_id, hits: DataFrame) -> DataFrame:
         start = (F.col("part_key") % 40 + 1).cast("int")
         return (
-            hits.crossJoin(self._sizes)
+            self._with_sizes(hits)
             .withColumn("read_id", read_id)
             .withColumn("q_start", start)
             .withColumn("q_end", start + F.col("length") - 1)
@@ -337,9 +336,11 @@ class Domain:
         """Coverage of each sample's contigs; contigs numbered in sevens are not on file."""
         orders = self.source("orders").select("o_orderkey", "o_orderpriority")
         contig = F.col("l_orderkey") % F.col("contig_count")
+        lines = self.source("lineitem").join(
+            orders, F.col("l_orderkey") == F.col("o_orderkey")
+        )
         return (
-            self.source("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .crossJoin(self._sizes)
+            self._with_sizes(lines)
             .withColumn("k", contig)
             .where(F.col("k") % 7 != 0)
             .groupBy(
@@ -355,13 +356,11 @@ class Domain:
         contig = (F.col("o_orderkey") % F.col("contig_count")).cast("string")
         name = F.concat(F.lit("xC"), contig, F.lit("_"), F.col("o_orderkey").cast("string"))
         length = (F.lit(100) + F.col("o_orderkey") % 300).cast("int")
-        return (
-            self.source("orders").crossJoin(self._sizes).select(
-                F.concat(F.lit("S"), F.substring("o_orderpriority", 1, 1)).alias("sample_id"),
-                F.concat(name, F.lit(" predicted protein")).alias("header"),
-                name.alias("read_id"),
-                F.substring(F.repeat(F.lit("MKVLA"), 80), F.lit(1), length).alias("sequence"),
-            )
+        return self._with_sizes(self.source("orders")).select(
+            F.concat(F.lit("S"), F.substring("o_orderpriority", 1, 1)).alias("sample_id"),
+            F.concat(name, F.lit(" predicted protein")).alias("header"),
+            name.alias("read_id"),
+            F.substring(F.repeat(F.lit("MKVLA"), 80), F.lit(1), length).alias("sequence"),
         )
 
     @property
@@ -404,7 +403,7 @@ class Domain:
         k = F.col("k")
         length = (F.lit(250) + (k * 37) % 400).cast("int")
         return (
-            self.source("part").crossJoin(self._sizes)
+            self._with_sizes(self.source("part"))
             .select((F.col("p_partkey") % F.col("contig_count")).alias("k")).distinct()
             .select(
                 self._assembly_function(k).alias("function"),
@@ -419,9 +418,11 @@ class Domain:
     def _assembled_lines(self) -> DataFrame:
         orders = self.source("orders").select("o_orderkey", "o_orderpriority")
         k = F.col("l_orderkey") % F.col("contig_count")
+        lines = self.source("lineitem").join(
+            orders, F.col("l_orderkey") == F.col("o_orderkey")
+        )
         return (
-            self.source("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .crossJoin(self._sizes)
+            self._with_sizes(lines)
             .select(
                 self._assembly_function(k).alias("function"),
                 F.concat(F.lit("C"), k.cast("string")).alias("contig_id"),
@@ -452,7 +453,7 @@ class Domain:
         start = F.col("p_partkey") * 7 % 60 + 1
         protein_length = F.lit(60) + F.col("p_size") * 10
         contig_length = F.lit(250) + (k * 37) % 400
-        return self.source("part").crossJoin(self._sizes).select(
+        return self._with_sizes(self.source("part")).select(
             F.concat(
                 self._assembly_function(k), F.lit("|C"), k.cast("string"), F.lit("_"),
                 F.col("p_partkey").cast("string"),

@@ -66,12 +66,11 @@ def total_coverage(contigs: DataFrame, contig_samples: DataFrame) -> DataFrame:
 
 def average_coverage(contigs: DataFrame, contig_samples: DataFrame) -> DataFrame:
     """Unweighted mean coverage of all contigs, per sample and over all samples."""
-    count = contigs.agg(F.count("*").alias("contigs"))
+    count = contigs.agg(F.count("*")).scalar()
     return (
         contig_coverage(contigs, contig_samples)
         .groupBy("sample_id").agg(F.sum("coverage").alias("coverage"))
-        .crossJoin(F.broadcast(count))
-        .select("sample_id", (F.col("coverage") / F.col("contigs")).alias("avg_coverage"))
+        .select("sample_id", (F.col("coverage") / count).alias("avg_coverage"))
     )
 
 
@@ -116,11 +115,9 @@ def gene_abundance(
         F.col("sample_id") == ALL_SAMPLES
     ).select("avg_coverage")
     coverage = total_coverage(contigs, contig_samples).select(*CONTIG, "coverage")
-    return (
-        place_genes(genes).join(coverage, CONTIG)
-        .crossJoin(F.broadcast(average))
-        .select("gene_id", relative_abundance(F.col("coverage"), F.col("avg_coverage"))
-                .alias("abundance"))
+    abundance = relative_abundance(F.col("coverage"), average.scalar())
+    return place_genes(genes).join(coverage, CONTIG).select(
+        "gene_id", abundance.alias("abundance")
     )
 
 

@@ -21,14 +21,9 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> Da
     ``per_key`` carries ``rows_of_key``. Only the rows of hot keys are salted and only their
     entries are copied; every other key joins as usual.
     """
-    total = per_key.agg(F.sum("rows_of_key").alias("all_rows"))
-    limit = F.greatest(F.col("all_rows") * HOT_SHARE, F.lit(float(HOT_MINIMUM)))
-    hot = (
-        per_key.select(*keys, "rows_of_key")
-        .crossJoin(F.broadcast(total))
-        .where(F.col("rows_of_key") > limit)
-        .select(*keys, F.lit(True).alias("hot"))
-    )
+    all_rows = per_key.agg(F.sum("rows_of_key")).scalar()
+    limit = F.greatest(all_rows * HOT_SHARE, F.lit(float(HOT_MINIMUM)))
+    hot = per_key.where(F.col("rows_of_key") > limit).select(*keys, F.lit(True).alias("hot"))
     spread = F.pmod(F.xxhash64(*rows.columns), F.lit(HOT_COPIES)).cast("int")
     salted = rows.join(F.broadcast(hot), list(keys), "left").withColumn(
         "salt", F.when(F.col("hot"), spread).otherwise(0)

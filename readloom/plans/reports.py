@@ -13,7 +13,6 @@ from readloom.operators.catalogue import annotate
 from readloom.operators.rollup import mean_identity, preorder_lines, roll_up, with_residuals
 from readloom.operators.samples import normalisation_factors
 from readloom.params import BAD, GOOD, RANKS, ROOT_TAXID, RunParams
-from readloom.session import broadcast_if_small
 
 VALUES = ["score", "count", "hit_count", "identity"]
 _LINEAGE_COLUMNS = [f"level{i}" for i in range(1, len(RANKS))]
@@ -24,10 +23,13 @@ def fixed_decimals(column: str, digits: int) -> Column:
     return F.expr(f"format_number(`{column}`, '0.{'0' * digits}')").alias(column)
 
 
-def dense_grid(functions: DataFrame, samples: DataFrame, scores: DataFrame) -> DataFrame:
+def dense_grid(
+    functions: DataFrame, scores: DataFrame, sample_list: Sequence[str]
+) -> DataFrame:
     """Every catalogue function x every sample, 0 where there is no score."""
-    grid = functions.select("function", "group", "name").crossJoin(
-        broadcast_if_small(samples.select("sample_id"))
+    samples = F.array(*[F.lit(s) for s in sample_list])
+    grid = functions.select(
+        "function", "group", "name", F.explode(samples).alias("sample_id")
     )
     found = scores.select("function", "sample_id", "score")
     return grid.join(found, ["function", "sample_id"], "left").withColumn(
@@ -44,9 +46,9 @@ def pivoted(
 
 
 def function_matrix(
-    functions: DataFrame, samples: DataFrame, scores: DataFrame, sample_list: Sequence[str]
+    functions: DataFrame, scores: DataFrame, sample_list: Sequence[str]
 ) -> DataFrame:
-    grid = dense_grid(functions, samples, scores).withColumnRenamed("name", "definition")
+    grid = dense_grid(functions, scores, sample_list).withColumnRenamed("name", "definition")
     return pivoted(grid, ["function", "definition"], "sample_id", sample_list, [F.sum("score")])
 
 
@@ -69,11 +71,9 @@ def category_matrix(
 
 def function_average(functions: DataFrame, scores: DataFrame) -> DataFrame:
     """Per taxon and sample: values summed over functions, the score per catalogue function."""
-    catalogue = functions.agg(F.count("*").alias("functions"))
+    catalogue = functions.agg(F.count("*")).scalar()
     sums = scores.groupBy("taxonomy", "sample_id").agg(*[F.sum(v).alias(v) for v in VALUES])
-    return sums.crossJoin(F.broadcast(catalogue)).withColumn(
-        "score", F.col("score") / F.col("functions")
-    ).drop("functions")
+    return sums.withColumn("score", F.col("score") / catalogue)
 
 
 def _lined(nodes: DataFrame, scope: Sequence[str]) -> DataFrame:

@@ -430,9 +430,7 @@ SELECT f.function, f.name AS definition, {pivot_sql('score', 'sample_id', SAMPLE
 FROM functions f LEFT JOIN fcube c USING (function) GROUP BY f.function, f.name""")
 def _(d: Domain) -> DataFrame:
     path = d.stages.fresh_path("matrix_out")
-    table = reports.function_matrix(
-        d.function_catalogue, d.samples, function_cube(d), d.sample_list
-    )
+    table = reports.function_matrix(d.function_catalogue, function_cube(d), d.sample_list)
     sinks.write_matrix(table, path)
     return d.spark.read.schema(table.schema).csv(path, sep="\t", header=True)
 

@@ -169,7 +169,7 @@ def _(d: Domain) -> DataFrame:
 SELECT f.function, s.sample_id, round(coalesce(c.score, 0.0), 6) AS score
 FROM functions f CROSS JOIN samples s LEFT JOIN fcube c USING (function, sample_id)""")
 def _(d: Domain) -> DataFrame:
-    return reports.dense_grid(d.function_catalogue, d.samples, function_cube(d)).select(
+    return reports.dense_grid(d.function_catalogue, function_cube(d), d.sample_list).select(
         "function", "sample_id", "score"
     )
 
@@ -193,7 +193,7 @@ def _(d: Domain) -> DataFrame:
 SELECT f.function, f.name AS definition, {pivot_sql('score', 'sample_id', SAMPLES)}
 FROM functions f LEFT JOIN fcube c USING (function) GROUP BY f.function, f.name""")
 def _(d: Domain) -> DataFrame:
-    return reports.function_matrix(d.function_catalogue, d.samples, function_cube(d), d.sample_list)
+    return reports.function_matrix(d.function_catalogue, function_cube(d), d.sample_list)
 
 
 @query("report_category_matrix", f"""
@@ -207,11 +207,10 @@ def _(d: Domain) -> DataFrame:
 SELECT sample_id, line, rank, name, {pivot_sql('score', 'function', BRANDS, '_score')},
   {pivot_sql(_MEAN, 'function', BRANDS, '_identity')},
   {pivot_sql('count', 'function', BRANDS, '_count').replace('round(', 'CAST(').replace('::DOUBLE, 6)', ' AS BIGINT)')}
-FROM det_nodes JOIN det_lines USING (sample_id, taxid) WHERE sample_id = 'S1'
+FROM det_nodes JOIN det_lines USING (sample_id, taxid)
 GROUP BY sample_id, line, rank, name""")
 def _(d: Domain) -> DataFrame:
-    one = cube(d).where(F.col("sample_id") == "S1")
-    return reports.taxon_function_table(one, d.taxa, d.function_list)
+    return reports.taxon_function_table(cube(d), d.taxa, d.function_list)
 
 
 @query("report_taxon_function_score", f"""
