@@ -483,8 +483,7 @@ SELECT sample_id, "end", rank, name, place, round(score, 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY sample_id, "end", rank ORDER BY round(score, 9) DESC, name) AS place
   FROM {_RANK_STATS}) WHERE place <= 100""")
 def _(d: Domain) -> DataFrame:
-    table = stats.rank_stats(d.annotated, d.taxa).withColumn("score", F.round("score", 9))
-    return stats.top_taxa(table, 100).select(
+    return stats.top_taxa(stats.rank_stats(d.annotated, d.taxa), 100).select(
         "sample_id", "end", "rank", "name", F.col("place").cast("bigint").alias("place"), "score"
     )
 
