@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from readloom.adapters import READ_KEYS, Domain
 from readloom.operators import sequences
-from readloom.operators.classify import find_candidates
 from readloom.plans import jobs, reports
 from readloom.registry.core import query
 from readloom.registry.reads import _SINGLE, flat_annotation, flat_sql, paired_sql
@@ -459,8 +458,8 @@ UNION ALL SELECT taxonomy, function, sample_id, {part} taxonomy, function, sampl
 @query("job_single_end", _single_job_sql("erpkg", "rd"), fill={"taxonomy": ""})
 def _(d: Domain) -> DataFrame:
     first = F.col("end") == "pe1"
-    candidates = find_candidates(
-        d.reference_hits.where(first), d.protein_catalogue, d.params, READ_KEYS
+    candidates = jobs.first_search(
+        d.reference_hits.where(first), _reference(d), d.params, READ_KEYS
     )
     background = d.place_in_regions(d.background_rows.where(first), candidates, READ_KEYS)
     profile = jobs.profile_reads(
@@ -471,7 +470,7 @@ def _(d: Domain) -> DataFrame:
 
 @query("job_paired_end", _paired_job_sql("efpkg"), fill={"taxonomy": ""})
 def _(d: Domain) -> DataFrame:
-    candidates = find_candidates(d.reference_hits, d.protein_catalogue, d.params, READ_KEYS)
+    candidates = jobs.first_search(d.reference_hits, _reference(d), d.params, READ_KEYS)
     background = d.place_in_regions(d.background_rows, candidates, READ_KEYS)
     profile = jobs.profile_reads(
         candidates, background, d.samples, _reference(d), d.params, READ_KEYS
@@ -482,7 +481,7 @@ def _(d: Domain) -> DataFrame:
 @query("job_protein", _single_job_sql("proteincount", "pr"), fill={"taxonomy": ""})
 def _(d: Domain) -> DataFrame:
     searched = lambda kind: d.protein_hits.where(F.col("searched") == kind)
-    candidates = find_candidates(searched("ref"), d.protein_catalogue, d.params, READ_KEYS)
+    candidates = jobs.first_search(searched("ref"), _reference(d), d.params, READ_KEYS)
     background = d.place_in_regions(searched("bg"), candidates, READ_KEYS)
     profile = jobs.profile_proteins(
         candidates, background, d.coverage, d.protein_samples, _reference(d), d.params, READ_KEYS
@@ -493,8 +492,8 @@ def _(d: Domain) -> DataFrame:
 @query("job_assembly_annotation", flat_sql("gn", "read_id AS gene_id"))
 def _(d: Domain) -> DataFrame:
     searched = lambda kind: d.gene_hits.where(F.col("searched") == kind)
-    candidates = find_candidates(
-        searched("ref"), d.protein_catalogue, d.params, ["gene_id"], fixed_identity=True
+    candidates = jobs.first_search(
+        searched("ref"), _reference(d), d.params, ["gene_id"], fixed_identity=True
     )
     background = d.place_in_regions(searched("bg"), candidates, ["gene_id"])
     annotated, _ = jobs.annotate_assembly(
