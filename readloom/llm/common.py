@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable
 
@@ -43,20 +44,21 @@ class Scratch:
         self.root = f"{shared_folder(spark)}/readloom/{label}-{uuid.uuid4().hex[:12]}"
         self.count = 0
 
-    def write(self, df: DataFrame, *partition_by: str) -> DataFrame:
+    def write(self, df: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.root}/{self.count:03d}"
-        df.write.partitionBy(*partition_by).parquet(path)
+        df.write.parquet(path)
+        self.free()
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def free(self) -> None:
+        """Shuffle files stay until the driver drops what refers to them; a stage table needs none."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, df: DataFrame) -> None:
-        """Remove the files of a stage table that no later step reads."""
-        files = df.inputFiles()
-        if not files:
-            return
-        folder = files[0].rsplit("/", 1)[0]
-        if self.root.split("://")[-1].rstrip("/") not in folder:
-            return
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        """Remove a stage table of this job that no later step reads."""
+        files = [f for f in df.inputFiles() if "/readloom/" in f]
+        if files:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

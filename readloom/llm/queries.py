@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from readloom.llm import chat, licenses, packing, quality, sharding, sql
+from readloom.llm import chat, licenses, packing, quality, sharding, sql, suffix
 from readloom.llm.common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.repeat_report(table(spark, folder, "documents"))
+
+
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(table(spark, folder, "documents"))
 
@@ -39,7 +43,7 @@ def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_license_scan, op5_sharding, op6_quality_rules, op7_best_fit_packing, op8_chat_formatting)
+        op1_suffix_dedup, op2_license_scan, op5_sharding, op6_quality_rules, op7_best_fit_packing, op8_chat_formatting)
 }
 
 
