@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from readloom.llm import chat, licenses, packing, quality, sharding, sql, suffix
+from readloom.llm import chat, jaccard, licenses, packing, quality, recompression, sharding, sql, suffix
 from readloom.llm.common import table
 
 
@@ -41,9 +41,19 @@ def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.chat_digest(chat.formatted_chats(chat.final_messages(log)))
 
 
+def op9_recompression_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return recompression.repeat_report(table(spark, folder, "documents"))
+
+
+def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(
+        table(spark, folder, "documents"), jaccard.Threshold(n=4, percent=85))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_suffix_dedup, op2_license_scan, op5_sharding, op6_quality_rules, op7_best_fit_packing, op8_chat_formatting)
+        op1_suffix_dedup, op2_license_scan, op5_sharding, op6_quality_rules, op7_best_fit_packing, op8_chat_formatting,
+        op9_recompression_dedup, op10_ngram_jaccard)
 }
 
 

@@ -100,7 +100,8 @@ def anchor_rows(method: Method) -> Callable:
                 if not len(starts):
                     continue
                 anchor, core = method.anchors(units, starts)
-                new = np.concatenate(([True], (np.diff(anchor) != 0) | (np.diff(starts) != 1)))
+                breaks = (np.diff(anchor) != 0) | (core[1:] != core[:-1]) | (np.diff(starts) != 1)
+                new = np.concatenate(([True], breaks))
                 head = np.flatnonzero(new)
                 tail = np.append(head[1:], len(starts)) - 1
                 s0, s1 = starts[head], starts[tail]

@@ -51,10 +51,10 @@ def sampled_suffixes(size: int, spread: int) -> Callable[[Units, np.ndarray], tu
         if width < spread:
             codes = np.minimum(codes[:width - spread], codes[spread - width:])
         anchor = (codes & low).astype(np.int64)[starts]
-        core = np.zeros(len(anchor), np.uint64)
-        head = np.flatnonzero(np.concatenate(([True], np.diff(anchor) != 0)))
+        new = np.concatenate(([True], np.diff(anchor) != 0))
         view, deep, digest = memoryview(units.bytes_), size - spread + 1, xxhash.xxh3_64_intdigest
-        core[head] = [digest(view[a:a + deep]) for a in anchor[head].tolist()]
+        cores = np.array([digest(view[a:a + deep]) for a in anchor[new].tolist()], np.uint64)
+        core = cores[np.cumsum(new) - 1]
         return anchor, core
     return anchors
 
