@@ -174,8 +174,8 @@ def repeated_places(numbered: DataFrame, method: Method, scratch: Scratch) -> Da
     scratch.drop(rows)
     spans = scratch.write(shared.groupBy("span1", "span2").agg(
         F.count("*").alias("n"), F.min("core").alias("core"), F.min("row").alias("first_row")))
-    mixed = spans.groupBy("core").agg(F.count("*").alias("m")).where("m > 1").select(
-        "core", F.lit(True).alias("mixed"))
+    mixed = spans.groupBy("core").agg(F.count("*").alias("m"), F.min("n").alias("least")).where(
+        "m > 1 and least = 1").select("core", F.lit(True).alias("mixed"))
     marked = shared.select("row", "start", "width", "span1", "span2").join(
         spans.join(mixed, "core", "left").select("span1", "span2", "n", "first_row", "mixed"),
         ["span1", "span2"])
@@ -193,10 +193,10 @@ def repeated_places(numbered: DataFrame, method: Method, scratch: Scratch) -> Da
         F.collect_list(packed(F.col("start"), F.col("width"))).alias("asked")))
     windows = texts.join(asked, "_row").select("_row", "text", "asked").mapInArrow(
         window_rows(method), "key1 long, key2 long, row long, start int")
-    twice = windows.groupBy("key1", "key2").agg(F.count("*").alias("n")).where("n > 1").select(
-        "key1", "key2")
-    single = scratch.write(windows.join(twice, ["key1", "key2"], "left_semi").select(
-        "row", "start", F.lit(1).alias("width")))
+    twice = scratch.write(windows.groupBy("key1", "key2").agg(F.count("*").alias("n")).where(
+        "n > 1").select("key1", "key2"))
+    single = windows.join(twice, ["key1", "key2"], "left_semi").select(
+        "row", "start", F.lit(1).alias("width"))
     places = found.where("repeated").select("row", "start", "width").unionByName(single)
     end = F.col("start") + F.col("width") + F.lit(size - 1)
     return places.groupBy(F.col("row").alias("_row")).agg(
