@@ -22,8 +22,8 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = scratch.write(both.join(least, "a").where("b > a").select(
-            F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        large = both.join(least, "a").where("b > a").select(
+            F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         current = scratch.write(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())

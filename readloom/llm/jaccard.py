@@ -212,7 +212,7 @@ class Join:
     def _merge(self, links: DataFrame) -> None:
         known = links if self.label is None else links.unionByName(
             self.label.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        self.label = self.scratch.write(components(known, self.scratch))
+        self.label = components(known, self.scratch)
 
     def run(self, hub_rounds: int = 2) -> DataFrame:
         """``class``, ``component`` (its smallest class) for classes that link with another one."""
@@ -229,8 +229,8 @@ class Join:
                 (F.col("component") != F.col("component2")) & may_link(self.rule))
             self._merge(self._links(pairs))
             done = hubs.select("shingle", F.col("row2").alias("row"))
-            lists = self.scratch.write(open_.select("shingle", "row", "n", "alone").join(
-                done, ["shingle", "row"], "left_anti"))
+            lists = open_.select("shingle", "row", "n", "alone").join(
+                done, ["shingle", "row"], "left_anti")
         open_ = self._apart(lists)
         other = open_.select("shingle", *[
             F.col(c).alias(f"{c}2") for c in ("row", "n", "alone", "component")])
@@ -242,7 +242,7 @@ class Join:
 
     def _apart(self, lists: DataFrame) -> DataFrame:
         """The lists that still hold more than one component, with the components."""
-        labelled = self.scratch.write(self._labelled(lists))
+        labelled = self._labelled(lists)
         split = labelled.groupBy("shingle").agg(
             F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         return self.scratch.write(labelled.join(split.select("shingle"), "shingle", "left_semi"))

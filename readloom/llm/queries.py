@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from readloom.llm import chat, jaccard, licenses, packing, quality, recompression, sharding, sql, suffix
+from readloom.llm import (
+    chat,
+    jaccard,
+    licenses,
+    lm,
+    packing,
+    quality,
+    recompression,
+    sharding,
+    sql,
+    suffix,
+)
 from readloom.llm.common import table
 
 
@@ -18,6 +29,10 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(table(spark, folder, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(table(spark, folder, "documents"))
+
+
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_plan(table(spark, folder, "documents"))
 
@@ -52,7 +67,8 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_suffix_dedup, op2_license_scan, op5_sharding, op6_quality_rules, op7_best_fit_packing, op8_chat_formatting,
+        op1_suffix_dedup, op2_license_scan, op4_lm_scoring, op5_sharding,
+        op6_quality_rules, op7_best_fit_packing, op8_chat_formatting,
         op9_recompression_dedup, op10_ngram_jaccard)
 }
 
