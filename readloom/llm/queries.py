@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from readloom.llm import (
     chat,
+    decontam,
     jaccard,
     licenses,
     lm,
@@ -29,6 +30,10 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(table(spark, folder, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(table(spark, folder, "documents"))
 
@@ -67,7 +72,7 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_suffix_dedup, op2_license_scan, op4_lm_scoring, op5_sharding,
+        op1_suffix_dedup, op2_license_scan, op3_decontamination, op4_lm_scoring, op5_sharding,
         op6_quality_rules, op7_best_fit_packing, op8_chat_formatting,
         op9_recompression_dedup, op10_ngram_jaccard)
 }
