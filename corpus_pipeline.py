@@ -1,18 +1,52 @@
-"""The corpus pipeline: quality rules first; later stages follow."""
+"""The corpus pipeline: line-first quality rules, near-duplicates, repeated passages, leaks, packing.
+
+Every stage takes what its predecessor kept and returns the columns of ``documents``; the last returns the
+packed pieces. Each stage's result is a Parquet table in the shared folder, so a lost executor costs no more
+than the tasks it ran.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from readloom.llm import quality
+from readloom.llm import decontam, jaccard, packing, quality, suffix
 from readloom.llm.common import Scratch, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the line rules keep, their text without the lines that failed."""
     return quality.clean(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked at five-word shingles and a similarity of 0.8."""
+    return jaccard.one_of_each(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the 400-byte strings that occur more than once."""
+    return suffix.without_repeats(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no test item."""
+    return decontam.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents left, each with its sequence and place."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontamination", decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
+
+# Repeats and the packing of sequences are beyond plain SQL; the stages have brute-force tests.
 ORACLE_SQL = None
 
 
