@@ -47,7 +47,7 @@ class Scratch:
     def write(self, df: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.root}/{self.count:03d}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         self.free()
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -156,7 +156,7 @@ def numbered_copy(docs: DataFrame, scratch: Scratch) -> DataFrame:
     name = f"numbered_{uuid.uuid4().hex[:12]}"
     scratch.count += 1
     (numbered.repartition(buckets, "_row").write.bucketBy(buckets, "_row").sortBy("_row")
-     .option("path", f"{scratch.root}/{scratch.count:03d}").format("parquet").saveAsTable(name))
+     .option("compression", "zstd").option("path", f"{scratch.root}/{scratch.count:03d}").format("parquet").saveAsTable(name))
     scratch.free()
     return spark.table(name)
 
@@ -189,14 +189,19 @@ def repeated_places(numbered: DataFrame, method: Method, scratch: Scratch) -> Da
     def packed(start, other):
         return F.shiftleft(start.cast("long"), 32) + other.cast("long")
 
-    asked = scratch.write(found.where("open").groupBy(F.col("row").alias("_row")).agg(
-        F.collect_list(packed(F.col("start"), F.col("width"))).alias("asked")))
-    windows = texts.join(asked, "_row").select("_row", "text", "asked").mapInArrow(
-        window_rows(method), "key1 long, key2 long, row long, start int")
-    twice = scratch.write(windows.groupBy("key1", "key2").agg(F.count("*").alias("n")).where(
+    def requested(spans: DataFrame) -> DataFrame:
+        asked = spans.groupBy(F.col("row").alias("_row")).agg(
+            F.collect_list(packed(F.col("start"), F.col("width"))).alias("asked"))
+        return texts.join(asked, "_row").select("_row", "text", "asked").mapInArrow(
+            window_rows(method), "key1 long, key2 long, row long, start int")
+
+    twice = scratch.write(requested(found.where("open")).groupBy("key1", "key2").agg(F.count("*").alias("n")).where(
         "n > 1").select("key1", "key2"))
-    single = windows.join(twice, ["key1", "key2"], "left_semi").select(
-        "row", "start", F.lit(1).alias("width"))
+    # Repeated spans only stood by as partners; what they cover is known.
+    undecided = requested(found.where("open and not repeated"))
+    single = scratch.write(undecided.join(twice, ["key1", "key2"], "left_semi").select(
+        "row", "start", F.lit(1).alias("width")))
+    scratch.drop(twice)
     places = found.where("repeated").select("row", "start", "width").unionByName(single)
     end = F.col("start") + F.col("width") + F.lit(size - 1)
     return places.groupBy(F.col("row").alias("_row")).agg(
