@@ -30,6 +30,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[ \t-\r]+"), "")
 
 
+def wrapped(docs: DataFrame) -> Column:
+    """All columns as one struct, so that no name of theirs can clash with a helper column."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Bound what one Arrow batch holds, so that long texts do not meet in one Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -170,7 +170,7 @@ class Join:
         self.rule, self.scratch, self.spark = rule, scratch, docs.sparkSession
         self.numbered = numbered_copy(docs, scratch)
         self.signatures = scratch.write(
-            self.numbered.select("_row", "text").mapInArrow(
+            self.numbered.select("_row", "doc.text").mapInArrow(
                 _signatures(rule.n), "row long, n long, key1 long, key2 long"))
         self.classes = scratch.write(
             self.signatures.where("n > 0").groupBy("key1", "key2").agg(F.min("row").alias("class")))
@@ -179,7 +179,7 @@ class Join:
 
     def _profiled(self) -> DataFrame:
         spark, scratch = self.spark, self.scratch
-        texts = self.numbered.select("_row", "text").join(
+        texts = self.numbered.select("_row", "doc.text").join(
             self.classes.select(F.col("class").alias("_row")), "_row").select("_row", "text")
         lists = scratch.write(
             texts.mapInArrow(_all_shingles(self.rule.n), "shingle long, n long")
@@ -267,7 +267,7 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
     taken. An empty table gives an empty table.
     """
     numbered, rooted = _joined(docs.select(F.col("doc_id").cast("long"), "text"), rule)
-    table = numbered.select(F.col("_row").alias("row"), "doc_id").join(rooted, "row")
+    table = numbered.select(F.col("_row").alias("row"), "doc.doc_id").join(rooted, "row")
     smallest = table.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return table.join(smallest, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
@@ -283,8 +283,8 @@ def one_of_each(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame:
     """
     numbered, rooted = _joined(docs, rule)
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")
-    table = numbered.select(F.col("_row").alias("row"), "doc_id").join(rooted, "row")
+    table = numbered.select(F.col("_row").alias("row"), "doc.doc_id").join(rooted, "row")
     first = table.where("root is not null").groupBy("root").agg(F.min(order).alias("o"))
     kept = first.select(F.col("o.row").alias("_row")).unionByName(
         table.where("root is null").select(F.col("row").alias("_row")))
-    return numbered.join(kept, "_row").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return numbered.join(kept, "_row").select("doc.*")

@@ -237,8 +237,11 @@ def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(**shared.value)
         for batch in batches:
+            at_row = 0
             for rows, texts in portions(batch):
-                scores, known, logs, others, times = [], [], [], [], []
+                others, times = [], []
+                carried = [batch.column(k).slice(at_row, len(rows)) for k in (2, 3)]
+                at_row += len(rows)
                 sets = token_keys(texts)
                 joined = np.concatenate(sets)
                 ends = np.cumsum([len(s) for s in sets])
@@ -258,8 +261,8 @@ def _score(shared):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(rows, pa.int64()), pa.array(ends - start), pa.array(known), pa.array(logs),
                     pa.array(scores), pa.array(others, pa.list_(pa.int64())),
-                    pa.array(times, pa.list_(pa.int64()))],
-                    ["row", "n_tokens", "known", "logs", "score", "keys", "times"])
+                    pa.array(times, pa.list_(pa.int64())), *carried],
+                    ["row", "n_tokens", "known", "logs", "score", "keys", "times", "doc_id", "held_out"])
     return run
 
 
@@ -274,13 +277,15 @@ def score(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     scratch = Scratch(spark, "lm")
     held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 1
-    rows = docs.select("doc_id", "text", held.alias("held_out")).withColumn(
-        "row", F.monotonically_increasing_id())
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), "text", F.col("doc_id").cast("long").alias("doc_id"),
+        held.alias("held_out"))
     model, words = train(docs.where(~held), scratch)
     shared = spark.sparkContext.broadcast(vars(model))
-    scored = scratch.write(rows.select("row", "text").mapInArrow(
+    scored = scratch.write(rows.mapInArrow(
         _score(shared),
-        "row long, n_tokens long, known long, logs double, score double, keys array<long>, times array<long>"))
+        "row long, n_tokens long, known long, logs double, score double, keys array<long>, times array<long>, "
+        "doc_id long, held_out boolean"))
     rare = scored.select("row", F.explode(F.arrays_zip("keys", "times")).alias("t")).select(
         "row", F.col("t.keys").alias("key"), F.col("t.times").alias("times"))
     extra = rare.join(words, "key", "left").groupBy("row").agg(
@@ -288,8 +293,7 @@ def score(docs: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"))
     divisor = float(np.log10(model.n_tokens + 0.5 * (model.n_distinct + 1)))
     return (
-        rows.select("row", "doc_id", "held_out").join(scored.drop("keys", "times"), "row")
-        .join(extra, "row", "left")
+        scored.drop("keys", "times").join(extra, "row", "left")
         .select(
             "doc_id", "held_out", "n_tokens",
             (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import ascii_lower, let, words
+from readloom.llm.common import ascii_lower, let, words, wrapped
 
 SYMBOLS = "[#*$%&|<>]"
 
@@ -166,15 +166,15 @@ def verdict(text: Column, rules: LineRules = LineRules()) -> Column:
 
 
 def judged(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
-    """``docs`` plus one struct column ``_quality``: counts, ``clean_text``, ``n_clean_chars``, ``base_failed``, ``kept``.
+    """Each document as a struct ``doc`` beside a struct ``quality``: counts, cleaned text and verdict.
 
     Null text counts as empty. An empty text has no words and fails the base rule. Copies and repeated
-    rows are judged alike, each row by itself; an empty table gives an empty table. Other columns pass
-    through untouched. The verdict: the base rule holds and the lines kept hold at least
-    ``min_kept_percent`` of the characters.
+    rows are judged alike, each row by itself; an empty table gives an empty table. The verdict: the base
+    rule holds and the lines kept hold at least ``min_kept_percent`` of the characters.
     """
     # explode keeps the optimizer from computing the struct again for each use of a field.
-    return docs.withColumn("_quality", F.explode(F.array(verdict(F.col("text"), rules))))
+    return docs.select(
+        wrapped(docs).alias("doc"), F.explode(F.array(verdict(F.col("text"), rules))).alias("quality"))
 
 
 def clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
@@ -182,12 +182,11 @@ def clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
 
     ``n_chars``, where it is there, follows the new text.
     """
-    table = judged(docs, rules).where("_quality.kept")
-    table = table.withColumn("text", F.col("_quality.clean_text"))
+    replaced = {"text": F.col("quality.clean_text")}
     if "n_chars" in docs.columns:
-        table = table.withColumn(
-            "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return table.select(*[F.col(f"`{c}`") for c in docs.columns])
+        replaced["n_chars"] = F.length("quality.clean_text").cast(docs.schema["n_chars"].dataType)
+    return judged(docs, rules).where("quality.kept").select(*[
+        replaced.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 def quality_report(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
@@ -195,4 +194,4 @@ def quality_report(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
              "base_failed", "kept", "n_clean_chars"]
     return judged(docs.select("doc_id", "text"), rules).select(
-        "doc_id", *[F.col("_quality")[c].alias(c) for c in names])
+        "doc.doc_id", *[F.col("quality")[c].alias(c) for c in names])

@@ -170,5 +170,5 @@ def repeat_report(docs: DataFrame, size: int = SIZE, rounds: int = ROUNDS) -> Da
     empty table gives an empty table.
     """
     table = remainders(docs.select("doc_id", "text"), word_method(size, rounds), "recompression")
-    return table.select(F.col("doc_id").cast("long"), "text", "places").mapInArrow(
+    return table.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "doc.text", "places").mapInArrow(
         _report, "doc_id long, n_words long, n_removed long, kept_sha256 string")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import Scratch, small_batches
+from readloom.llm.common import Scratch, small_batches, wrapped
 
 # Bytes of text that a worker turns into units at a time, unless one document is longer.
 WORK_BYTES = 1 << 20
@@ -149,14 +149,15 @@ def window_rows(method: Method) -> Callable:
 
 
 def numbered_copy(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The documents with a row number, written in buckets of it, so later joins do not move texts."""
+    """The documents (struct ``doc``) with a row number, written in buckets of it: later joins do not move texts."""
     spark = docs.sparkSession
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    numbered = docs.select(F.monotonically_increasing_id().alias("_row"), wrapped(docs).alias("doc"))
     name = f"numbered_{uuid.uuid4().hex[:12]}"
     scratch.count += 1
     (numbered.repartition(buckets, "_row").write.bucketBy(buckets, "_row").sortBy("_row")
-     .option("compression", "zstd").option("path", f"{scratch.root}/{scratch.count:03d}").format("parquet").saveAsTable(name))
+     .option("compression", "zstd").option("path", f"{scratch.root}/{scratch.count:03d}")
+     .format("parquet").saveAsTable(name))
     scratch.free()
     return spark.table(name)
 
@@ -167,7 +168,7 @@ def repeated_places(numbered: DataFrame, method: Method, scratch: Scratch) -> Da
     Rows without a repeat are absent. Intervals may overlap; their union is what repeated windows cover.
     """
     size = method.size
-    texts = numbered.select("_row", "text")
+    texts = numbered.select("_row", "doc.text")
     rows = scratch.write(texts.mapInArrow(anchor_rows(method), ROWS))
     seen = scratch.write(rows.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"))
     shared = scratch.write(rows.join(seen, "core", "left_semi"))
@@ -221,10 +222,10 @@ def union(places: list[int] | None) -> list[tuple[int, int]]:
 
 
 def remainders(docs: DataFrame, method: Method, label: str) -> DataFrame:
-    """``docs`` with ``places``: the repeated intervals of each row (null if none), by unit number."""
+    """Each document as a struct ``doc`` with ``places``, its repeated intervals by unit number (null if none)."""
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, label)
     numbered = numbered_copy(docs, scratch)
     places = scratch.write(repeated_places(numbered, method, scratch))
-    return numbered.join(places, "_row", "left")
+    return numbered.join(places, "_row", "left").select("doc", "places")

@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from readloom.llm.repeats import Method, Units, remainders, union
 
@@ -96,7 +97,7 @@ def repeat_report(docs: DataFrame, size: int = SIZE) -> DataFrame:
     empty table.
     """
     table = remainders(docs.select("doc_id", "text"), byte_method(size), "suffix")
-    return table.select(F.col("doc_id").cast("long"), "text", "places").mapInArrow(
+    return table.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "doc.text", "places").mapInArrow(
         _report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -108,21 +109,20 @@ def without_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """
     table = remainders(docs, byte_method(size), "suffix")
     hit = F.col("places").isNotNull()
+    names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            left = [_cut(t or b"", p)[0].decode("utf-8", "ignore")
-                    for t, p in zip(texts, batch.column("places").to_pylist())]
-            columns = [pa.array(left, pa.string()) if name == "text" else batch.column(name)
-                       for name in batch.schema.names if name != "places"]
+            fields = dict(zip(names, batch.column(0).flatten()))
+            texts = fields["text"].cast(pa.binary()).to_pylist()
+            fields["text"] = pa.array(
+                [_cut(t or b"", p)[0].decode("utf-8", "ignore")
+                 for t, p in zip(texts, batch.column(1).to_pylist())], pa.string())
             yield pa.RecordBatch.from_arrays(
-                columns, [name for name in batch.schema.names if name != "places"])
+                [pa.StructArray.from_arrays(list(fields.values()), names)], ["doc"])
 
-    names = docs.columns
-    changed = table.where(hit).select(*[F.col(f"`{c}`") for c in names], "places").mapInArrow(
-        cut, docs.schema)
+    changed = table.where(hit).mapInArrow(cut, T.StructType([T.StructField("doc", docs.schema)])).select("doc.*")
     if "n_chars" in names:
         changed = changed.withColumn(
             "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return table.where(~hit).select(*[F.col(f"`{c}`") for c in names]).unionByName(changed)
+    return table.where(~hit).select("doc.*").unionByName(changed)
