@@ -123,10 +123,10 @@ def collect_in_order(fields: Sequence[str]) -> Column:
 def overlap_counts(hits: DataFrame, keys: Sequence[str], cutoff: int) -> DataFrame:
     """Per query interval: how many hits sit on it and how many others each of them overlaps.
 
-    No pair is formed. Hits collapse to intervals, and an interval overlaps every hit that
-    starts early enough minus those that end too early, both read from a cumulative histogram
-    of positions. That difference holds for intervals of at least ``2 * cutoff`` positions,
-    which is asserted.
+    Hits collapse to intervals, and an interval overlaps every hit that starts early enough minus
+    those that end too early, both read from a cumulative histogram of positions. Around an
+    interval shorter than twice the cutoff a hit may do both, start too late and end too early;
+    such hits lie within ``2 * cutoff`` positions and are counted back from there.
     """
     group = [*keys, "strand"]
     intervals = (
@@ -135,11 +135,6 @@ def overlap_counts(hits: DataFrame, keys: Sequence[str], cutoff: int) -> DataFra
         .withColumn("high", F.greatest("q_start", "q_end"))
         .groupBy(*group, "low", "high")
         .agg(F.count("*").alias("hits"))
-        .where(
-            F.when(F.col("high") - F.col("low") >= 2 * cutoff, True).otherwise(
-                F.raise_error(F.lit("interval shorter than twice the overlap cutoff"))
-            )
-        )
     )
     last_start, first_end = F.col("high") - cutoff, F.col("low") + cutoff - 1
     marks = F.array(
@@ -161,13 +156,43 @@ def overlap_counts(hits: DataFrame, keys: Sequence[str], cutoff: int) -> DataFra
     )
     started = cumulative.select(*group, F.col("at").alias("last_start"), "started")
     ended = cumulative.select(*group, F.col("at").alias("first_end"), "ended")
+    # A hit takes part in its own count unless it is shorter than the cutoff.
+    itself = F.when(F.col("high") - F.col("low") >= cutoff, 1).otherwise(0)
     return (
         intervals.withColumn("last_start", last_start)
         .withColumn("first_end", first_end)
         .join(started, [*group, "last_start"])
         .join(ended, [*group, "first_end"])
+        .join(_inside_the_gap(intervals, group, cutoff), [*group, "low", "high"], "left")
         .select(
             *group, "low", "high", "hits",
-            (F.col("started") - F.col("ended") - 1).alias("overlapped"),
+            (F.col("started") - F.col("ended") + F.coalesce("inside", F.lit(0)) - itself)
+            .alias("overlapped"),
         )
     )
+
+
+def _inside_the_gap(intervals: DataFrame, group: Sequence[str], cutoff: int) -> DataFrame:
+    """Per short interval: hits that start after ``high - cutoff`` and end before ``low + cutoff``.
+
+    Both kinds of interval are short, so buckets of ``2 * cutoff`` positions bring them together;
+    intervals are distinct, so what meets in a bucket is bounded by the cutoff alone.
+    """
+    width = 2 * cutoff
+    short = intervals.where(F.col("high") - F.col("low") <= 2 * cutoff - 2)
+
+    def bucket(position: Column) -> Column:
+        return F.floor(position / width).cast("long")
+
+    first, last = F.col("high") - cutoff + 1, F.col("low") + cutoff - 1
+    probes = short.select(
+        *group, "low", "high", F.explode(F.sequence(bucket(first), bucket(last))).alias("bucket"))
+    others = short.select(
+        *group, bucket(F.col("low")).alias("bucket"), F.col("low").alias("other_low"),
+        F.col("high").alias("other_high"), F.col("hits").alias("other_hits"))
+    return (
+        probes.join(others, [*group, "bucket"])
+        .where((F.col("other_low") >= first) & (F.col("other_high") <= last))
+        .groupBy(*group, "low", "high")
+        .agg(F.sum("other_hits").alias("inside"))
+    )

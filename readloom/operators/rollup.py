@@ -6,14 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from readloom.params import LOWER_RANK, RANKS, ROOT_TAXID, UNKNOWN_TAXID
 
 # Starts the id of a residual node and sorts it after the taxa beside it.
 RESIDUAL_MARK = "~"
-# Relative slack for "the children add up to the node" on floating-point scores.
-_SLACK = 1e-9
+# Relative slack for "the children add up to the node" on floating-point scores, whose sums round.
+SCORE_SLACK = 1e-9
 
 
 def tree_paths(taxa: DataFrame) -> DataFrame:
@@ -78,18 +79,21 @@ def child_sums(
 
 def residual_nodes(
     profile: DataFrame, scope: Sequence[str], keys: Sequence[str], values: Sequence[str],
-    trigger: str,
+    trigger: str, slack: float = SCORE_SLACK,
 ) -> DataFrame:
     """One node below every parent whose children do not add up to it on ``trigger``.
 
-    The species rank has no lower rank and gets none.
+    Whole numbers are compared exactly, floating-point scores with a relative ``slack``. The
+    species rank has no lower rank and gets none.
     """
     lower = F.create_map(*[F.lit(x) for pair in LOWER_RANK.items() for x in pair])
     gap = F.col(trigger) - F.col(f"child_{trigger}")
+    inexact = isinstance(profile.schema[trigger].dataType, (T.DoubleType, T.FloatType))
+    room = F.abs(F.col(trigger)) * slack if inexact else F.lit(0)
     summed = child_sums(profile, scope, keys, values)
     residual_id = F.concat(F.lit(RESIDUAL_MARK), "taxid")
     return summed.where(
-        (gap > F.abs(F.col(trigger)) * _SLACK) & F.col("rank").isin(list(LOWER_RANK))
+        (gap > room) & F.col("rank").isin(list(LOWER_RANK))
     ).select(
         residual_id.alias("taxid"),
         F.try_element_at(lower, F.col("rank")).alias("rank"),

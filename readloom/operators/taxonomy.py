@@ -12,8 +12,6 @@ from readloom.session import broadcast_if_small, written
 
 # Sorts below every character of a taxon id, so joined lineages sort like the arrays they join.
 _SEPARATOR = "\x01"
-# Twelve doublings follow 4096 levels, more than any tree has.
-_MAX_DOUBLINGS = 12
 
 
 def complete_taxonomy(rows: DataFrame) -> DataFrame:
@@ -41,9 +39,12 @@ def ancestor_paths(taxonomy: DataFrame) -> DataFrame:
             F.when(F.col("taxid") != ROOT_TAXID, F.col("parent")).alias("above"),
         )
     )
-    for _ in range(_MAX_DOUBLINGS):
-        if state.where(F.col("above").isNotNull()).isEmpty():
-            return state.drop("above")
+    while not state.where(F.col("above").isNotNull()).isEmpty():
+        # A path that meets its own taxon again never reaches the root.
+        again = F.filter("path", lambda t: t["taxid"] == F.col("taxid"))
+        looped = state.where(F.size(again) > 1).select("taxid").first()
+        if looped:
+            raise ValueError(f"the taxonomy has a cycle through {looped['taxid']}")
         upper = broadcast_if_small(
             state.select(
                 F.col("taxid").alias("above"),
@@ -58,7 +59,7 @@ def ancestor_paths(taxonomy: DataFrame) -> DataFrame:
                 F.col("next_above").alias("above"),
             )
         )
-    raise ValueError("the taxonomy has a cycle")
+    return state.drop("above")
 
 
 def is_ranked(rank: Column) -> Column:

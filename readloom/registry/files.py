@@ -440,10 +440,10 @@ def _reference(d: Domain) -> jobs.Reference:
     return jobs.Reference(d.protein_catalogue, d.function_catalogue, d.taxa)
 
 
-def _paired_job_sql(metric: str) -> str:
+def _paired_job_sql(metric: str, values: str) -> str:
     return f"""
-SELECT NULL AS taxonomy, * FROM ({paired_sql(metric, False)})
-UNION ALL BY NAME SELECT * FROM ({paired_sql(metric, True)})"""
+SELECT NULL AS taxonomy, * FROM ({paired_sql(metric, False, values=values)})
+UNION ALL BY NAME SELECT * FROM ({paired_sql(metric, True, values=values)})"""
 
 
 def _single_job_sql(metric: str, p: str) -> str:
@@ -468,7 +468,7 @@ def _(d: Domain) -> DataFrame:
     return jobs.long_form(profile)
 
 
-@query("job_paired_end", _paired_job_sql("efpkg"), fill={"taxonomy": ""})
+@query("job_paired_end", _paired_job_sql("efpkg", "good_frag_values"), fill={"taxonomy": ""})
 def _(d: Domain) -> DataFrame:
     candidates = jobs.first_search(d.reference_hits, _reference(d), d.params, READ_KEYS)
     background = d.place_in_regions(d.background_rows, candidates, READ_KEYS)
@@ -502,6 +502,6 @@ def _(d: Domain) -> DataFrame:
     return flat_annotation(annotated, ["gene_id"])
 
 
-@query("job_rereport", _paired_job_sql("fpkm"), fill={"taxonomy": ""})
+@query("job_rereport", _paired_job_sql("fpkm", "frag_values"), fill={"taxonomy": ""})
 def _(d: Domain) -> DataFrame:
     return jobs.long_form(jobs.report(d.annotated, d.samples, _reference(d), d.params, "fpkm"))

@@ -56,8 +56,7 @@ def _(d: Domain) -> DataFrame:
 @query("region_slice", """
 SELECT doc_id, "end", substr(sequence, least(a, b), abs(b - a) + 1) AS slice
 FROM (SELECT *, CASE WHEN doc_id % 2 = 0 THEN 1 + doc_id % 7 ELSE length(sequence) END AS a,
-  CASE WHEN doc_id % 2 = 0 THEN length(sequence) ELSE 1 + doc_id % 7 END AS b FROM read_texts)
-WHERE length(sequence) >= 1""")
+  CASE WHEN doc_id % 2 = 0 THEN length(sequence) ELSE 1 + doc_id % 7 END AS b FROM read_texts)""")
 def _(d: Domain) -> DataFrame:
     head = (F.col("doc_id") % 7 + 1).cast("int")
     tail = F.length("sequence")
@@ -65,7 +64,7 @@ def _(d: Domain) -> DataFrame:
     piece = sequences.region_slice(
         F.col("sequence"), F.when(even, head).otherwise(tail), F.when(even, tail).otherwise(head)
     )
-    return d.read_texts.where(tail >= 1).select("doc_id", "end", piece.alias("slice"))
+    return d.read_texts.select("doc_id", "end", piece.alias("slice"))
 
 
 @query("gene_id_parse", """

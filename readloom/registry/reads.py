@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -242,6 +244,20 @@ FROM (SELECT f.*, t.taxonomy, CASE WHEN insert_size > 300 + s_len THEN 2 * (3 *
     ELSE 3 * s_len - 90 + insert_size + 1 END AS e
   FROM frag_fn f JOIN insert_sizes USING (sample_id) JOIN frag_taxon t USING (sample_id, read_id))
 """
+    _register_good_views(VIEWS)
+
+
+def _register_good_views(views: dict[str, str]) -> None:
+    """The same views where only good reads are handed on, as a pipeline does with its own reads."""
+    names = ["frag", "frag_lca", "frag_taxon", "frag_hits", "frag_fn", "subject_pairs",
+             "insert_sizes", "frag_values"]
+    word = re.compile(rf"\b({'|'.join(names)})\b")
+    for name in names:
+        text = word.sub(r"good_\1", views[name])
+        if name == "frag":
+            text = text.replace("rd_ann", "good_ann")
+        views[f"good_{name}"] = text
+    views["good_ann"] = "SELECT * FROM rd_ann WHERE status = 'function'"
 
 
 _register_fragment_views()
@@ -341,10 +357,10 @@ def _(d: Domain) -> DataFrame:
 
 
 @query("taxon_function_scores_single", " UNION ALL ".join(
-    _single_sql(m, True) for m in ("readcount", "erpk", "rpkm", "erpkg")))
+    _single_sql(m, True) for m in cubes.SINGLE_END_METRICS))
 def _(d: Domain) -> DataFrame:
     return cubes.single_end_metrics(
-        d.annotated, d.single_samples, ["readcount", "erpk", "rpkm", "erpkg"], by_taxon=True
+        d.annotated, d.single_samples, list(cubes.SINGLE_END_METRICS), by_taxon=True
     )
 
 
@@ -364,7 +380,7 @@ _PAIRED = {
 }
 
 
-def paired_sql(metric: str, by_taxon: bool, rounding: bool = True) -> str:
+def paired_sql(metric: str, by_taxon: bool, rounding: bool = True, values: str = "frag_values") -> str:
     taxon = "taxonomy, " if by_taxon else ""
     only = "WHERE found" if by_taxon else ""
     r = (lambda x: f"round({x}, 6)") if rounding else (lambda x: x)
@@ -372,7 +388,7 @@ def paired_sql(metric: str, by_taxon: bool, rounding: bool = True) -> str:
 SELECT {taxon}function, sample_id, '{metric}' AS metric,
   {r(f"({_PAIRED[metric]})::DOUBLE")} AS score, count(*) AS count,
   count(*) FILTER (found) AS hit_count, {r("coalesce(sum(identity), 0.0)")} AS identity
-FROM frag_values JOIN samples USING (sample_id) {only} GROUP BY {taxon}function, sample_id"""
+FROM {values} JOIN samples USING (sample_id) {only} GROUP BY {taxon}function, sample_id"""
 
 
 @query("function_scores_paired", " UNION ALL ".join(
@@ -385,11 +401,11 @@ def _(d: Domain) -> DataFrame:
 
 
 @query("taxon_function_scores_paired", " UNION ALL ".join(
-    paired_sql(m, True) for m in ("fragmentcount", "fpkm", "efpkg")))
+    paired_sql(m, True) for m in cubes.PAIRED_END_METRICS))
 def _(d: Domain) -> DataFrame:
     return cubes.paired_end_metrics(
         cubes.fragment_functions(d.annotated, d.taxa), d.annotated, d.samples,
-        ["fragmentcount", "fpkm", "efpkg"], d.params, by_taxon=True,
+        list(cubes.PAIRED_END_METRICS), d.params, by_taxon=True,
     )
 
 
@@ -480,10 +496,10 @@ def _(d: Domain) -> DataFrame:
 
 @query("top_taxa_per_rank", f"""
 SELECT sample_id, "end", rank, name, place, round(score, 6) AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY sample_id, "end", rank ORDER BY round(score, 9) DESC, name) AS place
-  FROM {_RANK_STATS}) WHERE place <= 100""")
+  SELECT *, row_number() OVER (PARTITION BY sample_id, "end", rank ORDER BY CAST(printf('%.11e', score) AS DOUBLE) DESC, name) AS place
+  FROM {_RANK_STATS}) WHERE place <= 3""")
 def _(d: Domain) -> DataFrame:
-    return stats.top_taxa(stats.rank_stats(d.annotated, d.taxa), 100).select(
+    return stats.top_taxa(stats.rank_stats(d.annotated, d.taxa), 3).select(
         "sample_id", "end", "rank", "name", F.col("place").cast("bigint").alias("place"), "score"
     )
 

@@ -115,6 +115,25 @@ def test_overlap_counts_match_pairs(spark):
         assert r["overlapped"] == sum(brute_overlap(me, k, 10) for k in group) - 1
 
 
+def test_overlap_counts_of_short_intervals(spark):
+    """Intervals around and below twice the cutoff, down to one position."""
+    rng = random.Random(11)
+    base = ("q", "p", 90.0, 20, 0, 100)
+    rows = []
+    for k in range(500):
+        low = rng.randrange(1, 60)
+        high = low + rng.randrange(0, 30)
+        start, end = (low, high) if rng.random() < 0.7 else (high, low)
+        rows.append((*base, start, end, 1, 20, 1e-5, 50.0, k))
+    got = overlap_counts(spark.createDataFrame(rows, SCHEMA), KEYS, 10).collect()
+    intervals = [(1 if r[6] <= r[7] else -1, min(r[6], r[7]), max(r[6], r[7])) for r in rows]
+    for r in got:
+        others = sum(
+            s == r["strand"] and high >= r["low"] + 10 and low <= r["high"] - 10
+            for s, low, high in intervals)
+        assert r["overlapped"] == others - (r["high"] - r["low"] >= 10)
+
+
 def test_band_and_top_on_a_hot_query(spark, monkeypatch):
     # With a low bar for "hot" the salted path carries the hot query.
     monkeypatch.setattr(skew, "HOT_MINIMUM", 50)

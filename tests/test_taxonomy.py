@@ -138,3 +138,18 @@ def test_lines_follow_the_tree(spark, taxa):
         paths, key=lambda t: paths[t]
     )
     assert sorted(lines.values()) == list(range(1, len(paths) + 1))
+
+
+def test_residuals_of_large_counts_are_exact(spark):
+    big = 3_000_000_000
+    rows = [("1", "norank", "root", ["1"], big, None), ("2", "superkingdom", "B", ["1", "2"], big - 1, "1")]
+    profile = spark.createDataFrame(
+        rows, "taxid string, rank string, name string, path array<string>, count long, parent string")
+    [row] = rollup.residual_nodes(profile, [], [], ["count"], "count").collect()
+    assert (row["parent"], row["count"]) == ("1", 1)
+
+
+def test_deep_trees_have_paths(spark):
+    rows = [("1", "root", "norank", "1")] + [(str(k), f"t{k}", "norank", str(k - 1)) for k in range(2, 5001)]
+    paths = taxonomy.ancestor_paths(spark.createDataFrame(rows, "taxid string, name string, rank string, parent string"))
+    assert paths.where("taxid = '5000'").selectExpr("size(path) AS n").first()["n"] == 5000
