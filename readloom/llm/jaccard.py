@@ -158,8 +158,12 @@ def _decide(rule: Threshold):
 
 
 def may_link(rule: Threshold) -> F.Column:
-    """What sizes and lone shingles allow, for columns n, alone, n2, alone2."""
-    common = F.least(F.col("n") - F.col("alone"), F.col("n2") - F.col("alone2"))
+    """What sizes and positions allow a pair that meets in a list, for columns n, pos, n2, pos2.
+
+    In the list of the first shingle they share, all they share is at or behind it in both. A pair that
+    links passes there, so what fails here need not be kept, whichever list it is.
+    """
+    common = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
     return common * (100 + rule.percent) >= (F.col("n") + F.col("n2")) * rule.percent
 
 
@@ -216,24 +220,25 @@ class Join:
 
     def run(self, hub_rounds: int = 2) -> DataFrame:
         """``class``, ``component`` (its smallest class) for classes that link with another one."""
-        lists = self.profiles.select("row", "n", "alone", F.explode("prefix").alias("shingle"))
+        lists = self.profiles.select("row", "n", "alone", F.posexplode("prefix").alias("k", "shingle")).select(
+            "shingle", "row", "n", "alone", (F.col("alone") + F.col("k")).alias("pos"))
         used = lists.groupBy("shingle").agg(F.count("*").alias("k")).where("k > 1").select("shingle")
         lists = self.scratch.write(lists.join(used, "shingle", "left_semi"))
         for _ in range(hub_rounds):
             open_ = self._apart(lists)
-            rank = F.struct("alone", "row", "n", "component")
+            rank = F.struct("alone", "row", "n", "pos", "component")
             hubs = open_.groupBy("shingle").agg(F.min(rank).alias("hub")).select(
                 "shingle", F.col("hub.row").alias("row2"), F.col("hub.n").alias("n2"),
-                F.col("hub.alone").alias("alone2"), F.col("hub.component").alias("component2"))
+                F.col("hub.pos").alias("pos2"), F.col("hub.component").alias("component2"))
             pairs = open_.join(hubs, "shingle").where(
                 (F.col("component") != F.col("component2")) & may_link(self.rule))
             self._merge(self._links(pairs))
             done = hubs.select("shingle", F.col("row2").alias("row"))
-            lists = open_.select("shingle", "row", "n", "alone").join(
+            lists = open_.select("shingle", "row", "n", "alone", "pos").join(
                 done, ["shingle", "row"], "left_anti")
         open_ = self._apart(lists)
         other = open_.select("shingle", *[
-            F.col(c).alias(f"{c}2") for c in ("row", "n", "alone", "component")])
+            F.col(c).alias(f"{c}2") for c in ("row", "n", "pos", "component")])
         pairs = open_.join(other, "shingle").where(
             (F.col("row") < F.col("row2")) & (F.col("component") != F.col("component2"))
             & may_link(self.rule))
