@@ -49,11 +49,13 @@ class Scratch:
         self.root = f"{shared_folder(spark)}/readloom/{label}-{uuid.uuid4().hex[:12]}"
         self.count = 0
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, large: bool = False) -> DataFrame:
+        """``large``: what the table took in shuffle files goes at once, not when the driver's heap fills."""
         self.count += 1
         path = f"{self.root}/{self.count:03d}"
         df.write.option("compression", "zstd").parquet(path)
-        self.free()
+        if large:
+            self.free()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def free(self) -> None:

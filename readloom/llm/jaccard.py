@@ -8,7 +8,7 @@ T shingles, T given by their sizes. Lists of shingles that occur once cannot hel
 * A pair met in a short list is decided by merging what both have in short lists; the long lists are
   probed by binary search, and only if they could still lift the pair to T.
 * Lists whose classes already are in one component have nothing left to say. So each list first compares
-  its likeliest hub with its members, twice; what is still apart is then compared pair by pair.
+  its likeliest hub with its members; what is still apart is then compared pair by pair.
 
 Any order of shingles gives whole results. The order's statistics (list lengths over all documents) travel
 as a Bloom filter of shingles in two lists or more and a table of the longest lists, both of bounded size.
@@ -187,7 +187,7 @@ class Join:
             self.classes.select(F.col("class").alias("_row")), "_row").select("_row", "text")
         lists = scratch.write(
             texts.mapInArrow(_all_shingles(self.rule.n), "shingle long, n long")
-            .groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1"))
+            .groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1"), large=True)
         segments = bloom.n_segments(lists.count(), BITS_PER_SHINGLE)
         filter_ = spark.sparkContext.broadcast(bloom.build(lists.select("shingle"), segments))
         top = lists.where(F.col("n") >= LONG_LIST).orderBy(F.desc("n"), "shingle").limit(MAX_LONG).collect()
@@ -196,13 +196,11 @@ class Join:
         longest = spark.sparkContext.broadcast((keys[order], np.array([r["n"] for r in top], np.int64)[order]))
         profiles = scratch.write(texts.mapInArrow(
             _profiles(self.rule, filter_, segments, longest),
-            "row long, n long, alone long, prefix array<long>, short binary, long binary"))
+            "row long, n long, alone long, prefix array<long>, short binary, long binary"), large=True)
         scratch.drop(lists)
         return profiles
 
     def _labelled(self, lists: DataFrame) -> DataFrame:
-        if self.label is None:
-            return lists.withColumn("component", F.col("row"))
         return lists.join(self.label, lists["row"] == self.label["node"], "left").select(
             *lists.columns, F.coalesce("component", "row").alias("component"))
 
@@ -218,24 +216,19 @@ class Join:
             self.label.select(F.col("node").alias("a"), F.col("component").alias("b")))
         self.label = components(known, self.scratch)
 
-    def run(self, hub_rounds: int = 2) -> DataFrame:
+    def run(self) -> DataFrame:
         """``class``, ``component`` (its smallest class) for classes that link with another one."""
         lists = self.profiles.select("row", "n", "alone", F.posexplode("prefix").alias("k", "shingle")).select(
             "shingle", "row", "n", "alone", (F.col("alone") + F.col("k")).alias("pos"))
         used = lists.groupBy("shingle").agg(F.count("*").alias("k")).where("k > 1").select("shingle")
         lists = self.scratch.write(lists.join(used, "shingle", "left_semi"))
-        for _ in range(hub_rounds):
-            open_ = self._apart(lists)
-            rank = F.struct("alone", "row", "n", "pos", "component")
-            hubs = open_.groupBy("shingle").agg(F.min(rank).alias("hub")).select(
-                "shingle", F.col("hub.row").alias("row2"), F.col("hub.n").alias("n2"),
-                F.col("hub.pos").alias("pos2"), F.col("hub.component").alias("component2"))
-            pairs = open_.join(hubs, "shingle").where(
-                (F.col("component") != F.col("component2")) & may_link(self.rule))
-            self._merge(self._links(pairs))
-            done = hubs.select("shingle", F.col("row2").alias("row"))
-            lists = open_.select("shingle", "row", "n", "alone", "pos").join(
-                done, ["shingle", "row"], "left_anti")
+        hubs = lists.groupBy("shingle").agg(F.min(F.struct("alone", "row", "n", "pos")).alias("hub")).select(
+            "shingle", F.col("hub.row").alias("row2"), F.col("hub.n").alias("n2"), F.col("hub.pos").alias("pos2"))
+        pairs = lists.join(hubs, "shingle").where((F.col("row") != F.col("row2")) & may_link(self.rule))
+        self._merge(self._links(pairs))
+        # A hub has met its whole list.
+        done = hubs.select("shingle", F.col("row2").alias("row"))
+        lists = lists.select("shingle", "row", "n", "pos").join(done, ["shingle", "row"], "left_anti")
         open_ = self._apart(lists)
         other = open_.select("shingle", *[
             F.col(c).alias(f"{c}2") for c in ("row", "n", "pos", "component")])

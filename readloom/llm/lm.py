@@ -200,7 +200,7 @@ def train(docs: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame]:
     counted = docs.select(F.lit(0).alias("row"), "text").mapInArrow(_count, "key long, n long")
     is_pair = F.col("key").bitwiseAND(F.lit(1)) == 1
     grams = scratch.write(
-        counted.groupBy("key").agg(F.sum("n").alias("n")).where(~is_pair | (F.col("n") > 1)))
+        counted.groupBy("key").agg(F.sum("n").alias("n")).where(~is_pair | (F.col("n") > 1)), large=True)
     words = grams.where(~is_pair)
     mass = scratch.write(
         grams.where(is_pair).groupBy(_mass_key(F.col("key")).alias("key")).agg(F.sum("n").alias("n"))

@@ -169,12 +169,12 @@ def repeated_places(numbered: DataFrame, method: Method, scratch: Scratch) -> Da
     """
     size = method.size
     texts = numbered.select("_row", "doc.text")
-    rows = scratch.write(texts.mapInArrow(anchor_rows(method), ROWS))
-    seen = scratch.write(rows.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"))
-    shared = scratch.write(rows.join(seen, "core", "left_semi"))
+    rows = scratch.write(texts.mapInArrow(anchor_rows(method), ROWS), large=True)
+    seen = scratch.write(rows.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), large=True)
+    shared = scratch.write(rows.join(seen, "core", "left_semi"), large=True)
     scratch.drop(rows)
     spans = scratch.write(shared.groupBy("span1", "span2").agg(
-        F.count("*").alias("n"), F.min("core").alias("core"), F.min("row").alias("first_row")))
+        F.count("*").alias("n"), F.min("core").alias("core"), F.min("row").alias("first_row")), large=True)
     mixed = spans.groupBy("core").agg(F.count("*").alias("m"), F.min("n").alias("least")).where(
         "m > 1 and least = 1").select("core", F.lit(True).alias("mixed"))
     marked = shared.select("row", "start", "width", "span1", "span2").join(
@@ -183,7 +183,7 @@ def repeated_places(numbered: DataFrame, method: Method, scratch: Scratch) -> Da
     found = scratch.write(marked.select(
         "row", "start", "width", (F.col("n") > 1).alias("repeated"),
         (F.coalesce("mixed", F.lit(False)) & ((F.col("n") == 1) | (F.col("row") == F.col("first_row"))))
-        .alias("open")).where("repeated or open"))
+        .alias("open")).where("repeated or open"), large=True)
     for df in (seen, shared, spans):
         scratch.drop(df)
 
@@ -197,11 +197,11 @@ def repeated_places(numbered: DataFrame, method: Method, scratch: Scratch) -> Da
             window_rows(method), "key1 long, key2 long, row long, start int")
 
     twice = scratch.write(requested(found.where("open")).groupBy("key1", "key2").agg(F.count("*").alias("n")).where(
-        "n > 1").select("key1", "key2"))
+        "n > 1").select("key1", "key2"), large=True)
     # Repeated spans only stood by as partners; what they cover is known.
     undecided = requested(found.where("open and not repeated"))
     single = scratch.write(undecided.join(twice, ["key1", "key2"], "left_semi").select(
-        "row", "start", F.lit(1).alias("width")))
+        "row", "start", F.lit(1).alias("width")), large=True)
     scratch.drop(twice)
     places = found.where("repeated").select("row", "start", "width").unionByName(single)
     end = F.col("start") + F.col("width") + F.lit(size - 1)
@@ -227,5 +227,5 @@ def remainders(docs: DataFrame, method: Method, label: str) -> DataFrame:
     small_batches(spark)
     scratch = Scratch(spark, label)
     numbered = numbered_copy(docs, scratch)
-    places = scratch.write(repeated_places(numbered, method, scratch))
+    places = scratch.write(repeated_places(numbered, method, scratch), large=True)
     return numbered.join(places, "_row", "left").select("doc", "places")
