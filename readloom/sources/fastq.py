@@ -8,6 +8,7 @@ range and reads on until a record starts beyond it. Gzip files are one task each
 from __future__ import annotations
 
 import io
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +33,7 @@ class FastqRange(InputPartition):
 
 
 class FastqSource(DataSource):
-    """Options: ``path`` (file or folder, several joined by commas) and ``splitbytes``."""
+    """Options: ``paths`` (JSON list of files or folders; or one ``path``) and ``splitbytes``."""
 
     @classmethod
     def name(cls) -> str:
@@ -47,7 +48,7 @@ class FastqSource(DataSource):
 
 class FastqReader(DataSourceReader):
     def __init__(self, options):
-        self.paths = options["path"].split(",")
+        self.paths = json.loads(options["paths"]) if "paths" in options else [options["path"]]
         self.split_bytes = int(options.get("splitbytes", _DEFAULT_SPLIT_BYTES))
 
     def partitions(self) -> list[FastqRange]:
@@ -118,10 +119,21 @@ def _records(handle, start: int, end: int | None) -> Iterator[tuple[str, ...]]:
     if start > 0:
         # A header is followed two lines on by the '+' line; a quality line is followed two
         # lines on by a sequence, which never starts with '+'.
-        while fill(3) and not (window[0][1][:1] == b"@" and window[2][1][:1] == b"+"):
+        while True:
+            if not fill(3):
+                return
+            if window[0][1][:1] == b"@" and window[2][1][:1] == b"+":
+                break
             window.pop(0)
-    while fill(4) and (end is None or window[0][0] < end):
-        yield tuple(line.rstrip(b"\r\n").decode("utf-8") for _, line in window)
+    while fill(1) and (end is None or window[0][0] < end):
+        if not window[0][1].strip():
+            window.pop(0)
+            continue
+        whole = fill(4)
+        lines = [line.rstrip(b"\r\n").decode("utf-8") for _, line in window]
+        if not whole or lines[0][:1] != "@" or lines[2][:1] != "+" or len(lines[1]) != len(lines[3]):
+            raise ValueError(f"no whole FASTQ record at byte {window[0][0]}: {lines[0][:80]!r}")
+        yield tuple(lines)
         window.clear()
 
 
@@ -130,5 +142,6 @@ def read_fastq(
 ) -> DataFrame:
     """All records of the given files or folders."""
     spark.dataSource.register(FastqSource)
-    joined = path if isinstance(path, str) else ",".join(path)
-    return spark.read.format("fastq").option("splitbytes", split_bytes).load(joined)
+    paths = [path] if isinstance(path, str) else list(path)
+    return spark.read.format("fastq").option("splitbytes", split_bytes).option(
+        "paths", json.dumps(paths)).load()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,18 +30,35 @@ ANNOTATED = T.StructType([
 ])
 
 
-def _with_origin(rows: DataFrame) -> DataFrame:
-    """Sample and end from the file's name, and ``ord``: the order of rows within a file.
+def _in_order(rows: DataFrame) -> DataFrame:
+    """Put ``ord`` and ``file`` before the columns: files by name, lines as in the file.
 
-    The splits of a file are numbered in file order, so the id grows along the file.
+    Spark packs splits by size, so its own row ids follow no order of names. A split that does not
+    end its file fills a task alone, hence its rows number fewer than the bytes up to the next one:
+    start of the split plus row in the task grows along a file.
     """
-    folder_or_file = F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "")
-    return rows.select(
-        F.regexp_extract(folder_or_file, _TABLE_NAME, 1).alias("sample_id"),
-        F.regexp_extract(folder_or_file, _TABLE_NAME, 2).alias("end"),
-        F.monotonically_increasing_id().alias("ord"),
-        *rows.columns,
-    )
+    files = sorted({re.sub("^file:/+", "file:/", unquote(f)) for f in rows.inputFiles()})
+    numbers = rows.sparkSession.createDataFrame(
+        [(f, k) for k, f in enumerate(files)], "file string, _number long")
+    # A plus sign is itself in a path, a blank only in a form.
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    placed = rows.select(
+        F.regexp_replace(decoded, "^file:/+", "file:/").alias("file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"), *rows.columns)
+    number = F.coalesce("_number", F.raise_error(F.concat(F.lit("unlisted file "), "file")).cast("long"))
+    return placed.join(F.broadcast(numbers), "file", "left").select(
+        (F.shiftleft(number, 44) + F.col("_block") + F.col("_row")).alias("ord"), "file", *rows.columns)
+
+
+def _with_origin(rows: DataFrame) -> DataFrame:
+    """Sample and end from the file's name, and ``ord``: the order of rows."""
+    folder_or_file = F.regexp_replace("file", r"/part-[^/]*$", "")
+    named = F.when(folder_or_file.rlike(_TABLE_NAME), folder_or_file).otherwise(
+        F.raise_error(F.concat(F.lit("no sample and end in the name "), "file")))
+    return _in_order(rows).select(
+        F.regexp_extract(named, _TABLE_NAME, 1).alias("sample_id"),
+        F.regexp_extract(named, _TABLE_NAME, 2).alias("end"), "ord", *rows.columns)
 
 
 def _read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
@@ -75,10 +95,8 @@ def regroup_hit_list(rows: DataFrame) -> DataFrame:
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("ord"),
-        F.regexp_replace("value", r"\r$", "").alias("line"),
-    )
+    return _in_order(spark.read.text(path)).select(
+        "ord", F.regexp_replace("value", r"\r$", "").alias("line"))
 
 
 def _data_fields(spark: SparkSession, path: str | list[str]) -> DataFrame:

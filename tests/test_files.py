@@ -55,6 +55,29 @@ def test_fastq_gzip_and_folder(spark, tmp_path):
         read_fastq(spark, str(tmp_path / "nowhere")).count()
 
 
+def test_fastq_blank_lines_torn_records_and_commas(spark, tmp_path):
+    path = tmp_path / "a,b.fq"
+    path.write_text("\n@a\nACGT\n+\n@III\n\n\n@b\nAC\n+b\n+@\n\n")
+    for splits in (1 << 20, 9):
+        got = read_fastq(spark, [str(path)], splits).drop("file").collect()
+        assert sorted(tuple(r) for r in got) == [("@a", "ACGT", "+", "@III"), ("@b", "AC", "+b", "+@")]
+    for torn in ("@a\nACGT\n+\nIIII\n@b\nAC\n", "@a\nACGT\n+\nIII\n", "a\nACGT\n+\nIIII\n"):
+        path.write_text(torn)
+        with pytest.raises(Exception, match="no whole FASTQ record"):
+            read_fastq(spark, [str(path)]).count()
+
+
+def test_tables_keep_the_order_of_names_and_lines(spark, tmp_path):
+    """The larger part comes second by name, and first when Spark packs splits."""
+    folder = tmp_path / "My+sample x_pe1_ref.tsv"
+    folder.mkdir()
+    line = "q|{0}\tp{0}\t90.0\t30\t1\t0\t1\t30\t1\t30\t1e-5\t60.0\n"
+    (folder / "part-00000").write_text("".join(line.format(k) for k in range(3)))
+    (folder / "part-00001").write_text("".join(line.format(k) for k in range(3, 4000)))
+    rows = tables._in_order(spark.read.text(str(folder))).orderBy("ord").select("value").collect()
+    assert [r["value"].split("\t")[1] for r in rows] == [f"p{k}" for k in range(4000)]
+
+
 def test_fasta_folded_and_gzip(spark, tmp_path):
     text = ">a first\nACGT\nAC\n>b\n>c last\r\nGG\r\nTT\r\n"
     with gzip.open(tmp_path / "x.fa.gz", "wt", newline="") as out:
