@@ -175,8 +175,9 @@ def repeated_places(numbered: DataFrame, method: Method, scratch: Scratch) -> Da
     scratch.drop(rows)
     spans = scratch.write(shared.groupBy("span1", "span2").agg(
         F.count("*").alias("n"), F.min("core").alias("core"), F.min("row").alias("first_row")), large=True)
-    mixed = spans.groupBy("core").agg(F.count("*").alias("m"), F.min("n").alias("least")).where(
-        "m > 1 and least = 1").select("core", F.lit(True).alias("mixed"))
+    # Written, so that the join below has an exchange on both sides and may be split.
+    mixed = scratch.write(spans.groupBy("core").agg(F.count("*").alias("m"), F.min("n").alias("least")).where(
+        "m > 1 and least = 1").select("core", F.lit(True).alias("mixed")))
     marked = shared.select("row", "start", "width", "span1", "span2").join(
         spans.join(mixed, "core", "left").select("span1", "span2", "n", "first_row", "mixed"),
         ["span1", "span2"])
