@@ -283,7 +283,7 @@ class Domain:
     @property
     def read_texts(self) -> DataFrame:
         """One FASTQ record per document and end; the header style follows the document id."""
-        letters = F.upper(F.regexp_replace("text", "[^A-Za-z]", ""))
+        letters = F.upper(F.regexp_replace("text", "[^A-Za-z]", "N"))
         ends = F.array(
             F.struct(F.lit("pe1").alias("end"), F.lit("1").alias("n"), letters.alias("sequence")),
             F.struct(F.lit("pe2").alias("end"), F.lit("2").alias("n"),

@@ -349,7 +349,7 @@ SELECT doc_id, "end", '@' || CASE
   CASE WHEN doc_id % 5 < 3 OR (doc_id % 5 = 3 AND doc_id % 2 = 1) THEN n ELSE '' END AS read_end
 FROM (SELECT doc_id, 'R' || doc_id AS name, e AS "end", substr(e, 3) AS n,
     CASE WHEN e = 'pe1' THEN letters ELSE reverse(letters) END AS sequence
-  FROM (SELECT doc_id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS letters
+  FROM (SELECT doc_id, upper(regexp_replace(text, '[^A-Za-z]', 'N', 'g')) AS letters
     FROM documents) CROSS JOIN (SELECT unnest(['pe1', 'pe2']) AS e))
 """
 
