@@ -5,11 +5,11 @@ The size follows the number of keys up to a fixed bound, so a filter can be broa
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key's bits all lie in one segment, which one task can build.
@@ -43,33 +43,40 @@ def contains(bits: np.ndarray, keys: np.ndarray, segments: int) -> np.ndarray:
     return found
 
 
-def build(keys: DataFrame, segments: int) -> np.ndarray:
-    """The filter of a one-column table of longs: ``segments`` * 8 KB, put together on the driver."""
-    key = keys.columns[0]
-    segment = F.col(key).bitwiseAND(F.lit((segments - 1) << 40))
+def filled(
+    batches: Iterator[pa.RecordBatch], segments: int, bits_of: Callable[[pa.RecordBatch], Iterable[tuple]]
+) -> Iterator[pa.RecordBatch]:
+    """The segments that a task's keys touch. ``bits_of(batch)`` gives pairs as ``places`` does."""
+    bits = np.zeros(segments * SEGMENT_BITS // 8, np.uint8)
+    touched = np.zeros(segments, bool)
+    for batch in batches:
+        for segment, offsets in bits_of(batch):
+            touched[segment] = True
+            base = segment * np.uint64(SEGMENT_BITS)
+            for offset in offsets:
+                at = base + offset
+                np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+    own = np.flatnonzero(touched)
+    parts = bits.reshape(segments, -1)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(own), pa.array([parts[k].tobytes() for k in own], pa.binary())], ["segment", "bits"])
+
+
+def put_together(keys: DataFrame, segment: Column, segments: int, fill: Callable) -> np.ndarray:
+    """Fill the filter in tasks that share no segment, and collect it: ``segments`` * 8 KB."""
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = keys.repartition(tasks, segment).mapInArrow(fill, "segment long, bits binary")
+    bits = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
+    for row in table.collect():
+        bits[row["segment"]] |= np.frombuffer(row["bits"], np.uint8)
+    return bits.reshape(-1)
 
+
+def build(keys: DataFrame, segments: int) -> np.ndarray:
+    """The filter of a one-column table of longs."""
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            own = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            where, offsets = places(own, segments)
-            order = np.argsort(where, kind="stable")
-            cuts = np.flatnonzero(np.diff(where[order])) + 1
-            for part in np.split(order, cuts):
-                if len(part):
-                    bits = held.setdefault(int(where[part[0]]), np.zeros(SEGMENT_BITS // 8, np.uint8))
-                    for offset in offsets:
-                        at = offset[part]
-                        np.bitwise_or.at(
-                            bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-        if held:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.int64()), pa.array([b.tobytes() for b in held.values()])],
-                ["segment", "bits"])
+        return filled(batches, segments, lambda batch: [
+            places(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), segments)])
 
-    bits = np.zeros(segments * SEGMENT_BITS // 8, np.uint8)
-    table = keys.repartition(segment).mapInArrow(fill, "segment long, bits binary")
-    for row in table.toLocalIterator():
-        at = row["segment"] * SEGMENT_BITS // 8
-        bits[at:at + SEGMENT_BITS // 8] |= np.frombuffer(row["bits"], np.uint8)
-    return bits
+    segment = F.shiftright(F.col(keys.columns[0]), 40).bitwiseAND(F.lit(segments - 1))
+    return put_together(keys, segment, segments, fill)

@@ -35,10 +35,10 @@ def wrapped(docs: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
+def small_batches(spark: SparkSession, rows: int = 1 << 16, bytes_: int = 4 << 20) -> None:
     """Bound what one Arrow batch holds, so that long texts do not meet in one Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(bytes_))
 
 
 class Scratch:

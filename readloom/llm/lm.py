@@ -159,26 +159,14 @@ def holds(bits: np.ndarray, keys: np.ndarray, level: int, segments: int) -> np.n
 
 
 def _fill(segments: int):
+    def levels_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+        keys = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+        levels = np.searchsorted(LEVELS, batch.column(1).to_numpy(zero_copy_only=False), "right")
+        for level in range(1, int(levels.max(initial=0)) + 1):
+            yield offsets(keys[levels >= level], level, segments)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            levels = np.searchsorted(LEVELS, batch.column(1).to_numpy(zero_copy_only=False), "right")
-            for level in range(1, int(levels.max(initial=0)) + 1):
-                segment, inside = offsets(keys[levels >= level], level, segments)
-                order = np.argsort(segment, kind="stable")
-                for part in np.split(order, np.flatnonzero(np.diff(segment[order])) + 1):
-                    if len(part):
-                        bits = held.setdefault(
-                            int(segment[part[0]]), np.zeros(bloom.SEGMENT_BITS // 8, np.uint8))
-                        for offset in inside:
-                            at = offset[part]
-                            np.bitwise_or.at(bits, at >> np.uint64(3),
-                                             np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-        if held:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.int64()), pa.array([b.tobytes() for b in held.values()])],
-                ["segment", "bits"])
+        return bloom.filled(batches, segments, levels_of)
     return run
 
 
@@ -212,11 +200,7 @@ def train(docs: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame]:
     n_items = items.agg(F.sum(F.least(level, F.col("n"))).alias("n")).first()["n"] or 0
     segments = bloom.n_segments(int(n_items), BITS_PER_ITEM)
     segment = F.shiftright(F.col("key"), 40).bitwiseAND(F.lit(segments - 1))
-    bits = np.zeros(segments * bloom.SEGMENT_BITS // 8, np.uint8)
-    size = bloom.SEGMENT_BITS // 8
-    for row in items.repartition(segment).mapInArrow(
-            _fill(segments), "segment long, bits binary").toLocalIterator():
-        bits[row["segment"] * size:(row["segment"] + 1) * size] |= np.frombuffer(row["bits"], np.uint8)
+    bits = bloom.put_together(items, segment, segments, _fill(segments))
 
     # The least count of which all words at or above it fit the bound.
     by_count = words.groupBy(F.least(F.col("n"), F.lit(1000)).alias("c")).count().orderBy(F.desc("c")).collect()
