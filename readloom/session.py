@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 _local_folders: dict[str, str] = {}
+_app_folders: set[str] = set()
 _small_plans: dict[tuple[str, int, int], bool] = {}
 
 
@@ -45,6 +46,18 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def app_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder; it is removed when the driver's JVM ends."""
+    root = f"{shared_folder(spark)}/readloom/{spark.sparkContext.applicationId}"
+    if root not in _app_folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _app_folders.add(root)
+    return root
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """A bounded count: it never looks at more than ``max_rows`` + 1 rows.
 
@@ -66,7 +79,7 @@ def broadcast_if_small(df: DataFrame, bound: DataFrame | None = None) -> DataFra
 
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage of a table: write it to the shared folder and read it back."""
-    path = f"{shared_folder(df.sparkSession)}/readloom/cut-{uuid.uuid4().hex}"
+    path = f"{app_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -80,7 +93,7 @@ class Stages:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.root = f"{shared_folder(spark)}/readloom/{label}-{uuid.uuid4().hex[:12]}"
+        self.root = f"{app_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
         self._tables: dict[str, DataFrame] = {}
         self._files: set[str] = set()
 
@@ -98,7 +111,11 @@ class Stages:
         partition_by: tuple[str, ...] = (),
     ) -> DataFrame:
         if name not in self._tables:
-            build().write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
+            df = build()
+            if partition_by:
+                # Else every task writes a file for every value it meets.
+                df = df.hint("rebalance", *partition_by)
+            df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
             self._tables[name] = self.spark.read.parquet(self.path(name))
         return self._tables[name]
 

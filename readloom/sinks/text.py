@@ -13,9 +13,11 @@ from readloom.schemas import HIT_COLUMNS
 def _write_lines(
     df: DataFrame, line: Column, path: str, partition_by: Sequence[str], compression: str
 ) -> None:
-    df.select(*partition_by, line.alias("line")).write.partitionBy(*partition_by).text(
-        path, compression=compression
-    )
+    lines = df.select(*partition_by, line.alias("line"))
+    if partition_by:
+        # Else every task writes a file for every value it meets.
+        lines = lines.hint("rebalance", *partition_by)
+    lines.write.partitionBy(*partition_by).text(path, compression=compression)
 
 
 def partition_value(file: Column, name: str) -> Column:
