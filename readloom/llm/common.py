@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.session import shared_folder
+from readloom.session import app_folder
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -46,7 +46,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.root = f"{shared_folder(spark)}/readloom/{label}-{uuid.uuid4().hex[:12]}"
+        self.root = f"{app_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
         self.count = 0
 
     def write(self, df: DataFrame, large: bool = False) -> DataFrame:
