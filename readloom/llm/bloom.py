@@ -24,12 +24,16 @@ def n_segments(n_keys: int, bits_per_key: int, max_bits: int = MAX_BITS) -> int:
     return 1 << max(0, (wanted - 1).bit_length() - SEGMENT_BITS.bit_length() + 1)
 
 
+def offset(prints: np.ndarray, probe: int) -> np.ndarray:
+    """The bit inside its segment that a probe of a key looks at (keys are fingerprints: their bits are even)."""
+    step = ((prints >> np.uint64(16)) & np.uint64(0xFFFF)) | np.uint64(1)
+    return (prints + np.uint64(probe) * step) & np.uint64(SEGMENT_BITS - 1)
+
+
 def places(keys: np.ndarray, segments: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The segment of each key and its bits inside (keys are fingerprints: their bits are even)."""
+    """The segment of each key and its bits inside."""
     segment = (keys >> np.uint64(40)) & np.uint64(segments - 1)
-    first = keys & np.uint64(0xFFFF)
-    step = ((keys >> np.uint64(16)) & np.uint64(0xFFFF)) | np.uint64(1)
-    return segment, [(first + np.uint64(k) * step) & np.uint64(SEGMENT_BITS - 1) for k in range(PROBES)]
+    return segment, [offset(keys, probe) for probe in range(PROBES)]
 
 
 def contains(bits: np.ndarray, keys: np.ndarray, segments: int) -> np.ndarray:

@@ -105,14 +105,16 @@ class Model:
     n_distinct: int
     frequent: np.ndarray
     frequent_counts: np.ndarray
+    # What the filter answers for frequent words and for the mass behind them, asked once.
+    frequent_levels: np.ndarray
+    frequent_mass: np.ndarray
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         """Levels found before the first missing one."""
         levels = np.zeros(len(keys), np.int64)
         left = np.arange(len(keys))
         while len(left):
-            inside = holds(self.bits, keys[left], int(levels[left[0]]) + 1, self.segments)
-            left = left[inside]
+            left = left[holds(self.bits, keys[left], int(levels[left[0]]) + 1, self.segments)]
             levels[left] += 1
             left = left[levels[left] < len(LEVELS)]
         return levels
@@ -124,19 +126,24 @@ class Model:
         high = LEVELS[np.minimum(np.maximum(level, 1), len(LEVELS) - 1)] - 1
         return np.where(level > 0, np.sqrt(low * np.maximum(high, low).astype(float)), 0.0)
 
-    def log_probabilities(self, tokens: np.ndarray) -> np.ndarray:
-        context = np.append(END, tokens[:-1])
-        word, at = np.unique(np.concatenate((tokens, context)), return_inverse=True)
-        counts = self.count(word)[at]
-        own, before = counts[:len(tokens)], counts[len(tokens):]
-        mass_of, at = np.unique(mass_keys(context), return_inverse=True)
-        mass = self.count(mass_of)[at]
-        pair, at = np.unique(pair_keys(tokens), return_inverse=True)
-        together = self.count(pair)[at]
-        together[together < 2] = 0  # pairs of the filter were seen twice or more
+    def log_probabilities(self, tokens: np.ndarray, found: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Of texts in a row, each behind an end token: the last token of all is one, too.
+
+        ``found`` and ``at`` say which tokens are frequent words and where they stand among them.
+        """
+        own, mass = np.zeros(len(tokens)), np.zeros(len(tokens))
+        own[found], mass[found] = self.frequent_levels[at[found]], self.frequent_mass[at[found]]
+        rare, inverse = np.unique(tokens[~found], return_inverse=True)
+        own[~found], mass[~found] = self.count(rare)[inverse], self.count(mass_keys(rare))[inverse]
+        # Pairs of the filter were seen twice or more, so they have the second level.
+        pairs, together = pair_keys(tokens), np.zeros(len(tokens))
+        hit = holds(self.bits, pairs, 2, self.segments)
+        pair, inverse = np.unique(pairs[hit], return_inverse=True)
+        counts = self.count(pair)
+        together[hit] = np.where(counts < 2, 0, counts)[inverse]
         p = (own + 0.5) / (self.n_tokens + 0.5 * (self.n_distinct + 1))
-        before = np.maximum(before, 1)
-        share = np.minimum(DISCOUNT * mass / before, MOST_PAIRED)
+        before = np.maximum(np.roll(own, 1), 1)
+        share = np.minimum(DISCOUNT * np.roll(mass, 1) / before, MOST_PAIRED)
         paired = np.minimum(DISCOUNT * together / before, share)
         return np.log10(paired + (1 - share) * p)
 
@@ -149,13 +156,14 @@ def offsets(keys: np.ndarray, level, segments: int) -> tuple[np.ndarray, list[np
 
 
 def holds(bits: np.ndarray, keys: np.ndarray, level: int, segments: int) -> np.ndarray:
-    segment, inside = offsets(keys, level, segments)
-    base = segment * np.uint64(bloom.SEGMENT_BITS)
-    found = np.ones(len(keys), bool)
-    for offset in inside:
-        at = base + offset
-        found &= (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    return found
+    """Numbers of the keys the filter has at this level; a key is dropped at its first missing bit."""
+    base = ((keys >> np.uint64(40)) & np.uint64(segments - 1)) * np.uint64(bloom.SEGMENT_BITS)
+    print_ = item(keys, level)
+    left = np.arange(len(keys))
+    for probe in range(bloom.PROBES):
+        at = base[left] + bloom.offset(print_[left], probe)
+        left = left[(bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    return left
 
 
 def _fill(segments: int):
@@ -214,7 +222,10 @@ def train(docs: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame]:
     keys = np.zeros(0, np.uint64) if top is None else top["key"].to_numpy().view(np.uint64)
     counts = np.zeros(0, np.int64) if top is None else top["n"].to_numpy()
     order = np.argsort(keys)
-    return Model(bits, segments, int(totals["n"] or 0), int(totals["v"]), keys[order], counts[order]), words
+    keys, counts, none = keys[order], counts[order], np.zeros(0)
+    model = Model(bits, segments, int(totals["n"] or 0), int(totals["v"]), keys, counts, none, none)
+    model.frequent_levels, model.frequent_mass = model.count(keys), model.count(mass_keys(keys))
+    return model, words
 
 
 def _score(shared):
@@ -230,12 +241,12 @@ def _score(shared):
                 joined = np.concatenate(sets)
                 ends = np.cumsum([len(s) for s in sets])
                 start = np.append(0, ends[:-1])
-                # Each text begins after an end token, so one pass serves all texts of the portion.
-                scores = np.add.reduceat(model.log_probabilities(joined), start)
                 at = np.searchsorted(model.frequent, joined)
                 at[at == len(model.frequent)] = 0
                 found = (model.frequent[at] == joined) if len(model.frequent) else np.zeros(len(joined), bool)
                 count = np.where(found, model.frequent_counts[at], 0) if len(model.frequent) else found * 0
+                # Each text begins after an end token, so one pass serves all texts of the portion.
+                scores = np.add.reduceat(model.log_probabilities(joined, found, at), start)
                 known = np.add.reduceat(found.astype(np.int64), start)
                 logs = np.add.reduceat(np.where(found, np.log10(count + 0.5), 0.0), start)
                 for a, b in zip(start.tolist(), ends.tolist()):

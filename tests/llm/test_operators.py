@@ -270,7 +270,7 @@ def test_lm_filter_gives_counts_back():
         for offset in inside:
             at = segment * np.uint64(bloom.SEGMENT_BITS) + offset
             np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-    model = lm.Model(bits, segments, 1, 1, keys[:0], true[:0])
+    model = lm.Model(bits, segments, 1, 1, keys[:0], true[:0], true[:0], true[:0])
     found = model.level(keys)
     assert (found >= level).all() and (found == level).mean() > 0.95
 
