@@ -220,10 +220,13 @@ class Join:
         """``class``, ``component`` (its smallest class) for classes that link with another one."""
         lists = self.profiles.select("row", "n", "alone", F.posexplode("prefix").alias("k", "shingle")).select(
             "shingle", "row", "n", "alone", (F.col("alone") + F.col("k")).alias("pos"))
-        used = lists.groupBy("shingle").agg(F.count("*").alias("k")).where("k > 1").select("shingle")
+        # Counts per list are written, so that their joins have an exchange on both sides and may be split.
+        used = self.scratch.write(
+            lists.groupBy("shingle").agg(F.count("*").alias("k")).where("k > 1").select("shingle"))
         lists = self.scratch.write(lists.join(used, "shingle", "left_semi"))
-        hubs = lists.groupBy("shingle").agg(F.min(F.struct("alone", "row", "n", "pos")).alias("hub")).select(
-            "shingle", F.col("hub.row").alias("row2"), F.col("hub.n").alias("n2"), F.col("hub.pos").alias("pos2"))
+        hubs = lists.groupBy("shingle").agg(F.min(F.struct("alone", "row", "n", "pos")).alias("hub"))
+        hubs = self.scratch.write(hubs.select(
+            "shingle", F.col("hub.row").alias("row2"), F.col("hub.n").alias("n2"), F.col("hub.pos").alias("pos2")))
         pairs = lists.join(hubs, "shingle").where((F.col("row") != F.col("row2")) & may_link(self.rule))
         self._merge(self._links(pairs))
         # A hub has met its whole list.
@@ -241,9 +244,10 @@ class Join:
     def _apart(self, lists: DataFrame) -> DataFrame:
         """The lists that still hold more than one component, with the components."""
         labelled = self._labelled(lists)
-        split = labelled.groupBy("shingle").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        return self.scratch.write(labelled.join(split.select("shingle"), "shingle", "left_semi"))
+        split = self.scratch.write(labelled.groupBy("shingle").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"))
+            .where("low <> high").select("shingle"))
+        return self.scratch.write(labelled.join(split, "shingle", "left_semi"))
 
 
 def _joined(docs: DataFrame, rule: Threshold) -> tuple[DataFrame, DataFrame]:
