@@ -2,8 +2,10 @@
 
 Training counts words and word pairs in one shuffle. A count becomes a level of a coarse ladder, and the
 filter holds an n-gram once for each level up to its own; probing levels until one is missing gives the
-count back. The filter has a bounded size and travels to all workers. A pair's probability blends the pair
-with the word, by the share of its context that repeated pairs make up:
+count back. The filter grows with the number of n-grams. Up to ``bloom.MAX_BITS`` it travels to all workers;
+a larger one stays in parts of bounded size, and the n-grams of the texts are sent to the parts that hold
+them. Both ways give the same scores. A pair's probability blends the pair with the word, by the share of
+its context that repeated pairs make up:
 
     p(w | v) = D c(vw) / c(v) + (1 - D m(v) / c(v)) p(w),   m(v) = sum of c(vw) over pairs seen twice or more
 
@@ -35,6 +37,9 @@ BITS_PER_ITEM = 10
 MAX_FREQUENT = 1 << 19
 # Tokens a task counts before it hands on a table.
 COUNT_TOKENS = 1 << 21
+# Segments in one part of a filter that is not broadcast: 8 MB.
+PART_SEGMENTS = 1 << 10
+NO_PORTION = -1
 
 # Stands for the end of a text and for what precedes its first word.
 END = np.uint64(0x6C62272E07BB0142)
@@ -97,9 +102,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    """What workers need: the filter, totals, and the exact counts of frequent words."""
+    """What workers need: the filter (None if it stays in parts), totals, and the exact counts of frequent words."""
 
-    bits: np.ndarray
+    bits: np.ndarray | None
     segments: int
     n_tokens: int
     n_distinct: int
@@ -110,24 +115,13 @@ class Model:
     frequent_mass: np.ndarray
 
     def level(self, keys: np.ndarray) -> np.ndarray:
-        """Levels found before the first missing one."""
-        levels = np.zeros(len(keys), np.int64)
-        left = np.arange(len(keys))
-        while len(left):
-            left = left[holds(self.bits, keys[left], int(levels[left[0]]) + 1, self.segments)]
-            levels[left] += 1
-            left = left[levels[left] < len(LEVELS)]
-        return levels
+        return levels(self.bits, keys, self.segments)
 
     def count(self, keys: np.ndarray) -> np.ndarray:
-        """Counts as the ladder gives them back: the middle of a step, in proportion."""
-        level = self.level(keys)
-        low = LEVELS[np.maximum(level, 1) - 1]
-        high = LEVELS[np.minimum(np.maximum(level, 1), len(LEVELS) - 1)] - 1
-        return np.where(level > 0, np.sqrt(low * np.maximum(high, low).astype(float)), 0.0)
+        return counts_of(self.level(keys))
 
-    def log_probabilities(self, tokens: np.ndarray, found: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Of texts in a row, each behind an end token: the last token of all is one, too.
+    def filter_counts(self, tokens: np.ndarray, found: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What the filter gives for each token, for the mass behind it, and for its pair.
 
         ``found`` and ``at`` say which tokens are frequent words and where they stand among them.
         """
@@ -139,8 +133,12 @@ class Model:
         pairs, together = pair_keys(tokens), np.zeros(len(tokens))
         hit = holds(self.bits, pairs, 2, self.segments)
         pair, inverse = np.unique(pairs[hit], return_inverse=True)
-        counts = self.count(pair)
-        together[hit] = np.where(counts < 2, 0, counts)[inverse]
+        together[hit] = self.count(pair)[inverse]
+        return own, mass, together
+
+    def log_probabilities(self, own: np.ndarray, mass: np.ndarray, together: np.ndarray) -> np.ndarray:
+        """Of texts in a row, each behind an end token: the last token of all is one, too."""
+        together = np.where(together < 2, 0, together)
         p = (own + 0.5) / (self.n_tokens + 0.5 * (self.n_distinct + 1))
         before = np.maximum(np.roll(own, 1), 1)
         share = np.minimum(DISCOUNT * np.roll(mass, 1) / before, MOST_PAIRED)
@@ -148,16 +146,42 @@ class Model:
         return np.log10(paired + (1 - share) * p)
 
 
+def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
+    """From the lower half, in which both words of a pair have their part: pairs of one word are spread, too."""
+    return (keys >> np.uint64(8)) & np.uint64(segments - 1)
+
+
+def segment_column(key: F.Column, segments: int) -> F.Column:
+    return F.shiftright(key, 8).bitwiseAND(F.lit(segments - 1))
+
+
+def levels(bits: np.ndarray, keys: np.ndarray, segments: int) -> np.ndarray:
+    """Levels found before the first missing one."""
+    found = np.zeros(len(keys), np.int64)
+    left = np.arange(len(keys))
+    while len(left):
+        left = left[holds(bits, keys[left], int(found[left[0]]) + 1, segments)]
+        found[left] += 1
+        left = left[found[left] < len(LEVELS)]
+    return found
+
+
+def counts_of(level: np.ndarray) -> np.ndarray:
+    """Counts as the ladder gives them back: the middle of a step, in proportion."""
+    low = LEVELS[np.maximum(level, 1) - 1]
+    high = LEVELS[np.minimum(np.maximum(level, 1), len(LEVELS) - 1)] - 1
+    return np.where(level > 0, np.sqrt(low * np.maximum(high, low).astype(float)), 0.0)
+
+
 def offsets(keys: np.ndarray, level, segments: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """A key keeps all its levels in one segment, which one task can fill."""
-    segment, _ = bloom.places(keys, segments)
     _, inside = bloom.places(item(keys, level), segments)
-    return segment, inside
+    return segment_of(keys, segments), inside
 
 
 def holds(bits: np.ndarray, keys: np.ndarray, level: int, segments: int) -> np.ndarray:
     """Numbers of the keys the filter has at this level; a key is dropped at its first missing bit."""
-    base = ((keys >> np.uint64(40)) & np.uint64(segments - 1)) * np.uint64(bloom.SEGMENT_BITS)
+    base = segment_of(keys, segments) * np.uint64(bloom.SEGMENT_BITS)
     print_ = item(keys, level)
     left = np.arange(len(keys))
     for probe in range(bloom.PROBES):
@@ -166,18 +190,106 @@ def holds(bits: np.ndarray, keys: np.ndarray, level: int, segments: int) -> np.n
     return left
 
 
+def _places(batch_keys: pa.Array, counts: pa.Array, segments: int) -> Iterator[tuple]:
+    """Segments and bits of all levels of keys with these counts."""
+    keys = batch_keys.to_numpy(zero_copy_only=False).view(np.uint64)
+    level = np.searchsorted(LEVELS, counts.to_numpy(zero_copy_only=False), "right")
+    for k in range(1, int(level.max(initial=0)) + 1):
+        yield offsets(keys[level >= k], k, segments)
+
+
 def _fill(segments: int):
-    def levels_of(batch: pa.RecordBatch) -> Iterator[tuple]:
-        keys = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        levels = np.searchsorted(LEVELS, batch.column(1).to_numpy(zero_copy_only=False), "right")
-        for level in range(1, int(levels.max(initial=0)) + 1):
-            yield offsets(keys[levels >= level], level, segments)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return bloom.filled(
+            batches, segments, lambda batch: _places(batch.column(0), batch.column(1), segments))
+    return run
+
+
+def _asks(segments: int, part_segments: int):
+    """The distinct keys that the texts of a portion ask for, by the part of the filter they lie in."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            portion = batch.column(0).to_numpy(zero_copy_only=False)
+            cut = np.flatnonzero(np.diff(portion)) + 1
+            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(portion)]):
+                texts = [t or b"" for t in batch.column(1).slice(a, b - a).cast(pa.binary()).to_pylist()]
+                if not texts:
+                    continue
+                tokens = np.concatenate(token_keys(texts))
+                words = np.unique(tokens)
+                keys = np.concatenate([words, mass_keys(words), np.unique(pair_keys(tokens))])
+                part = (segment_of(keys, segments) // np.uint64(part_segments)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                own, first = np.unique(part[order], return_index=True)
+                lists = [x.tobytes() for x in np.split(keys[order], first[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own), pa.array([int(portion[a])] * len(own), pa.int64()),
+                     pa.array(lists, pa.binary())], ["part", "portion", "keys"])
+    return run
+
 
+def _answers(segments: int, part_segments: int):
+    """Fills a part of the filter with the items that come first, then answers what is asked of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return bloom.filled(batches, segments, levels_of)
+        # A part has the segments whose numbers agree but for the lowest bits, so it is a filter by itself.
+        bits, held = np.zeros(part_segments * bloom.SEGMENT_BITS // 8, np.uint8), None
+        for batch in batches:
+            part = batch.column(0).to_numpy(zero_copy_only=False)
+            is_ask = batch.column(1).to_numpy(zero_copy_only=False) != NO_PORTION
+            cut = np.flatnonzero((np.diff(part) != 0) | (np.diff(is_ask) != 0)) + 1
+            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(part)]):
+                if a == b:
+                    continue
+                if part[a] != held:
+                    bits[:], held = 0, part[a]
+                own = batch.slice(a, b - a)
+                if not is_ask[a]:
+                    for segment, inside in _places(own.column(2), own.column(3), part_segments):
+                        base = segment * np.uint64(bloom.SEGMENT_BITS)
+                        for offset in inside:
+                            at = base + offset
+                            np.bitwise_or.at(
+                                bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+                    continue
+                lists = [np.frombuffer(k, np.uint64) for k in own.column(4).to_pylist()]
+                keys = np.concatenate(lists)
+                row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+                # Pairs without the second level count as unseen.
+                maybe = keys & PAIR == 0
+                pairs = np.flatnonzero(~maybe)
+                maybe[pairs[holds(bits, keys[pairs], 2, part_segments)]] = True
+                keys, row = keys[maybe], row[maybe]
+                level = levels(bits, keys, part_segments)
+                keys, row, level = keys[level > 0], row[level > 0], level[level > 0].astype(np.uint8)
+                ends = np.searchsorted(row, np.arange(1, len(lists)))
+                yield pa.RecordBatch.from_arrays(
+                    [own.column(1), pa.array([x.tobytes() for x in np.split(keys, ends)], pa.binary()),
+                     pa.array([x.tobytes() for x in np.split(level, ends)], pa.binary())],
+                    ["portion", "keys", "levels"])
     return run
 
 
+def answered(items: DataFrame, texts: DataFrame, segments: int, part_segments: int | None = None) -> DataFrame:
+    """What a filter of any size says of the texts of each portion: (portion, keys, levels), missing keys left out.
+
+    ``items`` are (key, n), ``texts`` (portion, text). A task holds one part of the filter at a time; the number
+    of parts follows the number of items, so what is asked of a part does not grow with the corpus.
+    """
+    part_segments = min(part_segments or PART_SEGMENTS, segments)
+    n_parts = segments // part_segments
+    asks = texts.select("portion", "text").mapInArrow(
+        _asks(segments, part_segments), "part long, portion long, keys binary")
+    none = F.lit(None)
+    both = items.select(
+        F.floor(segment_column(F.col("key"), segments) / F.lit(part_segments)).cast("long").alias("part"),
+        F.lit(NO_PORTION).cast("long").alias("portion"), "key", "n", none.cast("binary").alias("keys"),
+    ).unionByName(asks.select(
+        "part", "portion", F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("n"), "keys"))
+    tasks = max(n_parts, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return both.repartition(tasks, "part").sortWithinPartitions("part", "portion").mapInArrow(
+        _answers(segments, part_segments), "portion long, keys binary, levels binary")
+
+
 def _mass_key(pair: F.Column) -> F.Column:
     """Upper halves only; the worker that fills the filter turns them into mass keys."""
     return F.shiftright(pair, 32)
@@ -190,8 +302,8 @@ def _mass_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             [pa.array(mass_keys(upper).view(np.int64)), batch.column(1)], ["key", "n"])
 
 
-def train(docs: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame]:
-    """The model of the texts, and the exact word counts (key, n)."""
+def train(docs: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame, DataFrame]:
+    """The model of the texts, the exact word counts (key, n), and what the filter holds (key, n)."""
     spark = docs.sparkSession
     counted = docs.select(F.lit(0).alias("row"), "text").mapInArrow(_count, "key long, n long")
     is_pair = F.col("key").bitwiseAND(F.lit(1)) == 1
@@ -206,9 +318,10 @@ def train(docs: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame]:
     items = grams.unionByName(mass)
     level = F.lit(1) + F.floor(F.log("n") / F.lit(float(np.log(LADDER_STEP)))).cast("long")
     n_items = items.agg(F.sum(F.least(level, F.col("n"))).alias("n")).first()["n"] or 0
-    segments = bloom.n_segments(int(n_items), BITS_PER_ITEM)
-    segment = F.shiftright(F.col("key"), 40).bitwiseAND(F.lit(segments - 1))
-    bits = bloom.put_together(items, segment, segments, _fill(segments))
+    segments = bloom.n_segments(int(n_items), BITS_PER_ITEM, max_bits=1 << 62)
+    bits = None
+    if segments * bloom.SEGMENT_BITS <= bloom.MAX_BITS:
+        bits = bloom.put_together(items, segment_column(F.col("key"), segments), segments, _fill(segments))
 
     # The least count of which all words at or above it fit the bound.
     by_count = words.groupBy(F.least(F.col("n"), F.lit(1000)).alias("c")).count().orderBy(F.desc("c")).collect()
@@ -224,8 +337,50 @@ def train(docs: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame]:
     order = np.argsort(keys)
     keys, counts, none = keys[order], counts[order], np.zeros(0)
     model = Model(bits, segments, int(totals["n"] or 0), int(totals["v"]), keys, counts, none, none)
-    model.frequent_levels, model.frequent_mass = model.count(keys), model.count(mass_keys(keys))
-    return model, words
+    if bits is not None:
+        model.frequent_levels, model.frequent_mass = model.count(keys), model.count(mass_keys(keys))
+    return model, words, items
+
+
+SCORED = ("row long, n_tokens long, known long, logs double, score double, keys array<long>, times array<long>, "
+          "doc_id long, held_out boolean")
+
+
+def _scored(model: Model, rows: list, texts: list[bytes], carried: list, asked: dict | None) -> pa.RecordBatch:
+    """Scores of a portion of texts. ``asked``: counts by key, where the filter is not in the model."""
+    others, times = [], []
+    sets = token_keys(texts)
+    joined = np.concatenate(sets)
+    ends = np.cumsum([len(s) for s in sets])
+    start = np.append(0, ends[:-1])
+    at = np.searchsorted(model.frequent, joined)
+    at[at == len(model.frequent)] = 0
+    found = (model.frequent[at] == joined) if len(model.frequent) else np.zeros(len(joined), bool)
+    count = np.where(found, model.frequent_counts[at], 0) if len(model.frequent) else found * 0
+    if asked is None:
+        counts = model.filter_counts(joined, found, at)
+    else:
+        counts = [_looked_up(k, **asked) for k in (joined, mass_keys(joined), pair_keys(joined))]
+    # Each text begins after an end token, so one pass serves all texts of the portion.
+    scores = np.add.reduceat(model.log_probabilities(*counts), start)
+    known = np.add.reduceat(found.astype(np.int64), start)
+    logs = np.add.reduceat(np.where(found, np.log10(count + 0.5), 0.0), start)
+    for a, b in zip(start.tolist(), ends.tolist()):
+        key, n = np.unique(joined[a:b][~found[a:b]], return_counts=True)
+        others.append(key.view(np.int64))
+        times.append(n)
+    return pa.RecordBatch.from_arrays([
+        pa.array(rows, pa.int64()), pa.array(ends - start), pa.array(known), pa.array(logs),
+        pa.array(scores), pa.array(others, pa.list_(pa.int64())),
+        pa.array(times, pa.list_(pa.int64())), *carried],
+        ["row", "n_tokens", "known", "logs", "score", "keys", "times", "doc_id", "held_out"])
+
+
+def _looked_up(wanted: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    if not len(keys):
+        return np.zeros(len(wanted))
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, counts[at], 0.0)
 
 
 def _score(shared):
@@ -234,33 +389,42 @@ def _score(shared):
         for batch in batches:
             at_row = 0
             for rows, texts in portions(batch):
-                others, times = [], []
                 carried = [batch.column(k).slice(at_row, len(rows)) for k in (2, 3)]
                 at_row += len(rows)
-                sets = token_keys(texts)
-                joined = np.concatenate(sets)
-                ends = np.cumsum([len(s) for s in sets])
-                start = np.append(0, ends[:-1])
-                at = np.searchsorted(model.frequent, joined)
-                at[at == len(model.frequent)] = 0
-                found = (model.frequent[at] == joined) if len(model.frequent) else np.zeros(len(joined), bool)
-                count = np.where(found, model.frequent_counts[at], 0) if len(model.frequent) else found * 0
-                # Each text begins after an end token, so one pass serves all texts of the portion.
-                scores = np.add.reduceat(model.log_probabilities(joined, found, at), start)
-                known = np.add.reduceat(found.astype(np.int64), start)
-                logs = np.add.reduceat(np.where(found, np.log10(count + 0.5), 0.0), start)
-                for a, b in zip(start.tolist(), ends.tolist()):
-                    key, n = np.unique(joined[a:b][~found[a:b]], return_counts=True)
-                    others.append(key.view(np.int64))
-                    times.append(n)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(rows, pa.int64()), pa.array(ends - start), pa.array(known), pa.array(logs),
-                    pa.array(scores), pa.array(others, pa.list_(pa.int64())),
-                    pa.array(times, pa.list_(pa.int64())), *carried],
-                    ["row", "n_tokens", "known", "logs", "score", "keys", "times", "doc_id", "held_out"])
+                yield _scored(model, rows, texts, carried, None)
+    return run
+
+
+def _in_portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every row with the number of the first row of its portion."""
+    for batch in batches:
+        portion = [rows[0] for rows, _ in portions(batch) for _ in rows]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(portion, pa.int64()), *batch.columns], ["portion", *batch.schema.names])
+
+
+def _score_portion(shared):
+    def run(own: pa.Table, answers: pa.Table) -> pa.Table:
+        keys = np.frombuffer(b"".join(answers["keys"].to_pylist()), np.uint64)
+        level = np.frombuffer(b"".join(answers["levels"].to_pylist()), np.uint8)
+        keys, first = np.unique(keys, return_index=True)
+        asked = {"keys": keys, "counts": counts_of(level[first].astype(np.int64))}
+        texts = [t or b"" for t in own["text"].cast(pa.binary()).to_pylist()]
+        carried = [own[c].combine_chunks() for c in ("doc_id", "held_out")]
+        return pa.Table.from_batches([_scored(
+            Model(**shared.value), own["row"].to_pylist(), texts, carried, asked)])
     return run
 
 
+def _scored_by_parts(rows: DataFrame, items: DataFrame, model: Model, shared, scratch: Scratch) -> DataFrame:
+    """Scores from a filter that stays in parts: texts ask in portions, and each portion meets its answers."""
+    texts = scratch.write(rows.mapInArrow(
+        _in_portions, "portion long, row long, text string, doc_id long, held_out boolean"))
+    answers = scratch.write(answered(items, texts, model.segments), large=True)
+    return texts.groupBy("portion").cogroup(answers.groupBy("portion")).applyInArrow(
+        _score_portion(shared), SCORED)
+
+
 def score(docs: DataFrame) -> DataFrame:
     """One row per document: held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -275,12 +439,12 @@ def score(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), "text", F.col("doc_id").cast("long").alias("doc_id"),
         held.alias("held_out"))
-    model, words = train(docs.where(~held), scratch)
+    model, words, items = train(docs.where(~held), scratch)
     shared = spark.sparkContext.broadcast(vars(model))
-    scored = scratch.write(rows.mapInArrow(
-        _score(shared),
-        "row long, n_tokens long, known long, logs double, score double, keys array<long>, times array<long>, "
-        "doc_id long, held_out boolean"))
+    if model.bits is None:
+        scored = scratch.write(_scored_by_parts(rows, items, model, shared, scratch), large=True)
+    else:
+        scored = scratch.write(rows.mapInArrow(_score(shared), SCORED))
     rare = scored.select("row", F.explode(F.arrays_zip("keys", "times")).alias("t")).select(
         "row", F.col("t.keys").alias("key"), F.col("t.times").alias("times"))
     extra = rare.join(words, "key", "left").groupBy("row").agg(

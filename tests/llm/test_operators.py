@@ -275,6 +275,42 @@ def test_lm_filter_gives_counts_back():
     assert (found >= level).all() and (found == level).mean() > 0.95
 
 
+def test_lm_filter_in_parts_gives_the_same_scores(docs, monkeypatch):
+    from readloom.llm import bloom
+
+    whole = collections.Counter((*r[:5], round(r["base_score"], 6), round(r["score"], 6)) for r in lm.score(docs).collect())
+    monkeypatch.setattr(bloom, "MAX_BITS", 1)
+    asked = []
+    monkeypatch.setattr(lm, "answered", lambda *a, f=lm.answered: asked.append(a) or f(*a, part_segments=1))
+    parts = collections.Counter((*r[:5], round(r["base_score"], 6), round(r["score"], 6)) for r in lm.score(docs).collect())
+    assert parts == whole and asked
+
+
+def test_lm_filter_larger_than_a_broadcast_keeps_its_error(spark, monkeypatch):
+    """Many pairs of few first words, more items than the bound has room for: absent pairs stay absent."""
+    from readloom.llm import bloom
+
+    monkeypatch.setattr(bloom, "MAX_BITS", 1 << 17)
+    rng = random.Random(8)
+    train = [" ".join(f"{rng.choice('abc')} x{rng.randrange(6000)}" for _ in range(4000)) for _ in range(12)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(train)], "doc_id long, text string")
+    model, _, items = lm.train(docs, Scratch(spark, "lm-test"))
+    n_items = sum(int(np.searchsorted(lm.LEVELS, r["n"], "right")) for r in items.collect())
+    assert model.bits is None and model.segments * bloom.SEGMENT_BITS >= lm.BITS_PER_ITEM * n_items > 1 << 17
+    absent = " ".join(f"{rng.choice('abc')} y{k}" for k in range(20000))
+    asks = spark.createDataFrame([(0, absent), (1, train[0])], "portion long, text string")
+    found = collections.defaultdict(dict)
+    for r in lm.answered(items, asks, model.segments, 2).collect():
+        found[r["portion"]] |= dict(zip(np.frombuffer(r["keys"], "<u8").tolist(), r["levels"]))
+    true = {r["key"] % 2**64: int(np.searchsorted(lm.LEVELS, r["n"], "right")) for r in items.collect()}
+    keys = [np.unique(lm.pair_keys(lm.token_keys([t.encode()])[0])) for t in (absent, train[0])]
+    wrong = np.mean([found[0].get(k, 0) > 0 for k in keys[0].tolist() if k not in true])
+    assert wrong < 0.03
+    seen = [k for k in keys[1].tolist() if k in true]
+    assert seen and all(found[1][k] >= true[k] for k in seen)
+    assert np.mean([found[1][k] == true[k] for k in seen]) > 0.95
+
+
 def test_decontamination(spark, docs):
     rng = random.Random(9)
     items = [(k, f"{prose(rng, rng.randrange(6, 60), 5000)}. {prose(rng, 6, 5000)}.") for k in range(80)]
