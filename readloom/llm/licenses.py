@@ -1,8 +1,9 @@
 """Sentence-rule licence recognition.
 
-A text is cut into sentences; each is normalised and looked up among known licence sentences; what
-remains is a short sequence of identifiers, matched against ordered rules. All of it is a column
-expression over one row: no shuffle, no Python.
+A text is normalised to words with two marks between them: sentence ends, and line breaks, which may end a
+sentence or lie inside one. Known licence sentences are looked for from mark to mark; what remains is a short
+sequence of identifiers, matched against ordered rules. All of it is a column expression over one row: no
+shuffle, no Python.
 """
 
 from __future__ import annotations
@@ -64,6 +65,21 @@ SENTENCES = {
     "reserved": ["All rights reserved"],
 }
 
+# Sentences that differ from one above in a later part only. They stand apart because the SQL, which compares
+# first parts, is made from SENTENCES and RULES.
+VERSIONS = {
+    "gpl2-redistribute": ["This program is free software; you can redistribute it and/or modify it under the "
+                          "terms of the GNU General Public License as published by the Free Software Foundation; "
+                          "either version 2 of the License, or (at your option) any later version"],
+    "agpl3-redistribute": ["This program is free software: you can redistribute it and/or modify it under the "
+                           "terms of the GNU Affero General Public License as published by the Free Software "
+                           "Foundation, either version 3 of the License, or (at your option) any later version"],
+}
+VERSION_RULES = [
+    ("GPL-2.0-or-later", ["gpl2-redistribute", "gpl-warranty"]),
+    ("AGPL-3.0-or-later", ["agpl3-redistribute", "gpl-warranty"]),
+]
+
 # A licence and the identifiers that must follow one another, in order; the more specific rules come first.
 RULES = [
     ("MIT", ["mit-grant", "mit-notice", "as-is-mit"]),
@@ -83,7 +99,7 @@ RULES = [
     ("LicenseRef-reserved", ["reserved"]),
 ]
 
-# Sentence boundaries: end marks before a separator or the end, and line breaks.
+# Sentence boundaries: end marks before a separator or the end.
 BOUNDARY = r"[.!?;:]+([ \t-\r]|$)"
 # Each known sentence holds one of these, so a text without any of them has no licence sentence.
 CUES = ["licen", "permission", "copyright", "provided", "redistribut", "in no event", "apache", "reserved",
@@ -95,25 +111,54 @@ def normalised(sentence: str) -> str:
 
 
 def known_sentences() -> dict[str, str]:
-    """Normalised form to identifier. Splitting at marks inside a sentence is undone by listing its parts."""
+    """Normalised first part to identifier: what the SQL of the query compares with one-line sentences."""
     known = {}
     for name, forms in SENTENCES.items():
         for form in forms:
-            parts = [normalised(p) for p in re.sub(r"[.!?;:]+([ \t-\r]|$)", "\n", form).split("\n")]
-            parts = [p for p in parts if p]
-            known[parts[0]] = name
+            known[sentence_parts(form)[0]] = name
     return known
 
 
+def sentence_parts(form: str) -> list[str]:
+    """The normalised pieces between the end marks inside a sentence."""
+    parts = [normalised(p) for p in re.sub(r"[.!?;:]+([ \t-\r]|$)", "\n", form).split("\n")]
+    return [p for p in parts if p]
+
+
+def whole_sentences() -> dict[str, str]:
+    """Normalised form, all parts joined by END, to identifier."""
+    return {END.join(sentence_parts(form)): name
+            for name, forms in (SENTENCES | VERSIONS).items() for form in forms}
+
+
+# Marks in lower-cased text: a sentence end, and a line break that may be one.
+END, BREAK = "E", "B"
+# A blank line, maybe behind comment marks, ends a sentence; a line's leading comment marks go with its break.
+MARKS = [
+    (r"\r\n?|[\x0B\x0C]", "\n"),
+    (r"\n(?:[^a-z0-9\n]*\n)+[^a-z0-9\n]*", f" {END} "),
+    (r"\n[^a-z0-9\n]*(?:(?:rem|dnl)[ \t]+)?", f" {BREAK} "),
+    (BOUNDARY, f" {END} "),
+    (f"[^a-z0-9{END}{BREAK}]+", " "),
+    (f"[ {BREAK}]*{END}[ {END}{BREAK}]*", END),
+    (f"[ {BREAK}]*{BREAK}[ {BREAK}]*", BREAK),
+]
+
+
 def identifiers(text: Column) -> Column:
     """The identifiers of the known sentences of a text, in their order."""
-    known = known_sentences()
+    known = whole_sentences()
     names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    sentences = F.split(F.regexp_replace(ascii_lower(text), BOUNDARY, "\n"), "\n")
-    plain = F.transform(sentences, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    found = F.filter(plain, lambda s: s.isin(list(known)))
-    ids = F.transform(found, lambda s: F.element_at(names, s))
-    cue = ascii_lower(text).rlike("|".join(CUES))
+    # Longer forms first, so that none is taken for its beginning.
+    forms = "|".join(f.replace(" ", f"[ {BREAK}]") for f in sorted(known, key=len, reverse=True))
+    pattern = f"(?<=[{END}{BREAK}])(?:{forms})(?=[{END}{BREAK}])"
+    marked = ascii_lower(text)
+    for regex, mark in MARKS:
+        marked = F.regexp_replace(marked, regex, mark)
+    marked = F.concat(F.lit(END), F.trim(marked), F.lit(END))
+    found = F.regexp_extract_all(marked, F.lit(pattern), F.lit(0))
+    ids = F.transform(found, lambda s: F.element_at(names, F.translate(s, BREAK, " ")))
+    cue = ascii_lower(text).rlike("|".join(CUES).replace(" ", r"[^a-z0-9]+"))
     return F.when(cue, ids).otherwise(F.array().cast("array<string>"))
 
 
@@ -125,7 +170,7 @@ def licence_names(ids: Column) -> Column:
     """
     rest = F.concat(F.lit(" "), F.array_join(F.transform(ids, lambda x: F.concat(x, F.lit(" "))), " "))
     state = F.struct(rest.alias("rest"), F.array().cast("array<string>").alias("found"))
-    for licence, sequence in RULES:
+    for licence, sequence in VERSION_RULES + RULES:
         state = let(state, _rule_step(licence, " " + "  ".join(sequence) + " "))
     return F.array_distinct(state["found"])
 
@@ -142,8 +187,9 @@ def _rule_step(licence: str, pattern: str) -> Callable[[Column], Column]:
 def license_scan(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_sentences, sentence_ids, licenses (both joined by commas).
 
-    Null and empty texts have no sentence and no licence. A sentence counts as often as it occurs; a
-    licence is named once. Repeated rows give repeated rows, an empty table an empty one.
+    Null and empty texts have no sentence and no licence. A sentence may be wrapped over lines, with comment
+    marks before each, and counts only with all its parts. It counts as often as it occurs; a licence is
+    named once. Repeated rows give repeated rows, an empty table an empty one.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     found = docs.select("doc_id", let(identifiers(text), lambda ids: F.struct(

@@ -452,6 +452,37 @@ def test_licence_rules_need_their_order(spark):
     assert found == {0: "MIT", 1: "", 2: "BSD-3-Clause", 3: "BSD-2-Clause", 4: "", 5: "", 6: "MIT,BSD-3-Clause"}
 
 
+def test_wrapped_licence_sentences(spark):
+    import textwrap
+
+    s = licenses.SENTENCES | licenses.VERSIONS
+    whole = {
+        "MIT": [". ".join(s[k][0] for k in ("mit-grant", "mit-notice", "as-is-mit")) + "."],
+        "ISC": [s["isc-grant"][0] + "."],
+        "BSD-3-Clause": [s["bsd-redistribution"][0] + ":", *(
+            f"{k}. {s[name][0]}." for k, name in enumerate(("bsd-source", "bsd-binary", "bsd-endorse"), 1))],
+        "GPL-3.0-or-later": [s["gpl-redistribute"][0] + ".", s["gpl-warranty"][0] + ".  See the licence."],
+        "GPL-2.0-or-later": [s["gpl2-redistribute"][0] + ".", s["gpl-warranty"][0] + "."],
+        "AGPL-3.0-or-later": [s["agpl3-redistribute"][0] + ".", s["gpl-warranty"][0] + "."],
+    }
+    expected, rows = {}, []
+    for licence, paragraphs in whole.items():
+        for width, mark in ((10**6, ""), (72, ""), (40, "# "), (60, " * "), (50, "// "), (45, ";; "), (48, "dnl ")):
+            lines = "\n\n".join("\n".join(textwrap.wrap(p, width)) for p in ["Copyright 2020 X", *paragraphs]).split("\n")
+            for end in ("\n", "\r\n"):
+                expected[len(rows)] = licence
+                rows.append((len(rows), "def f(): pass\n" + end.join((mark + x).rstrip() for x in lines)))
+    for text in ("This program is free software: it is fun.", s["gpl-redistribute"][0].replace("version 3", "version 9"),
+                 s["isc-grant"][0].replace("fee is", "fee\n\nis")):
+        expected[len(rows)] = ""
+        rows.append((len(rows), text))
+    expected[len(rows)] = "CC-BY-4.0"
+    rows.append((len(rows), "no mark at the end\nLicensed under CC BY 4.0\nnor here"))
+    found = {r["doc_id"]: r["licenses"] for r in licenses.license_scan(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == expected
+
+
 @pytest.mark.parametrize("operator", [
     suffix.repeat_report, recompression.repeat_report, jaccard.near_duplicates, packing.pack_documents,
     lm.score, sharding.shard_plan, quality.quality_report, licenses.license_scan, quality.clean,
