@@ -3,7 +3,8 @@
 The test items are the indexed side, the corpus asks: each passage of each document is a query, and every
 item that scores above the threshold is retrieved. Scores are parts of what the item scores with itself,
 so one threshold serves short and long items. What is retrieved counts as a leak when the passage also
-holds enough word n-grams of the item's question and of its answer.
+holds enough word n-grams of the item's question and of its answer. The n-grams of a short part are shorter,
+so that one changed word never takes away more than the rule allows.
 
 The index of one block of items is broadcast (at most BLOCK_BYTES of item text); more blocks mean more scans
 of the corpus. Documents are never shuffled.
@@ -55,6 +56,18 @@ def layout(texts: list[str]) -> tuple[Units, np.ndarray]:
     return units, word_names(units)
 
 
+def part_ngram(n_words: int, rule: LeakRule) -> int:
+    """The longest n-grams, up to the rule's, of which a part still has its share when one word changes."""
+    return max(1, min(rule.ngram, int((1 - rule.overlap) * (n_words + 1) / (2 - rule.overlap) + 1e-9)))
+
+
+def grams_in_order(names: np.ndarray, n: int) -> np.ndarray:
+    out = np.full(max(len(names) - n + 1, 0), n, np.uint64)
+    for k in range(n):
+        out = mix(out * np.uint64(31) + names[k:k + len(out)])
+    return out
+
+
 def question_and_answer(text: str) -> tuple[str, str]:
     """The last sentence answers what the others ask; a single sentence is cut in halves."""
     sentences = [s for s in SENTENCE_END.split(text.strip()) if s]
@@ -64,17 +77,6 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return " ".join(words[:len(words) // 2]), " ".join(words[len(words) // 2:])
 
 
-def grams(names: np.ndarray, n: int) -> np.ndarray:
-    """Distinct n-grams; all words together if there are fewer."""
-    n = min(n, len(names))
-    if not n:
-        return np.zeros(0, np.uint64)
-    out = np.full(len(names) - n + 1, n, np.uint64)
-    for k in range(n):
-        out = mix(out * np.uint64(31) + names[k:len(names) - n + 1 + k])
-    return np.unique(out)
-
-
 class Index:
     """Postings of the items of one length class, with the greatest weight of each block of postings."""
 
@@ -191,7 +193,7 @@ class Index:
             words = names[span[p, 0]:span[p, 1]]
             for entry, score in hits:
                 question, answer = (self._share(part, words) for part in self.parts[entry])
-                if min(question, answer) >= self.rule.overlap:
+                if self._leaked(self.parts[entry], (question, answer)):
                     items = result.setdefault(doc[p], {})
                     before = items.get(self.ids[entry])
                     if before is None or (score, question, answer) > before:
@@ -216,12 +218,34 @@ class Index:
         yield from zip(passage[head].tolist(), head.tolist(), tail.tolist())
 
     def _share(self, part: np.ndarray, words: np.ndarray) -> float:
-        """Part of the n-grams of ``part`` that the words have; 1 if it has none."""
-        own = grams(part, self.rule.ngram)
-        if not len(own):
+        """Part of the n-grams of ``part`` that the words have; 1 if it has none.
+
+        Shorter n-grams than the rule's could be met anywhere, so they have to lie together, in as many words
+        as the part has and one more.
+        """
+        if not len(part):
             return 1.0
-        n = min(self.rule.ngram, len(part))
-        return float(np.isin(own, grams(words, n)).mean()) if len(words) >= n else 0.0
+        n = part_ngram(len(part), self.rule)
+        own, held = grams_in_order(part, n), grams_in_order(words, n)
+        if not len(held):
+            return 0.0
+        if n == self.rule.ngram:
+            return float(np.isin(own, held).mean())
+        seen = np.cumsum(own[:, None] == held, axis=1)
+        width = len(own) + 1
+        if width < len(held):
+            seen = np.column_stack([seen[:, width - 1], seen[:, width:] - seen[:, :-width]])
+        else:
+            seen = seen[:, -1:]
+        return float((seen > 0).mean(axis=0).max())
+
+    def _leaked(self, parts: list[np.ndarray], shares: tuple[float, float]) -> bool:
+        """Both parts have their share, or one word of one or two has changed and the other part is whole."""
+        if min(shares) >= self.rule.overlap - 1e-9:
+            return True
+        return any(
+            len(parts[k]) <= 2 and shares[k] >= (len(parts[k]) - 1) / len(parts[k]) and shares[1 - k] == 1
+            and len(parts[1 - k]) > 2 for k in (0, 1) if len(parts[k]))
 
 
 def indexes(items: list[tuple[int, str]], rule: LeakRule) -> list[Index]:

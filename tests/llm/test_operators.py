@@ -327,6 +327,24 @@ def test_decontamination(spark, docs):
     assert clean.columns == table.columns and clean.count() == table.count() - 3
 
 
+def test_one_changed_word_hides_no_item():
+    rng = random.Random(12)
+    items = [(k, f"{prose(rng, 12, 5000).replace('.', '')}. "
+                 f"{' '.join(f'a{rng.randrange(9000)}' for _ in range(1 + k % 16))}.") for k in range(48)]
+    items.append((48, "one two three four five six seven. yes yes yes yes no."))
+    rule = decontam.LeakRule()
+    (index,) = decontam.indexes(items, rule)
+    for item, text in items:
+        own = text.split()
+        docs = [" ".join([prose(rng, 30), *own[:k], "changed", *own[k + 1:], prose(rng, 30)]) for k in range(len(own))]
+        docs.append(f"{prose(rng, 30)} {' '.join(own[:3])} {prose(rng, 30)}")
+        # The question alone leaks only if the answer is a single word.
+        docs.append(f"{prose(rng, 30)} {text.split('. ')[0]} {prose(rng, 30)}")
+        found = {k for k, held in index.leaks(*decontam.layout(docs)).items() if item in held}
+        single = {len(own) + 1} if len(text.split(". ")[1].split()) == 1 else set()
+        assert found == set(range(len(own))) | single, text
+
+
 def test_wand_finds_what_a_full_scan_finds():
     rng = random.Random(4)
     items = [(k, prose(rng, rng.randrange(5, 40), 150)) for k in range(500)]
