@@ -34,7 +34,10 @@ K1, B = 1.2, 0.75
 
 # All ASCII but letters and digits parts words.
 PLAIN = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
-SENTENCE_END = regex.compile(r"(?<=[.!?。！？])\s+")
+SENTENCE_END = regex.compile(r"(?<=[.!?])\s+|(?<=[。！？])\s*(?=[^\s。！？\p{Pe}\p{Pf}])")
+# Beyond ASCII: punctuation and separators part words; in scripts without blanks each character is one.
+OTHER = regex.compile(
+    r"[\p{P}\p{Z}]+|([\p{Han}\p{Hiragana}\p{Katakana}ー\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])")
 
 
 @dataclass(frozen=True)
@@ -44,15 +47,20 @@ class LeakRule:
     score: float = 0.6
     overlap: float = 0.6
     ngram: int = 4
-    # Shorter items say too little to tell a leak from chance.
+    # Of shorter items a part says too little, so they are matched letter by letter.
     min_item_words: int = 4
     # Items up to this length share an index; each further one is for items up to twice as long.
     shortest_class: int = 64
 
 
+def parted(text: str) -> str:
+    """The text with blanks where words part beyond ASCII."""
+    return text if text.isascii() else OTHER.sub(r" \1 ", text)
+
+
 def layout(texts: list[str]) -> tuple[Units, np.ndarray]:
     """Words of lower-cased texts without punctuation, and their fingerprints."""
-    units = word_layout([t.lower().encode("utf-8", "replace").translate(PLAIN) for t in texts])
+    units = word_layout([parted(t.lower()).encode("utf-8", "replace").translate(PLAIN) for t in texts])
     return units, word_names(units)
 
 
@@ -73,7 +81,7 @@ def question_and_answer(text: str) -> tuple[str, str]:
     sentences = [s for s in SENTENCE_END.split(text.strip()) if s]
     if len(sentences) > 1:
         return " ".join(sentences[:-1]), sentences[-1]
-    words = text.split()
+    words = parted(text).split()
     return " ".join(words[:len(words) // 2]), " ".join(words[len(words) // 2:])
 
 
@@ -248,6 +256,57 @@ class Index:
             and len(parts[1 - k]) > 2 for k in (0, 1) if len(parts[k]))
 
 
+class ShortItems:
+    """Items of few words: leaked where a text holds them whole, but for case and runs of blanks."""
+
+    def __init__(self, items: list[tuple[int, str]], rule: LeakRule):
+        units, names = layout([t for _, t in items])
+        # Items by length and by fingerprint of all their words.
+        self.items: dict[int, dict[int, list[tuple[int, str]]]] = {}
+        for item, a, b in zip(items, units.first.tolist(), units.last.tolist()):
+            if 0 < b - a < rule.min_item_words:
+                (name,) = grams_in_order(names[a:b], b - a).tolist()
+                self.items.setdefault(b - a, {}).setdefault(name, []).append((item[0], folded(item[1])))
+        self.names = {n: np.array(sorted(own), np.uint64) for n, own in self.items.items()}
+
+    def leaks(self, units: Units, names: np.ndarray, texts: list[str]) -> dict[int, dict[int, tuple]]:
+        """As ``Index.leaks``, with full scores."""
+        result: dict[int, dict[int, tuple]] = {}
+        for n, own in self.items.items():
+            held = grams_in_order(names, n)
+            place = np.flatnonzero(np.isin(held, self.names[n]))
+            doc = np.searchsorted(units.first, place, "right") - 1
+            inside = (doc >= 0) & (place + n <= units.last[doc])
+            found: dict[int, set[int]] = {}
+            for k, name in zip(doc[inside].tolist(), held[place[inside]].tolist()):
+                found.setdefault(k, set()).add(name)
+            for k, met in found.items():
+                text = folded(texts[k])
+                for name in met:
+                    for item, wanted in own[name]:
+                        if stands_in(wanted, text):
+                            result.setdefault(k, {})[item] = (1.0, 1.0, 1.0)
+        return result
+
+
+def folded(text: str) -> str:
+    return " ".join(text.lower().split())
+
+
+def stands_in(wanted: str, text: str) -> bool:
+    """Whether the text holds these characters without a cut through a word of a script with blanks."""
+    def joins(a: str, b: str) -> bool:
+        return a.isalnum() and b.isalnum() and not OTHER.match(a) and not OTHER.match(b)
+
+    at = text.find(wanted)
+    while at >= 0:
+        end = at + len(wanted)
+        if not (at and joins(text[at - 1], wanted[0])) and not (end < len(text) and joins(wanted[-1], text[end])):
+            return True
+        at = text.find(wanted, at + 1)
+    return False
+
+
 def indexes(items: list[tuple[int, str]], rule: LeakRule) -> list[Index]:
     """One index per class of length."""
     units, names = layout([t for _, t in items])
@@ -279,19 +338,24 @@ def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[li
 def _found(shared, rule: LeakRule, rows: list, texts: list[bytes], cache: dict) -> list[dict[int, tuple]]:
     """Leaks of each text, all indexes together."""
     if "indexes" not in cache:
-        cache["indexes"] = indexes(shared.value, rule)
-    units, names = layout([t.decode("utf-8", "replace") for t in texts])
+        cache["indexes"], cache["short"] = indexes(shared.value, rule), ShortItems(shared.value, rule)
+    decoded = [t.decode("utf-8", "replace") for t in texts]
+    units, names = layout(decoded)
     leaks: list[dict[int, tuple]] = [{} for _ in rows]
     for index in cache["indexes"]:
         for k, items in index.leaks(units, names).items():
             leaks[k] |= items
+    for k, items in cache["short"].leaks(units, names, decoded).items():
+        leaks[k] = items | leaks[k]
     return leaks
 
 
 def leaks(docs: DataFrame, items: DataFrame, rule: LeakRule = LeakRule()) -> DataFrame:
     """One row per document row and leaked item: doc_id, item_id, score, question_overlap, answer_overlap.
 
-    Null texts hold nothing, null items are none; equal items count once. A document without leaks has no
+    Null texts hold nothing, null items and items without a word are none; equal items count once. Items of
+    fewer words than ``min_item_words`` leak where a text holds them letter by letter. In scripts without
+    blanks each character counts as a word. A document without leaks has no
     row; repeated documents have their rows each. Of several passages the best score counts. Empty tables
     give an empty table.
     """

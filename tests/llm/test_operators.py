@@ -345,6 +345,22 @@ def test_one_changed_word_hides_no_item():
         assert found == set(range(len(own))) | single, text
 
 
+def test_short_items_and_scripts_without_blanks(spark):
+    rng = random.Random(13)
+    items = ["法国的首都是哪里？巴黎。", "日本で一番高い山は何ですか。富士山です。", "เมืองหลวงของประเทศไทยคืออะไรกรุงเทพมหานคร",
+             "2+2=? 4", "Who? Me", "水？", "“Where” does—the…river end? ‘In’ the sea.", "!?"]
+    around = prose(rng, 40)
+    docs = [f"{around} {t} {around}" for t in items[:3]] + [f"文字在前{items[0]}文字在后面，还有很多别的话。"]
+    docs += [f"{around}\n2+2=?\t4, {around}", "2+2=? 42", "2, 2, 4", "12+2=? 4", "who?   me", "我要喝水？好", "a !? b",
+             "where does the river end in the sea", items[0].replace("巴", "里"), "法国的天气很好，我喜欢那里的食物。"]
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(table, bench).collect()}
+    assert found == {(0, 0), (1, 1), (2, 2), (3, 0), (4, 3), (8, 4), (9, 5), (11, 6), (12, 0)}
+    kept = {r["doc_id"] for r in decontam.without_leaks(table, bench).collect()}
+    assert kept == {5, 6, 7, 10, 13}
+
+
 def test_wand_finds_what_a_full_scan_finds():
     rng = random.Random(4)
     items = [(k, prose(rng, rng.randrange(5, 40), 150)) for k in range(500)]
