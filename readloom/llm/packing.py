@@ -7,9 +7,11 @@ dealt at random into groups of bounded size, one task packs a group, so no task
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,16 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens() -> dict[str, int]:
+    """The marks that the JSON tokenizer of the same vocabulary cuts out of a text before all else."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+
+
 class Encoder(dict):
-    """Text to little-endian ids. Blank-led words repeat, so the ids of each are remembered.
+    """Text to little-endian ids, an added token to its own. Blank-led words repeat, so the ids of each are remembered.
 
     The pre-tokeniser never joins what a single blank between two non-blanks separates, which makes
     the ids of a text those of its blank-led words in a row. Texts with other runs of blanks are
@@ -49,9 +59,9 @@ class Encoder(dict):
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        self.plain = tiktoken.Encoding(
-            "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        ).encode_ordinary
+        encoding = tiktoken.Encoding(
+            "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens())
+        self.plain = partial(encoding.encode, allowed_special="all")
 
     def __missing__(self, word: str) -> bytes:
         ids = np.array(self.plain(word), "<u4").tobytes()

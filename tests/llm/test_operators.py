@@ -233,6 +233,21 @@ def test_encoder_agrees_with_whole_texts():
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == encoder.plain(text)
 
 
+def test_encoder_agrees_with_the_json_tokenizer_as_it_is():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder = packing.Encoder(packing.tokenizer_file())
+    mark = "<|endoftext|>"
+    assert np.frombuffer(encoder.ids(f"a {mark} b"), "<u4").tolist() == [64, 220, 50256, 275]
+    rng = random.Random(6)
+    pieces = ["a", "Word", " ", "\n", "é", "'s", "12", "!?", mark, mark, "<|", "endoftext|>", "日本", "\0"]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(12)))
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_lm_scores(spark, docs, texts):
     tokens = [[*words(ascii_lower(t or "")), None] for _, t in texts]
     held = [zlib.crc32(str(i).encode() if i is not None else b"") % 5 == 1 for i, _ in texts]
