@@ -37,7 +37,7 @@ BOILERPLATE = [
 
 # A sentence ends in one of these, maybe behind closing quotes or brackets.
 LINE_END = r"[.!?:;\x{2026}\x{3002}\x{FF01}\x{FF1F}][\"')\]\x{00BB}\x{201D}\x{2019}]*[ \t-\r]*$"
-# Only so many last characters of a line are searched for its end mark.
+# The SQL searches only so many last characters of a line for its end mark.
 LINE_TAIL = 16
 HAS_WORD = r"[^ \t-\r]"
 INNER_END = r"[.!?\x{2026}\x{3002}\x{FF01}\x{FF1F}][\"')\]\x{00BB}\x{201D}\x{2019}]*[ \t-\r]"
@@ -73,7 +73,7 @@ def line_passes(line: Column, doc_symbols: Column, doc_shouts: Column, rules: Li
             & (F.regexp_count(line, F.lit(SYMBOLS)) * rules.chars_per_symbol <= n))
         quiet = (doc_shouts == 0) | (
             F.regexp_count(line, F.lit("!")) * rules.chars_per_shout <= F.greatest(n, F.lit(rules.chars_per_shout)))
-        punctuated = F.right(line, F.lit(LINE_TAIL)).rlike(LINE_END) | ((n >= rules.long_line) & line.rlike(INNER_END))
+        punctuated = line.rlike(LINE_END) | ((n >= rules.long_line) & line.rlike(INNER_END))
         furniture = (n <= rules.short_line) & ascii_lower(line).rlike("|".join(BOILERPLATE))
         return ~line.rlike(HAS_WORD) | (few_marks & quiet & punctuated & ~furniture)
     return let(F.length(line), judge)

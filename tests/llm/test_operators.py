@@ -479,6 +479,14 @@ def test_line_rules(spark):
     assert (row["doc_id"], row["text"]) == (1, "\n".join([good] * 6 + ["", good]))
 
 
+def test_padded_lines_keep_their_end(spark):
+    lines = ["A short line." + " " * n for n in (0, 15, 16, 400)] + ['He said it."' + ")" * 30 + "\t" * 30]
+    text = "\n".join(lines)
+    rows = spark.createDataFrame([(1, text), (2, "No mark here" + " " * 30)], "doc_id long, text string")
+    rules = quality.LineRules(min_words=1, max_repeat_percent=100)
+    assert [tuple(r) for r in quality.clean(rows, rules).collect()] == [(1, text)]
+
+
 def test_every_licence_sentence_has_a_cue_and_is_found(spark):
     rows = []
     for name, forms in licenses.SENTENCES.items():
