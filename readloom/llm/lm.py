@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ MAX_FREQUENT = 1 << 19
 COUNT_TOKENS = 1 << 21
 # Segments in one part of a filter that is not broadcast: 8 MB.
 PART_SEGMENTS = 1 << 10
+# Parts are asked in so many rounds, each of which frees its shuffle files.
+ROUNDS = 2
 NO_PORTION = -1
 
 # Stands for the end of a text and for what precedes its first word.
@@ -205,26 +208,33 @@ def _fill(segments: int):
     return run
 
 
-def _asks(segments: int, part_segments: int):
-    """The distinct keys that the texts of a portion ask for, by the part of the filter they lie in."""
+def _asks(segments: int, part_segments: int, turn: int, rounds: int):
+    """The distinct keys that the texts of a portion ask for in this round, by the part of the filter they lie in."""
+    def asked(portion: int, texts: list[bytes]) -> pa.RecordBatch:
+        tokens = np.concatenate(token_keys(texts))
+        words = np.unique(tokens)
+        keys = np.concatenate([words, mass_keys(words), np.unique(pair_keys(tokens))])
+        part = (segment_of(keys, segments) // np.uint64(part_segments)).astype(np.int64)
+        now = part % rounds == turn
+        keys, part = keys[now], part[now]
+        order = np.argsort(part, kind="stable")
+        own, first = np.unique(part[order], return_index=True)
+        lists = [x.tobytes() for x in np.split(keys[order], first[1:])][:len(own)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(own), pa.array([portion] * len(own), pa.int64()), pa.array(lists, pa.binary())],
+            ["part", "portion", "keys"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, texts = None, []
         for batch in batches:
-            portion = batch.column(0).to_numpy(zero_copy_only=False)
-            cut = np.flatnonzero(np.diff(portion)) + 1
-            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(portion)]):
-                texts = [t or b"" for t in batch.column(1).slice(a, b - a).cast(pa.binary()).to_pylist()]
-                if not texts:
-                    continue
-                tokens = np.concatenate(token_keys(texts))
-                words = np.unique(tokens)
-                keys = np.concatenate([words, mass_keys(words), np.unique(pair_keys(tokens))])
-                part = (segment_of(keys, segments) // np.uint64(part_segments)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                own, first = np.unique(part[order], return_index=True)
-                lists = [x.tobytes() for x in np.split(keys[order], first[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own), pa.array([int(portion[a])] * len(own), pa.int64()),
-                     pa.array(lists, pa.binary())], ["part", "portion", "keys"])
+            for portion, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                if texts and portion != held:
+                    yield asked(held, texts)
+                    texts = []
+                held = portion
+                texts.append(text or b"")
+        if texts:
+            yield asked(held, texts)
     return run
 
 
@@ -269,7 +279,9 @@ def _answers(segments: int, part_segments: int):
     return run
 
 
-def answered(items: DataFrame, texts: DataFrame, segments: int, part_segments: int | None = None) -> DataFrame:
+def answered(
+    items: DataFrame, texts: DataFrame, segments: int, part_segments: int | None = None, turn: int = 0, rounds: int = 1
+) -> DataFrame:
     """What a filter of any size says of the texts of each portion: (portion, keys, levels), missing keys left out.
 
     ``items`` are (key, n), ``texts`` (portion, text). A task holds one part of the filter at a time; the number
@@ -278,12 +290,12 @@ def answered(items: DataFrame, texts: DataFrame, segments: int, part_segments: i
     part_segments = min(part_segments or PART_SEGMENTS, segments)
     n_parts = segments // part_segments
     asks = texts.select("portion", "text").mapInArrow(
-        _asks(segments, part_segments), "part long, portion long, keys binary")
+        _asks(segments, part_segments, turn, rounds), "part long, portion long, keys binary")
     none = F.lit(None)
     both = items.select(
         F.floor(segment_column(F.col("key"), segments) / F.lit(part_segments)).cast("long").alias("part"),
         F.lit(NO_PORTION).cast("long").alias("portion"), "key", "n", none.cast("binary").alias("keys"),
-    ).unionByName(asks.select(
+    ).where(F.col("part") % rounds == turn).unionByName(asks.select(
         "part", "portion", F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("n"), "keys"))
     tasks = max(n_parts, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return both.repartition(tasks, "part").sortWithinPartitions("part", "portion").mapInArrow(
@@ -419,8 +431,10 @@ def _score_portion(shared):
 def _scored_by_parts(rows: DataFrame, items: DataFrame, model: Model, shared, scratch: Scratch) -> DataFrame:
     """Scores from a filter that stays in parts: texts ask in portions, and each portion meets its answers."""
     texts = scratch.write(rows.mapInArrow(
-        _in_portions, "portion long, row long, text string, doc_id long, held_out boolean"))
-    answers = scratch.write(answered(items, texts, model.segments), large=True)
+        _in_portions, "portion long, row long, text string, doc_id long, held_out boolean"), large=True)
+    answers = reduce(DataFrame.unionByName, [
+        scratch.write(answered(items, texts, model.segments, turn=turn, rounds=ROUNDS), large=True)
+        for turn in range(ROUNDS)])
     return texts.groupBy("portion").cogroup(answers.groupBy("portion")).applyInArrow(
         _score_portion(shared), SCORED)
 

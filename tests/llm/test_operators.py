@@ -296,7 +296,7 @@ def test_lm_filter_in_parts_gives_the_same_scores(docs, monkeypatch):
     whole = collections.Counter((*r[:5], round(r["base_score"], 6), round(r["score"], 6)) for r in lm.score(docs).collect())
     monkeypatch.setattr(bloom, "MAX_BITS", 1)
     asked = []
-    monkeypatch.setattr(lm, "answered", lambda *a, f=lm.answered: asked.append(a) or f(*a, part_segments=1))
+    monkeypatch.setattr(lm, "answered", lambda *a, f=lm.answered, **k: asked.append(a) or f(*a, part_segments=1, **k))
     parts = collections.Counter((*r[:5], round(r["base_score"], 6), round(r["score"], 6)) for r in lm.score(docs).collect())
     assert parts == whole and asked
 
