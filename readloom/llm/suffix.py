@@ -1,11 +1,11 @@
-"""Suffix-array deduplication by bytes: a radix sort of suffixes that stops at the threshold.
-
-Only the order of suffixes down to ``size`` bytes matters, and only which of them are equal to that depth.
-The sort goes from the most significant digits down, and a suffix leaves as soon as its group has one
-member: the first pass sorts by the leading ``size - SPREAD + 1`` bytes of sampled suffixes (the least
-8-byte code among SPREAD neighbours, so every window of ``size`` bytes holds a sampled suffix with that
-many bytes left); the next extends the digits to all windows around a sample; the last orders single
-suffixes at full depth where these still differ. Equal groups of the last passes are the repeated windows.
+"""Suffix-array deduplication by bytes, with hashes in place of a radix sort that stops at the threshold.
+
+Only which suffixes are equal down to ``size`` bytes matters, so no suffix is ordered: groups of equal
+leading bytes are groups of equal hashes, and a suffix leaves as soon as its group has one member. The first
+pass groups sampled suffixes (the least 8-byte code among SPREAD neighbours, so every window of ``size``
+bytes holds a sampled suffix with that many bytes left) by their leading ``size - SPREAD + 1`` bytes; the
+next compares all windows around a sample at once; the last compares single windows where these still
+differ. Equal groups of the last passes are the repeated windows.
 """
 
 from __future__ import annotations
