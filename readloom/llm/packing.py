@@ -49,8 +49,8 @@ class Encoder(dict):
     """Text to little-endian ids, an added token to its own. Blank-led words repeat, so the ids of each are remembered.
 
     The pre-tokeniser never joins what a single blank between two non-blanks separates, which makes
-    the ids of a text those of its blank-led words in a row. Texts with other runs of blanks are
-    encoded whole.
+    the ids of a text those of its blank-led words in a row. Texts with other runs of blanks, or with an
+    added token, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -59,9 +59,12 @@ class Encoder(dict):
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+        marks = added_tokens()
         encoding = tiktoken.Encoding(
-            "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens())
-        self.plain = partial(encoding.encode, allowed_special="all")
+            "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=marks)
+        self.plain = encoding.encode_ordinary
+        self.with_marks = partial(encoding.encode, allowed_special="all")
+        self.marks = tuple(marks)
 
     def __missing__(self, word: str) -> bytes:
         ids = np.array(self.plain(word), "<u4").tobytes()
@@ -71,6 +74,8 @@ class Encoder(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
+        if any(mark in text for mark in self.marks):
+            return np.array(self.with_marks(text), "<u4").tobytes()
         if ODD_BLANKS.search(text):
             return np.array(self.plain(text), "<u4").tobytes()
         return b"".join(map(self.__getitem__, text.replace(" ", "\0 ").split("\0")))
