@@ -23,7 +23,7 @@ from readloom.llm.common import table
 
 
 def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix.repeat_report(table(spark, folder, "documents"))
+    return suffix.passage_report(table(spark, folder, "documents"))
 
 
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:

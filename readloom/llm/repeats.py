@@ -91,12 +91,28 @@ def digests(view: memoryview, begin: list[int], end: list[int], seeds: list[int]
 ROWS = "row long, start int, width int, core long, span1 long, span2 long"
 
 
+def inside(units: Units, places: list[list[int] | None], size: int) -> np.ndarray:
+    """Whether a window that starts at a unit lies within one of the runs of its document."""
+    allowed = np.zeros(len(units.offsets), bool)
+    for first, own in zip(units.first.tolist(), places):
+        for start, end in union(own):
+            allowed[first + start:first + max(end - size + 1, start)] = True
+    return allowed
+
+
 def anchor_rows(method: Method) -> Callable:
+    """Rows of row, text and, if only windows within known runs may repeat, places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            places = batch.column(2).to_pylist() if batch.num_columns > 2 else None
+            at = 0
             for rows, texts in portions(batch):
                 units = method.layout(texts)
                 starts, doc = window_starts(units, method.size)
+                if places is not None:
+                    near = inside(units, places[at:at + len(rows)], method.size)[starts]
+                    starts, doc = starts[near], doc[near]
+                at += len(rows)
                 if not len(starts):
                     continue
                 anchor, core = method.anchors(units, starts)
@@ -159,17 +175,25 @@ def numbered_copy(docs: DataFrame, scratch: Scratch) -> DataFrame:
      .option("compression", "zstd").option("path", f"{scratch.root}/{scratch.count:03d}")
      .format("parquet").saveAsTable(name))
     scratch.free()
-    return spark.table(name)
+    table = spark.table(name)
+    # The files are read by their path from here on; no entry stays in the catalog.
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
-def repeated_places(numbered: DataFrame, method: Method, scratch: Scratch) -> DataFrame:
+def repeated_places(
+    numbered: DataFrame, method: Method, scratch: Scratch, within: DataFrame | None = None
+) -> DataFrame:
     """The repeated windows of a numbered table: row, places (list of start << 32 | end, unit numbers).
 
     Rows without a repeat are absent. Intervals may overlap; their union is what repeated windows cover.
+    ``within`` is such a table for a smaller window of the same units: a repeated window lies in one of its
+    runs, so no other is looked at.
     """
     size = method.size
     texts = numbered.select("_row", "doc.text")
-    rows = scratch.write(texts.mapInArrow(anchor_rows(method), ROWS), large=True)
+    searched = texts if within is None else texts.join(within, "_row").select("_row", "text", "places")
+    rows = scratch.write(searched.mapInArrow(anchor_rows(method), ROWS), large=True)
     seen = scratch.write(rows.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), large=True)
     shared = scratch.write(rows.join(seen, "core", "left_semi"), large=True)
     scratch.drop(rows)
@@ -222,11 +246,21 @@ def union(places: list[int] | None) -> list[tuple[int, int]]:
     return [(s, e) for s, e in merged]
 
 
-def remainders(docs: DataFrame, method: Method, label: str) -> DataFrame:
-    """Each document as a struct ``doc`` with ``places``, its repeated intervals by unit number (null if none)."""
+def remainders(docs: DataFrame, method: Method, label: str, shorter: Method | None = None) -> DataFrame:
+    """Each document as a struct ``doc`` with ``places``, its repeated intervals by unit number (null if none).
+
+    ``shorter``, the same method with smaller windows, adds ``passages``, the intervals of those.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, label)
     numbered = numbered_copy(docs, scratch)
-    places = scratch.write(repeated_places(numbered, method, scratch), large=True)
-    return numbered.join(places, "_row", "left").select("doc", "places")
+    if shorter is None:
+        places = scratch.write(repeated_places(numbered, method, scratch), large=True)
+        return numbered.join(places, "_row", "left").select("doc", "places")
+    if shorter.size > method.size:
+        raise ValueError("the shorter windows are the longer ones")
+    passages = scratch.write(repeated_places(numbered, shorter, scratch), large=True)
+    places = scratch.write(repeated_places(numbered, method, scratch, within=passages), large=True)
+    found = passages.select("_row", F.col("places").alias("passages")).join(places, "_row", "left")
+    return numbered.join(found, "_row", "left").select("doc", "places", "passages")

@@ -25,6 +25,9 @@ from readloom.llm.repeats import Method, Units, remainders, union
 SIZE = 400
 # Neighbouring suffixes of which one is sampled; a third of the threshold or less.
 SPREAD = 128
+# A passage of more than 50 words of prose has more bytes than this.
+PASSAGE = 200
+PASSAGE_SPREAD = 100
 CODE = 8
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -76,7 +79,11 @@ def _cut(text: bytes, places: list[int] | None) -> tuple[bytes, list[tuple[int,
     return b"".join([*kept, text[at:]]), gone
 
 
+REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+
+
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of doc_id, text, places; a fourth column of passages adds their counts."""
     for batch in batches:
         rows = []
         for text, places in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
@@ -85,8 +92,13 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                          hashlib.sha256(kept).hexdigest()))
         columns = [pa.array([r[k] for r in rows], kind)
                    for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+        if batch.num_columns > 3:
+            shorter = [union(p) for p in batch.column(3).to_pylist()]
+            columns += [pa.array([sum(e - s for s, e in runs) for runs in shorter], pa.int64()),
+                        pa.array([len(runs) for runs in shorter], pa.int64())]
+            names += ["n_passage_bytes", "n_passages"]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
 
 def repeat_report(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -98,16 +110,31 @@ def repeat_report(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """
     table = remainders(docs.select("doc_id", "text"), byte_method(size), "suffix")
     return table.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "doc.text", "places").mapInArrow(
-        _report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        _report, REPORT)
+
+
+def passage_report(
+    docs: DataFrame, size: int = SIZE, passage: int = PASSAGE, spread: int | None = PASSAGE_SPREAD
+) -> DataFrame:
+    """``repeat_report`` and, of repeated strings of ``passage`` bytes, the bytes they cover and their runs.
+
+    The columns n_passage_bytes and n_passages tell of repeats too short to be removed. Strings of ``size``
+    bytes are only looked for within the runs of the shorter ones, which hold all of them.
+    """
+    table = remainders(
+        docs.select("doc_id", "text"), byte_method(size), "suffix", byte_method(passage, spread))
+    return table.select(
+        F.col("doc.doc_id").cast("long").alias("doc_id"), "doc.text", "places", "passages").mapInArrow(
+        _report, REPORT + ", n_passage_bytes long, n_passages long")
 
 
-def without_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
+def without_repeats(docs: DataFrame, size: int = SIZE, spread: int | None = None) -> DataFrame:
     """The documents without their repeated bytes; same columns as ``docs``, no row is dropped.
 
     A code point that loses some of its bytes is removed whole. Null text stays null. ``n_chars``, where
     it is there, follows the new text.
     """
-    table = remainders(docs, byte_method(size), "suffix")
+    table = remainders(docs, byte_method(size, spread), "suffix")
     hit = F.col("places").isNotNull()
     names = docs.columns
 

@@ -572,3 +572,42 @@ def test_other_columns_pass_through_whatever_their_names(spark):
         assert found
         for r in found:
             assert (*r[2:7],) == others[r["doc_id"]]
+
+
+@pytest.mark.parametrize("size, passage, spread", [(400, 200, 100), (60, 24, None), (48, 48, None)])
+def test_passage_report_adds_shorter_repeats(docs, texts, size, passage, spread):
+    units = [list((t or "").encode()) for _, t in texts]
+    counts, shorter = windows(units, size), windows(units, passage)
+    expected = []
+    for (i, _), u in zip(texts, units):
+        marks, known = covered(u, counts, size), covered(u, shorter, passage)
+        kept = bytes(x for x, m in zip(u, marks) if not m)
+        spans = [sum(m and not (k and ms[k - 1]) for k, m in enumerate(ms)) for ms in (marks, known)]
+        expected.append((i, len(u), sum(marks), spans[0], hashlib.sha256(kept).hexdigest(), sum(known), spans[1]))
+    assert multiset(suffix.passage_report(docs, size, passage, spread).collect()) == multiset(expected)
+
+
+def test_pipeline_removes_planted_passages_of_every_length(spark):
+    """Passages of 51 to 70 words that two documents share go from both; the rest of each stays."""
+    import corpus_pipeline
+
+    rng = random.Random(17)
+    syllables = "an be co de er fi go ha in jo ke la mo ne or pa re st ti und".split()
+
+    def prose_of(n):
+        return [("".join(rng.choice(syllables) for _ in range(rng.randrange(2, 4)))) for _ in range(n)]
+
+    planted = {n: prose_of(n) for n in range(51, 71)}
+    rows, own = [], []
+    for n, passage in planted.items():
+        for _ in range(2):
+            before, after = prose_of(40), prose_of(40)
+            own.append((before, after))
+            rows.append((len(rows), " ".join(before + passage + after), "en", "s", 0))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    kept = {r["doc_id"]: r["text"].split() for r in corpus_pipeline.repeated_passages(spark, docs, "").collect()}
+    assert len(kept) == len(rows)
+    for k, (before, after) in enumerate(own):
+        passage = planted[51 + k // 2]
+        assert len(set(zip(*[kept[k][j:] for j in range(8)])) & set(zip(*[passage[j:] for j in range(8)]))) == 0
+        assert kept[k][:38] == before[:38] and kept[k][-38:] == after[-38:]
