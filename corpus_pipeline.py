@@ -24,8 +24,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the 400-byte strings that occur more than once."""
-    return suffix.without_repeats(docs)
+    """All documents, without the strings of ``suffix.PASSAGE`` bytes that occur more than once.
+
+    Passages of over 50 words are longer. Null and empty texts stay as they are, no row is dropped, other
+    columns are kept, equal rows lose all of a text of that length, an empty table stays empty.
+    """
+    return suffix.without_repeats(docs, suffix.PASSAGE, suffix.PASSAGE_SPREAD)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
