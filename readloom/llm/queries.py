@@ -10,12 +10,15 @@ from readloom.llm import (
     chat,
     decontam,
     jaccard,
+    language,
     licenses,
     lm,
     packing,
     quality,
+    ranking,
     recompression,
     sharding,
+    spelling,
     sql,
     suffix,
 )
@@ -70,13 +73,27 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), jaccard.Threshold(n=4, percent=85))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, folder, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranking.best_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_dedup, op2_license_scan, op3_decontamination, op4_lm_scoring, op5_sharding,
         op6_quality_rules, op7_best_fit_packing, op8_chat_formatting,
-        op9_recompression_dedup, op10_ngram_jaccard)
+        op9_recompression_dedup, op10_ngram_jaccard, op11_spelling_variants, op12_ranked_search,
+        op13_language_id)
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": sql.op2_sql(), "op6_quality_rules": sql.op6_sql()}
+    return {"op2_license_scan": sql.op2_sql(), "op6_quality_rules": sql.op6_sql(),
+            "op12_ranked_search": sql.op12_sql()}

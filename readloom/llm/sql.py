@@ -100,3 +100,31 @@ listed AS (SELECT rid, string_agg(name, ',' ORDER BY CASE name {order} END) AS l
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_sentences, coalesce(joined, '') AS sentence_ids,
   coalesce(licenses, '') AS licenses
 FROM docs LEFT JOIN ids USING (rid) LEFT JOIN listed USING (rid)"""
+
+
+def op12_sql() -> str:
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH items AS (SELECT row_number() OVER () AS item, item_id, {lower} AS t FROM benchmark),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, {lower} AS t FROM documents),
+item_terms AS (
+  SELECT item, term, count(*) AS times
+  FROM (SELECT item, unnest(regexp_extract_all(t, '{term}')) AS term FROM items) GROUP BY item, term),
+doc_terms AS (
+  SELECT rid, term, count(*)::BIGINT AS tf
+  FROM (SELECT rid, unnest(regexp_extract_all(t, '{term}')) AS term FROM docs) GROUP BY rid, term),
+lengths AS (SELECT rid, sum(tf)::BIGINT AS n FROM doc_terms GROUP BY rid),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM lengths),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * max(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM doc_terms CROSS JOIN totals GROUP BY term),
+damped AS (SELECT rid, 100 - 75 + ((75 * n * docs) // terms) AS m FROM lengths CROSS JOIN totals),
+scored AS (
+  SELECT item, rid, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM item_terms JOIN weights USING (term) JOIN doc_terms USING (term) JOIN damped USING (rid)
+  GROUP BY item, rid),
+ranked AS (
+  SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scored JOIN docs USING (rid) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN items USING (item) WHERE rank <= 10"""
