@@ -25,9 +25,9 @@ from readloom.llm.repeats import Method, Units, remainders, union
 SIZE = 400
 # Neighbouring suffixes of which one is sampled; a third of the threshold or less.
 SPREAD = 128
-# A passage of more than 50 words of prose has more bytes than this.
-PASSAGE = 200
-PASSAGE_SPREAD = 100
+# Passages of more than 50 words of prose are hardly ever shorter than this many bytes.
+PASSAGE = 240
+PASSAGE_SPREAD = 128
 CODE = 8
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
