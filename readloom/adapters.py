@@ -264,7 +264,7 @@ class Domain:
     def classified_reads(self) -> DataFrame:
         return classify_reads(
             self.candidates, self.background_hits, self.protein_catalogue,
-            average_read_lengths(self.samples), self.params, READ_KEYS,
+            average_read_lengths(self.samples), self.params, READ_KEYS, self.taxa,
         )
 
     @property
@@ -378,7 +378,7 @@ class Domain:
         )
         return classify_by_coverage(
             self.protein_candidates, background, self.protein_catalogue, abundance,
-            self.params, READ_KEYS, keep_good=False,
+            self.params, READ_KEYS, keep_good=False, taxa=self.taxa,
         )
 
     @property
@@ -505,7 +505,7 @@ class Domain:
         )
         return classify_by_coverage(
             self.gene_candidates, background, self.protein_catalogue, abundance,
-            self.params, GENE_KEYS, keep_good=True,
+            self.params, GENE_KEYS, keep_good=True, taxa=self.taxa,
         )
 
     @property

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.operators.taxonomy import below_root, is_ranked, lineage_key
-from readloom.params import RANKS, UNKNOWN_TAXID, RunParams
+from readloom.operators.taxonomy import UNKNOWN_TOUR, is_ranked
+from readloom.params import RANKS, ROOT_TAXID, UNKNOWN_TAXID, RunParams
 
 
 def function_cutoff(params: RunParams) -> Column:
@@ -42,7 +42,8 @@ def protein_dimension(
 
     ``identity_cutoff`` is the strictest cutoff of its functions. ``steps`` are the ranked taxa
     from its own taxon upwards with the identity each asks for, so that the taxon a hit supports
-    is an array lookup instead of a climb.
+    is an array lookup instead of a climb. ``trail`` and ``shallow_last`` let ``lineage_nodes`` find the
+    LCA of such taxa.
     """
     listed = proteins.select("protein_id", F.explode("functions").alias("function"))
     cutoffs = functions.select("function", "function_cutoff", "cutoffs")
@@ -52,21 +53,29 @@ def protein_dimension(
         .groupBy("protein_id")
         .agg(F.max(function_cutoff(params)).alias("strictest"), *per_rank)
     )
-    paths = taxa.select("taxid", "path")
+    paths = taxa.select("taxid", "path", "path_tours", "trail")
+    # The last number among lineages of the root and of taxa right below it.
+    shallow = F.col("trail")[0]
+    shallow_last = taxa.where((F.size("trail") > 0) & (shallow["taxid"] == ROOT_TAXID)).agg(
+        F.max(shallow["last"])).scalar()
     known = proteins.join(paths, "taxid", "left")
     unknown_path = F.array(
         F.struct(F.lit(UNKNOWN_TAXID).alias("taxid"), F.lit(RANKS[0]).alias("rank"),
                  F.lit("Unknown").alias("name"))
     )
-    joined = known.join(by_protein, "protein_id").withColumn(
-        "path", F.coalesce("path", unknown_path)
+    joined = (
+        known.join(by_protein, "protein_id")
+        .withColumn("path", F.coalesce("path", unknown_path))
+        .withColumn("path_tours", F.coalesce("path_tours", F.array(F.lit(UNKNOWN_TOUR).cast("bigint"))))
+        .withColumn("shallow_last", shallow_last)
     )
     minimum = F.create_map(*[c for r in RANKS for c in (F.lit(r), F.col(f"min_{r}"))])
-    under = F.filter("path", lambda t: t["taxid"] != "1")
+    under = F.filter("path", lambda t: t["taxid"] != ROOT_TAXID)
     numbered = F.transform(
-        under,
-        lambda t, i: F.struct(
-            (i + 1).alias("depth"), t["rank"].alias("rank"),
+        F.arrays_zip(under.alias("taxon"), F.col("path_tours").alias("tour")),
+        lambda x, i: F.struct(
+            (i + 1).alias("depth"), x["taxon"]["rank"].alias("rank"), x["taxon"]["taxid"].alias("taxid"),
+            x["tour"].alias("tour"),
         ),
     )
     ranked = F.filter(numbered, lambda t: is_ranked(t["rank"]))
@@ -76,6 +85,7 @@ def protein_dimension(
             lambda t: F.struct(
                 t["depth"].alias("depth"),
                 F.least(F.lit(100.0), F.try_element_at("minimum", t["rank"])).alias("min_identity"),
+                t["taxid"].alias("taxid"), t["tour"].alias("tour"),
             ),
         )
     )
@@ -84,8 +94,22 @@ def protein_dimension(
         F.when(F.col("strictest") == 0, params.identity_cutoff)
         .otherwise(F.col("strictest"))
         .alias("identity_cutoff"),
-        below_root(F.col("path")).alias("lineage_ids"),
-        steps.alias("steps"),
+        steps.alias("steps"), "trail", "shallow_last",
+    )
+
+
+def lineage_nodes(proteins: DataFrame) -> DataFrame:
+    """``tour``, ``trail`` of all taxa that hits on the catalogue's proteins may support."""
+    trail_at = F.when(
+        F.col("step.depth") > 1, F.slice("trail", F.lit(1), F.col("step.depth"))
+    ).otherwise(F.array(
+        F.struct(F.lit(ROOT_TAXID).alias("taxid"), F.col("shallow_last").alias("last")),
+        F.struct(F.col("step.taxid").alias("taxid"), F.col("step.tour").alias("last"))))
+    return (
+        proteins.select(F.explode("steps").alias("step"), "trail", "shallow_last")
+        .where(F.col("step.tour") != UNKNOWN_TOUR)
+        .select(F.col("step.tour").alias("tour"), trail_at.alias("trail"))
+        .dropDuplicates(["tour"])
     )
 
 
@@ -96,18 +120,19 @@ def annotate(hits: DataFrame, proteins: DataFrame, params: RunParams) -> DataFra
     """
     subject = proteins.select(
         F.col("protein_id").alias("subject_id"),
-        "functions", "identity_cutoff", "lineage_ids", "steps",
+        "functions", "identity_cutoff", "steps",
         F.col("taxid").alias("subject_taxid"),
     )
     unknown_step = F.array(
-        F.struct(F.lit(1).alias("depth"), F.lit(params.identity_cutoff).alias("min_identity"))
+        F.struct(
+            F.lit(1).alias("depth"), F.lit(params.identity_cutoff).alias("min_identity"),
+            F.lit(UNKNOWN_TAXID).alias("taxid"), F.lit(UNKNOWN_TOUR).cast("bigint").alias("tour"))
     )
     return (
         hits.join(subject, "subject_id", "left")
         .withColumn("functions", F.coalesce("functions", F.array(F.lit(""))))
         .withColumn("identity_cutoff",
                     F.coalesce("identity_cutoff", F.lit(params.identity_cutoff)))
-        .withColumn("lineage_ids", F.coalesce("lineage_ids", F.array(F.lit(UNKNOWN_TAXID))))
         .withColumn("steps", F.coalesce("steps", unknown_step))
         .withColumn("subject_taxid", F.coalesce("subject_taxid", F.lit(UNKNOWN_TAXID)))
     )
@@ -117,12 +142,7 @@ def filter_by_identity(annotated: DataFrame) -> DataFrame:
     return annotated.where(F.col("identity") >= F.col("identity_cutoff"))
 
 
-def supported_lineage() -> Column:
-    """Lineage key of the lowest ranked taxon whose threshold the hit's identity reaches."""
+def supported_step() -> Column:
+    """The lowest ranked taxon (``taxid``, ``tour``) whose threshold the hit's identity reaches."""
     passing = F.filter("steps", lambda s: F.col("identity") >= s["min_identity"])
-    depth = F.try_element_at(passing, F.lit(1))["depth"]
-    unknown = F.get("lineage_ids", F.lit(0)).eqNullSafe(F.lit(UNKNOWN_TAXID))
-    return F.when(
-        depth.isNotNull(),
-        F.when(unknown, UNKNOWN_TAXID).otherwise(lineage_key(F.col("lineage_ids"), depth)),
-    )
+    return F.try_element_at(passing, F.lit(1))

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from readloom.functions.scores import effective_per_kilobase
-from readloom.operators.catalogue import annotate, supported_lineage
+from readloom.operators.catalogue import annotate, lineage_nodes, supported_step
 from readloom.operators.hits import (
-    collect_in_order, deduplicate, filter_by_fixed_identity, filter_by_length, resolve_overlaps,
+    deduplicate, filter_by_fixed_identity, filter_by_length, fold_overlaps,
 )
-from readloom.operators.taxonomy import lca_of_parts, lca_parts
+from readloom.operators.taxonomy import lca_parts, with_lca
 from readloom.params import BAD, CANDIDATE, GOOD, RunParams
 from readloom.schemas import HIT_ORDER, HIT_PAYLOAD, KEPT_HIT_FIELDS
 
@@ -28,24 +28,15 @@ REGION_SPLIT = 32
 
 _REGION = ["r_start", "r_end"]
 _RAW_HIT = ["subject_id", "q_start", "q_end", *HIT_PAYLOAD]
-_LCA = ["lowest", "highest", "lowest_known", "highest_known"]
+_LCA = ["lowest", "highest"]
 
 
 def non_overlapping_hits(
     hits: DataFrame, keys: Sequence[str], overlap_cutoff: int, extra: Sequence[str] = ()
 ) -> DataFrame:
-    """De-duplicated hits to one row per query with the ordered hits that survive the fold.
-
-    What is collected per query has been de-duplicated across the cluster first, so its size is
-    set by the subjects of the small reference catalogue and not by the rows of the input.
-    """
-    ordered = hits.groupBy(*keys).agg(
-        collect_in_order([*HIT_ORDER, *HIT_PAYLOAD, *extra]).alias("ordered")
-    )
-    kind = ordered.schema["ordered"].dataType
-    return ordered.select(
-        *keys, resolve_overlaps(F.col("ordered"), kind.simpleString(), overlap_cutoff).alias("hits")
-    )
+    """De-duplicated hits to one row per query with the ordered hits that survive the fold."""
+    payload = [f for f in HIT_PAYLOAD if f not in HIT_ORDER]
+    return fold_overlaps(hits.select(*keys, *HIT_ORDER, *payload, *extra), keys, overlap_cutoff)
 
 
 def find_candidates(
@@ -120,15 +111,19 @@ def _score_levels(
         "share", F.pmod(F.xxhash64("subject_id"), F.lit(REGION_SPLIT))
     )
     accepted = (F.col("src") == 1) | (F.col("identity") >= F.col("identity_cutoff"))
-    annotated = annotate(salted.repartition(*share), proteins, params)
-    annotated = annotated.withColumn("accepted", accepted)
+    # Looked up first: the shares then move with what a hit supports, not with its subject's lineage.
+    annotated = (
+        annotate(salted, proteins, params).withColumn("accepted", accepted)
+        .withColumn("tour", F.when(F.col("accepted"), supported_step()["tour"]))
+        .drop("identity_cutoff", "steps", "subject_taxid")
+        .repartition(*share)
+    )
     same_subject = F.max(
         F.when((F.col("src") == 0) & F.col("accepted"), F.col("bitscore"))
     ).over(Window.partitionBy(*share, "subject_id"))
     rest = ["identity", "length", "mismatch", "s_len", "s_start", "s_end", "evalue"]
     levels = (
         annotated.withColumn("same_subject", same_subject)
-        .withColumn("taxon_key", F.when(F.col("accepted"), supported_lineage()))
         .withColumn("level", F.when(F.col("accepted"), F.col("bitscore")))
         .withColumn("functions", F.when(F.col("accepted"), F.col("functions")))
         .groupBy(*share, "src", "level", "functions")
@@ -137,7 +132,7 @@ def _score_levels(
             F.count("*").alias("n"),
             F.max("same_subject").alias("same_subject"),
             F.max("region_no").alias("region_no"),
-            *lca_parts(F.col("taxon_key")),
+            *lca_parts(F.col("tour")),
         )
     )
     share_best = F.max(F.when(F.col("src") == 0, F.col("level"))).over(
@@ -263,16 +258,18 @@ def _decide_regions(
         known_hit.alias("known_hit"),
         F.when(
             F.col("status") == GOOD,
-            F.struct(
-                ends("lowest", F.array_min), ends("highest", F.array_max),
-                ends("lowest_known", F.array_min), ends("highest_known", F.array_max),
-            ),
+            F.struct(ends("lowest", F.array_min), ends("highest", F.array_max)),
         ).alias("lca"),
     )
 
 
-def _assemble_queries(decided: DataFrame, keys: Sequence[str], keep_good: bool) -> DataFrame:
-    """Regions of a query to its status, function scores, taxon and hits."""
+def _assemble_queries(
+    decided: DataFrame, keys: Sequence[str], keep_good: bool, nodes: DataFrame
+) -> DataFrame:
+    """Regions of a query to its status, function scores, taxon and hits.
+
+    ``nodes`` (tour, trail) finds the taxon that two numbers have in common.
+    """
     fields = ["region_no", "status", "scores", "new_hits", "known_hit", "lca"]
     grouped = decided.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(*fields))).alias("regions")
@@ -303,31 +300,39 @@ def _assemble_queries(decided: DataFrame, keys: Sequence[str], keep_good: bool)
         ),
     )
     lca = F.try_element_at("good", F.lit(-1))["lca"]
-    taxon = lca_of_parts(*[F.col(f"lca.{part}") for part in _LCA])
-    return (
+    assembled = (
         grouped.withColumn("good", good)
         .withColumn("scores", scores)
         .withColumn("listed", listed)
-        .withColumn("lca", lca)
         .select(
             *keys,
             status.alias("status"),
             F.map_from_entries(
                 F.transform(names, lambda f: F.struct(f, total(f)))
             ).alias("functions"),
-            F.when(F.size("good") > 0, taxon).alias("taxonomy"),
+            (F.size("good") > 0).alias("has_good"),
+            *[lca[part].alias(part) for part in _LCA],
             first_of_kind.alias("hits"),
         )
     )
+    return with_lca(assembled, nodes, "taxon").select(
+        *keys, "status", "functions",
+        F.when(F.col("has_good"), F.col("taxon")).alias("taxonomy"), "hits",
+    )
+
+
+def _nodes(proteins: DataFrame, taxa: DataFrame | None) -> DataFrame:
+    return lineage_nodes(proteins) if taxa is None else taxa.select("tour", "trail")
 
 
 def classify_reads(
     candidates: DataFrame, background: DataFrame, proteins: DataFrame,
-    read_lengths: DataFrame, params: RunParams, keys: Sequence[str],
+    read_lengths: DataFrame, params: RunParams, keys: Sequence[str], taxa: DataFrame | None = None,
 ) -> DataFrame:
     """Status, ERPK per function, taxon and hits of every candidate read.
 
-    ``read_lengths`` has one average read length per (sample, end).
+    ``read_lengths`` has one average read length per (sample, end). Without ``taxa``, LCAs are looked up
+    among the lineages of the catalogue's proteins.
     """
     regions = candidate_regions(candidates, keys)
     levels = _score_levels(regions, background, proteins, params, keys)
@@ -337,7 +342,7 @@ def classify_reads(
         lambda s_len: effective_per_kilobase(s_len, F.col("read_length"), params.length_cutoff),
         move_hits=True,
     )
-    return _assemble_queries(decided, keys, keep_good=False)
+    return _assemble_queries(decided, keys, False, _nodes(proteins, taxa))
 
 
 def decide_regions(
@@ -355,6 +360,7 @@ def decide_regions(
 def classify_by_coverage(
     candidates: DataFrame, background: DataFrame, proteins: DataFrame,
     abundance: DataFrame, params: RunParams, keys: Sequence[str], keep_good: bool,
+    taxa: DataFrame | None = None,
 ) -> DataFrame:
     """Proteins and genes: every region adds the relative abundance of the query's contig.
 
@@ -366,7 +372,7 @@ def classify_by_coverage(
     decided = _decide_regions(
         levels, params, keys, lambda _: F.lit(1.0), move_hits=False
     )
-    queries = _assemble_queries(decided, keys, keep_good)
+    queries = _assemble_queries(decided, keys, keep_good, _nodes(proteins, taxa))
     scaled = F.transform_values("functions", lambda _, v: v * F.col("abundance"))
     return (
         queries.join(abundance, list(keys), "left")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from readloom.functions.scores import effective_fragments_per_kilobase, per_kilobase
 from readloom.operators.samples import average_read_lengths, normalisation_factors
-from readloom.operators.taxonomy import common_prefix
-from readloom.params import END1, END2, GOOD, UNKNOWN_TAXID, RunParams
+from readloom.operators.taxonomy import UNKNOWN_TOUR, lca_label
+from readloom.params import END1, END2, GOOD, RunParams
 from readloom.session import broadcast_if_small
 
 # Metric names and the factor each is scaled by.
@@ -175,15 +175,19 @@ def fragments(annotated: DataFrame, taxa: DataFrame | None = None) -> DataFrame:
     merged = joined.withColumn("both", F.coalesce(both, F.lit(False)))
     if taxa is not None:
         for n in (1, 2):
-            key = taxa.select(
-                F.col("taxid").alias(f"taxonomy{n}"), F.col("lca_key").alias(f"key{n}")
+            lineage = taxa.select(
+                F.col("taxid").alias(f"taxonomy{n}"), F.col("tour").alias(f"tour{n}"),
+                F.col("trail").alias(f"trail{n}"),
             )
-            merged = merged.join(key, f"taxonomy{n}", "left")
-        shared = common_prefix(F.least("key1", "key2"), F.greatest("key1", "key2"))
+            merged = merged.join(lineage, f"taxonomy{n}", "left")
+        unknown = lambda n: F.coalesce(F.col(f"tour{n}") == UNKNOWN_TOUR, F.lit(True))
+        shared = F.when(
+            F.col("tour1") <= F.col("tour2"), lca_label(F.col("trail1"), F.col("tour2"))
+        ).otherwise(lca_label(F.col("trail2"), F.col("tour1")))
         taxon = (
             F.when(~F.col("both"), F.coalesce("taxonomy1", "taxonomy2"))
-            .when(F.col("key1") == UNKNOWN_TAXID, F.col("taxonomy2"))
-            .when(F.col("key2") == UNKNOWN_TAXID, F.col("taxonomy1"))
+            .when(unknown(1), F.col("taxonomy2"))
+            .when(unknown(2), F.col("taxonomy1"))
             .otherwise(shared)
         )
         merged = merged.withColumn("taxonomy", taxon)

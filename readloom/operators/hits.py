@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from readloom.operators.skew import join_per_key
@@ -86,38 +89,90 @@ def limit_per_query(hits: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     )
 
 
-def overlaps(new: Column, kept: Column, cutoff: int) -> Column:
-    """Does a new hit share at least ``cutoff`` positions of the query with a kept one?
+def _fold_run(
+    starts: list[int], ends: list[int], scores: list[float], first: int, stop: int, cutoff: int
+) -> list[int]:
+    """Places of the hits first to stop - 1 that are kept, in the order they were taken.
 
-    Hits on opposite strands never do; a new hit of one position always counts as overlapping.
+    A hit that overlaps no kept hit is added. One that beats every kept hit it overlaps replaces them. Any
+    other hit is left out. Two hits overlap if they share at least ``cutoff`` positions of the query on one
+    strand; a new hit of one position overlaps every kept hit.
     """
-    n_start, n_end = new["q_start"], new["q_end"]
-    k_start, k_end = kept["q_start"], kept["q_end"]
-    forward = (k_start <= k_end) & (k_end >= n_start + cutoff) & (k_start <= n_end - cutoff)
-    reverse = (k_start >= k_end) & (k_start >= n_end + cutoff) & (k_end <= n_start - cutoff)
-    return F.when(n_start < n_end, forward).when(n_start > n_end, reverse).otherwise(True)
-
-
-def resolve_overlaps(ordered_hits: Column, array_type: str, cutoff: int) -> Column:
-    """Greedy fold over an ordered hit array.
-
-    A hit that overlaps no kept hit is added. One that beats every kept hit it overlaps
-    replaces them. Any other hit is left out.
+    kept: list[int] = []
+    for new in range(first, stop):
+        start, end, score = starts[new], ends[new], scores[new]
+        if start < end:
+            rivals = [k for k in kept if starts[k] <= ends[k]
+                      and ends[k] >= start + cutoff and starts[k] <= end - cutoff]
+        elif start > end:
+            rivals = [k for k in kept if starts[k] >= ends[k]
+                      and starts[k] >= end + cutoff and ends[k] <= start - cutoff]
+        else:
+            rivals = kept
+        if all(score > scores[k] for k in rivals):
+            if rivals:
+                gone = set(rivals)
+                kept = [k for k in kept if k not in gone]
+            kept.append(new)
+    return kept
+
+
+def fold_batches(n_keys: int, cutoff: int) -> Callable:
+    """Batches sorted by query and input order to one row per query: its keys and its kept hits.
+
+    Of a query that goes on in the next batch only the kept hits are held. To fold them again changes
+    nothing, since none of them overlaps an earlier one.
     """
-
-    def step(kept: Column, new: Column) -> Column:
-        rivals = F.filter(kept, lambda k: overlaps(new, k, cutoff))
-        beaten = F.forall(rivals, lambda k: new["bitscore"] > k["bitscore"])
-        survivors = F.filter(kept, lambda k: ~overlaps(new, k, cutoff))
-        return F.when(beaten, F.concat(survivors, F.array(new))).otherwise(kept)
-
-    return F.aggregate(ordered_hits, F.array().cast(array_type), step)
-
-
-def collect_in_order(fields: Sequence[str]) -> Column:
-    """Hits of one query as an array in input order."""
-    rest = [f for f in fields if f not in HIT_ORDER]
-    return F.array_sort(F.collect_list(F.struct(*HIT_ORDER, *rest)))
+    def folded(rows: pa.RecordBatch, last_is_open: bool) -> tuple[pa.RecordBatch | None, pa.RecordBatch]:
+        """Finished queries as rows, and the kept hits of the last query if it is open."""
+        changed = np.zeros(max(rows.num_rows - 1, 0), bool)
+        for k in range(n_keys):
+            codes = rows.column(k).dictionary_encode(null_encoding="encode").indices.to_numpy()
+            changed |= codes[1:] != codes[:-1]
+        bounds = [0, *(np.flatnonzero(changed) + 1).tolist(), rows.num_rows]
+        starts, ends = (rows.column(n).to_pylist() for n in ("q_start", "q_end"))
+        scores = rows.column("bitscore").to_numpy(zero_copy_only=False).tolist()
+        kept = [
+            [a] if b - a == 1 else _fold_run(starts, ends, scores, a, b, cutoff)
+            for a, b in zip(bounds, bounds[1:])]
+        rest = rows.take(pa.array(kept.pop(), pa.int64())) if last_is_open else rows.slice(0, 0)
+        if not kept:
+            return None, rest
+        hits = rows.take(pa.array([i for own in kept for i in own], pa.int64()))
+        names = rows.schema.names
+        arrays = [rows.column(k).take(pa.array(bounds[:len(kept)], pa.int64())) for k in range(n_keys)]
+        offsets = np.concatenate(([0], np.cumsum([len(own) for own in kept])))
+        values = pa.StructArray.from_arrays(hits.columns[n_keys:], names[n_keys:])
+        arrays.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values))
+        return pa.RecordBatch.from_arrays(arrays, [*names[:n_keys], "hits"]), rest
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if open_ is not None:
+                joined = pa.Table.from_batches([open_, batch]).combine_chunks()
+                batch = joined.to_batches()[0]
+            done, open_ = folded(batch, True)
+            if done is not None:
+                yield done
+        if open_ is not None:
+            yield folded(open_, False)[0]
+    return run
+
+
+def fold_overlaps(hits: DataFrame, keys: Sequence[str], cutoff: int) -> DataFrame:
+    """Hits of each query, in input order, to those that survive the greedy fold: keys and ``hits``.
+
+    The columns are the keys, HIT_ORDER and the rest of a hit. A query is sorted by Spark, which spills, and
+    read as a stream, so a task holds its kept hits and never all of them. Hits must be distinct.
+    """
+    rest = [f for f in hits.schema.fields if f.name not in keys]
+    schema = T.StructType(
+        [hits.schema[k] for k in keys] + [T.StructField("hits", T.ArrayType(T.StructType(rest)))])
+    return hits.repartition(*keys).sortWithinPartitions(*keys, *HIT_ORDER).mapInArrow(
+        fold_batches(len(keys), cutoff), schema)
 
 
 def overlap_counts(hits: DataFrame, keys: Sequence[str], cutoff: int) -> DataFrame:

@@ -12,6 +12,8 @@ from readloom.session import broadcast_if_small, written
 
 # Sorts below every character of a taxon id, so joined lineages sort like the arrays they join.
 _SEPARATOR = "\x01"
+# Number of the unknown taxon; all others have 0 or more.
+UNKNOWN_TOUR = -1
 
 
 def complete_taxonomy(rows: DataFrame) -> DataFrame:
@@ -71,16 +73,41 @@ def below_root(path: Column) -> Column:
     return F.filter(F.transform(path, lambda t: t["taxid"]), lambda t: t != ROOT_TAXID)
 
 
-def lineage_key(ids_below_root: Column, depth: Column | None = None) -> Column:
-    """The lineage an LCA compares, as a sortable string, cut at ``depth`` levels.
+def numbered_lineages(paths: DataFrame) -> DataFrame:
+    """Taxa numbered in the order of a walk down the lineages an LCA compares.
 
-    The root takes part only in the lineages of itself and of taxa right below it.
+    A lineage leaves the root out, except right below it: such a taxon, and the root itself, hang below a
+    root of their own. ``tour`` numbers the lineages so that those that begin with the same taxa are an
+    interval (numbers have gaps). ``trail`` lists the taxa of a lineage, each with the last number of its
+    interval; ``path_tours`` the own numbers of the path's taxa below the root. The unknown taxon has no
+    lineage and is not in the result.
     """
-    ids = ids_below_root if depth is None else F.slice(ids_below_root, 1, depth)
-    return (
-        F.when(F.size(ids) == 0, _SEPARATOR.join([ROOT_TAXID, ROOT_TAXID]))
-        .when(F.size(ids) == 1, F.concat(F.lit(ROOT_TAXID + _SEPARATOR), ids[0]))
-        .otherwise(F.array_join(ids, _SEPARATOR))
+    spark = paths.sparkSession
+    ids = below_root(F.col("path"))
+    deep = F.size("ids") > 1
+    lineage = F.when(deep, F.array_join("ids", _SEPARATOR)).otherwise(
+        F.concat(F.lit(ROOT_TAXID + _SEPARATOR), F.coalesce(F.get("ids", F.lit(0)), F.lit(ROOT_TAXID))))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (
+        paths.where(F.col("taxid") != UNKNOWN_TAXID).select("taxid", ids.alias("ids"))
+        .withColumn("lineage", lineage)
+        .repartitionByRange(tasks, "lineage").sortWithinPartitions("lineage")
+    )
+    # Ranges and rows in them are in order, and so are Spark's row ids; written, since they are given once.
+    numbered = written(ordered.select("taxid", "ids", F.monotonically_increasing_id().alias("tour")))
+    nodes = F.when(deep, F.col("ids")).otherwise(F.array(F.lit(ROOT_TAXID)))
+    steps = numbered.select("taxid", "tour", F.posexplode(nodes).alias("pos", "node"))
+    ends = steps.groupBy("node").agg(F.max("tour").alias("last"))
+    own = numbered.select(F.col("taxid").alias("node"), F.col("tour").alias("own"))
+    trails = steps.join(ends.join(own, "node", "left"), "node").groupBy("taxid").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "node", "last", "own"))).alias("steps"))
+    trail = F.transform("steps", lambda x: F.struct(x["node"].alias("taxid"), x["last"].alias("last")))
+    itself = F.array(F.struct("taxid", F.col("tour").alias("last")))
+    return numbered.join(trails, "taxid").select(
+        "taxid", "tour",
+        F.when(deep, trail).otherwise(F.concat(trail, itself)).alias("trail"),
+        F.when(deep, F.transform("steps", lambda x: x["own"]))
+        .otherwise(F.slice(F.array("tour"), F.lit(1), F.size("ids"))).alias("path_tours"),
     )
 
 
@@ -95,6 +122,14 @@ def taxon_dimension(taxonomy: DataFrame) -> DataFrame:
         F.filter(above, lambda t: t["taxid"] != ROOT_TAXID), lambda t: t["name"]
     )
     joined = F.array_join(F.concat(names, F.array("name")), "_")
+
+    def tours_at(rank: str) -> Column:
+        """Numbers of the taxa of a rank on the path, usually one or none."""
+        below = F.filter("path", lambda t: t["taxid"] != ROOT_TAXID)
+        numbers = F.zip_with(
+            below, "path_tours", lambda t, tour: F.when(t["rank"] == rank, tour))
+        return F.filter(numbers, lambda tour: tour.isNotNull())
+
     return (
         paths.withColumn("ranked_path", ranked)
         .withColumn("upper", F.try_element_at(above, F.lit(-1)))
@@ -102,6 +137,9 @@ def taxon_dimension(taxonomy: DataFrame) -> DataFrame:
             "lineage",
             F.when(F.col("taxid") == ROOT_TAXID, "").otherwise(F.translate(joined, " ()", "___")),
         )
+        .join(numbered_lineages(paths), "taxid", "left")
+        .withColumn("tour", F.coalesce("tour", F.lit(UNKNOWN_TOUR)))
+        .withColumn("path_tours", F.coalesce("path_tours", F.array("tour")))
         .select(
             "taxid", "name", "rank", "parent", "path", "ranked_path", "lineage",
             F.when(F.col("taxid") == ROOT_TAXID, ROOT_TAXID)
@@ -110,9 +148,9 @@ def taxon_dimension(taxonomy: DataFrame) -> DataFrame:
             F.when(F.col("taxid") == ROOT_TAXID, "norank")
             .otherwise(F.coalesce("upper.rank", F.lit("norank")))
             .alias("ranked_parent_rank"),
-            F.when(F.col("taxid") == UNKNOWN_TAXID, UNKNOWN_TAXID)
-            .otherwise(lineage_key(below_root(F.col("path"))))
-            .alias("lca_key"),
+            "tour", "trail", "path_tours",
+            *[end(tours_at(r)).alias(f"{name}_{r}")
+              for r in RANKS[1:] for name, end in (("low", F.array_min), ("high", F.array_max))],
         )
     )
 
@@ -126,98 +164,95 @@ def lineage_closure(taxa: DataFrame) -> DataFrame:
     )
 
 
-def taxon_of_key(key: Column) -> Column:
-    """The taxon a lineage key ends with."""
-    return F.try_element_at(F.split(key, _SEPARATOR), F.lit(-1))
+def lca_parts(tour: Column, prefix: str = "") -> list[Column]:
+    """Aggregates an LCA needs: the least and the largest number of a taxon that is not unknown."""
+    known = F.when(tour != UNKNOWN_TOUR, tour)
+    return [F.min(known).alias(prefix + "lowest"), F.max(known).alias(prefix + "highest")]
 
 
-def common_prefix(lowest: Column, highest: Column) -> Column:
-    """LCA of a set of lineage keys, given the smallest and the largest of them.
+def lca_label(trail: Column, highest: Column) -> Column:
+    """LCA of a set of lineages, given the trail of its least and the number of its largest.
 
-    Sorted lineages share exactly the prefix their two ends share.
+    It is the deepest taxon of the trail whose interval reaches the largest number.
     """
-    a, b = F.split(lowest, _SEPARATOR), F.split(highest, _SEPARATOR)
-    agree = F.zip_with(a, b, lambda x, y: x.eqNullSafe(y))
-    first_difference = F.array_position(agree, False)
-    depth = F.when(first_difference == 0, F.size(a)).otherwise(first_difference - 1)
-    return F.when(depth > 0, F.try_element_at(a, depth.cast("int"))).otherwise(UNKNOWN_TAXID)
-
-
-def lca_parts(key: Column, prefix: str = "") -> list[Column]:
-    """Aggregates an LCA needs: the ends over all keys and the lowest one that is not unknown."""
-    known = F.when(key != UNKNOWN_TAXID, key)
-    return [
-        F.min(key).alias(prefix + "lowest"),
-        F.max(key).alias(prefix + "highest"),
-        F.min(known).alias(prefix + "lowest_known"),
-        F.max(known).alias(prefix + "highest_known"),
-    ]
-
-
-def lca_of_parts(
-    lowest: Column, highest: Column, lowest_known: Column, highest_known: Column
-) -> Column:
-    """The LCA itself: unknown taxa are ignored beside known ones, no taxon gives unknown."""
-    return (
-        F.when(lowest.isNull(), UNKNOWN_TAXID)
-        .when(lowest == highest, taxon_of_key(lowest))
-        .when(lowest_known.isNull(), UNKNOWN_TAXID)
-        .otherwise(common_prefix(lowest_known, highest_known))
-    )
+    shared = F.filter(trail, lambda t: t["last"] >= highest)
+    return F.coalesce(F.try_element_at(shared, F.lit(-1))["taxid"], F.lit(UNKNOWN_TAXID))
+
+
+def with_lca(grouped: DataFrame, taxa: DataFrame, name: str = "lca") -> DataFrame:
+    """``name`` in place of ``lowest`` and ``highest``: one lookup a group; no known taxon gives unknown.
+
+    ``taxa`` has ``tour`` and ``trail``.
+    """
+    trails = taxa.select(F.col("tour").alias("lowest"), "trail")
+    return grouped.join(trails, "lowest", "left").withColumn(
+        name, lca_label(F.col("trail"), F.col("highest"))).drop("lowest", "highest", "trail")
+
+
+def _fingerprint(taxid: str) -> Column:
+    """A number that tells ids apart, so that finding groups of one id needs no text in the aggregate."""
+    return F.when(F.col(taxid).isNotNull(), F.xxhash64(taxid))
+
+
+def _single_strangers(
+    keyed: DataFrame, grouped: DataFrame, keys: Sequence[str], taxid: str
+) -> DataFrame:
+    """``grouped`` with ``stranger``: the only id of a group, if the taxonomy lacks it.
+
+    ``grouped`` has ``one`` and ``other``, the least and the largest fingerprint of a group.
+    """
+    lacking = keyed.where(F.col("tour").isNull() & (F.col(taxid) != "")).select(
+        *keys, F.col(taxid).alias("stranger"), F.col("print").alias("one")).distinct()
+    return grouped.withColumn(
+        "one", F.when(F.col("one") == F.col("other"), F.col("one"))
+    ).join(lacking, [*keys, "one"], "left").drop("other")
 
 
 def lowest_common_ancestor(
     members: DataFrame, keys: Sequence[str], taxa: DataFrame, taxid: str = "taxid"
 ) -> DataFrame:
-    """LCA of the distinct taxa of each group; one shuffle of four strings per group.
+    """LCA of the distinct taxa of each group; one shuffle of four numbers per group.
 
     A group of one taxon returns it as is, even when the taxonomy lacks it; an empty id is
     unknown. Beside others, ids the taxonomy lacks are ignored.
     """
-    lookup = taxa.select(F.col("taxid").alias(taxid), "lca_key")
-    keyed = members.join(lookup, taxid, "left")
-    known = F.when(F.col("lca_key") != UNKNOWN_TAXID, F.col("lca_key"))
+    lookup = taxa.select(F.col("taxid").alias(taxid), "tour")
+    keyed = members.join(lookup, taxid, "left").withColumn("print", _fingerprint(taxid))
     grouped = keyed.groupBy(*keys).agg(
-        F.min(taxid).alias("first_id"), F.max(taxid).alias("last_id"),
-        F.min(known).alias("lowest_known"), F.max(known).alias("highest_known"),
-    )
-    only = F.col("first_id") == F.col("last_id")
-    lca = (
-        F.when(only & (F.col("first_id") == ""), UNKNOWN_TAXID)
-        .when(only, F.col("first_id"))
-        .when(F.col("lowest_known").isNull(), UNKNOWN_TAXID)
-        .otherwise(common_prefix(F.col("lowest_known"), F.col("highest_known")))
-    )
-    return grouped.select(*keys, lca.alias("lca"))
+        *lca_parts(F.col("tour")), F.min("print").alias("one"), F.max("print").alias("other"))
+    found = with_lca(_single_strangers(keyed, grouped, keys, taxid), taxa)
+    return found.select(*keys, F.coalesce("stranger", "lca").alias("lca"))
 
 
 def lowest_common_ranked_ancestor(
     members: DataFrame, keys: Sequence[str], taxa: DataFrame, taxid: str = "taxid"
 ) -> DataFrame:
-    """LCA over the allowed ranks only: the lowest rank with one taxon, above the first with two."""
-    lookup = taxa.select(F.col("taxid").alias(taxid), "ranked_path")
-    per_rank = (
-        members.where(F.col(taxid) != UNKNOWN_TAXID)
-        .join(lookup, taxid)
-        .select(*keys, F.explode("ranked_path").alias("t"))
-        .where(F.col("t.rank") != RANKS[0])
-        .groupBy(*keys, F.col("t.rank").alias("rank"))
-        .agg(F.min("t.taxid").alias("one"), F.max("t.taxid").alias("other"))
-    )
-    depth = F.array_position(F.array(*[F.lit(r) for r in RANKS]), F.col("rank"))
-    levels = per_rank.withColumn("depth", depth).groupBy(*keys).agg(
-        F.min(F.when(F.col("one") != F.col("other"), F.col("depth"))).alias("split"),
-        F.collect_list(F.struct("depth", "one")).alias("levels"),
-    )
-    agreed = F.filter("levels", lambda x: F.col("split").isNull() | (x["depth"] < F.col("split")))
-    ranked = levels.select(*keys, F.array_max(agreed)["one"].alias("ranked"))
-    singles = members.groupBy(*keys).agg(
-        F.min(taxid).alias("first_id"), F.max(taxid).alias("last_id")
-    )
-    only = (F.col("first_id") == F.col("last_id")) & (F.col("first_id") != "")
-    return singles.join(ranked, list(keys), "left").select(
-        *keys,
-        F.when(only, F.col("first_id"))
-        .otherwise(F.coalesce("ranked", F.lit(UNKNOWN_TAXID)))
-        .alias("lca"),
+    """LCA over the allowed ranks only: the lowest rank with one taxon, above the first with two.
+
+    Each rank needs the least and the largest number of its taxa in a group, all in one aggregate.
+    """
+    ranks = RANKS[1:]
+    lookup = taxa.select(
+        F.col("taxid").alias(taxid), "tour", *[f"{e}_{r}" for r in ranks for e in ("low", "high")])
+    keyed = members.join(lookup, taxid, "left").withColumn("print", _fingerprint(taxid))
+    counted = F.col("tour") != UNKNOWN_TOUR
+    grouped = keyed.groupBy(*keys).agg(
+        *[F.min(F.when(counted, F.col(f"low_{r}"))).alias(f"low_{r}") for r in ranks],
+        *[F.max(F.when(counted, F.col(f"high_{r}"))).alias(f"high_{r}") for r in ranks],
+        F.min("tour").alias("own"), F.min("print").alias("one"), F.max("print").alias("other"))
+    levels = F.array(*[
+        F.struct(F.col(f"low_{r}").alias("low"), (F.col(f"low_{r}") != F.col(f"high_{r}")).alias("split"))
+        for r in ranks])
+    there = F.filter(levels, lambda x: x["low"].isNotNull())
+    # Levels up to the first that is split.
+    first_split = F.array_position(F.transform("there", lambda x: x["split"]), True)
+    agreed = F.when(first_split == 0, F.size("there")).otherwise(first_split - 1).cast("int")
+    ranked = F.when(agreed > 0, F.try_element_at("there", agreed)["low"])
+    only = F.col("one").isNotNull()
+    numbers = (
+        _single_strangers(keyed, grouped, keys, taxid).withColumn("there", there)
+        .select(*keys, "stranger", F.when(only, F.col("own")).otherwise(ranked).alias("tour"))
     )
+    labels = taxa.select("tour", F.col("taxid").alias("label"))
+    return numbers.join(labels, "tour", "left").select(
+        *keys, F.coalesce("stranger", "label", F.lit(UNKNOWN_TAXID)).alias("lca"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from readloom.adapters import READ_KEYS, Domain
 from readloom.operators import taxonomy
-from readloom.operators.catalogue import annotate, supported_lineage
+from readloom.operators.catalogue import annotate, supported_step
 from readloom.registry.core import query
 from readloom.registry.views import lca_sql
 
@@ -119,7 +119,7 @@ GROUP BY h.sample_id, h."end", h.read_id, h.subject_id, h.ord, h.q_start, h.q_en
   h.identity, h.length, h.mismatch, h.s_start, h.s_end, h.searched, h.bitscore""", fill={"supported": ""})
 def _(d: Domain) -> DataFrame:
     annotated = annotate(d.hits, d.protein_catalogue, d.params)
-    return annotated.withColumn("key", supported_lineage()).select(
+    return annotated.select(
         *READ_KEYS, "subject_id", "ord", "q_start", "q_end",
-        taxonomy.taxon_of_key(F.col("key")).alias("supported"),
+        supported_step()["taxid"].alias("supported"),
     )
