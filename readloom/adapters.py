@@ -141,6 +141,7 @@ class Domain:
             lambda: protein_dimension(
                 self.proteins, self.function_catalogue, self.taxa, self.params
             ),
+            key="protein_id",
         )
 
     @cached_property

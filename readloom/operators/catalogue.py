@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from readloom.operators.skew import join_dimension
 from readloom.operators.taxonomy import UNKNOWN_TOUR, is_ranked
 from readloom.params import RANKS, ROOT_TAXID, UNKNOWN_TAXID, RunParams
+from readloom.session import is_small
 
 
 def function_cutoff(params: RunParams) -> Column:
@@ -116,7 +118,8 @@ def lineage_nodes(proteins: DataFrame) -> DataFrame:
 def annotate(hits: DataFrame, proteins: DataFrame, params: RunParams) -> DataFrame:
     """Attach functions, the identity cutoff and the taxonomy steps of the subject.
 
-    A subject the catalogue lacks has one empty function and the unknown taxon.
+    A subject the catalogue lacks has one empty function and the unknown taxon. A catalogue too large to
+    broadcast should be in buckets of ``protein_id``; then only hits of subjects that are not hot move.
     """
     subject = proteins.select(
         F.col("protein_id").alias("subject_id"),
@@ -128,8 +131,12 @@ def annotate(hits: DataFrame, proteins: DataFrame, params: RunParams) -> DataFra
             F.lit(1).alias("depth"), F.lit(params.identity_cutoff).alias("min_identity"),
             F.lit(UNKNOWN_TAXID).alias("taxid"), F.lit(UNKNOWN_TOUR).cast("bigint").alias("tour"))
     )
+    if is_small(proteins):
+        joined = hits.join(F.broadcast(subject), "subject_id", "left")
+    else:
+        joined = join_dimension(hits, subject, "subject_id")
     return (
-        hits.join(subject, "subject_id", "left")
+        joined
         .withColumn("functions", F.coalesce("functions", F.array(F.lit(""))))
         .withColumn("identity_cutoff",
                     F.coalesce("identity_cutoff", F.lit(params.identity_cutoff)))

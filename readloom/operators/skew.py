@@ -40,3 +40,22 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> Da
         .drop("hot", "rows_of_key")
     )
     return salted.drop("hot").join(copies, [*keys, "salt"]).drop("salt")
+
+
+def join_dimension(
+    rows: DataFrame, dimension: DataFrame, key: str, hot_minimum: int | None = None
+) -> DataFrame:
+    """Left join of rows to a dimension too large to broadcast, one entry per key at most.
+
+    Rows of hot keys, of which there are at most 10,000, meet the few entries of these by broadcast and stay
+    where they are. All others are shuffled by the key; a dimension in buckets of it is not moved.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("rows_of_key"))
+    limit = F.greatest(
+        counts.agg(F.sum("rows_of_key")).scalar() * HOT_SHARE, F.lit(float(hot_minimum or HOT_MINIMUM)))
+    hot = counts.where(F.col("rows_of_key") > limit).select(key, F.lit(True).alias("hot"))
+    entries = dimension.join(F.broadcast(hot.select(key)), key, "left_semi")
+    marked = rows.join(F.broadcast(hot), key, "left")
+    met = marked.where("hot").drop("hot").join(F.broadcast(entries), key, "left")
+    rest = marked.where("hot is null").drop("hot").join(dimension, key, "left")
+    return met.unionByName(rest)

@@ -84,6 +84,21 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, path: str, column: str) -> DataFrame:
+    """The table written in sorted buckets of a column, so that a join on it moves the other side only.
+
+    The catalog entry that a bucketed write needs goes at once; the files are read by their path.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bucketed_{uuid.uuid4().hex[:12]}"
+    (df.repartition(buckets, column).write.bucketBy(buckets, column).sortBy(column)
+     .format("parquet").option("path", path).saveAsTable(name))
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 class Stages:
     """Named Parquet tables in the shared folder; each is written once and then read back.
 
@@ -127,6 +142,19 @@ class Stages:
             self._files.add(path)
         return path
 
-    def dimension(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A staged table, hinted for broadcast when its row count is proven small."""
-        return broadcast_if_small(self.table(name, build))
+    def dimension(
+        self, name: str, build: Callable[[], DataFrame], key: str | None = None
+    ) -> DataFrame:
+        """A staged table, hinted for broadcast when its row count is proven small.
+
+        A larger one that is looked up by ``key`` is kept in buckets of it.
+        """
+        table = self.table(name, build)
+        if is_small(table):
+            return F.broadcast(table)
+        if key is None:
+            return table
+        by_key = f"{name}-by-{key}"
+        if by_key not in self._tables:
+            self._tables[by_key] = bucketed(table, self.path(by_key), key)
+        return self._tables[by_key]
