@@ -48,10 +48,13 @@ def write_hits(hits: DataFrame, path: str) -> None:
     hits.select(*[name for name, _ in HIT_COLUMNS]).write.csv(path, sep="\t")
 
 
-def write_hit_list(hits: DataFrame, path: str) -> None:
+def write_hit_list(hits: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Hits with their functions '|'-joined in a 13th column."""
     joined = F.concat_ws("|", "functions").alias("functions")
-    hits.select(*[name for name, _ in HIT_COLUMNS], joined).write.csv(path, sep="\t")
+    rows = hits.select(*partition_by, *[name for name, _ in HIT_COLUMNS], joined)
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
+    rows.write.partitionBy(*partition_by).csv(path, sep="\t")
 
 
 def write_matrix(table: DataFrame, path: str) -> None:

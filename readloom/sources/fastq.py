@@ -72,7 +72,10 @@ class FastqReader(DataSourceReader):
                         ranges.append(FastqRange(prefix + f.path, start, end))
         return ranges
 
-    def read(self, partition: FastqRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: FastqRange | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:
+            # What Spark hands over for a folder without files.
+            return
         filesystem, location = fs.FileSystem.from_uri(partition.path)
         if partition.end is None:
             raw = filesystem.open_input_stream(location, compression="gzip")
