@@ -61,6 +61,31 @@ def choose_metric(samples: DataFrame, metric: str | None = None) -> str:
     return "fragmentcount" if paired else "readcount"
 
 
+def metric_choices(samples: DataFrame) -> DataFrame:
+    """Every metric of both kinds of library and both cubes with each sample's factor (0 if it has none).
+
+    ``reported`` is the metric a project of that kind reports when this one is asked for: raw counts if
+    any of its samples lacks the factor.
+    """
+    listed = [
+        (kind, cube, metric, metric_factor(metric, kind == "paired", cube == "taxon"), raw)
+        for kind, own, raw in (
+            ("paired", PAIRED_END_METRICS, "fragmentcount"), ("single", SINGLE_END_METRICS, "readcount"))
+        for cube in ("function", "taxon")
+        for metric in [*own, *(TAXON_ONLY_METRICS if (kind, cube) == ("single", "taxon") else [])]
+    ]
+    metrics = samples.sparkSession.createDataFrame(
+        listed, "kind string, cube string, metric string, scaled_by string, raw string")
+    factors = normalisation_factors(samples).withColumn("one", F.lit(1.0))
+    names = ["one", "per_million", "per_genome"]
+    each = factors.select("sample_id", F.inline(F.array(*[
+        F.struct(F.lit(n).alias("scaled_by"), F.col(n).cast("double").alias("factor")) for n in names])))
+    lacking = each.groupBy("scaled_by").agg(F.bool_or(F.col("factor") == 0).alias("lacking"))
+    return each.join(F.broadcast(metrics), "scaled_by").join(lacking, "scaled_by").select(
+        "kind", "cube", "metric", "sample_id", "factor",
+        F.when(F.col("lacking"), F.col("raw")).otherwise(F.col("metric")).alias("reported"))
+
+
 def with_metric_factor(samples: DataFrame, factor: str) -> DataFrame:
     """(sample_id, factor); a missing factor is an error."""
     if factor == "one":

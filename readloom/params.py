@@ -25,7 +25,6 @@ class RunParams:
 
     identity_cutoff: float = 50.0
     length_cutoff: int = 15
-    evalue_cutoff: float = 1e-4
     overlap_cutoff: int = 10
     bitscore_range: float = 0.03
     contig_min_length: int = 300

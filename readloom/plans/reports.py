@@ -261,8 +261,11 @@ def protein_lengths(annotated: DataFrame, proteins: DataFrame, taxa: DataFrame)
 def sample_summary(
     samples: DataFrame, annotated: DataFrame, insert_sizes: DataFrame
 ) -> DataFrame:
-    """Library sizes, factors, insert size and mapped reads of each sample."""
-    mapped = annotated.groupBy("sample_id").agg(
+    """Library sizes, factors, insert size and mapped reads of each sample.
+
+    Mapped are the good reads, which are what a pipeline hands on.
+    """
+    mapped = annotated.where(F.col("status") == GOOD).groupBy("sample_id").agg(
         F.count_if(F.col("end") == "pe1").alias("mapped_pe1"),
         F.count_if(F.col("end") == "pe2").alias("mapped_pe2"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,15 +29,43 @@ def domain(spark: SparkSession, folder: str) -> Domain:
     return _domains[key]
 
 
-# Spark rounds the decimal text of a double and the oracle its binary value. A nudge far below the
-# last digit kept settles halves the same way on both sides.
+# Sums of doubles depend on their order, so both engines show as many digits as all orders agree on: six
+# decimals or, of numbers too small for these, nine significant digits. Spark rounds the decimal text of a
+# double and the oracle its binary value; a nudge far below the last decimal settles halves the same way.
 _NUDGE = 1e-9
+_SMALL = 1e-3
+_DIGITS = "%.8e"
+
+
+def shown(value: Column) -> Column:
+    small = F.format_string(_DIGITS, value).cast("double") + F.lit(0.0)
+    return F.when(F.abs(value) < _SMALL, small).otherwise(F.round(value + _NUDGE, 6))
+
+
+def shown_sql(sql: str) -> str:
+    """``round(x, 6)`` of a query's SQL as ``shown`` has it."""
+    out, at = [], 0
+    while (start := sql.find("round(", at)) >= 0:
+        depth, end = 1, start + len("round(")
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        inner = sql[start + len("round("):end - 1]
+        out.append(sql[at:start])
+        if inner.endswith(", 6"):
+            x = f"({shown_sql(inner[:-3])})::DOUBLE"
+            out.append(f"CASE WHEN abs({x}) < {_SMALL} THEN CAST(printf('{_DIGITS}', {x}) AS DOUBLE) + 0.0::DOUBLE "
+                       f"ELSE round({x} + {_NUDGE}, 6) END")
+        else:
+            out.append(f"round({shown_sql(inner)})")
+        at = end
+    return "".join([*out, sql[at:]])
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles rounded to six decimals, as the SQL side rounds them."""
+    """Doubles with the digits both engines agree on, as the SQL side shows them."""
     return df.select(*[
-        F.round(F.col(f"`{f.name}`") + _NUDGE, 6).alias(f.name)
+        shown(F.col(f"`{f.name}`")).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])
@@ -73,7 +101,7 @@ def oracle_sql() -> dict[str, str]:
     """The SQL of every query that has one, with the views it needs."""
     texts = {}
     for name, sql in _SQL.items():
-        text = sql.replace(", 6)", f" + {_NUDGE}, 6)")
+        text = shown_sql(sql)
         if _FILL[name]:
             filled = ", ".join(f"coalesce({c}, {v!r}) AS {c}" for c, v in _FILL[name].items())
             text = f"SELECT * REPLACE ({filled}) FROM ({text})"

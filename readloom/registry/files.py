@@ -209,7 +209,8 @@ def _(d: Domain) -> DataFrame:
 
 VIEWS["records"] = f"""
 SELECT a.sample_id, a."end", a.read_id, a.status, o.header AS own_header, o.sequence AS own_sequence,
-  o.quality AS own_quality, m.header AS mate_header, m.sequence AS mate_sequence
+  o.quality AS own_quality, m.header AS mate_header, m.sequence AS mate_sequence,
+  m.quality AS mate_quality
 FROM rd_ann a
 LEFT JOIN read_texts o ON o.read_id = a.read_id AND o."end" = a."end"
 LEFT JOIN read_texts m ON m.read_id = a.read_id AND m."end" <> a."end"
@@ -236,11 +237,16 @@ def _(d: Domain) -> DataFrame:
 
 
 @query("scan_fastq_pair", f"""
-SELECT {_K}, own_header, own_sequence, mate_header, mate_sequence FROM records
-WHERE own_header IS NOT NULL AND mate_header IS NOT NULL""")
+SELECT {_K}, own_header, own_sequence, own_quality, mate_header, mate_sequence, mate_quality,
+  (own_header IS NOT NULL)::INTEGER + (mate_header IS NOT NULL)::INTEGER AS records FROM records""", fill={
+    f"{who}_{part}": "" for who in ("own", "mate") for part in ("header", "sequence", "quality")})
 def _(d: Domain) -> DataFrame:
-    table = _mates_out(with_records(d))
-    return table.where(F.col("own_header").isNotNull() & F.col("mate_header").isNotNull())
+    """Every candidate read with the records found for it and its mate: both, one or none."""
+    there = lambda who: F.col(f"{who}.header").isNotNull().cast("int")
+    return with_records(d).select(
+        *READ_KEYS, *[F.col(f"{who}.{part}").alias(f"{who}_{part}")
+                      for who in ("own", "mate") for part in ("header", "sequence", "quality")],
+        (there("own") + there("mate")).alias("records"))
 
 
 @query("scan_fasta", """

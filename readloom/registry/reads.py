@@ -154,21 +154,26 @@ def _(d: Domain) -> DataFrame:
     )
 
 
-@query("metric_select", """
-SELECT m.metric, s.sample_id, round(CASE WHEN m.metric IN ('fragmentcount', 'fpk', 'efpk') THEN 1.0
-  WHEN m.metric IN ('fpkm', 'efpkm') THEN 1e6 / fwd_reads ELSE genome_size / fwd_bases END, 6) AS factor
-FROM samples s CROSS JOIN (SELECT unnest(
-  ['fragmentcount', 'fpk', 'efpk', 'fpkm', 'efpkm', 'fpkg', 'efpkg']) AS metric) m""")
-def _(d: Domain) -> DataFrame:
-    parts = [
-        cubes.with_metric_factor(d.samples, cubes.metric_factor(metric, True, by_taxon=True))
-        .withColumn("metric", F.lit(metric))
-        for metric in cubes.PAIRED_END_METRICS
-    ]
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    return table
+_METRIC_ROWS = """(SELECT * FROM (VALUES
+  ('paired', 'fragmentcount'), ('paired', 'fpk'), ('paired', 'efpk'), ('paired', 'fpkm'), ('paired', 'efpkm'),
+  ('paired', 'fpkg'), ('paired', 'efpkg'), ('single', 'readcount'), ('single', 'proteincount'),
+  ('single', 'erpk'), ('single', 'erpkm'), ('single', 'erpkg')) v(kind, metric) CROSS JOIN (SELECT unnest(['function', 'taxon']) AS cube)
+  UNION ALL SELECT * FROM (VALUES ('single', 'rpkm', 'taxon'), ('single', 'rpkg', 'taxon')) v(kind, metric, cube))"""
+
+
+@query("metric_select", f"""
+SELECT sizes, kind, cube, metric, s.sample_id,
+  round(CASE WHEN metric LIKE '%m' THEN 1e6 / fwd_reads WHEN metric LIKE '%g'
+    THEN CASE WHEN sizes = 'all' OR sample_id <> 'S2' THEN genome_size / fwd_bases ELSE 0.0 END ELSE 1.0 END, 6) AS factor,
+  CASE WHEN sizes = 'all' OR metric NOT LIKE '%g' THEN metric
+    WHEN kind = 'paired' THEN 'fragmentcount' ELSE 'readcount' END AS reported
+FROM samples s CROSS JOIN {_METRIC_ROWS} CROSS JOIN (SELECT unnest(['all', 'one missing']) AS sizes)""")
+def _(d: Domain) -> DataFrame:
+    """Every metric of both kinds of library and both cubes; the second time a genome size is missing."""
+    one_missing = F.when(F.col("sample_id") == "S2", 0.0).otherwise(F.col("genome_size"))
+    known, partly = d.samples, d.samples.withColumn("genome_size", one_missing)
+    return cubes.metric_choices(known).withColumn("sizes", F.lit("all")).unionByName(
+        cubes.metric_choices(partly).withColumn("sizes", F.lit("one missing")))
 
 
 # Fragments -----------------------------------------------------------------------------------
@@ -357,10 +362,11 @@ def _(d: Domain) -> DataFrame:
 
 
 @query("taxon_function_scores_single", " UNION ALL ".join(
-    _single_sql(m, True) for m in cubes.SINGLE_END_METRICS))
+    _single_sql(m, True) for m in [*cubes.SINGLE_END_METRICS, *cubes.TAXON_ONLY_METRICS]))
 def _(d: Domain) -> DataFrame:
     return cubes.single_end_metrics(
-        d.annotated, d.single_samples, list(cubes.SINGLE_END_METRICS), by_taxon=True
+        d.annotated, d.single_samples, [*cubes.SINGLE_END_METRICS, *cubes.TAXON_ONLY_METRICS],
+        by_taxon=True,
     )
 
 
@@ -497,9 +503,9 @@ def _(d: Domain) -> DataFrame:
 @query("top_taxa_per_rank", f"""
 SELECT sample_id, "end", rank, name, place, round(score, 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY sample_id, "end", rank ORDER BY CAST(printf('%.11e', score) AS DOUBLE) DESC, name) AS place
-  FROM {_RANK_STATS}) WHERE place <= 3""")
+  FROM {_RANK_STATS}) WHERE place <= {stats.TOP_TAXA}""")
 def _(d: Domain) -> DataFrame:
-    return stats.top_taxa(stats.rank_stats(d.annotated, d.taxa), 3).select(
+    return stats.top_taxa(stats.rank_stats(d.annotated, d.taxa)).select(
         "sample_id", "end", "rank", "name", F.col("place").cast("bigint").alias("place"), "score"
     )
 

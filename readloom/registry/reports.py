@@ -335,7 +335,8 @@ SELECT sample_id, sample_name, replicate, fwd_reads, fwd_bases, rev_reads, rev_b
   round(genome_size, 6) AS genome_size, round(i.insert_size, 6) AS insert_size, m.mapped_pe1, m.mapped_pe2
 FROM samples s JOIN (SELECT sample_id, insert_size FROM insert_sizes) i USING (sample_id)
 JOIN (SELECT sample_id, count(*) FILTER ("end" = 'pe1') AS mapped_pe1,
-  count(*) FILTER ("end" = 'pe2') AS mapped_pe2 FROM rd_ann GROUP BY sample_id) m USING (sample_id)""")
+  count(*) FILTER ("end" = 'pe2') AS mapped_pe2 FROM rd_ann WHERE status = 'function'
+  GROUP BY sample_id) m USING (sample_id)""")
 def _(d: Domain) -> DataFrame:
     sizes = cubes.insert_sizes(d.annotated, d.samples, d.params)
     return reports.sample_summary(d.samples, d.annotated, sizes)

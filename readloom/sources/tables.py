@@ -15,6 +15,10 @@ from readloom.functions.ids import parse_read_id, parse_region_key, split_functi
 from readloom.operators.taxonomy import complete_taxonomy
 from readloom.params import RANKS
 from readloom.schemas import HIT_LIST, HITS, KEPT_HIT
+from readloom.session import broadcast_if_small
+
+# Bits of an order key that number the rows of one file.
+_PLACE_BITS = 41
 
 # Name of a hit table: sample, end, then the kind of table.
 _TABLE_NAME = r"([^/=]+)_(pe[12])_[^/]*$"
@@ -35,11 +39,15 @@ def _in_order(rows: DataFrame) -> DataFrame:
 
     Spark packs splits by size, so its own row ids follow no order of names. A split that does not
     end its file fills a task alone, hence its rows number fewer than the bytes up to the next one:
-    start of the split plus row in the task grows along a file.
+    start of the split plus row in the task grows along a file. The key has room for 2^22 files of 2^41
+    bytes; one that would not fit fails the job.
     """
     files = sorted({re.sub("^file:/+", "file:/", unquote(f)) for f in rows.inputFiles()})
-    numbers = rows.sparkSession.createDataFrame(
-        [(f, k) for k, f in enumerate(files)], "file string, _number long")
+    if len(files) > 1 << (63 - _PLACE_BITS):
+        raise ValueError(f"more than {1 << (63 - _PLACE_BITS)} files in one table")
+    # Spark's own index has these names on the driver; only few of them are sent to every task.
+    numbers = broadcast_if_small(rows.sparkSession.createDataFrame(
+        [(f, k) for k, f in enumerate(files)], "file string, _number long"))
     # A plus sign is itself in a path, a blank only in a form.
     decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     placed = rows.select(
@@ -47,8 +55,11 @@ def _in_order(rows: DataFrame) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"), *rows.columns)
     number = F.coalesce("_number", F.raise_error(F.concat(F.lit("unlisted file "), "file")).cast("long"))
-    return placed.join(F.broadcast(numbers), "file", "left").select(
-        (F.shiftleft(number, 44) + F.col("_block") + F.col("_row")).alias("ord"), "file", *rows.columns)
+    place = F.col("_block") + F.col("_row")
+    fits = F.when(place < 1 << _PLACE_BITS, place).otherwise(
+        F.raise_error(F.concat(F.lit("too long to be numbered: "), "file")).cast("long"))
+    return placed.join(numbers, "file", "left").select(
+        (F.shiftleft(number, _PLACE_BITS) + fits).alias("ord"), "file", *rows.columns)
 
 
 def _with_origin(rows: DataFrame) -> DataFrame:
