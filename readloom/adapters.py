@@ -181,7 +181,7 @@ class Domain:
             F.lit(1e-5).alias("evalue"),
             (F.lit(40.0) + (13 * F.col("l_partkey") + 7 * F.col("l_linenumber")) % 50)
             .alias("bitscore"),
-            F.col("l_linenumber").cast("bigint").alias("ord"),
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("ord"),
             F.when(F.col("l_returnflag") == "A", "ref").otherwise("bg").alias("searched"),
             F.col("l_orderkey").alias("order_key"),
             F.col("l_partkey").alias("part_key"),

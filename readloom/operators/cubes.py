@@ -314,12 +314,13 @@ def fragment_functions(
 
 def paired_end_metrics(
     rows: DataFrame, annotated: DataFrame, samples: DataFrame, metrics: Sequence[str],
-    params: RunParams, by_taxon: bool = False,
+    params: RunParams, by_taxon: bool = False, sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Scores of fragments under several metrics from one pass over their functions.
 
     ``rows`` are the fragment functions, with taxa when ``by_taxon``. A function without a
-    supporting hit still counts in the function cube, not in the taxon cube.
+    supporting hit still counts in the function cube, not in the taxon cube. ``sizes`` are the samples'
+    insert sizes, if they are known already.
     """
     factors = {m: metric_factor(m, True, by_taxon) for m in metrics}
     found = F.col("best").isNotNull()
@@ -331,8 +332,9 @@ def paired_end_metrics(
         raw["fpk"] = F.coalesce(per_kilobase(s_len), F.lit(0.0))
     if {"efpk", "efpkm", "efpkg"} & set(metrics):
         lengths = average_read_lengths(samples).where(F.col("end") == END1).drop("end")
-        sizes = insert_sizes(annotated, samples, params).select("sample_id", "insert_size")
-        libraries = lengths.join(sizes, "sample_id")
+        if sizes is None:
+            sizes = insert_sizes(annotated, samples, params)
+        libraries = lengths.join(sizes.select("sample_id", "insert_size"), "sample_id")
         rows = rows.join(broadcast_if_small(libraries, samples), "sample_id")
         efpk = effective_fragments_per_kilobase(
             s_len, F.col("read_length"), params.length_cutoff, F.col("insert_size")

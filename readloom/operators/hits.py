@@ -29,14 +29,15 @@ def filter_by_fixed_identity(
 
 
 def deduplicate(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """First hit of each (subject, q_start, q_end) within a query.
+    """First hit of each (subject, q_start, q_end) within a query; ``ord`` tells rows of a query apart.
 
-    The minimum of a struct combines on the map side, so copies never travel, and the hash of
-    the full key spreads one hot query over every task.
+    Each column of a hit is that of the least ``ord``: numbers of fixed width, so the aggregate hashes and
+    combines on the map side without a sort, copies never travel, and the hash of the full key spreads one
+    hot query over every task.
     """
-    first = F.min(F.struct(*HIT_PAYLOAD)).alias("first")
-    grouped = hits.groupBy(*keys, "subject_id", "q_start", "q_end").agg(first)
-    return grouped.select(*keys, "subject_id", "q_start", "q_end", "first.*")
+    rest = [c for c in HIT_PAYLOAD if c != "ord"]
+    return hits.groupBy(*keys, "subject_id", "q_start", "q_end").agg(
+        F.min("ord").alias("ord"), *[F.min_by(c, "ord").alias(c) for c in rest])
 
 
 def top_hit(hits: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from readloom.params import LOWER_RANK, RANKS, ROOT_TAXID, UNKNOWN_TAXID
+from readloom.session import written
 
 # Starts the id of a residual node and sorts it after the taxa beside it.
 RESIDUAL_MARK = "~"
@@ -67,10 +68,10 @@ def child_sums(
     key has sums of 0.
     """
     inner = profile.where(F.col("parent").isNotNull())
-    parents = inner.select(F.col("parent").alias("taxid"), *scope).distinct()
     sums = inner.groupBy(F.col("parent").alias("taxid"), *scope, *keys).agg(
         *[F.sum(v).alias(f"child_{v}") for v in values]
     )
+    parents = sums.select("taxid", *scope).distinct()
     nodes = profile.join(parents, ["taxid", *scope], "left_semi")
     return nodes.join(sums, ["taxid", *scope, *keys], "left").na.fill(
         0, [f"child_{v}" for v in values]
@@ -114,6 +115,18 @@ def with_residuals(
     return profile.unionByName(residual_nodes(profile, scope, keys, values, trigger))
 
 
+def tree_nodes(
+    scores: DataFrame, taxa: DataFrame, scope: Sequence[str], keys: Sequence[str],
+    values: Sequence[str], trigger: str,
+) -> DataFrame:
+    """Profile and residual nodes of all trees, written: reports read them for lines, leaves and cells.
+
+    The profile is written on the way, since children, sums and residuals each start from it.
+    """
+    profile = written(roll_up(scores, taxa, [*scope, *keys], values))
+    return written(with_residuals(profile, scope, keys, values, trigger))
+
+
 def preorder_lines(nodes: DataFrame, scope: Sequence[str]) -> DataFrame:
     """Depth-first line number of each node, children in string order, residual nodes last.
 

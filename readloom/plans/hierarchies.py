@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.operators.rollup import mean_identity, roll_up, with_residuals
+from readloom.operators.rollup import mean_identity, roll_up, tree_nodes
 from readloom.operators.stats import LIBRARY, group_read_counts
 from readloom.params import GOOD
 from readloom.plans.reports import VALUES
@@ -34,8 +34,10 @@ def taxonomy_hierarchy(
     scores: DataFrame, taxa: DataFrame, series: str, scope: list[str], residual: bool
 ) -> DataFrame:
     """Taxon nodes with values per data series, with or without residual nodes."""
-    profile = roll_up(scores, taxa, [*scope, series], VALUES)
-    nodes = with_residuals(profile, scope, [series], VALUES, "count") if residual else profile
+    if residual:
+        nodes = tree_nodes(scores, taxa, scope, [series], VALUES, "count")
+    else:
+        nodes = roll_up(scores, taxa, [*scope, series], VALUES)
     return nodes.select(
         *scope, F.array_join("path", "/").alias("path"), "rank", "name", series, "score", "count",
         mean_identity().alias("avg_identity"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from readloom.functions.sequences import region_slice, reverse_complement
 from readloom.operators import assembly
 from readloom.operators.catalogue import annotate
-from readloom.operators.rollup import mean_identity, preorder_lines, roll_up, with_residuals
+from readloom.operators.rollup import mean_identity, preorder_lines, tree_nodes
 from readloom.operators.samples import normalisation_factors
 from readloom.params import BAD, GOOD, RANKS, ROOT_TAXID, RunParams
 
@@ -87,8 +87,7 @@ def taxon_function_table(
 
     A residual node is added where the read counts of the children fall short.
     """
-    profile = roll_up(scores, taxa, ["sample_id", "function"], VALUES)
-    nodes = with_residuals(profile, ["sample_id"], ["function"], VALUES, "count")
+    nodes = tree_nodes(scores, taxa, ["sample_id"], ["function"], VALUES, "count")
     cells = [F.sum("score").alias("score"), F.sum(mean_identity()).alias("identity"),
              F.sum("count").alias("count")]
     return pivoted(
@@ -101,8 +100,7 @@ def taxon_function_score_table(
     scores: DataFrame, taxa: DataFrame, function_list: Sequence[str]
 ) -> DataFrame:
     """Per sample: taxon lines x score of each function, residuals by score."""
-    profile = roll_up(scores, taxa, ["sample_id", "function"], ["score"])
-    nodes = with_residuals(profile, ["sample_id"], ["function"], ["score"], "score")
+    nodes = tree_nodes(scores, taxa, ["sample_id"], ["function"], ["score"], "score")
     return pivoted(
         _lined(nodes, ["sample_id"]), ["sample_id", "line", "rank", "name"],
         "function", function_list, [F.sum("score")],
@@ -117,8 +115,7 @@ def taxon_sample_table(
     sheets = scores.select("taxonomy", "function", "sample_id", "score").unionByName(
         average.select("taxonomy", "function", "sample_id", "score")
     )
-    profile = roll_up(sheets, taxa, ["function", "sample_id"], ["score"])
-    nodes = with_residuals(profile, ["function"], ["sample_id"], ["score"], "score")
+    nodes = tree_nodes(sheets, taxa, ["function"], ["sample_id"], ["score"], "score")
     return pivoted(
         _lined(nodes, ["function"]), ["function", "line", "rank", "name"],
         "sample_id", sample_list, [F.sum("score")],
@@ -153,8 +150,7 @@ def statistics_taxonomy_table(
     scores: DataFrame, taxa: DataFrame, sample_list: Sequence[str]
 ) -> DataFrame:
     """Per function: leaf and residual taxa with a lineage of fixed width x samples."""
-    profile = roll_up(scores, taxa, ["function", "sample_id"], ["score"])
-    nodes = with_residuals(profile, ["function"], ["sample_id"], ["score"], "score")
+    nodes = tree_nodes(scores, taxa, ["function"], ["sample_id"], ["score"], "score")
     inner = nodes.where(F.col("parent").isNotNull()).select(
         "function", F.col("parent").alias("taxid")
     ).distinct()

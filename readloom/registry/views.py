@@ -121,7 +121,7 @@ SELECT 'S' || substr(o_orderpriority, 1, 1) AS sample_id,
   CAST(l_suppkey % 50 + 10 + CAST(l_quantity AS INTEGER) AS INTEGER) AS s_end,
   1e-5::DOUBLE AS evalue,
   40.0::DOUBLE + (13 * l_partkey + 7 * l_linenumber) % 50 AS bitscore,
-  CAST(l_linenumber AS BIGINT) AS ord,
+  CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS ord,
   CASE WHEN l_returnflag = 'A' THEN 'ref' ELSE 'bg' END AS searched,
   l_orderkey AS order_key, l_partkey AS part_key
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from readloom import session
 from readloom.adapters import READ_KEYS, Domain
 from readloom.operators import catalogue, hits, skew, taxonomy
-from readloom.registry.core import domain
+from readloom.registry.core import domain, runnable
 
 
 def plan_of(df) -> str:
@@ -137,3 +137,16 @@ def test_classification_is_the_same_without_broadcasts(spark, folder, monkeypatc
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert got == want
+
+
+def test_deduplication_hashes_without_a_sort(spark, folder):
+    d = domain(spark, folder)
+    plan = plan_of(hits.deduplicate(d.hits, READ_KEYS))
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan and "HashAggregate" in plan
+    assert "Sort [" not in plan
+
+
+def test_taxon_reports_start_from_one_written_profile(spark, folder):
+    d = domain(spark, folder)
+    table = runnable("report_taxon_sample")(spark, folder)
+    assert len(re.findall(r"Exchange hashpartitioning", plan_of(table))) < 20
