@@ -8,7 +8,7 @@ import pytest
 
 from readloom.functions.ids import parse_read_id
 from readloom.sinks.text import write_hits
-from readloom.sources import fasta, tables
+from readloom.sources import fasta, fastq, tables
 from readloom.sources.fastq import read_fastq
 from pyspark.sql import functions as F
 
@@ -164,3 +164,51 @@ def test_missing_and_empty_files(spark, tmp_path):
     (tmp_path / "t.tsv").write_text("")
     with pytest.raises(ValueError, match="no taxonomy"):
         tables.read_taxonomy(spark, str(tmp_path / "t.tsv"))
+
+
+@pytest.fixture
+def text_splits(spark):
+    """Sets how many bytes a split of Spark's own readers has."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {name: spark.conf.get(name) for name in names}
+
+    def set_size(size):
+        spark.conf.set(names[0], str(size))
+        spark.conf.set(names[1], "1")
+    yield set_size
+    for name, value in old.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("split", [11, 64, 1000, 1 << 20])
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_fastq_through_text_splits(spark, tmp_path, text_splits, split, newline):
+    want = list(records(83))
+    (tmp_path / "a+b c.fq").write_bytes("".join(newline.join(r) + newline for r in want).encode())
+    text_splits(split)
+    got = fastq.read_fastq_as_text(spark, [str(tmp_path)]).drop("file").collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_fastq_of_a_store_only_spark_opens(spark, tmp_path):
+    want = list(records(40))
+    with gzip.open(tmp_path / "a.fq.gz", "wt") as out:
+        out.writelines("\n".join(r) + "\n" for r in want[:15])
+    (tmp_path / "b.fq").write_text("\n\n" + "".join("\n".join(r) + "\n" for r in want[15:]) + "\n")
+    (tmp_path / "c.fq").write_text("")
+    spark.sparkContext._jsc.hadoopConfiguration().set(
+        "fs.viewfs.mounttable.reads.link./in", f"file://{tmp_path}")
+    table = read_fastq(spark, "viewfs://reads/in")
+    assert sorted(tuple(r) for r in table.drop("file").collect()) == sorted(want)
+    assert {r["file"].rsplit("/", 1)[1] for r in table.select("file").distinct().collect()} == {"a.fq.gz", "b.fq"}
+
+
+@pytest.mark.parametrize("split", [9, 1 << 20])
+@pytest.mark.parametrize("torn", [
+    "@a\nACGT\n+\nIIII\n@b\nAC\n", "@a\nACGT\n+\nIII\n", "a\nACGT\n+\nIIII\n", "@a\nACGT\n+\n@II\n",
+    "@a\nACGT\n+\n", "@a\nACGT\n-\nIIII\n"])
+def test_torn_fastq_through_text_splits_is_refused(spark, tmp_path, text_splits, split, torn):
+    (tmp_path / "a.fq").write_text(torn)
+    text_splits(split)
+    with pytest.raises(Exception, match="no whole FASTQ record"):
+        fastq.read_fastq_as_text(spark, [str(tmp_path)]).collect()
