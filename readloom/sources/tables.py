@@ -190,16 +190,29 @@ def read_coverage(spark: SparkSession, path: str | None) -> DataFrame:
 
 def read_alignments(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """SAM rows: read, contig and length of the aligned sequence."""
-    fields = (
-        _lines(spark, path).where(~F.col("line").startswith("@"))
-        .select(F.split("line", "\t").alias("f")).where(F.size("f") > 9)
-    )
+    return read_function_alignments(spark, path).drop("function")
+
+
+def read_function_alignments(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """SAM rows with the function whose folder the file lies in."""
+    lines = spark.read.text(path).select(
+        folder_value(F.col("_metadata.file_path")).alias("function"),
+        F.regexp_replace("value", r"\r$", "").alias("line"))
+    fields = lines.where(~F.col("line").startswith("@")).select(
+        "function", F.split("line", "\t").alias("f")).where(F.size("f") > 9)
     return fields.select(
-        F.col("f")[0].alias("read_id"), F.col("f")[2].alias("contig_id"),
+        "function", F.col("f")[0].alias("read_id"), F.col("f")[2].alias("contig_id"),
         F.length(F.col("f")[9]).alias("aligned_length"),
     )
 
 
+def folder_value(file: Column) -> Column:
+    """Name of the folder a file lies in; of a partition folder, the value."""
+    folder = F.regexp_replace(F.regexp_extract(file, "([^/]+)/[^/]+$", 1), "^[^=]*=", "")
+    # Spark escapes the path as a URL and, before that, the value of a partition.
+    return F.url_decode(F.url_decode(F.replace(F.replace(folder, F.lit("+"), F.lit("%2B")), F.lit("%2B"), F.lit("%252B"))))
+
+
 def read_sample_sheet(spark: SparkSession, path: str) -> DataFrame:
     """Sample, forward file, reverse file (empty for single-end); replicate is the row number."""
     fields = _lines(spark, path).select("ord", F.split("line", "\t").alias("f"))
