@@ -2,7 +2,7 @@
 
 The pieces are those of a fixed public vocabulary, single bytes among them, so every word can be segmented.
 A language gives each piece a probability; a word's probability is the sum over all its segmentations, which
-the forward algorithm takes position by position, for many words and all languages at once. A text is its
+the forward algorithm takes place by place, for many words of one length and all languages at once. A text is its
 words; its score is the sum of their logarithms and of the language's share of the training texts.
 
 The probabilities come from expectation maximisation over the exact word counts of all training texts: words
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from readloom.llm.common import Scratch, small_batches
 
-# Longer pieces of the vocabulary are left out; single bytes always stay.
-MAX_PIECE = 24
+# Longer pieces of the vocabulary are left out; single bytes always stay. So many bytes fit one number.
+MAX_PIECE = 8
 # Longer runs of letters are cut into words of so many code points.
 MAX_WORD = 48
 ROUNDS = 3
@@ -36,8 +36,8 @@ UNKNOWN = "und"
 # Code points that are taken apart at a time, and distinct words held by a task.
 SLICE = 1 << 20
 HELD_WORDS = 1 << 18
-# Cells (words x positions x languages) of one forward pass.
-CELLS = 1 << 21
+# Cells (words x places x lengths) of one pass.
+CELLS = 1 << 19
 
 RUN = re.compile(r"[^\W\d_]+")
 NO_RUN = re.compile(r"[\W\d_]")
@@ -79,67 +79,92 @@ def word_counts(text: str) -> Counter:
     return counts
 
 
-class Lattice:
-    """All pieces in all places of some words, each led by a blank, as flat arrays."""
-
-    def __init__(self, words: list[str], number: dict[bytes, int], longest: int):
-        raw = [b" " + w.encode("utf-8", "surrogatepass") for w in words]
-        row, begin, end, piece = [], [], [], []
-        get = number.get
-        for k, w in enumerate(raw):
-            n = len(w)
-            for i in range(n):
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    p = get(w[i:j])
-                    if p is not None:
-                        row.append(k)
-                        begin.append(i)
-                        end.append(j)
-                        piece.append(p)
-        self.row, self.begin, self.end, self.piece = (np.array(x, np.int64) for x in (row, begin, end, piece))
-        self.length = np.array([len(w) for w in raw], np.int64)
-
-    def _steps(self, key: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each place: the edges there in order of word, and where each word begins among them."""
-        order = np.lexsort((self.row, key))
-        place, at = np.unique(key[order], return_index=True)
-        for p, a, b in zip(place.tolist(), at.tolist(), [*at[1:].tolist(), len(order)]):
-            edges = order[a:b]
-            row = self.row[edges]
-            yield p, edges, np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
-
-    @staticmethod
-    def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Logarithms of the sums of each word's edges."""
-        top = np.maximum.reduceat(values, first, axis=0)
-        sizes = np.diff(np.append(first, len(values)))
-        return top + np.log(np.add.reduceat(np.exp(values - np.repeat(top, sizes, axis=0)), first, axis=0))
-
-    def forward(self, edge: np.ndarray) -> np.ndarray:
-        """``edge`` has a row an edge and a column a language; result: words x places x languages."""
-        table = np.zeros((len(self.length), int(self.length.max()) + 1, edge.shape[1]))
-        for place, edges, first in self._steps(self.end):
-            values = table[self.row[edges], self.begin[edges]] + edge[edges]
-            table[self.row[edges[first]], place] = self._sums(values, first)
-        return table
-
-    def backward(self, edge: np.ndarray) -> np.ndarray:
-        table = np.zeros((len(self.length), int(self.length.max()) + 1, edge.shape[1]))
-        for place, edges, first in reversed(list(self._steps(self.begin))):
-            values = table[self.row[edges], self.end[edges]] + edge[edges]
-            table[self.row[edges[first]], place] = self._sums(values, first)
-        return table
-
-    def totals(self, edge: np.ndarray) -> np.ndarray:
-        """Logarithm of each word's probability, summed over its segmentations: words x languages."""
-        return self.forward(edge)[np.arange(len(self.length)), self.length]
-
-
-def in_parts(words: list, n_languages: int) -> Iterator[slice]:
-    """Slices of words that one pass holds."""
-    step = max(1, CELLS // (4 * MAX_WORD * max(n_languages, 1)))
-    for at in range(0, len(words), step):
-        yield slice(at, at + step)
+class Pieces:
+    """The vocabulary by length, as sorted packed numbers, so that all places of many words are looked up at once."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.n = len(pieces)
+        self.longest = max(map(len, pieces))
+        if self.longest > MAX_PIECE:
+            raise ValueError(f"pieces may have {MAX_PIECE} bytes")
+        self.by_length = {}
+        for length in range(1, self.longest + 1):
+            numbers = [k for k, p in enumerate(pieces) if len(p) == length]
+            packed = np.array([int.from_bytes(pieces[k], "little") for k in numbers], np.uint64)
+            order = np.argsort(packed)
+            self.by_length[length] = packed[order], np.array(numbers, np.int64)[order]
+
+    def lattice(self, raw: np.ndarray) -> np.ndarray:
+        """Words of one length as rows of bytes to words x places x lengths: the piece there, or ``n``."""
+        m, n = raw.shape
+        padded = np.zeros((m, n + 8), np.uint8)
+        padded[:, :n] = raw
+        ahead = np.lib.stride_tricks.sliding_window_view(padded, 8, axis=1)[:, :n].copy()
+        ahead = ahead.reshape(m, n * 8).view("<u8")
+        found = np.full((m, n, min(self.longest, n)), self.n, np.int64)
+        for length in range(1, found.shape[2] + 1):
+            packed, numbers = self.by_length[length]
+            if not len(packed):
+                continue
+            keys = ahead[:, :n - length + 1] & np.uint64((1 << (8 * length)) - 1)
+            at = np.minimum(np.searchsorted(packed, keys), len(packed) - 1)
+            found[:, :n - length + 1, length - 1] = np.where(packed[at] == keys, numbers[at], self.n)
+        return found
+
+
+def forward(lattice: np.ndarray, edge: Callable[[np.ndarray], np.ndarray], logs: bool) -> list[np.ndarray]:
+    """For each place, the sum over all segmentations up to it: arrays of words x languages.
+
+    ``edge`` gives the probabilities of pieces, or their logarithms.
+    """
+    m, n, longest = lattice.shape
+    start = edge(lattice[:, 0, 0])
+    table = [np.zeros_like(start) if logs else np.ones_like(start)]
+    for place in range(1, n + 1):
+        total = None
+        for length in range(1, min(longest, place) + 1):
+            value = edge(lattice[:, place - length, length - 1])
+            before = table[place - length]
+            if logs:
+                value = value + before
+                total = value if total is None else np.logaddexp(total, value)
+            else:
+                value = value * before
+                total = value if total is None else total + value
+        table.append(total)
+    return table
+
+
+def backward(lattice: np.ndarray, edge: Callable[[np.ndarray], np.ndarray], logs: bool) -> list[np.ndarray]:
+    """For each place, the sum over all segmentations from it to the end."""
+    m, n, longest = lattice.shape
+    start = edge(lattice[:, 0, 0])
+    table = [None] * n + [np.zeros_like(start) if logs else np.ones_like(start)]
+    for place in range(n - 1, -1, -1):
+        total = None
+        for length in range(1, min(longest, n - place) + 1):
+            value = edge(lattice[:, place, length - 1])
+            after = table[place + length]
+            if logs:
+                value = value + after
+                total = value if total is None else np.logaddexp(total, value)
+            else:
+                value = value * after
+                total = value if total is None else total + value
+        table[place] = total
+    return table
+
+
+def same_length(words: list[str], cells: int = CELLS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of words, and their bytes behind a blank as rows, in groups of one length and bounded size."""
+    raw = [b" " + w.encode("utf-8", "surrogatepass") for w in words]
+    lengths = np.array([len(w) for w in raw], np.int64)
+    for n in np.unique(lengths).tolist():
+        own = np.flatnonzero(lengths == n)
+        step = max(1, cells // (n * MAX_PIECE))
+        for at in range(0, len(own), step):
+            part = own[at:at + step]
+            yield part, np.frombuffer(b"".join([raw[k] for k in part]), np.uint8).reshape(len(part), n)
 
 
 @dataclass
@@ -152,15 +177,47 @@ class Model:
     shares: np.ndarray
 
     def __post_init__(self):
-        self.number = {p: k for k, p in enumerate(self.pieces)}
-        self.longest = max(map(len, self.pieces))
+        self.lookup = Pieces(self.pieces)
+        none = np.full((1, len(self.languages)), -np.inf)
+        self.edge_logs = np.concatenate((self.logs, none))
+        self.edge = np.exp(self.edge_logs)
+        # Products over so many bytes stay far from the smallest double; longer words go by logarithms.
+        least = float(-self.logs.min()) if self.logs.size else 1.0
+        self.safe = int(600 / max(least, 1e-9))
 
     def word_logs(self, words: list[str]) -> np.ndarray:
-        found = []
-        for part in in_parts(words, len(self.languages)):
-            lattice = Lattice(words[part], self.number, self.longest)
-            found.append(lattice.totals(self.logs[lattice.piece]))
-        return np.concatenate(found) if found else np.zeros((0, len(self.languages)))
+        """Logarithm of each word's probability, summed over its segmentations: words x languages."""
+        found = np.zeros((len(words), len(self.languages)))
+        for part, raw in same_length(words):
+            logs = raw.shape[1] > self.safe
+            edges = self.edge_logs if logs else self.edge
+            total = forward(self.lookup.lattice(raw), lambda pieces, e=edges: e[pieces], logs)[-1]
+            found[part] = total if logs else np.log(total)
+        return found
+
+    def expected(self, words: list[str], lang: np.ndarray, times: np.ndarray, into: np.ndarray) -> None:
+        """Add the pieces that words of these languages hold on average over their segmentations.
+
+        ``into`` has a row a piece, one more for none, and a column a language.
+        """
+        width = len(self.languages)
+        flat = into.reshape(-1)
+        for part, raw in same_length(words):
+            own, logs = lang[part], raw.shape[1] > self.safe
+            edges = (self.edge_logs if logs else self.edge).reshape(-1)
+            edge = lambda pieces, o=own, e=edges: e[pieces * width + o]
+            lattice = self.lookup.lattice(raw)
+            before, after = forward(lattice, edge, logs), backward(lattice, edge, logs)
+            whole = before[-1]
+            n, longest = lattice.shape[1:]
+            for place in range(n):
+                for length in range(1, min(longest, n - place) + 1):
+                    pieces = lattice[:, place, length - 1]
+                    here = np.flatnonzero(pieces < self.lookup.n)
+                    value, a, b = edge(pieces)[here], before[place][here], after[place + length][here]
+                    share = np.exp(a + value + b - whole[here]) if logs else a * value * b / whole[here]
+                    flat += np.bincount(
+                        pieces[here] * width + own[here], share * times[part][here], len(flat))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,19 +246,11 @@ def _expected(shared) -> Callable:
     """Expected piece counts per language of rows (lang number, word, n), summed over the task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(**shared.value)
-        total = np.zeros(model.logs.shape)
+        total = np.zeros(model.edge.shape)
         for batch in batches:
-            own, words = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            times = batch.column(2).to_numpy()
-            for part in in_parts(words, 1):
-                lattice = Lattice(words[part], model.number, model.longest)
-                lang = own[part][lattice.row]
-                edge = model.logs[lattice.piece, lang][:, None]
-                before, after = lattice.forward(edge), lattice.backward(edge)
-                whole = before[np.arange(len(lattice.length)), lattice.length]
-                logs = before[lattice.row, lattice.begin] + edge + after[lattice.row, lattice.end] - whole[lattice.row]
-                np.add.at(total, (lattice.piece, lang), np.exp(logs[:, 0]) * times[part][lattice.row])
-        piece, lang = np.nonzero(total)
+            model.expected(
+                batch.column(1).to_pylist(), batch.column(0).to_numpy(), batch.column(2).to_numpy(), total)
+        piece, lang = np.nonzero(total[:-1])
         yield pa.RecordBatch.from_arrays(
             [pa.array(piece), pa.array(lang), pa.array(total[piece, lang])], ["piece", "lang", "n"])
     return run

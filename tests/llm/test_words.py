@@ -213,31 +213,38 @@ def segmentations(word: bytes, pieces: set[bytes]):
                 yield (word[:k], *rest)
 
 
-def test_forward_and_backward_sum_all_segmentations():
+@pytest.mark.parametrize("safe", [100, 0])
+def test_forward_and_backward_sum_all_segmentations(safe):
+    """By products, and (nothing is safe) by logarithms."""
     rng = np.random.default_rng(5)
-    pieces = [b" ", b"a", b"b", b" a", b"ab", b"ba", b"aba", b"bb"]
+    pieces = [b" ", b"a", b"b", b" a", b"ab", b"ba", b"aba", b"bb", b" abababa"]
     logs = np.log(rng.dirichlet(np.ones(len(pieces)), 3).T)
     model = language.Model(pieces, logs, ["x", "y", "z"], np.zeros(3))
-    words = ["a", "ab", "abab", "bbba", "aababb"]
-    lattice = language.Lattice(words, model.number, model.longest)
-    before, after = lattice.forward(logs[lattice.piece]), lattice.backward(logs[lattice.piece])
+    model.safe = safe
+    words = ["a", "ab", "abab", "bbba", "aababb", "abababab", "b"]
     totals = model.word_logs(words)
     for k, word in enumerate(words):
         ways = list(segmentations(b" " + word.encode(), set(pieces)))
         for lang in range(3):
-            p = [math.exp(sum(logs[model.number[x], lang] for x in way)) for way in ways]
+            p = [math.exp(sum(logs[pieces.index(x), lang] for x in way)) for way in ways]
             assert math.isclose(totals[k, lang], math.log(sum(p)))
-            assert math.isclose(after[k, 0, lang], totals[k, lang])
-            # Expected counts of the pieces, from all segmentations.
-            own = lattice.row == k
-            edge = before[k, lattice.begin[own], lang] + logs[lattice.piece[own], lang] + after[
-                k, lattice.end[own], lang] - totals[k, lang]
-            found = np.bincount(lattice.piece[own], np.exp(edge), len(pieces))
-            expected = collections.Counter()
+            found = np.zeros((len(pieces) + 1, 3))
+            model.expected([word], np.array([lang]), np.array([2]), found)
+            expected = np.zeros_like(found)
             for way, share in zip(ways, p):
                 for x in way:
-                    expected[model.number[x]] += share / sum(p)
-            assert np.allclose(found, [expected[j] for j in range(len(pieces))])
+                    expected[pieces.index(x), lang] += 2 * share / sum(p)
+            assert np.allclose(found, expected)
+
+
+def test_long_words_do_not_vanish():
+    pieces = language.pieces_of(language.vocabulary_file())
+    logs = np.full((len(pieces), 2), -30.0)
+    logs[:, 1] = -31.0
+    model = language.Model(pieces, logs, ["x", "y"], np.zeros(2))
+    for word in ("\u0e01" * language.MAX_WORD, "qzxj" * 12):
+        [[x, y]] = model.word_logs([word])
+        assert np.isfinite(x) and x > y
 
 
 def test_words_of_long_texts_are_whole(monkeypatch):
