@@ -38,16 +38,21 @@ BITS_PER_ITEM = 10
 MAX_FREQUENT = 1 << 19
 # Tokens a task counts before it hands on a table.
 COUNT_TOKENS = 1 << 21
-# Segments in one part of a filter that is not broadcast: 8 MB.
-PART_SEGMENTS = 1 << 10
+# Segments in one part of a filter that is not broadcast: 512 KB, many more parts than tasks.
+PART_SEGMENTS = 1 << 6
 # Parts are asked in so many rounds, each of which frees its shuffle files.
 ROUNDS = 2
-NO_PORTION = -1
+# Numbers that no portion has: items come first in their part, then what is asked for frequent words.
+NO_PORTION = -2
+FREQUENT = -1
 
 # Stands for the end of a text and for what precedes its first word.
 END = np.uint64(0x6C62272E07BB0142)
 PAIR = np.uint64(1)
 TOP = np.uint64(0xFFFFFFFF00000000)
+# Bits of a key that the filter uses: of a pair those of both words together and some of the first.
+KEY_BYTES = 5
+KEY_BITS = np.uint64((1 << 8 * KEY_BYTES) - 1)
 MASS = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -63,7 +68,7 @@ LEVELS = ladder()
 
 
 def item(keys: np.ndarray, level: int) -> np.ndarray:
-    return mix(keys + np.uint64(level) * np.uint64(2))
+    return mix((keys & KEY_BITS) + np.uint64(level) * np.uint64(2))
 
 
 def token_keys(texts: list[bytes]) -> list[np.ndarray]:
@@ -208,21 +213,53 @@ def _fill(segments: int):
     return run
 
 
-def _asks(segments: int, part_segments: int, turn: int, rounds: int):
-    """The distinct keys that the texts of a portion ask for in this round, by the part of the filter they lie in."""
+def narrowed(keys: np.ndarray) -> bytes:
+    """The bits of keys that the filter uses, five bytes each."""
+    return np.ascontiguousarray((keys & KEY_BITS).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).tobytes()
+
+
+def widened(raw: bytes) -> np.ndarray:
+    keys = np.zeros((len(raw) // KEY_BYTES, 8), np.uint8)
+    keys[:, :KEY_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, KEY_BYTES)
+    return keys.view("<u8").reshape(-1)
+
+
+def is_in(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which keys are in a sorted array."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return known[at] == keys
+
+
+def asked_by_part(
+    texts: list[bytes], frequent: np.ndarray, segments: int, part_segments: int
+) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The parts of the filter that texts ask, and the distinct keys for each, in an order that texts alone decide.
+
+    Frequent words, and the mass behind them, are known everywhere and not asked.
+    """
+    tokens = np.concatenate(token_keys(texts))
+    words = np.unique(tokens)
+    words = words[~is_in(words, frequent)]
+    return in_parts(np.concatenate([words, mass_keys(words), np.unique(pair_keys(tokens))]), segments, part_segments)
+
+
+def in_parts(keys: np.ndarray, segments: int, part_segments: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    part = (segment_of(keys, segments) // np.uint64(part_segments)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    own, first = np.unique(part[order], return_index=True)
+    return own, np.split(keys[order], first[1:])[:len(own)]
+
+
+def _asks(shared, segments: int, part_segments: int, turn: int, rounds: int):
+    """What the texts of a portion ask in this round: one row a part."""
     def asked(portion: int, texts: list[bytes]) -> pa.RecordBatch:
-        tokens = np.concatenate(token_keys(texts))
-        words = np.unique(tokens)
-        keys = np.concatenate([words, mass_keys(words), np.unique(pair_keys(tokens))])
-        part = (segment_of(keys, segments) // np.uint64(part_segments)).astype(np.int64)
-        now = part % rounds == turn
-        keys, part = keys[now], part[now]
-        order = np.argsort(part, kind="stable")
-        own, first = np.unique(part[order], return_index=True)
-        lists = [x.tobytes() for x in np.split(keys[order], first[1:])][:len(own)]
+        parts, lists = asked_by_part(texts, shared.value, segments, part_segments)
+        now = [(part, keys) for part, keys in zip(parts.tolist(), lists) if part % rounds == turn]
         return pa.RecordBatch.from_arrays(
-            [pa.array(own), pa.array([portion] * len(own), pa.int64()), pa.array(lists, pa.binary())],
-            ["part", "portion", "keys"])
+            [pa.array([part for part, _ in now], pa.int64()), pa.array([portion] * len(now), pa.int64()),
+             pa.array([narrowed(keys) for _, keys in now], pa.binary())], ["part", "portion", "keys"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, texts = None, []
@@ -238,8 +275,11 @@ def _asks(segments: int, part_segments: int, turn: int, rounds: int):
     return run
 
 
-def _answers(segments: int, part_segments: int):
-    """Fills a part of the filter with the items that come first, then answers what is asked of it."""
+def _answers(part_segments: int):
+    """Fills a part of the filter with the items that come first, then answers what is asked of it.
+
+    An answer has the level of each key in the order of the asks, a byte each.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A part has the segments whose numbers agree but for the lowest bits, so it is a filter by itself.
         bits, held = np.zeros(part_segments * bloom.SEGMENT_BITS // 8, np.uint8), None
@@ -261,45 +301,52 @@ def _answers(segments: int, part_segments: int):
                             np.bitwise_or.at(
                                 bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
                     continue
-                lists = [np.frombuffer(k, np.uint64) for k in own.column(4).to_pylist()]
+                lists = [widened(k) for k in own.column(4).to_pylist()]
                 keys = np.concatenate(lists)
-                row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
                 # Pairs without the second level count as unseen.
                 maybe = keys & PAIR == 0
                 pairs = np.flatnonzero(~maybe)
                 maybe[pairs[holds(bits, keys[pairs], 2, part_segments)]] = True
-                keys, row = keys[maybe], row[maybe]
-                level = levels(bits, keys, part_segments)
-                keys, row, level = keys[level > 0], row[level > 0], level[level > 0].astype(np.uint8)
-                ends = np.searchsorted(row, np.arange(1, len(lists)))
+                found = np.zeros(len(keys), np.uint8)
+                found[maybe] = levels(bits, keys[maybe], part_segments)
+                ends = np.cumsum([len(x) for x in lists])[:-1]
                 yield pa.RecordBatch.from_arrays(
-                    [own.column(1), pa.array([x.tobytes() for x in np.split(keys, ends)], pa.binary()),
-                     pa.array([x.tobytes() for x in np.split(level, ends)], pa.binary())],
-                    ["portion", "keys", "levels"])
+                    [own.column(1), own.column(0), pa.array([x.tobytes() for x in np.split(found, ends)], pa.binary())],
+                    ["portion", "part", "levels"])
     return run
 
 
 def answered(
-    items: DataFrame, texts: DataFrame, segments: int, part_segments: int | None = None, turn: int = 0, rounds: int = 1
+    items: DataFrame, texts: DataFrame, segments: int, part_segments: int | None = None, turn: int = 0, rounds: int = 1,
+    frequent: np.ndarray = np.zeros(0, np.uint64),
 ) -> DataFrame:
-    """What a filter of any size says of the texts of each portion: (portion, keys, levels), missing keys left out.
+    """What a filter of any size says of the texts of each portion: (portion, part, levels).
 
-    ``items`` are (key, n), ``texts`` (portion, text). A task holds one part of the filter at a time; the number
-    of parts follows the number of items, so what is asked of a part does not grow with the corpus.
+    ``items`` are (key, n), ``texts`` (portion, text). The levels of a part are in the order of the keys that
+    ``asked_by_part`` has for it. A task holds one part of the filter at a time; the number of parts follows
+    the number of items, so what is asked of a part does not grow with the corpus. Frequent words are asked
+    for once, under the portion FREQUENT: the words and then the mass behind them.
     """
+    spark = items.sparkSession
     part_segments = min(part_segments or PART_SEGMENTS, segments)
-    n_parts = segments // part_segments
     asks = texts.select("portion", "text").mapInArrow(
-        _asks(segments, part_segments, turn, rounds), "part long, portion long, keys binary")
+        _asks(spark.sparkContext.broadcast(frequent), segments, part_segments, turn, rounds),
+        "part long, portion long, keys binary")
+    if len(frequent):
+        parts, lists = in_parts(np.concatenate([frequent, mass_keys(frequent)]), segments, part_segments)
+        known = [(p, FREQUENT, narrowed(k)) for p, k in zip(parts.tolist(), lists) if p % rounds == turn]
+        asks = asks.unionByName(spark.createDataFrame(known, asks.schema))
     none = F.lit(None)
     both = items.select(
         F.floor(segment_column(F.col("key"), segments) / F.lit(part_segments)).cast("long").alias("part"),
         F.lit(NO_PORTION).cast("long").alias("portion"), "key", "n", none.cast("binary").alias("keys"),
     ).where(F.col("part") % rounds == turn).unionByName(asks.select(
         "part", "portion", F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("n"), "keys"))
-    tasks = max(n_parts, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return both.repartition(tasks, "part").sortWithinPartitions("part", "portion").mapInArrow(
-        _answers(segments, part_segments), "portion long, keys binary, levels binary")
+    # Parts are dealt out in turn, so that tasks have as many of them, give or take one.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    task = F.floor(F.col("part") / rounds).cast("long") % tasks
+    return both.repartitionById(tasks, task.cast("int")).sortWithinPartitions("part", "portion").mapInArrow(
+        _answers(part_segments), "portion long, part long, levels binary")
 
 
 def _mass_key(pair: F.Column) -> F.Column:
@@ -372,7 +419,10 @@ def _scored(model: Model, rows: list, texts: list[bytes], carried: list, asked:
     if asked is None:
         counts = model.filter_counts(joined, found, at)
     else:
-        counts = [_looked_up(k, **asked) for k in (joined, mass_keys(joined), pair_keys(joined))]
+        counts = [
+            np.where(found, known[at], _looked_up(k, **asked)) if len(known) else _looked_up(k, **asked)
+            for k, known in ((joined, model.frequent_levels), (mass_keys(joined), model.frequent_mass))]
+        counts.append(_looked_up(pair_keys(joined), **asked))
     # Each text begins after an end token, so one pass serves all texts of the portion.
     scores = np.add.reduceat(model.log_probabilities(*counts), start)
     known = np.add.reduceat(found.astype(np.int64), start)
@@ -415,28 +465,44 @@ def _in_portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(portion, pa.int64()), *batch.columns], ["portion", *batch.schema.names])
 
 
-def _score_portion(shared):
+def _score_portion(shared, part_segments: int):
     def run(own: pa.Table, answers: pa.Table) -> pa.Table:
-        keys = np.frombuffer(b"".join(answers["keys"].to_pylist()), np.uint64)
-        level = np.frombuffer(b"".join(answers["levels"].to_pylist()), np.uint8)
-        keys, first = np.unique(keys, return_index=True)
-        asked = {"keys": keys, "counts": counts_of(level[first].astype(np.int64))}
+        model = Model(**shared.value)
         texts = [t or b"" for t in own["text"].cast(pa.binary()).to_pylist()]
+        parts, lists = asked_by_part(texts, model.frequent, model.segments, part_segments)
+        told = dict(zip(answers["part"].to_pylist(), answers["levels"].to_pylist()))
+        keys = np.concatenate(lists)
+        level = np.frombuffer(b"".join([told[p] for p in parts.tolist()]), np.uint8)
+        order = np.argsort(keys, kind="stable")
+        asked = {"keys": keys[order], "counts": counts_of(level[order].astype(np.int64))}
         carried = [own[c].combine_chunks() for c in ("doc_id", "held_out")]
-        return pa.Table.from_batches([_scored(
-            Model(**shared.value), own["row"].to_pylist(), texts, carried, asked)])
+        return pa.Table.from_batches([_scored(model, own["row"].to_pylist(), texts, carried, asked)])
     return run
 
 
-def _scored_by_parts(rows: DataFrame, items: DataFrame, model: Model, shared, scratch: Scratch) -> DataFrame:
+def _scored_by_parts(rows: DataFrame, items: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
     """Scores from a filter that stays in parts: texts ask in portions, and each portion meets its answers."""
+    spark = rows.sparkSession
     texts = scratch.write(rows.mapInArrow(
         _in_portions, "portion long, row long, text string, doc_id long, held_out boolean"), large=True)
+    part_segments = min(PART_SEGMENTS, model.segments)
     answers = reduce(DataFrame.unionByName, [
-        scratch.write(answered(items, texts, model.segments, turn=turn, rounds=ROUNDS), large=True)
+        scratch.write(answered(items, texts, model.segments, part_segments, turn, ROUNDS, model.frequent), large=True)
         for turn in range(ROUNDS)])
-    return texts.groupBy("portion").cogroup(answers.groupBy("portion")).applyInArrow(
-        _score_portion(shared), SCORED)
+    known = {r["part"]: r["levels"] for r in answers.where(F.col("portion") == FREQUENT).collect()}
+    parts, lists = in_parts(
+        np.concatenate([model.frequent, mass_keys(model.frequent)]), model.segments, part_segments)
+    if known:
+        keys = np.concatenate(lists)
+        counts = counts_of(np.frombuffer(b"".join([known[p] for p in parts.tolist()]), np.uint8).astype(np.int64))
+        order = np.argsort(keys, kind="stable")
+        looked = {"keys": keys[order], "counts": counts[order]}
+        model.frequent_levels = _looked_up(model.frequent, **looked)
+        model.frequent_mass = _looked_up(mass_keys(model.frequent), **looked)
+    shared = spark.sparkContext.broadcast(vars(model))
+    return texts.groupBy("portion").cogroup(
+        answers.where(F.col("portion") != FREQUENT).groupBy("portion")).applyInArrow(
+        _score_portion(shared, part_segments), SCORED)
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -454,11 +520,10 @@ def score(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), "text", F.col("doc_id").cast("long").alias("doc_id"),
         held.alias("held_out"))
     model, words, items = train(docs.where(~held), scratch)
-    shared = spark.sparkContext.broadcast(vars(model))
     if model.bits is None:
-        scored = scratch.write(_scored_by_parts(rows, items, model, shared, scratch), large=True)
+        scored = scratch.write(_scored_by_parts(rows, items, model, scratch), large=True)
     else:
-        scored = scratch.write(rows.mapInArrow(_score(shared), SCORED))
+        scored = scratch.write(rows.mapInArrow(_score(spark.sparkContext.broadcast(vars(model))), SCORED))
     rare = scored.select("row", F.explode(F.arrays_zip("keys", "times")).alias("t")).select(
         "row", F.col("t.keys").alias("key"), F.col("t.times").alias("times"))
     extra = rare.join(words, "key", "left").groupBy("row").agg(

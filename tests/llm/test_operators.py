@@ -296,7 +296,8 @@ def test_lm_filter_in_parts_gives_the_same_scores(docs, monkeypatch):
     whole = collections.Counter((*r[:5], round(r["base_score"], 6), round(r["score"], 6)) for r in lm.score(docs).collect())
     monkeypatch.setattr(bloom, "MAX_BITS", 1)
     asked = []
-    monkeypatch.setattr(lm, "answered", lambda *a, f=lm.answered, **k: asked.append(a) or f(*a, part_segments=1, **k))
+    monkeypatch.setattr(lm, "PART_SEGMENTS", 1)
+    monkeypatch.setattr(lm, "answered", lambda *a, f=lm.answered, **k: asked.append(a) or f(*a, **k))
     parts = collections.Counter((*r[:5], round(r["base_score"], 6), round(r["score"], 6)) for r in lm.score(docs).collect())
     assert parts == whole and asked
 
@@ -315,8 +316,10 @@ def test_lm_filter_larger_than_a_broadcast_keeps_its_error(spark, monkeypatch):
     absent = " ".join(f"{rng.choice('abc')} y{k}" for k in range(20000))
     asks = spark.createDataFrame([(0, absent), (1, train[0])], "portion long, text string")
     found = collections.defaultdict(dict)
+    lists = [dict(zip(*lm.asked_by_part([t.encode()], model.frequent[:0], model.segments, 2))) for t in (absent, train[0])]
     for r in lm.answered(items, asks, model.segments, 2).collect():
-        found[r["portion"]] |= dict(zip(np.frombuffer(r["keys"], "<u8").tolist(), r["levels"]))
+        own = zip(lists[r["portion"]][r["part"]].tolist(), r["levels"])
+        found[r["portion"]] |= {k: level for k, level in own if level}
     true = {r["key"] % 2**64: int(np.searchsorted(lm.LEVELS, r["n"], "right")) for r in items.collect()}
     keys = [np.unique(lm.pair_keys(lm.token_keys([t.encode()])[0])) for t in (absent, train[0])]
     wrong = np.mean([found[0].get(k, 0) > 0 for k in keys[0].tolist() if k not in true])
@@ -611,3 +614,20 @@ def test_pipeline_removes_planted_passages_of_every_length(spark):
         passage = planted[51 + k // 2]
         assert len(set(zip(*[kept[k][j:] for j in range(8)])) & set(zip(*[passage[j:] for j in range(8)]))) == 0
         assert kept[k][:38] == before[:38] and kept[k][-38:] == after[-38:]
+
+
+def test_lm_filter_in_parts_asks_frequent_words_once(docs, texts, monkeypatch):
+    """With few frequent words most words are asked in portions; scores stay the same."""
+    from readloom.llm import bloom
+
+    whole = collections.Counter((*r[:5], round(r["score"], 6)) for r in lm.score(docs).collect())
+    monkeypatch.setattr(bloom, "MAX_BITS", 1)
+    for most in (0, 20):
+        monkeypatch.setattr(lm, "MAX_FREQUENT", most)
+        assert collections.Counter((*r[:5], round(r["score"], 6)) for r in lm.score(docs).collect()) == whole
+    frequent = np.sort(lm.token_keys([texts[0][1].encode()])[0][:5])
+    parts, lists = lm.asked_by_part([texts[0][1].encode()], frequent, 64, 4)
+    keys = np.concatenate(lists)
+    assert not np.isin(keys, frequent).any() and not np.isin(keys, lm.mass_keys(frequent)).any()
+    raw = lm.narrowed(keys)
+    assert len(raw) == 5 * len(keys) and (lm.widened(raw) == keys & lm.KEY_BITS).all()
