@@ -18,6 +18,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 
 from readloom.llm.common import Scratch, small_batches, wrapped
 
+# Rows of all windows are matched by core in so many rounds.
+TURNS = 2
 # Bytes of text that a worker turns into units at a time, unless one document is longer.
 WORK_BYTES = 1 << 20
 
@@ -194,9 +197,15 @@ def repeated_places(
     texts = numbered.select("_row", "doc.text")
     searched = texts if within is None else texts.join(within, "_row").select("_row", "text", "places")
     rows = scratch.write(searched.mapInArrow(anchor_rows(method), ROWS), large=True)
-    seen = scratch.write(rows.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), large=True)
-    shared = scratch.write(rows.join(seen, "core", "left_semi"), large=True)
+    # Rows whose core stands elsewhere, too. Cores are taken in turns, each of which frees its shuffle files.
+    turns = []
+    for turn in range(TURNS):
+        own = rows.where(F.pmod("core", F.lit(TURNS)) == turn)
+        seen = scratch.write(own.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), large=True)
+        turns.append(scratch.write(own.join(seen, "core", "left_semi"), large=True))
+        scratch.drop(seen)
     scratch.drop(rows)
+    shared = reduce(DataFrame.unionByName, turns)
     spans = scratch.write(shared.groupBy("span1", "span2").agg(
         F.count("*").alias("n"), F.min("core").alias("core"), F.min("row").alias("first_row")), large=True)
     # Written, so that the join below has an exchange on both sides and may be split.
@@ -209,7 +218,7 @@ def repeated_places(
         "row", "start", "width", (F.col("n") > 1).alias("repeated"),
         (F.coalesce("mixed", F.lit(False)) & ((F.col("n") == 1) | (F.col("row") == F.col("first_row"))))
         .alias("open")).where("repeated or open"), large=True)
-    for df in (seen, shared, spans):
+    for df in (*turns, spans):
         scratch.drop(df)
 
     def packed(start, other):
