@@ -12,16 +12,18 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """``node`` and ``component`` (its smallest reachable node) for every node of ``a``-``b`` edges.
 
     Large star: each node hands its smallest neighbour to its larger ones. Small star: it hands it to its
-    smaller ones and itself. Edges end up pointing at the smallest node of their component. A node with
-    many edges is one side of a join that may be split.
+    smaller ones and itself. Edges end up pointing at the smallest node of their component. Smallest
+    neighbours are written before they are joined, so the join has an exchange on both sides and the edges of
+    one node may be split over tasks.
     """
     current = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(
-            F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = scratch.write(both.groupBy("a").agg(F.min("b").alias("m")).select(
+            "a", F.least("a", "m").alias("m")))
+        large = scratch.write(both.join(least, "a").where("b > a").select(
+            F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        least = scratch.write(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         current = scratch.write(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         # Done when every edge points at a node that points at nothing: one edge a node, none at a node with one.

@@ -6,8 +6,10 @@ so one threshold serves short and long items. What is retrieved counts as a leak
 holds enough word n-grams of the item's question and of its answer. The n-grams of a short part are shorter,
 so that one changed word never takes away more than the rule allows.
 
-The index of one block of items is broadcast (at most BLOCK_BYTES of item text); more blocks mean more scans
-of the corpus. Documents are never shuffled.
+Document frequencies and the mean length are those of all items, and passages follow the length class of an
+item, so scores do not depend on the block an item is in. The index of one block of items (at most BLOCK_BYTES
+of item text) is built once and broadcast; more blocks mean more scans of the corpus. Documents are never
+shuffled.
 """
 
 from __future__ import annotations
@@ -18,10 +20,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm.common import small_batches
+from readloom.llm.common import Scratch, small_batches
 from readloom.llm.recompression import mix, word_layout, word_names
 from readloom.llm.repeats import Units, portions
 
@@ -85,13 +87,35 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return " ".join(words[:len(words) // 2]), " ".join(words[len(words) // 2:])
 
 
+@dataclass
+class Statistics:
+    """Of all items: their number, their mean length, and in how many a word is (words in order)."""
+
+    n_items: int
+    mean_length: float
+    words: np.ndarray
+    counts: np.ndarray
+
+    @staticmethod
+    def of(sets: list[np.ndarray]) -> "Statistics":
+        own = [np.unique(s) for s in sets]
+        words, counts = np.unique(np.concatenate(own) if own else np.zeros(0, np.uint64), return_counts=True)
+        return Statistics(len(sets), float(np.mean([len(s) for s in sets] or [1])), words, counts)
+
+    def df(self, words: np.ndarray) -> np.ndarray:
+        return self.counts[np.searchsorted(self.words, words)]
+
+
 class Index:
     """Postings of the items of one length class, with the greatest weight of each block of postings."""
 
-    def __init__(self, items: list[tuple[int, str]], sets: list[np.ndarray], rule: LeakRule):
+    def __init__(
+        self, items: list[tuple[int, str]], sets: list[np.ndarray], rule: LeakRule, statistics: Statistics, longest: int
+    ):
         self.ids = [i for i, _ in items]
         self.rule = rule
-        self.longest = max(len(s) for s in sets)
+        # Length of the items of the class at most.
+        self.longest = longest
         self.parts = []
         for _, text in items:
             units, names = layout(list(question_and_answer(text)))
@@ -101,10 +125,10 @@ class Index:
         pair, tf = np.unique(term.astype(np.int64) * len(sets) + entry, return_counts=True)
         term, self.entry = pair // len(sets), pair % len(sets)
         self.bounds = np.searchsorted(term, np.arange(len(self.terms) + 1))
-        df = np.diff(self.bounds)[term]
+        df = statistics.df(self.terms)[term]
         length = np.array([len(s) for s in sets])
-        weight = np.log1p((len(sets) - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (
-            tf + K1 * (1 - B + B * length[self.entry] / length.mean()))
+        weight = np.log1p((statistics.n_items - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (
+            tf + K1 * (1 - B + B * length[self.entry] / statistics.mean_length))
         # Divided by what the item scores with itself.
         self.weight = weight / np.bincount(self.entry, weight, len(sets))[self.entry]
         self.most = np.maximum.reduceat(self.weight, self.bounds[:-1])
@@ -170,7 +194,7 @@ class Index:
         return found
 
     def passages(self, n_words: int) -> list[tuple[int, int]]:
-        """Passages of twice the longest item, each starting half-way through the one before."""
+        """Passages of twice the length of an item of the class, each starting half-way through the one before."""
         step = self.longest
         return [(a, min(a + 2 * step, n_words)) for a in range(0, max(n_words - step, 1), step)]
 
@@ -307,10 +331,17 @@ def stands_in(wanted: str, text: str) -> bool:
     return False
 
 
-def indexes(items: list[tuple[int, str]], rule: LeakRule) -> list[Index]:
-    """One index per class of length."""
-    units, names = layout([t for _, t in items])
-    sets = [names[a:b] for a, b in zip(units.first, units.last)]
+def word_sets(texts: list[str]) -> list[np.ndarray]:
+    units, names = layout(texts)
+    return [names[a:b] for a, b in zip(units.first, units.last)]
+
+
+def indexes(
+    items: list[tuple[int, str]], rule: LeakRule, statistics: Statistics | None = None
+) -> list[Index]:
+    """One index per class of length; without ``statistics`` the items are all there are."""
+    sets = word_sets([t for _, t in items])
+    statistics = statistics or Statistics.of([s for s in sets if len(s) >= rule.min_item_words])
     classes: dict[int, list[int]] = {}
     for k, s in enumerate(sets):
         if len(s) >= rule.min_item_words:
@@ -318,39 +349,83 @@ def indexes(items: list[tuple[int, str]], rule: LeakRule) -> list[Index]:
             while size < len(s):
                 size *= 2
             classes.setdefault(size, []).append(k)
-    return [Index([items[k] for k in own], [sets[k] for k in own], rule) for _, own in sorted(classes.items())]
-
-
-def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
-    """The distinct items with text, in lists of bounded size."""
-    block, held = [], 0
-    for row in items.select(F.col("item_id").cast("long"), "text").where("text is not null").distinct() \
-            .toLocalIterator():
+    return [
+        Index([items[k] for k in own], [sets[k] for k in own], rule, statistics, size)
+        for size, own in sorted(classes.items())]
+
+
+def _item_words(rule: LeakRule):
+    """Of each item the number of its words and its distinct words, if it is indexed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = word_sets(batch.column(1).to_pylist())
+            kept = [len(s) >= rule.min_item_words for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([len(s) if k else 0 for s, k in zip(sets, kept)], pa.int64()),
+                 pa.array([np.unique(s).view(np.int64) if k else [] for s, k in zip(sets, kept)], pa.list_(pa.int64()))],
+                ["item_id", "text", "n", "words"])
+    return run
+
+
+def item_blocks(
+    items: DataFrame, rule: LeakRule, block_bytes: int = BLOCK_BYTES
+) -> Iterator[tuple[list[tuple[int, str]], Statistics]]:
+    """The distinct items with text in order, in lists of bounded size with the statistics their words need.
+
+    Statistics are counted over all items by Spark; a block gets those of its own words.
+    """
+    scratch = Scratch(items.sparkSession, "decontam")
+    counted = scratch.write(
+        items.select(F.col("item_id").cast("long"), "text").where("text is not null").distinct()
+        .mapInArrow(_item_words(rule), "item_id long, text string, n long, words array<long>")
+        .withColumn("item", F.monotonically_increasing_id()))
+    totals = counted.where("n > 0").agg(F.count("*").alias("n"), F.avg("n").alias("mean")).first()
+    listed = counted.select("item", F.explode("words").alias("word"))
+    # Written, so that the join has an exchange on both sides and a common word may be split.
+    counts = scratch.write(listed.groupBy("word").agg(F.count("*").alias("df")))
+    own = listed.join(counts, "word").groupBy("item").agg(F.collect_list(F.struct("word", "df")).alias("dfs"))
+    rows = counted.select("item", "item_id", "text").join(own, "item", "left").orderBy("item_id", "text")
+    block, held, dfs = [], 0, {}
+
+    def done() -> tuple[list[tuple[int, str]], Statistics]:
+        words = np.array(list(dfs), np.int64).view(np.uint64)
+        order = np.argsort(words)
+        return block, Statistics(
+            totals["n"], float(totals["mean"] or 1), words[order], np.array(list(dfs.values()), np.int64)[order])
+
+    for row in rows.toLocalIterator():
         if block and held + len(row["text"]) > block_bytes:
-            yield block
-            block, held = [], 0
+            yield done()
+            block, held, dfs = [], 0, {}
         block.append((row["item_id"], row["text"]))
         held += len(row["text"])
+        dfs.update((x["word"], x["df"]) for x in row["dfs"] or [])
     if block:
-        yield block
+        yield done()
+
+
+def _shared(spark: SparkSession, block: list[tuple[int, str]], statistics: Statistics, rule: LeakRule):
+    """The indexes of a block, built here once, for all tasks."""
+    return spark.sparkContext.broadcast((indexes(block, rule, statistics), ShortItems(block, rule)))
 
 
-def _found(shared, rule: LeakRule, rows: list, texts: list[bytes], cache: dict) -> list[dict[int, tuple]]:
+def _found(shared, rows: list, texts: list[bytes]) -> list[dict[int, tuple]]:
     """Leaks of each text, all indexes together."""
-    if "indexes" not in cache:
-        cache["indexes"], cache["short"] = indexes(shared.value, rule), ShortItems(shared.value, rule)
+    own, short = shared.value
     decoded = [t.decode("utf-8", "replace") for t in texts]
     units, names = layout(decoded)
     leaks: list[dict[int, tuple]] = [{} for _ in rows]
-    for index in cache["indexes"]:
+    for index in own:
         for k, items in index.leaks(units, names).items():
             leaks[k] |= items
-    for k, items in cache["short"].leaks(units, names, decoded).items():
+    for k, items in short.leaks(units, names, decoded).items():
         leaks[k] = items | leaks[k]
     return leaks
 
 
-def leaks(docs: DataFrame, items: DataFrame, rule: LeakRule = LeakRule()) -> DataFrame:
+def leaks(
+    docs: DataFrame, items: DataFrame, rule: LeakRule = LeakRule(), block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """One row per document row and leaked item: doc_id, item_id, score, question_overlap, answer_overlap.
 
     Null texts hold nothing, null items and items without a word are none; equal items count once. Items of
@@ -364,16 +439,15 @@ def leaks(docs: DataFrame, items: DataFrame, rule: LeakRule = LeakRule()) -> Dat
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     result = spark.createDataFrame([], schema)
-    for block in item_blocks(items):
-        shared = spark.sparkContext.broadcast(block)
+    for block, statistics in item_blocks(items, rule, block_bytes):
+        shared = _shared(spark, block, statistics, rule)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            cache: dict = {}
             for batch in batches:
                 for rows, texts in portions(batch):
                     found = [
                         (doc_id, item, *values)
-                        for doc_id, own in zip(rows, _found(shared, rule, rows, texts, cache))
+                        for doc_id, own in zip(rows, _found(shared, rows, texts))
                         for item, values in sorted(own.items(), key=lambda x: (x[0] is None, x[0]))]
                     columns = list(zip(*found)) if found else [[]] * 5
                     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
@@ -388,18 +462,17 @@ def without_leaks(docs: DataFrame, items: DataFrame, rule: LeakRule = LeakRule()
     """The documents in which no item leaked; same columns as ``docs``."""
     spark = docs.sparkSession
     small_batches(spark)
-    for block in item_blocks(items):
-        shared = spark.sparkContext.broadcast(block)
+    for block, statistics in item_blocks(items, rule):
+        shared = _shared(spark, block, statistics, rule)
         place = docs.columns.index("text")
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            cache: dict = {}
             for batch in batches:
                 own = pa.RecordBatch.from_arrays(
                     [pa.array(range(batch.num_rows), pa.int64()), batch.column(place)], ["row", "text"])
                 clean = []
                 for rows, texts in portions(own):
-                    clean += [r for r, hit in zip(rows, _found(shared, rule, rows, texts, cache)) if not hit]
+                    clean += [r for r, hit in zip(rows, _found(shared, rows, texts)) if not hit]
                 yield batch.take(pa.array(clean, pa.int64()))
         docs = docs.mapInArrow(run, docs.schema)
     return docs

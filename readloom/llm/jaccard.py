@@ -250,10 +250,10 @@ class Join:
         return self.scratch.write(labelled.join(split, "shingle", "left_semi"))
 
 
-def _joined(docs: DataFrame, rule: Threshold) -> tuple[DataFrame, DataFrame]:
+def _joined(docs: DataFrame, rule: Threshold, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
     """The numbered documents, and row, n, class root (null without shingles) of each."""
     small_batches(docs.sparkSession)
-    scratch = Scratch(docs.sparkSession, "jaccard")
+    scratch = scratch or Scratch(docs.sparkSession, "jaccard")
     join = Join(docs, rule, scratch)
     found = join.run()
     members = join.signatures.join(join.classes, ["key1", "key2"], "left").join(found, "class", "left")
@@ -268,9 +268,13 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
     share a doc_id are documents of their own with one id. Null doc_ids are passed over when the smallest is
     taken. An empty table gives an empty table.
     """
-    numbered, rooted = _joined(docs.select(F.col("doc_id").cast("long"), "text"), rule)
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    numbered, rooted = _joined(docs.select(F.col("doc_id").cast("long"), "text"), rule, scratch)
     table = numbered.select(F.col("_row").alias("row"), "doc.doc_id").join(rooted, "row")
-    smallest = table.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that the join below has an exchange on both sides and a large component may be split.
+    table = scratch.write(table)
+    smallest = scratch.write(
+        table.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")))
     return table.join(smallest, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))

@@ -631,3 +631,20 @@ def test_lm_filter_in_parts_asks_frequent_words_once(docs, texts, monkeypatch):
     assert not np.isin(keys, frequent).any() and not np.isin(keys, lm.mass_keys(frequent)).any()
     raw = lm.narrowed(keys)
     assert len(raw) == 5 * len(keys) and (lm.widened(raw) == keys & lm.KEY_BITS).all()
+
+
+def test_leaks_do_not_depend_on_item_blocks(spark):
+    """One item a block, a few, and all in one give the same rows, scores included."""
+    rng = random.Random(15)
+    items = [(k, f"{prose(rng, rng.randrange(6, 90), 900)}. {prose(rng, 6, 900)}.") for k in range(60)]
+    held = []
+    for k, text in items:
+        own = text.split(" ")
+        own[rng.randrange(len(own))] = "edited"
+        held.append((k, f"{prose(rng, 80, 900)} {' '.join(own)} {prose(rng, 80, 900)}"))
+    docs = spark.createDataFrame(held, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+    runs = [
+        collections.Counter((*r[:2], round(r["score"], 12), *r[3:]) for r in decontam.leaks(docs, bench, block_bytes=n).collect())
+        for n in (1, 2000, 1 << 20)]
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) >= 55
