@@ -28,7 +28,7 @@ from readloom.llm import bloom
 from readloom.llm.common import Scratch, small_batches
 from readloom.llm.components import components
 from readloom.llm.recompression import mix, word_layout, word_names
-from readloom.llm.repeats import numbered_copy, portions
+from readloom.llm.repeats import WORK_BYTES, numbered_copy, portions, word_slices
 
 # A list with this many classes is long; at most MAX_LONG of them (the longest) are ranked one by one.
 LONG_LIST = 32
@@ -53,7 +53,29 @@ class Threshold:
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
-    """Sorted distinct fingerprints of each text's shingles; a shorter text is one shingle by itself."""
+    """Sorted distinct fingerprints of each text's shingles; a shorter text is one shingle by itself.
+
+    A long text is taken in slices that overlap by a shingle less one word.
+    """
+    long_ = {k for k, t in enumerate(texts) if len(t) > WORK_BYTES}
+    if long_:
+        short = iter(_shingle_sets([t for k, t in enumerate(texts) if k not in long_], n))
+        return [_long_set(t, n) if k in long_ else next(short) for k, t in enumerate(texts)]
+    return _shingle_sets(texts, n)
+
+
+def _long_set(text: bytes, n: int) -> np.ndarray:
+    found = np.zeros(0, np.uint64)
+    for first, part in word_slices(text, n, WORK_BYTES):
+        # The last slice may hold no shingle of its own, only the end of one.
+        if not first or len(part.split(None, n - 1)) == n:
+            found = np.union1d(found, _shingle_sets([part], n)[0])
+    return found
+
+
+def _shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
+    if not texts:
+        return []
     units = word_layout([t.lower() for t in texts])
     names = word_names(units)
     grams = np.zeros(max(len(names) - n + 1, 0), np.uint64)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.repeats import Method, Units, remainders, union
+from readloom.llm.repeats import Method, Units, remainders, runs, word_slices
 
 SIZE = 35
 ROUNDS = 4
@@ -142,24 +142,26 @@ def symbol_borders(size: int, rounds: int) -> Callable[[Units, np.ndarray], tupl
 def word_method(size: int = SIZE, rounds: int = ROUNDS) -> Method:
     if size < 2:
         raise ValueError("a window has two words or more")
-    return Method(size, word_layout, symbol_borders(size, rounds))
-
-
-def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for text, places in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
-            words = (text or b"").split()
-            kept, at, gone = [], 0, union(places)
-            for start, end in gone:
-                kept += words[at:start]
-                at = end
-            kept += words[at:]
-            rows.append((len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
-        columns = [pa.array([r[k] for r in rows], kind)
-                   for k, kind in enumerate((pa.int64(), pa.int64(), pa.string()))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *columns], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+    return Method(size, word_layout, symbol_borders(size, rounds), word_slices)
+
+
+def _report(size: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text, places in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
+                words = (text or b"").split()
+                kept, at = [], 0
+                for start, end in runs(places, len(words), size):
+                    kept += words[at:start]
+                    at = end
+                kept += words[at:]
+                rows.append((len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
+            columns = [pa.array([r[k] for r in rows], kind)
+                       for k, kind in enumerate((pa.int64(), pa.int64(), pa.string()))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *columns], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+    return run
 
 
 def repeat_report(docs: DataFrame, size: int = SIZE, rounds: int = ROUNDS) -> DataFrame:
@@ -171,4 +173,4 @@ def repeat_report(docs: DataFrame, size: int = SIZE, rounds: int = ROUNDS) -> Da
     """
     table = remainders(docs.select("doc_id", "text"), word_method(size, rounds), "recompression")
     return table.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "doc.text", "places").mapInArrow(
-        _report, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+        _report(size), "doc_id long, n_words long, n_removed long, kept_sha256 string")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from readloom.llm.repeats import Method, Units, remainders, union
+from readloom.llm.repeats import Method, Units, byte_slices, remainders, runs
 
 SIZE = 400
 # Neighbouring suffixes of which one is sampled; a third of the threshold or less.
@@ -67,11 +67,11 @@ def byte_method(size: int = SIZE, spread: int | None = None) -> Method:
     if size < 3 * CODE:
         raise ValueError(f"the threshold must be {3 * CODE} bytes or more")
     spread = spread or min(SPREAD, size // 3)
-    return Method(size, byte_layout, sampled_suffixes(size, spread))
+    return Method(size, byte_layout, sampled_suffixes(size, spread), byte_slices)
 
 
-def _cut(text: bytes, places: list[int] | None) -> tuple[bytes, list[tuple[int, int]]]:
-    gone = union(places)
+def _cut(text: bytes, places: list[int] | None, size: int) -> tuple[bytes, list[tuple[int, int]]]:
+    gone = runs(places, len(text), size)
     kept, at = [], 0
     for start, end in gone:
         kept.append(text[at:start])
@@ -82,23 +82,25 @@ def _cut(text: bytes, places: list[int] | None) -> tuple[bytes, list[tuple[int,
 REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _report(size: int, passage: int | None = None) -> Callable:
     """Rows of doc_id, text, places; a fourth column of passages adds their counts."""
-    for batch in batches:
-        rows = []
-        for text, places in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
-            kept, gone = _cut(text or b"", places)
-            rows.append((len(text or b""), sum(e - s for s, e in gone), len(gone),
-                         hashlib.sha256(kept).hexdigest()))
-        columns = [pa.array([r[k] for r in rows], kind)
-                   for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-        if batch.num_columns > 3:
-            shorter = [union(p) for p in batch.column(3).to_pylist()]
-            columns += [pa.array([sum(e - s for s, e in runs) for runs in shorter], pa.int64()),
-                        pa.array([len(runs) for runs in shorter], pa.int64())]
-            names += ["n_passage_bytes", "n_passages"]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text, places in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
+                kept, gone = _cut(text or b"", places, size)
+                rows.append((len(text or b""), sum(e - s for s, e in gone), len(gone),
+                             hashlib.sha256(kept).hexdigest()))
+            columns = [pa.array([r[k] for r in rows], kind)
+                       for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            if passage:
+                shorter = [runs(p, r[0], passage) for p, r in zip(batch.column(3).to_pylist(), rows)]
+                columns += [pa.array([sum(e - s for s, e in own) for own in shorter], pa.int64()),
+                            pa.array([len(own) for own in shorter], pa.int64())]
+                names += ["n_passage_bytes", "n_passages"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+    return run
 
 
 def repeat_report(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -110,7 +112,7 @@ def repeat_report(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """
     table = remainders(docs.select("doc_id", "text"), byte_method(size), "suffix")
     return table.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "doc.text", "places").mapInArrow(
-        _report, REPORT)
+        _report(size), REPORT)
 
 
 def passage_report(
@@ -125,7 +127,7 @@ def passage_report(
         docs.select("doc_id", "text"), byte_method(size), "suffix", byte_method(passage, spread))
     return table.select(
         F.col("doc.doc_id").cast("long").alias("doc_id"), "doc.text", "places", "passages").mapInArrow(
-        _report, REPORT + ", n_passage_bytes long, n_passages long")
+        _report(size, passage), REPORT + ", n_passage_bytes long, n_passages long")
 
 
 def without_repeats(docs: DataFrame, size: int = SIZE, spread: int | None = None) -> DataFrame:
@@ -143,7 +145,7 @@ def without_repeats(docs: DataFrame, size: int = SIZE, spread: int | None = None
             fields = dict(zip(names, batch.column(0).flatten()))
             texts = fields["text"].cast(pa.binary()).to_pylist()
             fields["text"] = pa.array(
-                [_cut(t or b"", p)[0].decode("utf-8", "ignore")
+                [_cut(t or b"", p, size)[0].decode("utf-8", "ignore")
                  for t, p in zip(texts, batch.column(1).to_pylist())], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [pa.StructArray.from_arrays(list(fields.values()), names)], ["doc"])

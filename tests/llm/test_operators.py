@@ -648,3 +648,55 @@ def test_leaks_do_not_depend_on_item_blocks(spark):
         collections.Counter((*r[:2], round(r["score"], 12), *r[3:]) for r in decontam.leaks(docs, bench, block_bytes=n).collect())
         for n in (1, 2000, 1 << 20)]
     assert runs[0] == runs[1] == runs[2] and len(runs[0]) >= 55
+
+
+def test_slices_hold_every_window_once():
+    from readloom.llm import repeats
+
+    rng = random.Random(31)
+    for size, n_bytes in ((1, 3), (2, 5), (5, 40), (7, 1000)):
+        text = "".join(rng.choice("ab  \t\n") for _ in range(400)).encode() + b"x" * 60 + b" end"
+        units = text.split()
+        found = []
+        for first, part in repeats.word_slices(text, size, n_bytes):
+            own = part.split()
+            assert own == units[first:first + len(own)]
+            found += [(first + k, tuple(own[k:k + size])) for k in range(len(own) - size + 1)]
+        assert found == [(k, tuple(units[k:k + size])) for k in range(len(units) - size + 1)]
+        found = [(first + k, part[k:k + size]) for first, part in repeats.byte_slices(text, size, n_bytes)
+                 for k in range(len(part) - size + 1)]
+        assert found == [(k, text[k:k + size]) for k in range(len(text) - size + 1)]
+    assert list(repeats.word_slices(b"", 3, 5)) == [(0, b"")] == list(repeats.byte_slices(b"", 3, 5))
+
+
+def test_long_texts_in_slices_give_the_same_rows(docs, monkeypatch):
+    from readloom.llm import repeats
+
+    def rows():
+        return [multiset(f(docs).collect()) for f in (
+            lambda d: suffix.passage_report(d, 400, 200, 100), lambda d: recompression.repeat_report(d, 35),
+            lambda d: jaccard.near_duplicates(d, jaccard.Threshold(n=4, percent=85)))]
+
+    whole = rows()
+    for module in (repeats, jaccard):
+        monkeypatch.setattr(module, "WORK_BYTES", 700)
+    assert rows() == whole
+
+
+def test_a_long_text_takes_bounded_memory():
+    """20 MB in one text: what a pass over it holds beyond the text itself stays small."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    line = " ".join(f"w{rng.randrange(5000)}" for _ in range(20000))
+    text = "\n".join(line[k:] + str(k) for k in range(0, 2000, 12))[:20 << 20]
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["row", "text"])
+    from readloom.llm import repeats
+    for method in (suffix.byte_method(), recompression.word_method()):
+        tracemalloc.start()
+        n = sum(b.num_rows for b in repeats.anchor_rows(method)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert n > 1000 and peak < 400 << 20
