@@ -14,12 +14,19 @@ from readloom.llm.common import Scratch, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the line rules keep, their text without the lines that failed."""
+    """Documents the line rules keep, their text without the lines that failed.
+
+    Null and empty texts are rejected, equal rows are judged alike, other columns stay, an empty table stays empty.
+    """
     return quality.clean(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked at five-word shingles and a similarity of 0.8."""
+    """One document of each group linked at five-word shingles and a similarity of 0.8.
+
+    The smallest doc_id stays, null ids last; of rows that share it the first. Texts without words all stay,
+    other columns are kept, an empty table stays empty.
+    """
     return jaccard.one_of_each(docs)
 
 
@@ -33,12 +40,20 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no test item."""
+    """Documents that hold no test item.
+
+    Null and empty texts hold none, equal rows stay or go together, other columns are kept. Without items every
+    document stays; an empty table stays empty.
+    """
     return decontam.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents left, each with its sequence and place."""
+    """The pieces of the documents left, each with its sequence and place.
+
+    A null text is one piece that holds the end token; rows that share an id are packed row by row; other columns
+    are not read; an empty table gives an empty table.
+    """
     return packing.pack_documents(docs)
 
 
