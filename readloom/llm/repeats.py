@@ -271,13 +271,14 @@ def corpus_of(docs: DataFrame, scratch: Scratch) -> Corpus:
 
 
 def repeated_places(
-    corpus: Corpus, method: Method, scratch: Scratch, within: DataFrame | None = None
+    corpus: Corpus, method: Method, scratch: Scratch, within: DataFrame | None = None, by_turn: bool = False
 ) -> DataFrame:
     """The repeated windows of a corpus: row, places (list of start << 32 | end, unit numbers).
 
     Rows without a repeat are absent. Intervals may overlap; their union is what repeated windows cover.
     A text that another row has is repeated from 0 to WHOLE. ``within`` is such a table for a smaller window of
-    the same units: a repeated window lies in one of its runs, so no other is looked at.
+    the same units: a repeated window lies in one of its runs, so no other is looked at. ``by_turn`` compares
+    single windows in the turns of their cores, too, for half the disk and more scans.
     """
     size, texts = method.size, corpus.texts
     searched = texts if within is None else texts.join(within, "_row").select("_row", "text", "places")
@@ -314,14 +315,15 @@ def repeated_places(
         return texts.join(asked, "_row").select("_row", "text", "asked").mapInArrow(
             window_rows(method), "key1 long, key2 long, row long, start int")
 
-    twice = scratch.write(requested(found.where("open")).groupBy("key1", "key2").agg(F.count("*").alias("n")).where(
-        "n > 1").select("key1", "key2"), large=True)
-    # Repeated spans only stood by as partners; what they cover is known.
-    undecided = requested(found.where("open and not repeated"))
-    single = scratch.write(undecided.join(twice, ["key1", "key2"], "left_semi").select(
-        "row", "start", F.lit(1).alias("width")), large=True)
-    scratch.drop(twice)
-    places = found.where("repeated").select("row", "start", "width").unionByName(single)
+    places = found.where("repeated").select("row", "start", "width")
+    for own in turns if by_turn else [found]:
+        twice = scratch.write(requested(own.where("open")).groupBy("key1", "key2").agg(
+            F.count("*").alias("n")).where("n > 1").select("key1", "key2"), large=True)
+        # Repeated spans only stood by as partners; what they cover is known.
+        undecided = requested(own.where("open and not repeated"))
+        places = places.unionByName(scratch.write(undecided.join(twice, ["key1", "key2"], "left_semi").select(
+            "row", "start", F.lit(1).alias("width")), large=True))
+        scratch.drop(twice)
     end = F.col("start") + F.col("width") + F.lit(size - 1)
     gathered = places.groupBy(F.col("row").alias("_row")).agg(
         F.collect_list(packed(F.col("start"), end)).alias("places"))
@@ -361,7 +363,7 @@ def remainders(docs: DataFrame, method: Method, label: str, shorter: Method | No
         return numbered.join(places, "_row", "left").select("doc", "places")
     if shorter.size > method.size:
         raise ValueError("the shorter windows are the longer ones")
-    passages = scratch.write(repeated_places(corpus, shorter, scratch), large=True)
+    passages = scratch.write(repeated_places(corpus, shorter, scratch, by_turn=True), large=True)
     places = scratch.write(repeated_places(corpus, method, scratch, within=passages), large=True)
     found = passages.select("_row", F.col("places").alias("passages")).join(places, "_row", "left")
     return numbered.join(found, "_row", "left").select("doc", "places", "passages")
