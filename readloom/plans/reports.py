@@ -259,9 +259,9 @@ def sample_summary(
 ) -> DataFrame:
     """Library sizes, factors, insert size and mapped reads of each sample.
 
-    Mapped are the good reads, which are what a pipeline hands on.
+    Mapped are all annotated reads, whatever their status.
     """
-    mapped = annotated.where(F.col("status") == GOOD).groupBy("sample_id").agg(
+    mapped = annotated.groupBy("sample_id").agg(
         F.count_if(F.col("end") == "pe1").alias("mapped_pe1"),
         F.count_if(F.col("end") == "pe2").alias("mapped_pe2"),
     )

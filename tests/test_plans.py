@@ -9,6 +9,8 @@ import pytest
 from readloom import registry
 from readloom.adapters import READ_KEYS
 from readloom.operators.classify import find_candidates
+from readloom.params import BAD, CANDIDATE, GOOD
+from readloom.plans import reports
 from readloom.registry.core import domain
 
 
@@ -59,3 +61,15 @@ def test_no_cross_product(d, name):
     plan = plan_of(registry.runnable(name)(d.spark, d.folder))
     assert "CartesianProduct" not in plan
     assert "NestedLoopJoin" not in plan
+
+
+def test_sample_summary_counts_reads_of_every_status(spark):
+    samples = spark.createDataFrame(
+        [("A", "Sample A", "0", True, 3, 2, 300, 200, 3e6, 300.0)],
+        "sample_id string, sample_name string, replicate string, is_paired_end boolean, fwd_reads long, "
+        "rev_reads long, fwd_bases long, rev_bases long, genome_size double, insert_size double")
+    annotated = spark.createDataFrame(
+        [("A", "pe1", GOOD), ("A", "pe1", BAD), ("A", "pe1", CANDIDATE), ("A", "pe2", BAD)],
+        "sample_id string, end string, status string")
+    [row] = reports.sample_summary(samples, annotated, samples.select("sample_id", "insert_size")).collect()
+    assert (row["mapped_pe1"], row["mapped_pe2"]) == (3, 1)
