@@ -123,6 +123,21 @@ def test_hot_subjects_keep_their_rows_in_place(spark, folder, no_broadcast):
     assert sorted(map(key, got.collect()), key=str) == sorted(map(key, want.collect()), key=str)
 
 
+def test_rows_joined_to_a_large_dimension_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).select("id", (F.col("id") % 7).alias("subject_id")).mapInArrow(
+        counted, "id long, subject_id long")
+    entries = spark.range(7).select(F.col("id").alias("subject_id"), F.lit("x").alias("taxid"))
+    assert skew.join_dimension(rows, entries, "subject_id", hot_minimum=100).count() == 1000
+    assert seen.value == 1000
+
+
 def test_classification_is_the_same_without_broadcasts(spark, folder, monkeypatch):
     key = lambda r: tuple(r[k] for k in READ_KEYS)
     columns = [*READ_KEYS, "status", "functions", "taxonomy"]
