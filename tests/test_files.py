@@ -212,3 +212,16 @@ def test_torn_fastq_through_text_splits_is_refused(spark, tmp_path, text_splits,
     text_splits(split)
     with pytest.raises(Exception, match="no whole FASTQ record"):
         fastq.read_fastq_as_text(spark, [str(tmp_path)]).collect()
+
+
+def test_sample_and_end_are_read_off_each_file_once(spark, tmp_path):
+    rows = [f"q{i}\tP{i}\t90.0\t30\t1\t0\t1\t90\t1\t30\t1e-9\t50.0\n" for i in range(4)]
+    for name in ("S1_pe1_hits", "S2_pe2_hits"):
+        (tmp_path / f"{name}.txt").write_text("".join(rows))
+    table = tables.read_reference_hits(spark, [str(tmp_path / f"{n}.txt") for n in ("S1_pe1_hits", "S2_pe2_hits")])
+    found = sorted((r["sample_id"], r["end"], r["query_id"]) for r in table.collect())
+    assert found == sorted((s, e, f"q{i}") for s, e in (("S1", "pe1"), ("S2", "pe2")) for i in range(4))
+    # The name is looked for on the side of the list of files, not on the rows.
+    plan = table._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    looking = [line for line in plan if "RLIKE" in line]
+    assert looking and all("_number" in line and "query_id" not in line for line in looking)
