@@ -154,6 +154,41 @@ def test_classification_is_the_same_without_broadcasts(spark, folder, monkeypatc
     assert got == want
 
 
+def test_hits_of_a_query_move_together_once(spark, folder, no_broadcast):
+    plan = plan_of(Domain(spark, folder).classified_reads())
+    moves = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    # By subject and by query; neither copies nor shares of a region move on their own.
+    assert any(m.startswith("subject_id") for m in moves)
+    assert not any("r_start" in m for m in moves)
+
+
+def test_hot_subjects_and_queries_change_no_gene(spark, folder, no_broadcast, monkeypatch):
+    rows = lambda d: sorted(map(str, d.classified_genes().collect()))
+    want = rows(domain(spark, folder))
+    monkeypatch.setattr(skew, "HOT_MINIMUM", 8)
+    assert rows(Domain(spark, folder)) == want
+
+
+def test_hot_buckets_are_those_of_hot_keys(spark):
+    rows = spark.range(4000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).alias("k"))
+    [hot], limit = skew.hot_buckets(rows, ["k"], hot_minimum=500)
+    assert limit == 500
+    assert rows.where(skew.in_buckets(["k"], [hot]) & (F.col("k") == 7)).count() == 1000
+
+
+def test_copies_meet_the_dimension_once(spark):
+    """Three copies of each row, rows without a key among them; the first of them is kept."""
+    rows = spark.range(600).select(
+        F.when(F.col("id") % 10 != 0, F.col("id") % 5).alias("k"), (F.col("id") % 200).alias("v"),
+        "id")
+    entries = spark.range(4).select(F.col("id").alias("k"), F.concat(F.lit("x"), "id").alias("name"))
+    first = lambda df: df.groupBy("k", "v").agg(F.min("id").alias("id"))
+    want = sorted(map(str, first(rows).join(entries, "k", "left").select("k", "v", "id", "name").collect()))
+    for minimum in (10, 10_000):
+        got = skew.join_dimension(rows, entries, "k", hot_minimum=minimum, reduce=first)
+        assert sorted(map(str, got.select("k", "v", "id", "name").collect())) == want
+
+
 def test_deduplication_hashes_without_a_sort(spark, folder):
     d = domain(spark, folder)
     plan = plan_of(hits.deduplicate(d.hits, READ_KEYS))
