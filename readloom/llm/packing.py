@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import base64
 import json
-import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import partial
@@ -24,11 +23,8 @@ SEQUENCE = 2048
 END_ID = 0
 # Pieces in one packing task, on average; each task leaves about one sequence that is not full.
 GROUP = 50_000
-# Pre-tokens whose ids one worker remembers.
-CACHE = 300_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-ODD_BLANKS = re.compile(r"\s \s|  |\0")
 
 
 def tokenizer_file() -> str:
@@ -45,12 +41,11 @@ def added_tokens() -> dict[str, int]:
         return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
 
 
-class Encoder(dict):
-    """Text to little-endian ids, an added token to its own. Blank-led words repeat, so the ids of each are remembered.
+class Encoder:
+    """Text to little-endian ids, an added token to its own.
 
-    The pre-tokeniser never joins what a single blank between two non-blanks separates, which makes
-    the ids of a text those of its blank-led words in a row. Texts with other runs of blanks, or with an
-    added token, are encoded whole.
+    Texts are encoded whole: to split them into words and look up what is remembered of each costs more than to
+    encode them, as rare words make up most of a vocabulary.
     """
 
     def __init__(self, path: str):
@@ -59,27 +54,14 @@ class Encoder(dict):
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        marks = added_tokens()
         encoding = tiktoken.Encoding(
-            "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=marks)
+            "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens())
         self.plain = partial(encoding.encode, allowed_special="all")
-        # Gives the same ids where no mark is, at less cost.
-        self.ordinary = encoding.encode_ordinary
-        self.marks = tuple(marks)
-
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.ordinary(word), "<u4").tobytes()
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = ids
-        return ids
+        # The same ids as an array, without a list in between.
+        self.array = partial(encoding.encode_to_numpy, allowed_special="all")
 
     def ids(self, text: str) -> bytes:
-        if any(mark in text for mark in self.marks):
-            return np.array(self.plain(text), "<u4").tobytes()
-        if ODD_BLANKS.search(text):
-            return np.array(self.ordinary(text), "<u4").tobytes()
-        return b"".join(map(self.__getitem__, text.replace(" ", "\0 ").split("\0")))
+        return self.array(text).astype("<u4", copy=False).tobytes()
 
 
 def cuts(n_tokens: int, size: int = SEQUENCE) -> list[tuple[int, int]]:

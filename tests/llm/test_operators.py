@@ -248,6 +248,17 @@ def test_encoder_agrees_with_the_json_tokenizer_as_it_is():
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_holds_nothing_between_texts():
+    """A text is one call of the encoder; no words are remembered, however many differ."""
+    encoder = packing.Encoder(packing.tokenizer_file())
+    calls, array = [], encoder.array
+    encoder.array = lambda text: calls.append(text) or array(text)
+    text = " ".join(f"word{k}" for k in range(5000))
+    assert np.frombuffer(encoder.ids(text), "<u4").tolist() == encoder.plain(text)
+    assert encoder.ids("") == b""
+    assert calls == [text, ""]
+
+
 def test_lm_scores(spark, docs, texts):
     tokens = [[*words(ascii_lower(t or "")), None] for _, t in texts]
     held = [zlib.crc32(str(i).encode() if i is not None else b"") % 5 == 1 for i, _ in texts]
