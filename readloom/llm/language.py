@@ -17,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.llm.common import Scratch, small_batches
+from readloom.llm.tokens import byte_table
 
 # Longer pieces of the vocabulary are left out; single bytes always stay. So many bytes fit one number.
 MAX_PIECE = 8
@@ -41,6 +43,8 @@ CELLS = 1 << 19
 
 RUN = re.compile(r"[^\W\d_]+")
 NO_RUN = re.compile(r"[\W\d_]")
+# Runs of a text in ASCII are what this leaves between blanks.
+LETTERS = byte_table([*range(0x41, 0x5B), *range(0x61, 0x7B)])
 
 
 def vocabulary_file() -> str:
@@ -64,11 +68,15 @@ def words_of(text: str) -> Iterator[list[str]]:
         if end - start > SLICE:
             cut = NO_RUN.search(text, start + SLICE)
             end = cut.start() if cut else end
-        runs = RUN.findall(text[start:end].lower())
+        part = text[start:end]
+        if part.isascii():
+            runs = part.encode().translate(LETTERS).decode().split()
+        else:
+            runs = RUN.findall(part.lower())
         if max(map(len, runs), default=0) > MAX_WORD:
             runs = [r[k:k + MAX_WORD] for r in runs for k in range(0, len(r), MAX_WORD)]
-        # Number signs that are no decimal digits match as well.
-        yield [r for r in runs if r.isalpha() or any(c.isalpha() for c in r)]
+        # Number signs that are no decimal digits match as well; most texts have none.
+        yield runs if "".join(runs).isalpha() else [r for r in runs if any(map(str.isalpha, r))]
         start = end
 
 
@@ -80,36 +88,51 @@ def word_counts(text: str) -> Counter:
 
 
 class Pieces:
-    """The vocabulary by length, as sorted packed numbers, so that all places of many words are looked up at once."""
+    """The vocabulary by length, as sorted packed numbers, so that all places of many words are looked up at once.
+
+    The beginnings of longer pieces are kept beside the pieces: a place where nothing begins with its first
+    bytes is not looked up with more of them.
+    """
 
     def __init__(self, pieces: list[bytes]):
         self.n = len(pieces)
         self.longest = max(map(len, pieces))
         if self.longest > MAX_PIECE:
             raise ValueError(f"pieces may have {MAX_PIECE} bytes")
+        number = {p: k for k, p in enumerate(pieces)}
         self.by_length = {}
         for length in range(1, self.longest + 1):
-            numbers = [k for k, p in enumerate(pieces) if len(p) == length]
-            packed = np.array([int.from_bytes(pieces[k], "little") for k in numbers], np.uint64)
-            order = np.argsort(packed)
-            self.by_length[length] = packed[order], np.array(numbers, np.int64)[order]
+            goes_on = {p[:length] for p in pieces if len(p) > length}
+            starts = sorted(goes_on | {p for p in pieces if len(p) == length}, key=lambda p: p[::-1])
+            self.by_length[length] = (
+                np.array([int.from_bytes(p, "little") for p in starts], np.uint64),
+                np.array([number.get(p, self.n) for p in starts], np.int64),
+                np.array([p in goes_on for p in starts], bool))
 
     def lattice(self, raw: np.ndarray) -> np.ndarray:
-        """Words of one length as rows of bytes to words x places x lengths: the piece there, or ``n``."""
+        """Words of one length as rows of bytes to words x places x lengths: the piece there, or ``n``.
+
+        In memory, the words of a place and length lie side by side.
+        """
         m, n = raw.shape
-        padded = np.zeros((m, n + 8), np.uint8)
-        padded[:, :n] = raw
-        ahead = np.lib.stride_tricks.sliding_window_view(padded, 8, axis=1)[:, :n].copy()
-        ahead = ahead.reshape(m, n * 8).view("<u8")
-        found = np.full((m, n, min(self.longest, n)), self.n, np.int64)
-        for length in range(1, found.shape[2] + 1):
-            packed, numbers = self.by_length[length]
-            if not len(packed):
-                continue
-            keys = ahead[:, :n - length + 1] & np.uint64((1 << (8 * length)) - 1)
-            at = np.minimum(np.searchsorted(packed, keys), len(packed) - 1)
-            found[:, :n - length + 1, length - 1] = np.where(packed[at] == keys, numbers[at], self.n)
-        return found
+        ahead = np.zeros((n, m), np.uint64)
+        for k in range(min(self.longest, n)):
+            ahead[:n - k] |= raw.T[k:].astype(np.uint64) << np.uint64(8 * k)
+        ahead = ahead.reshape(-1)
+        found = np.full((min(self.longest, n), n * m), self.n, np.int64)
+        left = np.arange(n * m)
+        for length in range(1, len(found) + 1):
+            starts, numbers, goes_on = self.by_length[length]
+            left = left[:np.searchsorted(left, (n - length + 1) * m)]
+            if not len(starts) or not len(left):
+                break
+            keys = ahead[left] & np.uint64((1 << (8 * length)) - 1)
+            at = np.minimum(np.searchsorted(starts, keys), len(starts) - 1)
+            hit = starts[at] == keys
+            left, at = left[hit], at[hit]
+            found[length - 1, left] = numbers[at]
+            left = left[goes_on[at]]
+        return found.reshape(-1, n, m).transpose(2, 1, 0)
 
 
 def forward(lattice: np.ndarray, edge: Callable[[np.ndarray], np.ndarray], logs: bool) -> list[np.ndarray]:
@@ -205,19 +228,27 @@ class Model:
         for part, raw in same_length(words):
             own, logs = lang[part], raw.shape[1] > self.safe
             edges = (self.edge_logs if logs else self.edge).reshape(-1)
-            edge = lambda pieces, o=own, e=edges: e[pieces * width + o]
             lattice = self.lookup.lattice(raw)
-            before, after = forward(lattice, edge, logs), backward(lattice, edge, logs)
-            whole = before[-1]
+            # Looked up once; both passes take the values as they are.
+            values = edges[lattice * width + own[:, None, None]]
+            before, after = forward(values, _as_is, logs), backward(values, _as_is, logs)
+            whole, n_times = before[-1], times[part]
             n, longest = lattice.shape[1:]
+            cells, shares = [], []
             for place in range(n):
                 for length in range(1, min(longest, n - place) + 1):
                     pieces = lattice[:, place, length - 1]
                     here = np.flatnonzero(pieces < self.lookup.n)
-                    value, a, b = edge(pieces)[here], before[place][here], after[place + length][here]
+                    value, a, b = values[here, place, length - 1], before[place][here], after[place + length][here]
                     share = np.exp(a + value + b - whole[here]) if logs else a * value * b / whole[here]
-                    flat += np.bincount(
-                        pieces[here] * width + own[here], share * times[part][here], len(flat))
+                    cells.append(pieces[here] * width + own[here])
+                    shares.append(share * n_times[here])
+            # One sum for all places, as it passes over the whole table.
+            flat += np.bincount(np.concatenate(cells), np.concatenate(shares), len(flat))
+
+
+def _as_is(values: np.ndarray) -> np.ndarray:
+    return values
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,26 +319,35 @@ def train(texts: DataFrame, scratch: Scratch, path: str | None = None, rounds: i
     return model
 
 
+class Numbers(dict):
+    """Words in the order in which they were first asked for, with their numbers."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def _predicted(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(**shared.value)
-        known: dict[str, int] = {}
+        known = Numbers()
         logs = np.zeros((0, len(model.languages)))
         for batch in batches:
             if len(known) >= HELD_WORDS:
-                known, logs = {}, logs[:0]
-            counts = [word_counts(t.as_py() or "") for t in batch.column(2)]
-            new = list(dict.fromkeys(w for c in counts for w in c if w not in known))
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            logs = np.concatenate((logs, model.word_logs(new)))
+                known, logs = Numbers(), logs[:0]
+            places, times = [], []
+            for text in batch.column(2):
+                own = word_counts(text.as_py() or "")
+                places.append(np.fromiter(map(known.__getitem__, own), np.int64, len(own)))
+                times.append(np.fromiter(own.values(), float, len(own)))
+            logs = np.concatenate((logs, model.word_logs(list(islice(known, len(logs), None)))))
             languages, scores = [], []
-            for own in counts:
-                if not own or not model.languages:
+            for at, n in zip(places, times):
+                if not len(at) or not model.languages:
                     languages.append(UNKNOWN)
                     scores.append(0.0)
                     continue
-                at = np.fromiter(map(known.__getitem__, own), np.int64, len(own))
-                total = np.fromiter(own.values(), float, len(own)) @ logs[at] + model.shares
+                total = n @ logs[at] + model.shares
                 best = int(total.argmax())
                 languages.append(model.languages[best])
                 scores.append(float(1 / np.exp(total - total[best]).sum()))

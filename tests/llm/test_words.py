@@ -237,6 +237,28 @@ def test_forward_and_backward_sum_all_segmentations(safe):
             assert np.allclose(found, expected)
 
 
+def test_lattice_looks_on_only_where_pieces_go_on(monkeypatch):
+    """The lattice is that of a plain search, and bytes that begin no longer piece are not looked up again."""
+    rng = random.Random(11)
+    pieces = [bytes([b]) for b in range(256)] + [b"ab", b"abcd", b"bcdefghi", b" x", b"xyz", b"dd\0"]
+    lookup = language.Pieces(pieces)
+    words = [bytes(rng.choice(b" abcdefghixyz\0\xff") for _ in range(11)) for _ in range(300)] + [b" abcdefghix"]
+    raw = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), 11)
+    plain = np.full((len(words), 11, 8), len(pieces))
+    for k, word in enumerate(words):
+        for place in range(11):
+            for length in range(1, min(8, 11 - place) + 1):
+                if word[place:place + length] in pieces:
+                    plain[k, place, length - 1] = pieces.index(word[place:place + length])
+    searched = []
+    search = np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *r: searched.append(np.size(v)) or search(a, v, *r))
+    assert (lookup.lattice(raw) == plain).all()
+    assert sum(n for n in searched if n > 1) < 2.5 * raw.size
+    short = np.frombuffer(b"ab", np.uint8).reshape(1, 2)
+    assert lookup.lattice(short)[0].tolist() == [[pieces.index(b"a"), pieces.index(b"ab")], [pieces.index(b"b"), len(pieces)]]
+
+
 def test_long_words_do_not_vanish():
     pieces = language.pieces_of(language.vocabulary_file())
     logs = np.full((len(pieces), 2), -30.0)
@@ -247,6 +269,13 @@ def test_long_words_do_not_vanish():
         assert np.isfinite(x) and x > y
 
 
+def test_words_of_plain_texts_are_the_runs_of_all_texts():
+    text = "".join(map(chr, range(128))) * 2 + " The END_of 3rd x-ray\x1fZ"
+    runs = re.findall(r"[^\W\d_]+", text.lower())
+    assert [w for part in language.words_of(text) for w in part] == runs
+    assert [w for part in language.words_of(text + " é") for w in part] == [*runs, "é"]
+
+
 def test_words_of_long_texts_are_whole(monkeypatch):
     text = "Ab1 cD, ébc² Ⅷ½ " * 50 + "x" * 130
     expected = [w for w in re.findall(r"[^\W\d_]+", text.lower()) if any(c.isalpha() for c in w)]
