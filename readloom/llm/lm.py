@@ -2,7 +2,7 @@
 
 Training counts words and word pairs in one shuffle. A count becomes a level of a coarse ladder, and the
 filter holds an n-gram once for each level up to its own; probing levels until one is missing gives the
-count back. The filter grows with the number of n-grams. Up to ``bloom.MAX_BITS`` it travels to all workers;
+count back. The filter grows with the number of n-grams. Up to ``BROADCAST_BITS`` it travels to all workers;
 a larger one stays in parts of bounded size, and the n-grams of the texts are sent to the parts that hold
 them. Both ways give the same scores. A pair's probability blends the pair with the word, by the share of
 its context that repeated pairs make up:
@@ -15,7 +15,7 @@ outside it are joined.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -34,6 +34,8 @@ DISCOUNT = 0.8
 MOST_PAIRED = 0.9
 LADDER_STEP = 1.25
 BITS_PER_ITEM = 10
+# A filter up to this size is broadcast (4 MB, about what a core has at hand); a larger one stays in parts.
+BROADCAST_BITS = 1 << 25
 # Words with exact counts that are broadcast.
 MAX_FREQUENT = 1 << 19
 # Tokens a task counts before it hands on a table.
@@ -108,6 +110,36 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield table()
 
 
+@dataclass
+class Distinct:
+    """The distinct words and pairs of texts in a row, and where each token finds its own.
+
+    ``known`` says which words are frequent, ``spot`` where those stand among the frequent ones.
+    """
+
+    words: np.ndarray
+    at_word: np.ndarray
+    known: np.ndarray
+    spot: np.ndarray
+    pairs: np.ndarray
+    at_pair: np.ndarray
+
+    @staticmethod
+    def of(tokens: np.ndarray, frequent: np.ndarray) -> Distinct:
+        words, at_word = np.unique(tokens, return_inverse=True)
+        pairs, at_pair = np.unique(pair_keys(tokens), return_inverse=True)
+        spot, known = np.searchsorted(frequent, words), np.zeros(len(words), bool)
+        if len(frequent):
+            spot = np.minimum(spot, len(frequent) - 1)
+            known = frequent[spot] == words
+        return Distinct(words, at_word, known, spot[known], pairs, at_pair)
+
+    def asked(self) -> np.ndarray:
+        """What the filter is asked: words that are not frequent, the mass behind them, and all pairs."""
+        rare = self.words[~self.known]
+        return np.concatenate([rare, mass_keys(rare), self.pairs])
+
+
 @dataclass
 class Model:
     """What workers need: the filter (None if it stays in parts), totals, and the exact counts of frequent words."""
@@ -128,21 +160,17 @@ class Model:
     def count(self, keys: np.ndarray) -> np.ndarray:
         return counts_of(self.level(keys))
 
-    def filter_counts(self, tokens: np.ndarray, found: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    def filter_counts(self, d: Distinct, level: np.ndarray) -> tuple[np.ndarray, ...]:
         """What the filter gives for each token, for the mass behind it, and for its pair.
 
-        ``found`` and ``at`` say which tokens are frequent words and where they stand among them.
+        ``level``: its answers to ``d.asked()``; frequent words were asked once.
         """
-        own, mass = np.zeros(len(tokens)), np.zeros(len(tokens))
-        own[found], mass[found] = self.frequent_levels[at[found]], self.frequent_mass[at[found]]
-        rare, inverse = np.unique(tokens[~found], return_inverse=True)
-        own[~found], mass[~found] = self.count(rare)[inverse], self.count(mass_keys(rare))[inverse]
-        # Pairs of the filter were seen twice or more, so they have the second level.
-        pairs, together = pair_keys(tokens), np.zeros(len(tokens))
-        hit = holds(self.bits, pairs, 2, self.segments)
-        pair, inverse = np.unique(pairs[hit], return_inverse=True)
-        together[hit] = self.count(pair)[inverse]
-        return own, mass, together
+        n_rare = len(d.words) - np.count_nonzero(d.known)
+        own, mass = np.zeros(len(d.words)), np.zeros(len(d.words))
+        own[d.known], mass[d.known] = self.frequent_levels[d.spot], self.frequent_mass[d.spot]
+        counts = counts_of(level)
+        own[~d.known], mass[~d.known] = counts[:n_rare], counts[n_rare:2 * n_rare]
+        return own[d.at_word], mass[d.at_word], counts[2 * n_rare:][d.at_pair]
 
     def log_probabilities(self, own: np.ndarray, mass: np.ndarray, together: np.ndarray) -> np.ndarray:
         """Of texts in a row, each behind an end token: the last token of all is one, too."""
@@ -174,6 +202,16 @@ def levels(bits: np.ndarray, keys: np.ndarray, segments: int) -> np.ndarray:
     return found
 
 
+def told_levels(bits: np.ndarray, keys: np.ndarray, segments: int) -> np.ndarray:
+    """Levels of what texts ask, a byte each. Pairs of the filter were seen twice; without the second level: unseen."""
+    maybe = keys & PAIR == 0
+    pairs = np.flatnonzero(~maybe)
+    maybe[pairs[holds(bits, keys[pairs], 2, segments)]] = True
+    found = np.zeros(len(keys), np.uint8)
+    found[maybe] = levels(bits, keys[maybe], segments)
+    return found
+
+
 def counts_of(level: np.ndarray) -> np.ndarray:
     """Counts as the ladder gives them back: the middle of a step, in proportion."""
     low = LEVELS[np.maximum(level, 1) - 1]
@@ -218,18 +256,25 @@ def narrowed(keys: np.ndarray) -> bytes:
     return np.ascontiguousarray((keys & KEY_BITS).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).tobytes()
 
 
-def widened(raw: bytes) -> np.ndarray:
+def widened(raw: bytes | np.ndarray) -> np.ndarray:
+    raw = np.frombuffer(raw, np.uint8)
     keys = np.zeros((len(raw) // KEY_BYTES, 8), np.uint8)
-    keys[:, :KEY_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, KEY_BYTES)
+    keys[:, :KEY_BYTES] = raw.reshape(-1, KEY_BYTES)
     return keys.view("<u8").reshape(-1)
 
 
-def is_in(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which keys are in a sorted array."""
-    if not len(known):
-        return np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return known[at] == keys
+def byte_strings(raw: bytes, offsets: np.ndarray) -> pa.Array:
+    """Byte strings that lie one behind the other."""
+    return pa.Array.from_buffers(
+        pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw)])
+
+
+def flat_bytes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The other way: the bytes, and where each string begins and the last ends."""
+    _, offsets, raw = strings.cast(pa.binary()).buffers()
+    offsets = np.frombuffer(offsets, np.int32)[strings.offset:strings.offset + len(strings) + 1].astype(np.int64)
+    raw = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
+    return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
 def asked_by_part(
@@ -239,27 +284,38 @@ def asked_by_part(
 
     Frequent words, and the mass behind them, are known everywhere and not asked.
     """
-    tokens = np.concatenate(token_keys(texts))
-    words = np.unique(tokens)
-    words = words[~is_in(words, frequent)]
-    return in_parts(np.concatenate([words, mass_keys(words), np.unique(pair_keys(tokens))]), segments, part_segments)
+    return in_parts(Distinct.of(np.concatenate(token_keys(texts)), frequent).asked(), segments, part_segments)
 
 
-def in_parts(keys: np.ndarray, segments: int, part_segments: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    part = (segment_of(keys, segments) // np.uint64(part_segments)).astype(np.int64)
+def part_of(keys: np.ndarray, segments: int, part_segments: int) -> np.ndarray:
+    """In the narrowest numbers, which are ordered fastest."""
+    few = segments // part_segments <= 1 << 16
+    return (segment_of(keys, segments) // np.uint64(part_segments)).astype(np.uint16 if few else np.int64)
+
+
+def by_part(part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by part that keeps that of each part; the parts; where each begins in it, and the end."""
     order = np.argsort(part, kind="stable")
-    own, first = np.unique(part[order], return_index=True)
-    return own, np.split(keys[order], first[1:])[:len(own)]
+    ordered = part[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(part) else np.zeros(0, np.int64)
+    return order, ordered[first].astype(np.int64), np.append(first, len(part))
+
+
+def in_parts(keys: np.ndarray, segments: int, part_segments: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    order, parts, first = by_part(part_of(keys, segments, part_segments))
+    return parts, np.split(keys[order], first[1:-1])[:len(parts)]
 
 
 def _asks(shared, segments: int, part_segments: int, turn: int, rounds: int):
     """What the texts of a portion ask in this round: one row a part."""
     def asked(portion: int, texts: list[bytes]) -> pa.RecordBatch:
-        parts, lists = asked_by_part(texts, shared.value, segments, part_segments)
-        now = [(part, keys) for part, keys in zip(parts.tolist(), lists) if part % rounds == turn]
+        keys = Distinct.of(np.concatenate(token_keys(texts)), shared.value).asked()
+        part = part_of(keys, segments, part_segments)
+        now = np.flatnonzero(part % rounds == turn)
+        order, parts, first = by_part(part[now])
         return pa.RecordBatch.from_arrays(
-            [pa.array([part for part, _ in now], pa.int64()), pa.array([portion] * len(now), pa.int64()),
-             pa.array([narrowed(keys) for _, keys in now], pa.binary())], ["part", "portion", "keys"])
+            [pa.array(parts), pa.array(np.full(len(parts), portion, np.int64)),
+             byte_strings(narrowed(keys[now][order]), first * KEY_BYTES)], ["part", "portion", "keys"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, texts = None, []
@@ -301,17 +357,10 @@ def _answers(part_segments: int):
                             np.bitwise_or.at(
                                 bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
                     continue
-                lists = [widened(k) for k in own.column(4).to_pylist()]
-                keys = np.concatenate(lists)
-                # Pairs without the second level count as unseen.
-                maybe = keys & PAIR == 0
-                pairs = np.flatnonzero(~maybe)
-                maybe[pairs[holds(bits, keys[pairs], 2, part_segments)]] = True
-                found = np.zeros(len(keys), np.uint8)
-                found[maybe] = levels(bits, keys[maybe], part_segments)
-                ends = np.cumsum([len(x) for x in lists])[:-1]
+                raw, ends = flat_bytes(own.column(4))
+                found = told_levels(bits, widened(raw), part_segments)
                 yield pa.RecordBatch.from_arrays(
-                    [own.column(1), own.column(0), pa.array([x.tobytes() for x in np.split(found, ends)], pa.binary())],
+                    [own.column(1), own.column(0), byte_strings(found.tobytes(), ends // KEY_BYTES)],
                     ["portion", "part", "levels"])
     return run
 
@@ -379,7 +428,7 @@ def train(docs: DataFrame, scratch: Scratch) -> tuple[Model, DataFrame, DataFram
     n_items = items.agg(F.sum(F.least(level, F.col("n"))).alias("n")).first()["n"] or 0
     segments = bloom.n_segments(int(n_items), BITS_PER_ITEM, max_bits=1 << 62)
     bits = None
-    if segments * bloom.SEGMENT_BITS <= bloom.MAX_BITS:
+    if segments * bloom.SEGMENT_BITS <= min(BROADCAST_BITS, bloom.MAX_BITS):
         bits = bloom.put_together(items, segment_column(F.col("key"), segments), segments, _fill(segments))
 
     # The least count of which all words at or above it fit the bound.
@@ -405,36 +454,28 @@ SCORED = ("row long, n_tokens long, known long, logs double, score double, keys
           "doc_id long, held_out boolean")
 
 
-def _scored(model: Model, rows: list, texts: list[bytes], carried: list, asked: dict | None) -> pa.RecordBatch:
-    """Scores of a portion of texts. ``asked``: counts by key, where the filter is not in the model."""
-    others, times = [], []
+def _scored(
+    model: Model, rows: list, texts: list[bytes], carried: list, told: Callable[[np.ndarray], np.ndarray]
+) -> pa.RecordBatch:
+    """Scores of a portion of texts. ``told``: what the filter says of keys, wherever it is."""
     sets = token_keys(texts)
-    joined = np.concatenate(sets)
-    ends = np.cumsum([len(s) for s in sets])
-    start = np.append(0, ends[:-1])
-    at = np.searchsorted(model.frequent, joined)
-    at[at == len(model.frequent)] = 0
-    found = (model.frequent[at] == joined) if len(model.frequent) else np.zeros(len(joined), bool)
-    count = np.where(found, model.frequent_counts[at], 0) if len(model.frequent) else found * 0
-    if asked is None:
-        counts = model.filter_counts(joined, found, at)
-    else:
-        counts = [
-            np.where(found, known[at], _looked_up(k, **asked)) if len(known) else _looked_up(k, **asked)
-            for k, known in ((joined, model.frequent_levels), (mass_keys(joined), model.frequent_mass))]
-        counts.append(_looked_up(pair_keys(joined), **asked))
+    d = Distinct.of(np.concatenate(sets), model.frequent)
+    n_tokens = np.array([len(s) for s in sets])
+    start = np.cumsum(n_tokens) - n_tokens
     # Each text begins after an end token, so one pass serves all texts of the portion.
-    scores = np.add.reduceat(model.log_probabilities(*counts), start)
-    known = np.add.reduceat(found.astype(np.int64), start)
-    logs = np.add.reduceat(np.where(found, np.log10(count + 0.5), 0.0), start)
-    for a, b in zip(start.tolist(), ends.tolist()):
-        key, n = np.unique(joined[a:b][~found[a:b]], return_counts=True)
-        others.append(key.view(np.int64))
-        times.append(n)
+    scores = np.add.reduceat(model.log_probabilities(*model.filter_counts(d, told(d.asked()))), start)
+    logs, found = np.zeros(len(d.words)), d.known[d.at_word]
+    logs[d.known] = np.log10(model.frequent_counts[d.spot] + 0.5)
+    # Other words of each text with their occurrences.
+    other = np.flatnonzero(~found)
+    text_of = np.repeat(np.arange(len(sets)), n_tokens)
+    pair, times = np.unique(text_of[other] * len(d.words) + d.at_word[other], return_counts=True)
+    ends = pa.array(np.searchsorted(pair, np.arange(len(sets) + 1) * len(d.words)).astype(np.int32))
     return pa.RecordBatch.from_arrays([
-        pa.array(rows, pa.int64()), pa.array(ends - start), pa.array(known), pa.array(logs),
-        pa.array(scores), pa.array(others, pa.list_(pa.int64())),
-        pa.array(times, pa.list_(pa.int64())), *carried],
+        pa.array(rows, pa.int64()), pa.array(n_tokens), pa.array(np.add.reduceat(found.astype(np.int64), start)),
+        pa.array(np.add.reduceat(logs[d.at_word], start)), pa.array(scores),
+        pa.ListArray.from_arrays(ends, pa.array(d.words[pair % len(d.words)].view(np.int64))),
+        pa.ListArray.from_arrays(ends, pa.array(times)), *carried],
         ["row", "n_tokens", "known", "logs", "score", "keys", "times", "doc_id", "held_out"])
 
 
@@ -453,7 +494,8 @@ def _score(shared):
             for rows, texts in portions(batch):
                 carried = [batch.column(k).slice(at_row, len(rows)) for k in (2, 3)]
                 at_row += len(rows)
-                yield _scored(model, rows, texts, carried, None)
+                yield _scored(
+                    model, rows, texts, carried, lambda keys: told_levels(model.bits, keys, model.segments))
     return run
 
 
@@ -469,14 +511,16 @@ def _score_portion(shared, part_segments: int):
     def run(own: pa.Table, answers: pa.Table) -> pa.Table:
         model = Model(**shared.value)
         texts = [t or b"" for t in own["text"].cast(pa.binary()).to_pylist()]
-        parts, lists = asked_by_part(texts, model.frequent, model.segments, part_segments)
-        told = dict(zip(answers["part"].to_pylist(), answers["levels"].to_pylist()))
-        keys = np.concatenate(lists)
-        level = np.frombuffer(b"".join([told[p] for p in parts.tolist()]), np.uint8)
-        order = np.argsort(keys, kind="stable")
-        asked = {"keys": keys[order], "counts": counts_of(level[order].astype(np.int64))}
+        answer = dict(zip(answers["part"].to_pylist(), answers["levels"].to_pylist()))
+
+        def told(keys: np.ndarray) -> np.ndarray:
+            order, parts, _ = by_part(part_of(keys, model.segments, part_segments))
+            level = np.empty(len(keys), np.uint8)
+            level[order] = np.frombuffer(b"".join([answer[p] for p in parts.tolist()]), np.uint8)
+            return level
+
         carried = [own[c].combine_chunks() for c in ("doc_id", "held_out")]
-        return pa.Table.from_batches([_scored(model, own["row"].to_pylist(), texts, carried, asked)])
+        return pa.Table.from_batches([_scored(model, own["row"].to_pylist(), texts, carried, told)])
     return run
 
 

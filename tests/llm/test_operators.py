@@ -644,6 +644,30 @@ def test_lm_filter_in_parts_asks_frequent_words_once(docs, texts, monkeypatch):
     assert len(raw) == 5 * len(keys) and (lm.widened(raw) == keys & lm.KEY_BITS).all()
 
 
+def test_lm_asks_each_word_and_pair_of_a_portion_once(docs, monkeypatch):
+    """Repeated words cost no more searches, and a filter over the bound of a broadcast stays in parts."""
+    texts = [b"b a b a b a c " * 100, b"", b"a b rare a b"]
+    tokens = np.concatenate(lm.token_keys(texts))
+    frequent = np.unique(tokens)[:2]
+    searched, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *r: searched.append(np.size(v)) or search(a, v, *r))
+    d = lm.Distinct.of(tokens, frequent)
+    monkeypatch.setattr(np, "searchsorted", search)
+    assert searched == [5] and (d.words[d.at_word] == tokens).all() and (d.pairs[d.at_pair] == lm.pair_keys(tokens)).all()
+    assert d.known.sum() == 2 and len(d.asked()) == 3 + 3 + len(set(lm.pair_keys(tokens).tolist()))
+    strings = lm.byte_strings(b"abcdef", np.array([0, 2, 2, 6]))
+    assert strings.to_pylist() == [b"ab", b"", b"cdef"]
+    raw, ends = lm.flat_bytes(strings.slice(1))
+    assert raw.tobytes() == b"cdef" and ends.tolist() == [0, 0, 4]
+
+    whole = collections.Counter((*r[:5], round(r["score"], 6)) for r in lm.score(docs).collect())
+    asked = []
+    monkeypatch.setattr(lm, "answered", lambda *a, f=lm.answered, **k: asked.append(a) or f(*a, **k))
+    assert collections.Counter((*r[:5], round(r["score"], 6)) for r in lm.score(docs).collect()) == whole and not asked
+    monkeypatch.setattr(lm, "BROADCAST_BITS", 1)
+    assert collections.Counter((*r[:5], round(r["score"], 6)) for r in lm.score(docs).collect()) == whole and asked
+
+
 def test_leaks_do_not_depend_on_item_blocks(spark):
     """One item a block, a few, and all in one give the same rows, scores included."""
     rng = random.Random(15)
