@@ -200,3 +200,58 @@ def test_taxon_reports_start_from_one_written_profile(spark, folder):
     d = domain(spark, folder)
     table = runnable("report_taxon_sample")(spark, folder)
     assert len(re.findall(r"Exchange hashpartitioning", plan_of(table))) < 20
+
+
+# Rows that are dealt out by order -------------------------------------------------------------
+
+def test_rows_of_an_order_meet_its_candidates_where_they_are(spark, folder, no_broadcast):
+    moves = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan_of(Domain(spark, folder).background_hits))
+    assert any("orderkey" in m for m in moves)
+    assert not any("read_id" in m for m in moves)
+
+
+def test_regions_by_order_are_those_by_name(spark, folder):
+    """An order in two samples and ends, one without candidates, negative and missing names, copies."""
+    schema = "sample_id string, end string, read_id string, part_key long, ord long, order_key long"
+    rows = spark.createDataFrame(
+        [(s, e, None if k is None else f"R{k}", p, o, k)
+         for k in (1, 2, -3, None) for s in ("S1", "S2", None) for e in ("pe1", "pe2")
+         for p, o in ((5, 8), (6, 9), (6, 9), (7, 11), (None, 12))], schema)
+    found = spark.createDataFrame(
+        [("S1", "pe1", "R1", [(1, 9), (20, 30)]), ("S1", "pe2", "R1", [(3, 4)]), ("S2", "pe1", "R1", [(7, 8)]),
+         (None, "pe1", "R1", [(1, 2)]), ("S2", "pe2", "R-3", [(5, 6), (5, 7), (5, 8)]), ("S1", "pe1", None, [(2, 2)])],
+        "sample_id string, end string, read_id string, hits array<struct<q_start int, q_end int>>")
+    d = Domain(spark, folder)
+    by_name = d.place_in_regions(rows, found, READ_KEYS)
+    by_order = d.place_in_regions(rows, found, READ_KEYS, F.substring("read_id", 2, 30).cast("bigint"))
+    assert by_order.columns == by_name.columns
+    want = sorted(map(str, by_name.collect()))
+    assert len(want) == 4 * 5 and sorted(map(str, by_order.collect())) == want
+
+
+def test_samples_count_the_orders_of_their_hits(spark, tmp_path):
+    """Repeated lines, parts and orders, orders in two samples, and missing keys, ends and priorities."""
+    lines = [(k, p, 1, 7, 10.0, "A", s) for k in (1, 2, 2, 3, 4, None, 9) for p, s in
+             ((1, "F"), (1, "F"), (2, "O"), (5, "F"), (None, "F"))] + [(3, 2, 1, 7, 10.0, None, None), (5, 1, 1, 7, 1.0, "R", None)]
+    spark.createDataFrame(
+        lines, "l_orderkey long, l_partkey long, l_linenumber int, l_suppkey long, l_quantity double,"
+        " l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(
+        [(1, "1-URGENT"), (1, "1-URGENT"), (2, "1-URGENT"), (2, "2-HIGH"), (3, None), (3, "5-LOW"), (4, "4-X"), (5, "2-HIGH"),
+         (None, "3-X")], "o_orderkey long, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, 3), (2, 4), (2, 4), (None, 5)], "p_partkey long, p_size int").write.parquet(
+        f"{tmp_path}/part.parquet")
+    d = Domain(spark, str(tmp_path))
+    of = lambda e: F.count_if(F.col("end") == e)
+    want = d.hits.select("sample_id", "end", "order_key").distinct().groupBy("sample_id").agg(of("pe1"), of("pe2"))
+    got = d.samples.select("sample_id", "fwd_reads", "rev_reads")
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    assert rows(got) == rows(want) and len(rows(got)) == 5
+
+
+def test_lists_are_collected_from_sorted_rows_within_a_block_only(spark):
+    table = spark.range(10).groupBy(F.col("id") % 3).agg(F.collect_list("id"))
+    with pytest.raises(KeyError), session.sorted_groups(spark):
+        assert "ObjectHashAggregate" not in plan_of(table.select("*"))
+        raise KeyError
+    assert "ObjectHashAggregate" in plan_of(table.select("*"))
